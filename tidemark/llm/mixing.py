@@ -9,10 +9,12 @@ Documents meet the solver as a histogram (source, size -> documents): Newton ste
 sources at once, each step guarded by a bisection bracket. Lambdas stay in a table; the driver sees the
 number of sources that haven't converged.
 
-Rates become copies by systematic rounding: documents of a source and of similar size (a power of 2 ** 0.25)
-are dealt by hash into groups of some thousand; in a group the running sum of the fractional rates, from a
-hashed start, says who gets one copy more. A group errs by less than one document, whatever its skew, and no
-group grows with its source. Nothing is random: reruns agree.
+Rates become copies in two steps. Sizes are taken in cells (exact up to 256 words, then 128 to a doubling, so
+a source has a few thousand cells at most); from large to small, each cell's copies are its expected copies
+rounded up or down, whichever brings the source's words back to their running target. In a cell, copies are
+dealt evenly over the documents in a hashed order; a cell of more than ``group_rows`` documents is dealt in
+parts of about that many, each rounded from a hashed start, so that no group grows with its source. Nothing
+is random: reruns agree.
 
 Targets: sources share ``share`` of all sizes by weight; a target stops at ``cap`` times its source's size
 and the excess is shared again by weight, until none is above (a water level, found by a few sums over sources).
@@ -60,14 +62,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return weighed.withColumn("target", F.least(limit, F.col("weight") * F.lit(level)) if capped >= 0 else limit)
 
 
-def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e-9, max_steps: int = 60) -> DataFrame:
+def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e-7, max_steps: int = 60) -> DataFrame:
     """lambda by source. ``hist``: source, size, n; ``targets``: source, source_size, target."""
     mean = hist.groupBy("source").agg((F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit"))
     key = lambda a, b: a["source"].eqNullSafe(b["source"])
     state = targets.join(mean, key(targets, mean), "left").select(targets["source"], "source_size", "target", "unit")
     # a target at the cap or at nothing has its lambda at infinity: every rate is the cap or 0
-    state = state.withColumn("lam", F.when(F.col("target") >= F.col("source_size") * cap, F.lit(float("inf"))).when(F.col("target") <= 0, F.lit(float("-inf"))).otherwise(0.0))
-    state = state.withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf"))).withColumn("done", F.col("lam") != 0.0)
+    state = state.withColumn("lam", F.when(F.col("target") >= F.col("source_size") * cap, F.lit(float("inf"))).when(F.col("target") <= 0, F.lit(float("-inf"))).otherwise(F.log(F.col("target") / F.col("source_size"))))
+    state = state.withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf"))).withColumn("done", F.abs("lam") == float("inf"))
     state = save(state, "mix-state")
     for _ in range(max_steps):
         h = hist.withColumnRenamed("source", "_s")
@@ -100,31 +102,54 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e
     return state
 
 
+def _tilted(size: Column, cap: float) -> Column:
+    lam = F.col("lam")
+    rate = F.when(lam == float("inf"), F.lit(float(cap))).when(lam == float("-inf"), F.lit(0.0)).otherwise(F.least(F.lit(float(cap)), F.exp(lam * size / F.col("unit"))))
+    return F.when(size == 0, 0.0).otherwise(rate)
+
+
+_CELL = "_size - pmod(_size, shiftleft(1L, cast(greatest(length(bin(_size)) - 8, 0) as int)))"
+
+
+def cell_copies(hist: DataFrame, state: DataFrame, cap: float) -> DataFrame:
+    """For each source and cell: docs, and the copies they get together."""
+    h = hist.select(F.col("source").alias("_s"), F.col("size").alias("_size"), "n").withColumn("cell", F.expr(_CELL))
+    h = h.join(state, h["_s"].eqNullSafe(state["source"]))
+    cells = h.withColumn("rate", _tilted(F.col("_size"), cap)).groupBy("source", "source_size", "target", "unit", "lam", "cell").agg(
+        F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("rate")).alias("copies"), F.sum(F.col("n") * F.col("rate") * F.col("_size")).alias("words"), (F.sum(F.col("n") * F.col("_size")) / F.sum("n")).alias("mean")
+    )
+    per = cells.groupBy("source", "source_size", "target", "unit", "lam").agg(F.sort_array(F.collect_list(F.struct("cell", "docs", "copies", "words", "mean")), asc=False).alias("cells"))
+    start = F.struct(F.lit(0.0).alias("debt"), F.expr("cast(array() as array<bigint>)").alias("out"))
+
+    def step(acc, c):
+        due = acc["debt"] + c["words"]
+        low = F.floor(c["copies"] + 1e-9)
+        high = F.least(F.ceil(c["copies"] - 1e-9), F.floor(c["docs"] * F.lit(float(cap))))
+        m = F.when(c["mean"] == 0, F.lit(0)).otherwise(F.greatest(low, F.least(high, F.round(due / c["mean"]).cast("long")))).cast("long")
+        return F.struct((due - m * c["mean"]).alias("debt"), F.concat(acc["out"], F.array(m)).alias("out"))
+
+    per = per.withColumn("ms", F.aggregate("cells", start, step, lambda acc: acc["out"]))
+    z = F.explode(F.arrays_zip("cells", "ms")).alias("z")
+    return per.select("source", "source_size", "target", "unit", "lam", z).select("source", "source_size", "target", "unit", "lam", F.col("z.cells.cell").alias("cell"), F.col("z.cells.docs").alias("docs"), F.col("z.ms").alias("m"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 4000) -> DataFrame:
     """All columns of ``docs`` and _size, _source_size, _target, _rate, _copies. Every row comes back; a row with
     0 copies is left out of the mix."""
     sized = docs.withColumn("_size", word_count(F.col("text")))
     hist = save(sized.groupBy("source", F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
     targets = source_targets(hist.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap)
-    state = tilts(hist, targets, cap)
-    klass = lambda size: F.floor(F.log2(F.greatest(size, F.lit(1))) * 4).cast("int")
-    groups = hist.groupBy("source", klass(F.col("size")).alias("_k")).agg(F.ceil(F.sum("n") / group_rows).alias("_deals"))
-    per = groups.join(state, groups["source"].eqNullSafe(state["source"])).select(groups["source"].alias("_s"), F.col("_k").alias("_kk"), "_deals", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "unit", "lam")
-    sized = sized.withColumn("_k", klass(F.col("_size")))
-    d = sized.join(per, sized["source"].eqNullSafe(per["_s"]) & (sized["_k"] == per["_kk"]))
-    rate = F.when(F.col("lam") == float("inf"), F.lit(float(cap))).when(F.col("lam") == float("-inf"), F.lit(0.0)).otherwise(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("_size") / F.col("unit"))))
-    d = d.withColumn("_rate", F.when(F.col("_size") == 0, 0.0).otherwise(rate))
-    d = d.withColumn("_deal", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("_deals")))
-    group = W.partitionBy("source", "_k", "_deal")
-    run = group.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "_size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    part = F.col("_rate") - F.floor("_rate")
-    start = F.pmod(F.xxhash64("source", "_k", "_deal", F.lit(13)), F.lit(1 << 20)) / (1 << 20)
-    # whole millionths: sums don't depend on their order
-    units = F.sum(F.round(part * 1_000_000).cast("long")).over(run)
-    at = F.round(start * 1_000_000).cast("long")
-    extra = F.floor((units + at) / 1_000_000) - F.floor((units - F.round(part * 1_000_000).cast("long") + at) / 1_000_000)
-    d = d.withColumn("_copies", (F.floor("_rate") + extra).cast("long"))
-    return d.select(*docs.columns, "_size", "_source_size", "_target", "_rate", "_copies")
+    cells = cell_copies(hist, tilts(hist, targets, cap), cap).select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "unit", "lam", "docs", "m")
+    cells = save(cells, "mix-cells")
+    d = sized.withColumn("_cell", F.expr(_CELL))
+    d = d.join(cells, d["source"].eqNullSafe(cells["_s"]) & (d["_cell"] == cells["_c"]))
+    deals = F.ceil(F.col("docs") / group_rows)
+    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("doc_id", F.lit(7)), deals))
+    at = F.when(deals > 1, F.pmod(F.xxhash64("source", "_cell", "_deal", F.lit(13)), F.col("docs"))).otherwise(F.lit(0))
+    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "_size")).cast("long")
+    d = d.withColumn("_i", i).withColumn("_at", at)
+    upto = lambda k: F.floor((k * F.col("m") + F.col("_at")) / F.col("docs"))
+    return d.withColumn("_copies", (upto(F.col("_i")) - upto(F.col("_i") - 1)).cast("long")).select(*docs.columns, "_size", "_source_size", "_target", "_rate", "_copies")
 
 
 def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:
