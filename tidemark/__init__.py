@@ -1,0 +1 @@
+"""Recommendation features from behaviour events of short videos and live rooms, as Spark jobs."""
