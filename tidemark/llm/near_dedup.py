@@ -5,8 +5,9 @@
    cost one row each from here on.
 2. Registers are banded (25 bands of 5: a pair at similarity 0.8 shares a band with probability 0.9999).
    In each bucket of several nodes every node is paired with one hub, not with all others; estimates,
-   corrected for chance collisions, pass pairs within four standard errors of the threshold. What a bucket
-   still holds in different families is paired with the rest of the bucket, so no candidate pair is skipped.
+   corrected for chance collisions, pass pairs within four standard errors of the threshold. Where a bucket still
+   holds several families, those outside its largest meet all its members: as pairs in small buckets, in blocks
+   of registers in large ones, which return only what joins families. So no candidate pair is skipped.
 3. Passed pairs join nodes into families. Within a family every pair of full shingle sets is compared
    exactly, block by block: a family of n nodes is cut into blocks of BLOCK and each pair of blocks is a task
    row group of its own, so a group of a third of all rows is spread over the cluster. A task returns only a
@@ -38,6 +39,7 @@ from .scratch import free, save, table
 from .shingles import U, band_keys, estimate, registers, shingle_sets
 
 BANDS, ROWS, BLOCK = 25, 5, 96
+PAIRED, REGISTER_BLOCK = 64, 512
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -72,6 +74,12 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sets, "doc_id long, set binary")
 
 
+def _near(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
+    """Which estimates aren't four standard errors below the threshold."""
+    j, some = estimate(ra, rb, na, nb)
+    return j >= threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(some, 1)) - 1e-9
+
+
 def likely(pairs: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b, na, nb, sig_a, sig_b), those that may reach the threshold: sizes allow it, and the
     estimate isn't four standard errors below."""
@@ -82,9 +90,7 @@ def likely(pairs: DataFrame, threshold: float) -> DataFrame:
                 continue
             na, nb = (b.column(i).to_numpy() for i in (2, 3))
             ra, rb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(len(b), -1) for i in (4, 5))
-            j, some = estimate(ra, rb, na, nb)
-            ok = j >= threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(some, 1)) - 1e-9
-            yield b.select([0, 1]).filter(pa.array(ok))
+            yield b.select([0, 1]).filter(pa.array(_near(ra, rb, na, nb, threshold)))
 
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * F.lit(round(threshold * 100))
     return pairs.filter(close).select("a", "b", "na", "nb", "sig_a", "sig_b").mapInArrow(judge, "a long, b long")
@@ -104,18 +110,64 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     return entries.join(hubs, "bucket").filter(F.col("node") != F.col("hub"))
 
 
-def rest_pairs(entries: DataFrame, families: DataFrame) -> DataFrame:
-    """Pairs within a bucket whose members lie in different families, one of them not in the bucket's largest."""
+def mixed_buckets(entries: DataFrame, families: DataFrame) -> DataFrame:
+    """bucket, node, family, main, members, light of the buckets whose members lie in several families; main is the
+    bucket's largest family, light members are those outside it."""
     f = entries.join(families.select(F.col("id").alias("node"), F.col("component").alias("family")), "node", "left").withColumn("family", F.coalesce("family", "node"))
     sizes = f.groupBy("bucket", "family").agg(F.count("*").alias("k"))
-    top = sizes.groupBy("bucket").agg(F.count("*").alias("families"), F.max(F.struct("k", "family")).alias("top")).filter(F.col("families") > 1).select("bucket", F.col("top.family").alias("main"))
-    f = f.join(top, "bucket")
-    light = f.filter(F.col("family") != F.col("main")).select("bucket", F.col("node").alias("x"), F.col("family").alias("fx"))
-    other = f.select("bucket", F.col("node").alias("y"), F.col("family").alias("fy"), (F.col("family") == F.col("main")).alias("heavy"))
+    top = sizes.groupBy("bucket").agg(F.count("*").alias("families"), F.sum("k").alias("members"), F.max(F.struct("k", "family")).alias("top")).filter(F.col("families") > 1)
+    top = top.select("bucket", F.col("top.family").alias("main"), "members", (F.col("members") - F.col("top.k")).alias("lights"))
+    return f.join(top, "bucket").withColumn("light", F.col("family") != F.col("main"))
+
+
+def rest_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs of different families in buckets of at most PAIRED members: some dozens a member."""
+    small = mixed.filter(F.col("members") <= PAIRED)
+    light = small.filter("light").select("bucket", F.col("node").alias("x"), F.col("family").alias("fx"))
+    other = small.select("bucket", F.col("node").alias("y"), F.col("family").alias("fy"), (~F.col("light")).alias("heavy"))
     pairs = light.join(other, "bucket").filter((F.col("fx") != F.col("fy")) & (F.col("heavy") | (F.col("x") < F.col("y"))))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def rest_blocks(mixed: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The same for larger buckets, without a row a pair: each block of light members meets each block of all
+    members in a group of its own, and returns likely pairs (a, b) that span the families they join."""
+    sig = nodes.select(F.col("node").alias("_n"), "n_shingles", "sig")
+    m = mixed.filter(F.col("members") > PAIRED).join(sig, F.col("node") == F.col("_n"))
+    parts = lambda n: F.ceil(F.col(n) / REGISTER_BLOCK).cast("int")
+    m = m.withColumn("nj", parts("members")).withColumn("ni", parts("lights"))
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["bucket", "i", "j", "side", "node", "family", "n_shingles", "sig"]
+    right = m.withColumn("j", mine("nj")).withColumn("i", every("ni")).withColumn("side", F.lit(1)).select(*cols)
+    left = m.filter("light").withColumn("i", mine("ni")).withColumn("j", every("nj")).withColumn("side", F.lit(0)).select(*cols)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        l, r = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        reg = [np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (l, r)]
+        n_l, n_r, ids_l, ids_r, fam_l, fam_r = (x[c].to_numpy() for c in ("n_shingles", "node", "family") for x in (l, r))
+        parent: dict = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        for i in range(len(l)):
+            ok = (fam_r != fam_l[i]) & (np.minimum(n_r, n_l[i]) * 100 >= np.maximum(n_r, n_l[i]) * round(threshold * 100))
+            at = np.flatnonzero(ok)
+            if len(at):
+                for k in at[_near(np.broadcast_to(reg[0][i], (len(at), reg[0].shape[1])), reg[1][at], np.full(len(at), n_l[i]), n_r[at], threshold)]:
+                    a, b = find(fam_l[i]), find(fam_r[k])
+                    if a != b:
+                        parent[a] = b
+                        out.append((min(ids_l[i], ids_r[k]), max(ids_l[i], ids_r[k])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return left.unionByName(right).groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def _forest(sets: list[np.ndarray], ids: np.ndarray, left: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets``: all pairs if ``left`` is all true, else left with right."""
     n = len(sets)
@@ -187,8 +239,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     # buckets of two were settled by their star
     large = stars.filter(F.col("n") > 2)
     members = large.select("bucket", "node").unionByName(large.select("bucket", F.col("hub").alias("node")).distinct())
-    more = likely(with_registers(rest_pairs(members, families), nodes), threshold)
-    edges = save(edges.unionByName(more), "near-edges")
+    mixed = save(mixed_buckets(members, families), "near-mixed")
+    more = likely(with_registers(rest_pairs(mixed), nodes), threshold)
+    edges = save(edges.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
     families = save(components(edges), "near-families")
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = full_sets(texts.join(families.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), width)
