@@ -15,7 +15,6 @@ from tidemark.operators import topk
 from tidemark.operators import windows as T
 from tidemark.schemas import CODES
 
-VIEW = F.lit("view")
 #: Thresholds in seconds (fixed values).
 VIEW_STEPS, STAND_STEPS = (3, 8, 12, 20), (5, 10)
 

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tidemark.plans import feature_queries, window_queries
+
+QUERIES: dict = {**window_queries.QUERIES, **feature_queries.QUERIES}
+SQL: dict = {**window_queries.SQL, **feature_queries.SQL}

@@ -2,7 +2,7 @@
 
 POST_EXPOSE = """event_type int, post_expose struct<uid bigint, created_at bigint,
   list array<struct<post_id string, exposed_pos int, expo_time bigint, rec_token string, from_index string, dest_index string>>,
-  UID bigint, DID string, APP string, SMID string, Version string, Channel string, Platform string, Brand string, OS string,
+  DID string, APP string, SMID string, Version string, Channel string, Platform string, Brand string, OS string,
   Model string, Lang string, Country string, US int, Seq string, Network string, FeSystem int, SubPartnerChannel string,
   ClientIP string, ADID string, GAID string, IDFA string>"""
 DEVICE_FIELDS = "DID APP SMID Version Channel Platform Brand OS Model Lang Country US Seq Network FeSystem SubPartnerChannel ClientIP ADID GAID IDFA".split()
