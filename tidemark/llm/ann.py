@@ -92,7 +92,7 @@ def fit_codebooks(x: np.ndarray, books: int = 16, entries: int = 64, rounds: int
     return model
 
 
-def train(v: DataFrame, train_rows: int = 4096) -> Codebooks | None:
+def train(v: DataFrame, train_rows: int = 8192) -> Codebooks | None:
     sample = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(train_rows).select("embedding").toArrow()
     x = matrix(sample["embedding"])
     return fit_codebooks(unit(x)) if len(x) else None
@@ -113,7 +113,7 @@ def build_index(v: DataFrame, model: Codebooks, k: int = 5, block_rows: int = 40
     return index.withColumn("block", F.pmod(F.xxhash64("ids", "codes"), F.lit(blocks)).cast("int")).withColumn("blocks", F.lit(blocks))
 
 
-def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qblocks: int, k: int = 5, rerank: int = 128) -> DataFrame:
+def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qblocks: int, k: int = 5, rerank: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score."""
     data = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))).select("block", "qblock", "ids", "embedding", "codes", "norm")
     q = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", "qblock", "qno", "query_id", "embedding")
@@ -156,7 +156,7 @@ def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qb
     return ranked(found, k, "double")
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, train_rows: int = 4096, rerank: int = 128) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, train_rows: int = 8192, rerank: int = 256) -> DataFrame:
     v = usable(vectors, nonzero=True)
     model = train(v, train_rows)
     if model is None:
