@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import free, save, table
+from .scratch import boxed, free, save, table, unboxed
 
 BLANKS = r" \u0009\u000A\u000B\u000C\u000D"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,8 +65,8 @@ class LineRuns:
             out = r if out is None else out.unionByName(r)
         return out
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Count a batch of documents that no earlier batch held a part of; returns its run."""
+    def add(self, batch: DataFrame) -> None:
+        """Count a batch of documents that no earlier batch held a part of."""
         held = document_keys(batch, self.min_chars).distinct()  # rows that share an id count once
         counts = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
         known = self._all()
@@ -80,7 +80,6 @@ class LineRuns:
         if known is not None:
             free(counts)
         self._put(out, 0)
-        return out
 
     def _put(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
@@ -108,12 +107,13 @@ class LineRuns:
         """All columns of ``docs`` with the text stripped, and n_lines, n_dropped."""
         lost = document_keys(docs, self.min_chars).join(self.frequent(min_docs), "key").filter(F.col("doc_id") < F.col("max_doc"))
         lost = lost.groupBy("doc_id").agg(F.collect_set("key").alias("_lost")).withColumnRenamed("doc_id", "_id")
-        joined = docs.join(lost, docs["doc_id"].cast("long") == F.col("_id"), "left")
-        lines = text_lines(F.col("text"))
+        joined = boxed(docs).join(lost, F.col("_row.doc_id").cast("long") == F.col("_id"), "left")
+        lines = text_lines(F.col("_row.text"))
         kept = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= self.min_chars) & F.array_contains(F.col("_lost"), key_hash(line_key(x)))))
         kept = F.when(F.col("_lost").isNull(), lines).otherwise(kept)
         out = joined.withColumn("_kept", kept).withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", (F.size(lines) - F.size("_kept")).cast("long"))
-        return out.withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))).select(*docs.columns, "n_lines", "n_dropped")
+        out = out.withColumn("text", F.when(F.col("_lost").isNull(), F.col("_row.text")).otherwise(F.array_join("_kept", "\n")))
+        return unboxed(out, docs.columns, "text", "n_lines", "n_dropped")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3, fanout: int = 2) -> DataFrame:

@@ -30,17 +30,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import free, save, table
-
-WORD = r"[^\x20\x09-\x0D]+"
-
+from .scratch import boxed, free, save, table, unboxed
 
 def word_count(text: Column) -> Column:
-    """Words of a text, null: 0: its blanks squeezed to one each and counted."""
-    squeezed = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    inner = F.trim(squeezed)
-    blanks = F.length(inner) - F.length(F.translate(inner, " ", ""))
-    return F.when(F.length(inner) == 0, 0).otherwise(blanks + 1).cast("long")
+    """Words of a text, null: 0. Plain replacements, which run over bytes, not a regex: blanks become spaces, each
+    space the marks 1 2, so that dropping all 2 1 leaves one pair for each run of spaces; runs are then counted by
+    how much shorter the text gets without the marks. (Marks that a text holds itself are letters like others.)"""
+    put = lambda t, a, b: F.replace(t, F.lit(a), F.lit(b))
+    t = F.coalesce(text, F.lit(""))
+    for c in "\x01\x02":
+        t = put(t, c, "x")
+    for c in "\t\n\x0b\x0c\r":
+        t = put(t, c, " ")
+    t = F.trim(t)
+    runs = put(put(t, " ", "\x01\x02"), "\x02\x01", "")
+    # in bytes: every run is one mark 1
+    n = F.octet_length(runs) - F.octet_length(put(runs, "\x01", ""))
+    return F.when(F.octet_length(t) == 0, 0).otherwise(n + 1).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -64,7 +70,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 
 def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e-7, max_steps: int = 60) -> DataFrame:
     """lambda by source. ``hist``: source, size, n; ``targets``: source, source_size, target."""
-    mean = hist.groupBy("source").agg((F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit"))
+    mean = hist.groupBy("source").agg((F.sum(F.col("n") * F.col("size") * F.col("size")) / F.nullif(F.sum(F.col("n") * F.col("size")), F.lit(0))).alias("unit"))
     key = lambda a, b: a["source"].eqNullSafe(b["source"])
     state = targets.join(mean, key(targets, mean), "left").select(targets["source"], "source_size", "target", "unit")
     # a target at the cap or at nothing has its lambda at infinity: every rate is the cap or 0
@@ -84,8 +90,8 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e
         miss = F.col("got") - F.col("target")
         lo, hi = F.when(miss < 0, F.col("lam")).otherwise(F.col("lo")), F.when(miss > 0, F.col("lam")).otherwise(F.col("hi"))
         s = s.withColumn("lo2", F.when(F.col("got").isNull(), F.col("lo")).otherwise(lo)).withColumn("hi2", F.when(F.col("got").isNull(), F.col("hi")).otherwise(hi))
-        newton = F.col("lam") - miss / F.col("slope")
-        inside = (F.col("slope") > 0) & (newton > F.col("lo2")) & (newton < F.col("hi2")) & (F.abs(newton - F.col("lam")) < 4)
+        newton = F.col("lam") - miss / F.nullif(F.col("slope"), F.lit(0.0))
+        inside = F.coalesce((F.col("slope") > 0) & (newton > F.col("lo2")) & (newton < F.col("hi2")) & (F.abs(newton - F.col("lam")) < 4), F.lit(False))
         bounded = (F.col("lo2") > float("-inf")) & (F.col("hi2") < float("inf"))
         fallback = F.when(bounded, (F.col("lo2") + F.col("hi2")) / 2).when(miss < 0, F.col("lam") + 1.0 + F.abs("lam")).otherwise(F.col("lam") - 1.0 - F.abs("lam"))
         hit = F.abs(miss) <= tol * F.col("target")
@@ -136,7 +142,8 @@ def cell_copies(hist: DataFrame, state: DataFrame, cap: float) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 4000) -> DataFrame:
     """All columns of ``docs`` and _size, _source_size, _target, _rate, _copies. Every row comes back; a row with
     0 copies is left out of the mix."""
-    sized = docs.withColumn("_size", word_count(F.col("text")))
+    # a generator, so that Spark counts a text's words once and doesn't write the count into every later expression
+    sized = boxed(docs).select("_row", F.explode(F.array(word_count(F.col("_row.text")))).alias("_size")).withColumn("source", F.col("_row.source"))
     hist = save(sized.groupBy("source", F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
     targets = source_targets(hist.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap)
     cells = cell_copies(hist, tilts(hist, targets, cap), cap).select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "unit", "lam", "docs", "m")
@@ -144,12 +151,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     d = sized.withColumn("_cell", F.expr(_CELL))
     d = d.join(cells, d["source"].eqNullSafe(cells["_s"]) & (d["_cell"] == cells["_c"]))
     deals = F.ceil(F.col("docs") / group_rows)
-    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("doc_id", F.lit(7)), deals))
+    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("_row.doc_id", F.lit(7)), deals))
     at = F.when(deals > 1, F.pmod(F.xxhash64("source", "_cell", "_deal", F.lit(13)), F.col("docs"))).otherwise(F.lit(0))
-    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "_size")).cast("long")
+    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("_row.doc_id", F.lit(11)), "_row.doc_id", "_size")).cast("long")
     d = d.withColumn("_i", i).withColumn("_at", at)
     upto = lambda k: F.floor((k * F.col("m") + F.col("_at")) / F.col("docs"))
-    return d.withColumn("_copies", (upto(F.col("_i")) - upto(F.col("_i") - 1)).cast("long")).select(*docs.columns, "_size", "_source_size", "_target", "_rate", "_copies")
+    d = d.withColumn("_copies", (upto(F.col("_i")) - upto(F.col("_i") - 1)).cast("long"))
+    return unboxed(d, docs.columns, "_size", "_source_size", "_target", "_rate", "_copies")
 
 
 def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from .scratch import boxed, table, unboxed
 
 PATTERNS = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -38,7 +38,7 @@ PATTERNS = (
     r"(?<![0-9A-Za-z])\d{13,19}(?![0-9A-Za-z])",
     r"(?<![0-9-])\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}(?!\d)",
     r"(?<![0-9-])\d{4}([ -])\d{6}\2\d{5}(?!\d)",
-    r"(?<![0-9A-Za-z])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)",
+    r"(?<![0-9A-Za-z])\+(?:1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\d{1,3}[ .-]?\d{1,2}(?:[ .-]\d{2}){4}|\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})[ .-]?\d{3,4}(?:[ .-]?\d{3,4})?|\d{8,15})(?!\d)",
     r"(?<![0-9A-Za-z+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![0-9A-Za-z])",
     r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
 )
@@ -145,16 +145,16 @@ def pseudonym(m: str, key: str) -> str:
 
 def pseudonymise(docs: DataFrame, key: str = "a key of the corpus's own", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with the text pseudonymised, and _replaced. The key belongs in a secret store."""
-    t = F.col(text_col)
+    t = F.col("_row")[text_col]
     some = t.rlike("[0-9@]")
     found = F.when(some, F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
     between = F.when(some, F.split(t, PATTERN, -1))
-    d = docs.withColumn("_found", found).withColumn("_between", between)
+    d = boxed(docs).withColumn("_found", found).withColumn("_between", between)
     d = d.withColumn("_new", F.when(F.size("_found") > 0, F.expr(f"transform(_found, m -> {pseudonym('m', key)})")))
     pieces = F.transform(F.col("_between"), lambda p, i: F.concat(p, F.coalesce(F.get(F.col("_new"), i), F.get(F.col("_found"), i), F.lit(""))))
     out = d.withColumn(text_col, F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(t))
     replaced = F.coalesce(F.size(F.filter(F.col("_new"), lambda x: x.isNotNull())), F.lit(0))
-    return out.withColumn("_replaced", F.when(F.size("_found") > 0, replaced).otherwise(0)).select(*docs.columns, "_replaced")
+    return unboxed(out.withColumn("_replaced", F.when(F.size("_found") > 0, replaced).otherwise(0)), docs.columns, text_col, "_replaced")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

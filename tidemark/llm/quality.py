@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import table
+from .scratch import boxed, table, unboxed
 
 BITS = 20
 _DIM = 1 << BITS
@@ -151,17 +151,17 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 6000, grades: int
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """All columns of ``docs`` and _score, _expected_grade, _tail (P of the top grade)."""
-    kind = docs.schema
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = [model.score(t.as_py()) for t in b.column(b.schema.get_field_index("text"))]
+            s = [model.score(t.as_py()) for t in b.column(0).field("text")]
             tails = [model.tails(x) for x in s]
             extra = [s, [float(sum(t)) for t in tails], [float(t[-1]) if t else 1.0 for t in tails]]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x, pa.float64()) for x in extra)], names=[*b.schema.names, "_score", "_expected_grade", "_tail"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x, pa.float64()) for x in extra)], names=["_row", "_score", "_expected_grade", "_tail"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
-    return docs.mapInArrow(rate, f"{fields}, _score double, _expected_grade double, _tail double")
+    box = boxed(docs)
+    out = box.mapInArrow(rate, f"_row {box.schema['_row'].dataType.simpleString()}, _score double, _expected_grade double, _tail double")
+    return unboxed(out, docs.columns, "_score", "_expected_grade", "_tail")
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> DataFrame:

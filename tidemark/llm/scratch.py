@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -43,3 +44,13 @@ def free(df: DataFrame) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """The rows as one struct column ``_row``, so that no working column of an operator clashes with theirs."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+
+
+def unboxed(df: DataFrame, columns: list[str], *added: str) -> DataFrame:
+    """``columns`` out of ``_row`` and the columns that the operator added; where names are equal, the added one."""
+    return df.select(*[F.col("_row")[c].alias(c) for c in columns if c not in added], *added)
