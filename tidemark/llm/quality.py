@@ -6,8 +6,9 @@ with the logistic s. Scoring gives the expected grade and P(grade >= 2), the tai
 documents are selected.
 
 Features: the distinct words of the whole text (hashed into 2 ** 20 weights), and the shares of words by what
-they end with besides letters and digits and by letter case. An L1 penalty leaves a few dozen weights, so that
-words without a meaning for the grade don't add up in long texts.
+they end with besides letters and digits, by letter case and by repeating the word before, and the magnitude of the
+text's length. Weights are evidence against a grade, never for it, and an L1 penalty leaves some dozens of them: so
+ordinary words don't add up in long texts, neither against a clean one nor in favour of a toxic one.
 
 The fit takes at most ``max_rows`` rated documents, those of least hashed id: a documented bound, whatever the
 size of the corpus. Their features (at most ``max_rows`` sparse rows) are computed in tasks and fitted on the
@@ -26,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,9 @@ _TAIL = re.compile(r"[\W_]+$")
 
 def features(text: str | None) -> dict[int, float]:
     """Weights' indices and values of a whole text."""
-    words = Counter((text or "").split())
-    total = sum(words.values()) or 1
+    in_order = (text or "").split()
+    words = Counter(in_order)
+    total = len(in_order) or 1
     out: dict[int, float] = {}
     tails: Counter = Counter()
     for w, n in words.items():
@@ -55,6 +58,8 @@ def features(text: str | None) -> dict[int, float]:
         if len(w) > 1 and w.isupper():
             tails["upper"] += n
         out[zlib.crc32(w.lower().encode("utf-8", "replace")) % _DIM] = 1.0
+    tails["again"] = sum(map(eq, in_order, in_order[1:]))
+    out[zlib.crc32(b"length %d" % len(in_order).bit_length(), 1) % _DIM] = 1.0
     for t, n in tails.items():
         at = zlib.crc32(t.encode("utf-8", "replace"), 1) % _DIM
         out[at] = out.get(at, 0.0) + 4.0 * n / total
@@ -81,51 +86,61 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -700, 700)))
 
 
-def fit_ordinal(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, l1: float = 5e-4, steps: int = 400, min_rows: int = 3) -> OrdinalModel:
-    """Proximal gradient with momentum on the mean log-likelihood. ``rows``: grade, indices, values."""
-    y = np.array([r[0] for r in rows], int)
-    if len(set(y.tolist())) < 2:
-        return OrdinalModel()
-    at = np.concatenate([r[1] for r in rows])
-    val = np.concatenate([r[2] for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    kinds, col, n = np.unique(at, return_inverse=True, return_counts=True)
-    keep = n[col] >= min_rows
-    kinds2, col = np.unique(kinds[col[keep]], return_inverse=True)
-    row, val = row[keep], val[keep]
-    # scaled to comparable steps: a column's root mean square
-    scale = np.sqrt(np.bincount(col, val**2, len(kinds2)) / len(rows)) ** 0.5 + 1e-12
-    val = val / scale[col]
-    w = np.zeros(len(kinds2))
-    share = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
-    cuts = np.maximum.accumulate(np.log(share / (1 - share)) + np.arange(grades - 1) * 1e-3)
-    norm = np.linalg.norm
-    v = np.random.default_rng(1).normal(size=len(kinds2))
-    for _ in range(15):  # largest eigenvalue of X'X / n
-        v = np.bincount(col, val * np.bincount(row, val * v[col], len(rows))[row], len(kinds2)) / len(rows)
-        top = norm(v)
+def _descend(y: np.ndarray, row: np.ndarray, col: np.ndarray, val: np.ndarray, k: int, weight: np.ndarray, cuts: np.ndarray, l1: float, l2: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Proximal gradient with momentum on the weighted mean log-likelihood. ``y``: grades; row, col, val: sparse
+    features of ``k`` columns; returns weights, none above 0, and ascending cuts."""
+    n, low = len(y), len(cuts)
+    w, z, t, zc = np.zeros(k), np.zeros(k), 1.0, cuts.copy()
+    v = np.random.default_rng(1).normal(size=k)
+    top = 1.0
+    for _ in range(15 if k else 0):  # largest eigenvalue of X'X / n
+        v = np.bincount(col, val * np.bincount(row, val * v[col], n)[row], k) / n
+        top = np.linalg.norm(v) or 1.0
         v /= top
-    rate = 1 / (0.5 * top + 1)
-    z, t, zc = w.copy(), 1.0, cuts.copy()
-    pad = lambda c: np.concatenate([[-np.inf], c, [np.inf]])
+    rate, rate_c = 1 / (0.5 * weight.max() * top + l2 + 1), 1 / weight.max()
     for _ in range(steps):
-        s = np.bincount(row, val * z[col], len(rows))
-        c = pad(zc)
+        s = np.bincount(row, val * z[col], n) if k else np.zeros(n)
+        c = np.concatenate([[-np.inf], zc, [np.inf]])
         hi, lo = _sigmoid(c[y + 1] - s), _sigmoid(c[y] - s)
         p = np.maximum(hi - lo, 1e-12)
-        dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
-        g = np.bincount(col, val * (dhi - dlo)[row], len(kinds2)) / len(rows)
-        gc = np.array([-(dhi[y == k].sum() - dlo[y == k + 1].sum()) for k in range(grades - 1)]) / len(rows)
-        new = z - rate * g
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
-        newc = zc - gc
-        newc = np.maximum.accumulate(newc + np.arange(grades - 1) * 1e-9)
+        dhi, dlo = weight * hi * (1 - hi) / p, weight * lo * (1 - lo) / p
+        g = (np.bincount(col, val * (dhi - dlo)[row], k) if k else np.zeros(0)) / n + l2 * z
+        gc = np.array([-(dhi[y == j].sum() - dlo[y == j + 1].sum()) for j in range(low)]) / n
+        new = np.minimum(z - rate * g + rate * l1, 0)
+        newc = np.maximum.accumulate(zc - rate_c * gc + np.arange(low) * 1e-9)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z, zc = new + (t - 1) / t2 * (new - w), newc + (t - 1) / t2 * (newc - cuts)
-        zc = np.maximum.accumulate(zc)
+        z, zc = new + (t - 1) / t2 * (new - w), np.maximum.accumulate(newc + (t - 1) / t2 * (newc - cuts))
         w, cuts, t = new, newc, t2
-    w = w / scale
-    return OrdinalModel({int(k): float(x) for k, x in zip(kinds2, w) if x}, tuple(map(float, cuts)))
+    return w, cuts
+
+
+def fit_ordinal(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, penalty: float = 0.5, noise_rows: float = 5.0, steps: int = 300) -> OrdinalModel:
+    """An L1 fit chooses features, then a fit on those alone, grades weighing alike, sets their weights. ``rows``:
+    grade, indices, values. The penalty is what a feature of ``noise_rows`` rows could earn by chance, so that it
+    falls as rows are added."""
+    y = np.array([r[0] for r in rows], int)
+    if len(set(y.tolist())) < 2:
+        return OrdinalModel()
+    n = len(rows)
+    at, val = np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows])
+    row = np.repeat(np.arange(n), [len(r[1]) for r in rows])
+    names, col, seen = np.unique(at, return_inverse=True, return_counts=True)
+    often = seen[col] >= 3
+    row, col, val = row[often], col[often], val[often]
+    scale = np.sqrt(np.sqrt(np.bincount(col, val**2, len(names)) / n)) + 1e-12
+    share = np.array([(y <= j).mean() for j in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
+    cuts = np.maximum.accumulate(np.log(share / (1 - share)) + np.arange(grades - 1) * 1e-3)
+    w, _ = _descend(y, row, col, val / scale[col], len(names), np.ones(n), cuts, penalty * (noise_rows / n) ** 0.75, 0.0, steps)
+    kept = np.flatnonzero(w)
+    place = np.full(len(names), -1)
+    place[kept] = np.arange(len(kept))
+    on = place[col] >= 0
+    count = np.bincount(y, minlength=grades)
+    alike = (n / (np.count_nonzero(count) * np.maximum(count, 1)))[y]
+    alike = np.sqrt(alike)  # between one a row and one a grade
+    size = scale[kept]
+    w, cuts = _descend(y, row[on], place[col[on]], val[on] / size[place[col[on]]], len(kept), alike / alike.mean(), cuts, 0.0, 1e-3, steps)
+    return OrdinalModel({int(k): float(x) for k, x in zip(names[kept], w / size) if x}, tuple(map(float, cuts)))
 
 
 def grade(labels: DataFrame) -> DataFrame:
