@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .encoding import encode
-from .scratch import table
+from .scratch import save, table
 
 
 def length_histogram(docs: DataFrame, by: Sequence[str] = (), ranks_path: str | None = None) -> DataFrame:
@@ -40,6 +40,7 @@ def length_histogram(docs: DataFrame, by: Sequence[str] = (), ranks_path: str |
 def context_table(hist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A row for each length that occurs, taken as the context limit: the documents over it, the tokens kept
     when all are truncated to it, and the share of documents it holds whole."""
+    hist = save(hist, "token-histogram")  # read twice below; its documents are encoded once
     h = hist.withColumn("block", F.expr("length(bin(length)) * 2048L + shiftright(length, cast(greatest(length(bin(length)) - 10, 0) as int))"))
     h = h.withColumn("tokens", F.col("length") * F.col("n_docs"))
     inside = W.partitionBy(*by, "block").orderBy("length")
