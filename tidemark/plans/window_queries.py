@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as A
+from tidemark.operators import records as R
 from tidemark.operators import topk
 from tidemark.operators import windows as T
 from tidemark.plans.domain import EV, LIVE, SESSIONS, events, live, post_events, tags, windows_sql
@@ -251,13 +252,35 @@ def last_distinct_posts(spark: SparkSession, d: str) -> DataFrame:
 LAST_DISTINCT_SQL = f"""WITH {EV}, f AS (SELECT uid, post_id, min(ts) AS t FROM ev GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY uid ORDER BY t DESC, post_id) AS INTEGER) AS rank FROM f),
 n AS (SELECT uid FROM r WHERE rank <= 30 GROUP BY uid HAVING count(*) >= 2) SELECT r.uid, post_id, epoch_us(t) AS first_us, rank FROM r JOIN n ON r.uid = n.uid WHERE rank <= 30"""
 
+def item_feature_records(spark: SparkSession, d: str) -> DataFrame:
+    """The last window of each item as a keyed JSON record."""
+    w = T.paned(events(spark, d), ["post_id"], 86400, 1800, {"events": T.count_all(), "views": T.count_if(F.col("kind") == "view")})
+    last = topk.top_rows(w, ["post_id"], [F.desc("window_end")], 1)
+    return R.as_text(R.records(last, "item_24h", ["events", "views"])).select("key", "value", "ttl_s")
+
+
+RECORDS_SQL = f"""WITH {EV}, {windows_sql(86400, 1800)}, g AS (SELECT post_id, window_end, count(*) AS events, count(*) FILTER (WHERE kind = 'view') AS views FROM w GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY window_end DESC) AS n FROM g)
+SELECT 'rec:item_feature:{{' || post_id || '}}:post24h' AS key, concat('{{"events":', events, ',"views":', views, '}}') AS value, 7200 AS ttl_s FROM r WHERE n = 1"""
+
+
+def user_author_records(spark: SparkSession, d: str) -> DataFrame:
+    """Hash entries of a user's authors over a day."""
+    a = A.user_author_windows(events(spark, d), "24 hours", "24 hours", keep_empty=True).filter(F.unix_seconds("window_end") == 1704067200 + 11 * 86400)
+    return R.as_text(R.hash_records(a, "user_author_24h", "author", ["view_3s", "like"])).select("key", "field", "value", "ttl_s")
+
+
+AUTHOR_RECORDS_SQL = f"""WITH {EV}, x AS (SELECT uid, author, count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 THEN rec_token END) AS v, count(DISTINCT CASE WHEN code = 1 THEN rec_token END) AS l FROM ev WHERE epoch_us(ts) // 86400000000 = 1704067200 // 86400 + 10 GROUP BY ALL)
+SELECT 'rec:user_author_feature:{{' || uid || '}}:post24h' AS key, CAST(author AS VARCHAR) AS field, concat('{{"view_3s":', v, ',"like":', l, '}}') AS value, 7200 AS ttl_s FROM x"""
+
 QUERIES = {
+    "item_feature_records": item_feature_records, "user_author_records": user_author_records,
     "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
     "user_author_hour": user_author_hour, "user_author_day": user_author_day, "user_author_maps": user_author_maps, "post_session_summaries": post_session_summaries, "session_user_day": session_user_day, "session_user_lists": session_user_lists, "session_post_day": session_post_day,
     "session_author_day": session_author_day, "anchor_window_counts": anchor_window_counts, "live_room_exposures": live_room_exposures, "user_anchor_quarter": user_anchor_quarter, "user_anchor_regrouped": user_anchor_regrouped, "tag_recent_posts": tag_recent_posts, "user_live_hour": user_live_hour,
     "user_last_three": user_last_three, "whole_stream_windows": whole_stream_windows, "event_type_counts": event_type_counts, "last_distinct_posts": last_distinct_posts,
 }
 SQL = {
+    "item_feature_records": RECORDS_SQL, "user_author_records": AUTHOR_RECORDS_SQL,
     "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": USER_LISTS_SQL, "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
     "user_author_maps": MAPS_SQL, "post_session_summaries": SESSION_SQL, "session_user_day": SESSION_USER_SQL, "session_user_lists": SESSION_LISTS_SQL, "session_post_day": SESSION_POST_SQL, "session_author_day": SESSION_AUTHOR_SQL, "anchor_window_counts": _anchor_sql(900, 90), "live_room_exposures": LIVE_EXPOSURE_SQL,
     "user_anchor_quarter": USER_ANCHOR_SQL, "user_anchor_regrouped": REGROUP_SQL, "tag_recent_posts": TAG_RECENT_SQL, "user_live_hour": USER_LIVE_SQL, "user_last_three": LAST_THREE_SQL, "whole_stream_windows": WHOLE_SQL, "event_type_counts": f"WITH {EV} SELECT event_type, post_type, count(*) AS n FROM ev GROUP BY ALL",
