@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import boxed, free, save, table, unboxed
+from .scratch import free, save, table, unboxed
 
 def word_count(text: Column) -> Column:
     """Words of a text, null: 0. (Of the ways tried, splitting was the fastest by two times and more.)"""
@@ -127,11 +127,12 @@ def cell_copies(hist: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     return per.select("source", "source_size", "target", "unit", "lam", z).select("source", "source_size", "target", "unit", "lam", F.col("z.cells.cell").alias("cell"), F.col("z.cells.docs").alias("docs"), F.col("z.ms").alias("m"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 4000) -> DataFrame:
-    """All columns of ``docs`` and _size, _source_size, _target, _rate, _copies. Every row comes back; a row with
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 4000, columns: list[str] | None = None) -> DataFrame:
+    """All columns of ``docs`` (or only ``columns``, so that texts aren't shuffled) and _size, _source_size, _target, _rate, _copies. Every row comes back; a row with
     0 copies is left out of the mix."""
     # a generator, so that Spark counts a text's words once and doesn't write the count into every later expression
-    sized = boxed(docs).select("_row", F.explode(F.array(word_count(F.col("_row.text")))).alias("_size")).withColumn("source", F.col("_row.source"))
+    columns = docs.columns if columns is None else columns
+    sized = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs["source"].alias("source"), docs["doc_id"].alias("_id"), F.explode(F.array(word_count(docs["text"]))).alias("_size"))
     hist = save(sized.groupBy("source", F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
     targets = source_targets(hist.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap)
     cells = cell_copies(hist, tilts(hist, targets, cap), cap).select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "unit", "lam", "docs", "m")
@@ -139,13 +140,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     d = sized.withColumn("_cell", F.expr(_CELL))
     d = d.join(cells, d["source"].eqNullSafe(cells["_s"]) & (d["_cell"] == cells["_c"]))
     deals = F.ceil(F.col("docs") / group_rows)
-    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("_row.doc_id", F.lit(7)), deals))
+    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("_id", F.lit(7)), deals))
     at = F.when(deals > 1, F.pmod(F.xxhash64("source", "_cell", "_deal", F.lit(13)), F.col("docs"))).otherwise(F.lit(0))
-    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("_row.doc_id", F.lit(11)), "_row.doc_id", "_size")).cast("long")
+    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("_id", F.lit(11)), "_id", "_size")).cast("long")
     d = d.withColumn("_i", i).withColumn("_at", at)
     upto = lambda k: F.floor((k * F.col("m") + F.col("_at")) / F.col("docs"))
     d = d.withColumn("_copies", (upto(F.col("_i")) - upto(F.col("_i") - 1)).cast("long"))
-    return unboxed(d, docs.columns, "_size", "_source_size", "_target", "_rate", "_copies")
+    return unboxed(d, columns, "_size", "_source_size", "_target", "_rate", "_copies")
 
 
 def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:
@@ -154,5 +155,5 @@ def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    m = mix(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
     return m.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"), "source", F.col("_rate").alias("rate"))
