@@ -331,6 +331,12 @@ def test_other_kinds(spark):
     assert one(spark, text)[0] == got != one(spark, text, "other")[0]
 
 
+def test_capital_addresses_stay_capital(spark):
+    low, _ = one(spark, "und.34@mail7.example.com")
+    up, _ = one(spark, "UND.34@MAIL7.EXAMPLE.COM!!")
+    assert up.split("@")[0] == low.split("@")[0].upper() and up.endswith("@MAIL7.EXAMPLE.COM!!")
+
+
 def test_permutation_is_one_to_one(spark):
     docs = spark.range(10_000).select(F.format_string("%03d-%02d-6789", F.floor(F.col("id") / 100), F.col("id") % 100).alias("text"))
     assert pii.pseudonymise(docs).select("text").distinct().count() == 10_000

@@ -34,6 +34,7 @@ from .vectors import best, classes, matrix, meet, queries, ranked, spread, usabl
 
 _OUT = pa.schema([("qno", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 _SLACK = 1e-6
+RINGS = 256
 
 
 def whole(v: DataFrame, scale: float) -> DataFrame:
@@ -103,9 +104,9 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5, scale: float =
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.int32()), pa.array(d[np.arange(len(p)), p])], names=["embedding", "ids", "pivot", "dist"])
 
     keyed = save(classes(v, k).mapInArrow(key, "embedding array<double>, ids array<long>, pivot int, dist double"), "pivot-keys")
-    # annuli: a pivot's distances cut at their quantiles, at most as many as fit its rows
+    # annuli: a pivot's distances cut at their quantiles, RINGS at most; what is still large is split by hash
     per = [r.asDict() for r in keyed.groupBy("pivot").agg(F.count("*").alias("n")).collect()]  # a row a pivot
-    most = max(1, -(-max(r["n"] for r in per) // ring_rows))
+    most = min(RINGS, max(1, -(-max(r["n"] for r in per) // ring_rows)))
     cuts = keyed.groupBy("pivot").agg(F.count("*").alias("n"), F.percentile_approx("dist", [i / most for i in range(1, most + 1)], 10 * most + 100).alias("q"))
     rings = keyed.join(cuts.select(F.col("pivot").alias("_p"), "q"), F.col("pivot") == F.col("_p")).withColumn("ring", F.size(F.filter("q", lambda c: c < F.col("dist")))).drop("_p", "q")
     facts = rings.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high"))

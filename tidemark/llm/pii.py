@@ -13,7 +13,7 @@ different pseudonyms, and who has the key can go back.
 | IPv4 address | octets to 255 | 32 bits |
 | date: y-m-d, d/m/y, d.m.y, else m/d/y | a day of the calendar | the day within its 400 years from 1800 on: 146,097 = 27 x 5,411 days, a domain that two halves fill exactly |
 | hexadecimal key of 32 to 64 digits | a digit and a letter | each digit |
-| e-mail address | local part and a dotted domain | the local part, lower-cased: letters stay letters, digits digits; the domain stays |
+| e-mail address | local part and a dotted domain | the local part as if in lower case (all capitals stay capitals): letters stay letters, digits digits; the domain stays |
 
 Work is per document and per match: one scan, no shuffle, whatever the skew.
 
@@ -117,7 +117,7 @@ def pseudonym(m: str, key: str) -> str:
     octets = f"exists(split({m}, '[.]'), o -> cast(o as int) > 255)"
     ip = _bind(f"split({m}, '[.]')", "o", _bind(pair, "p", "concat_ws('.', p.a div 256, p.a % 256, p.b div 256, p.b % 256)"))
     local = characters("l", key, "mail", _ALNUM)
-    mail = _bind(f"lower(substring_index({m}, '@', 1))", "l", f"concat({local}, '@', substring_index({m}, '@', -1))")
+    mail = _bind(f"lower(substring_index({m}, '@', 1))", "l", f"concat(if({m} rlike '^[^a-z]*[A-Z][^a-z]*@', upper({local}), {local}), '@', substring_index({m}, '@', -1))")
     hexa = f"if({m} rlike '[A-F]', upper({_bind(f'lower({m})', 'l', characters('l', key, 'hex', _HEX))}), {_bind(m, 'l', characters('l', key, 'hex', _HEX))})"
     parts = f"split({m}, '[./-]')"
 
