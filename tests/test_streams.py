@@ -90,3 +90,22 @@ def test_session_timer_closes(spark, tmp_path):
     got = [json.loads(r.value) | {"key": r.key} for r in collect(s, "append", tmp_path, "early").collect()]
     a = sorted((x["is_final"], x["standing"]) for x in got if x["key"] == "a")
     assert a[0] == (False, 3.0) and (True, 3.0) in a
+
+
+def test_repeating_timer_reports_counts(spark, tmp_path):
+    """Processing-time timers and TTL keep a query alive, so it is polled and stopped."""
+    import time
+
+    df = spark.createDataFrame([("a", "view"), ("a", "click"), ("a", "view"), ("b", "view")], "key string, kind string").withColumn("ts", F.expr("timestamp'2024-01-01'"))
+    s = replayed(spark, df, tmp_path, "ticks", 1)
+    out = s.groupBy("key").transformWithStateInPandas(stateful.Ticker(every_ms=500), stateful.OUT, "append", "ProcessingTime")
+    q = out.writeStream.format("memory").queryName("ticks").outputMode("append").option("checkpointLocation", str(tmp_path / "ticks-cp")).trigger(processingTime="500 milliseconds").start()
+    try:
+        for _ in range(120):
+            got = {r.key: json.loads(r.value) for r in spark.table("ticks").collect()}
+            if set(got) == {"a", "b"}:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert got["a"] == {"n": 3, "kinds": {"view": 2, "click": 1}} and got["b"]["n"] == 1
