@@ -40,8 +40,20 @@ def item_conditions() -> dict[str, Column]:
 
 def item_windows(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", exact: bool = False) -> DataFrame:
     """Distinct tokens of an item by counter: sketches, or exact counts."""
-    one = (lambda x: F.count_distinct(x)) if exact else (lambda x: F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, 12)), F.lit(0)))
-    return T.windowed(events, ["post_id"], size, slide, {n: one(F.when(cond, F.col("rec_token"))) for n, cond in item_conditions().items()})
+    if exact:
+        return _distinct(events, ["post_id"], size, slide, "rec_token", item_conditions())
+    return T.windowed(events, ["post_id"], size, slide, {n: sketched(F.when(cond, F.col("rec_token"))) for n, cond in item_conditions().items()})
+
+
+def sketched(x: Column, log_k: int = 12) -> Column:
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, log_k)), F.lit(0))
+
+
+def _distinct(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column]) -> DataFrame:
+    """Distinct counts: exact in batches; streams can't count distinct values exactly and get sketches."""
+    if df.isStreaming:
+        return T.windowed(df, keys, size, slide, {n: sketched(F.when(cond, F.col(value))) for n, cond in conds.items()})
+    return T.distinct_windows(df, keys, size, slide, value, conds)
 
 
 def item_panes(events: DataFrame, size_s: int = 86400, slide_s: int = 1800) -> DataFrame:
@@ -51,10 +63,8 @@ def item_panes(events: DataFrame, size_s: int = 86400, slide_s: int = 1800) -> D
 
 def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """Exposed posts and posts viewed for 3 seconds: all, images (1), videos (2)."""
-    p = F.col("post_id")
     image, video = F.col("post_type") == 1, F.col("post_type") == 2
-    d = lambda cond: F.count_distinct(F.when(cond, p))
-    return T.windowed(events, ["uid"], size, slide, {"exposed": d(F.col("kind") == "expose"), "viewed": d(viewed(3)), "viewed_images": d(viewed(3) & image), "viewed_videos": d(viewed(3) & video)})
+    return _distinct(events, ["uid"], size, slide, "post_id", {"exposed": F.col("kind") == "expose", "viewed": viewed(3), "viewed_images": viewed(3) & image, "viewed_videos": viewed(3) & video})
 
 
 #: Lists of a user: what is listed, and which interactions put it there.
@@ -87,8 +97,11 @@ def author_conditions() -> dict[str, Column]:
 def user_author_windows(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", keep_empty: bool = False, exact: bool = True) -> DataFrame:
     """Distinct tokens of a user for each author; authors without a signal are dropped unless ``keep_empty``."""
     conds = author_conditions()
-    one = (lambda x: F.count_distinct(x)) if exact else (lambda x: F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, 12)), F.lit(0)))
-    out = T.windowed(events.filter(F.col("author") > 0), ["uid", "author"], size, slide, {n: one(F.when(cond, F.col("rec_token"))) for n, cond in conds.items()})
+    rows = events.filter(F.col("author") > 0)
+    if exact:
+        out = _distinct(rows, ["uid", "author"], size, slide, "rec_token", conds)
+    else:
+        out = T.windowed(rows, ["uid", "author"], size, slide, {n: sketched(F.when(cond, F.col("rec_token"))) for n, cond in conds.items()})
     return out if keep_empty else out.filter(reduce(lambda a, b: a | b, (F.col(n) > 0 for n in conds)))
 
 
@@ -153,7 +166,7 @@ def session_author_counts(s: DataFrame, size: str = "24 hours", slide: str = "60
 
 def anchor_windows(live: DataFrame, size: str = "5 minutes", slide: str = "30 seconds", exact: bool = True) -> DataFrame:
     """Of an anchor: distinct users that enter, quit, give, follow, chat; coins; whole mean seconds stayed."""
-    one = (lambda x: F.count_distinct(x)) if exact else (lambda x: F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, 15)), F.lit(0)))
+    one = (lambda x: F.count_distinct(x)) if exact and not live.isStreaming else (lambda x: sketched(x, 15))
     u = lambda e: one(F.when(F.col("event") == e, F.col("uid")))
     quit_ = F.col("event") == "exit_liveroom"
     return T.windowed(live, ["anchor_id"], size, slide, {

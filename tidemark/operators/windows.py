@@ -77,6 +77,32 @@ def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[
     return out.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
 
 
+def seconds(text: str) -> int:
+    """Seconds of ``10 minutes`` and the like."""
+    n, unit = text.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+def distinct_windows(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts") -> DataFrame:
+    """Exact distinct counts of one column under many conditions, as :func:`windowed` with ``count_distinct(when(..))``
+    gives them. A value's conditions are bits of one mask, united by pane and then by window, and bits are summed: a
+    row for each value and window, where Spark's own plan would make a row for each condition too. Batches only;
+    ``slide`` divides ``size``."""
+    size_s, slide_s = seconds(size), seconds(slide)
+    if size_s % slide_s:
+        raise ValueError("the slide must divide the size")
+    mask = F.lit(0).cast("long")
+    for i, cond in enumerate(conds.values()):
+        mask = mask + F.when(cond & F.col(value).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0)
+    pane = F.floor(F.unix_micros(c(ts)) / F.lit(slide_s * 1_000_000)).cast("long")
+    panes = df.groupBy(*keys, pane.alias("_pane"), F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"))
+    ends = panes.withColumn("_end", F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + size_s // slide_s)))
+    each = ends.groupBy(*keys, "_end", "_v").agg(F.bit_or("_mask").alias("_mask"))
+    out = each.groupBy(*keys, "_end").agg(*[F.sum(F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))).alias(n) for i, n in enumerate(conds)])
+    end = F.timestamp_seconds(F.col("_end") * slide_s)
+    return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds)
+
+
 def sessions(df: DataFrame, keys: list[str], gap: str, aggs: dict[str, Column], ts: str = "ts") -> DataFrame:
     """Session windows; events exactly one gap apart share a session. In streams, later windows take ``session_time``."""
     out = df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(*[a.alias(n) for n, a in aggs.items()])
