@@ -105,7 +105,9 @@ class LineRuns:
 
     def strip(self, docs: DataFrame, min_docs: int = 5) -> DataFrame:
         """All columns of ``docs`` with the text stripped, and n_lines, n_dropped."""
-        lost = document_keys(docs, self.min_chars).join(self.frequent(min_docs), "key").filter(F.col("doc_id") < F.col("max_doc"))
+        # a table of its own, so that Spark can split the join at a line that very many documents hold
+        frequent = save(self.frequent(min_docs), "line-frequent")
+        lost = document_keys(docs, self.min_chars).join(frequent, "key").filter(F.col("doc_id") < F.col("max_doc"))
         lost = lost.groupBy("doc_id").agg(F.collect_set("key").alias("_lost")).withColumnRenamed("doc_id", "_id")
         joined = boxed(docs).join(lost, F.col("_row.doc_id").cast("long") == F.col("_id"), "left")
         lines = text_lines(F.col("_row.text"))
