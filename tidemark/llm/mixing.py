@@ -127,7 +127,7 @@ def cell_copies(hist: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     return per.select("source", "source_size", "target", "unit", "lam", z).select("source", "source_size", "target", "unit", "lam", F.col("z.cells.cell").alias("cell"), F.col("z.cells.docs").alias("docs"), F.col("z.ms").alias("m"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 4000, columns: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 1000, columns: list[str] | None = None) -> DataFrame:
     """All columns of ``docs`` (or only ``columns``, so that texts aren't shuffled) and _size, _source_size, _target, _rate, _copies. Every row comes back; a row with
     0 copies is left out of the mix."""
     # a generator, so that Spark counts a text's words once and doesn't write the count into every later expression
