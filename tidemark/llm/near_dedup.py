@@ -106,7 +106,8 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     """Each member of a bucket (bucket, node) with its hub, the member of least salted hash."""
     salted = F.xxhash64("node", "bucket")
     hubs = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(salted.alias("h"), F.col("node").alias("hub"))).alias("least"))
-    hubs = hubs.filter(F.col("n") > 1).select("bucket", F.col("least.hub").alias("hub"), "n")
+    # a table of its own, so that Spark can split the join at a very large bucket
+    hubs = save(hubs.filter(F.col("n") > 1).select("bucket", F.col("least.hub").alias("hub"), "n"), "near-hubs")
     return entries.join(hubs, "bucket").filter(F.col("node") != F.col("hub"))
 
 
