@@ -68,6 +68,22 @@ def test_ann_recall_on_whole_table(spark, sf):
     assert hits >= 0.9 * total
 
 
+def test_ann_in_a_large_group_of_near_equal_vectors(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4500, 16))
+    x[:1500] = x[0] + 1e-3 * rng.normal(size=(1500, 16))
+    x[:1500:3] *= 4  # and of scaled ones
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(df, every=50).collect()}
+    for group in (range(0, 1500, 50), range(1500, 4500, 50)):
+        hits = 0
+        for q in group:
+            s = cosine(x, x[q])
+            s[q] = -9
+            hits += sum((q, int(t)) in got for t in np.argsort(-s)[:5])
+        assert hits >= 0.9 * 5 * len(group)
+
+
 def test_codebooks_reconstruct():
     rng = np.random.default_rng(2)
     x = ann.unit(rng.normal(size=(500, 12)))

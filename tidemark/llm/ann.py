@@ -2,10 +2,12 @@
 
 A vector is the sum of one entry from each of M full-dimensional codebooks. Codebooks start from k-means on
 residuals and are refitted together by least squares; a vector is encoded by beam search, which keeps the
-``beam`` best partial sums after each codebook. The index holds the codes and the squared norm of the sum for
-every vector. A query turns into a table of its products with all entries; a vector's approximate score is M
-look-ups, and what its stored norm says the residual may add; the best ``rerank`` of each block are scored
-exactly on the original vectors.
+``beam`` best partial sums after each codebook. The index holds the codes, the squared norm of the sum and the
+length of what the sum leaves of the vector. A query turns into a table of its products with all entries; a
+vector's approximate score is M look-ups, and its exact score lies above that by at most the length of the rest.
+In each block, the ``rerank`` vectors of the largest bounds are scored exactly on the originals, and after them
+all whose bound reaches the k-th exact score found: none that could be among the k best is left out, and a group
+of nearly equal vectors, however large, is scored whole.
 
 The fit takes at most ``train_rows`` vectors, those of least hashed id (a documented bound); every vector is
 indexed. Index rows lie in blocks of about ``block_rows``, queries in blocks of 2,048, and each pair of blocks is
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 from .scratch import save, table
 from .vectors import best, classes, matrix, meet, queries, ranked, spread, usable
 
+#: For rounding of look-ups in single precision.
+_SLACK = 1e-5
+
 
 @dataclass
 class Codebooks:
@@ -99,23 +104,25 @@ def train(v: DataFrame, train_rows: int = 8192) -> Codebooks | None:
 
 
 def build_index(v: DataFrame, model: Codebooks, k: int = 5, block_rows: int = 4096) -> DataFrame:
-    """ids, embedding, codes, norm, block, blocks for every class of equal vectors."""
+    """ids, embedding, codes, norm, rest, block, blocks for every class of equal vectors."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, len(big), 1024):
                 b = big.slice(at, 1024)
-                codes, norm = model.encode(unit(matrix(b.column(0))))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], names=["embedding", "ids", "codes", "norm"])
+                x = unit(matrix(b.column(0)))
+                codes, norm = model.encode(x)
+                rest = np.sqrt(((x - model.decode(codes)) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(rest)], names=["embedding", "ids", "codes", "norm", "rest"])
 
-    index = save(classes(v, k).mapInArrow(encode, "embedding array<double>, ids array<long>, codes binary, norm double"), "aq-index")
+    index = save(classes(v, k).mapInArrow(encode, "embedding array<double>, ids array<long>, codes binary, norm double, rest double"), "aq-index")
     blocks = max(1, -(-index.count() // block_rows))
     return index.withColumn("block", F.pmod(F.xxhash64("ids", "codes"), F.lit(blocks)).cast("int")).withColumn("blocks", F.lit(blocks))
 
 
 def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qblocks: int, k: int = 5, rerank: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score."""
-    data = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))).select("block", "qblock", "ids", "embedding", "codes", "norm")
+    data = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))).select("block", "qblock", "ids", "embedding", "codes", "rest")
     q = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", "qblock", "qno", "query_id", "embedding")
     out = pa.schema([("qno", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -124,11 +131,17 @@ def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qb
         if len(rows) and len(some):
             x = unit(matrix(rows["embedding"]))
             codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(x), -1)
-            # what the sum leaves of a unit vector may add to a product: from stored norms, 1.5 standard errors
-            rest = (1.5 * np.sqrt(np.maximum(0, 1 - rows["norm"].to_numpy()) / x.shape[1])).astype(np.float32)
+            rest = rows["rest"].to_numpy() + _SLACK
             ids, owner = spread(rows["ids"])
             first = np.searchsorted(owner, np.arange(len(x)))
             many = np.searchsorted(owner, np.arange(len(x)), "right")
+
+            def expand(c: np.ndarray, exact: np.ndarray, but: int) -> tuple[np.ndarray, np.ndarray]:
+                """Scores and ids of the members of classes ``c``, without one id."""
+                cand = np.concatenate([ids[first[j] : many[j]] for j in c]) if len(c) else ids[:0]
+                other = cand != but
+                return np.repeat(exact, (many - first)[c])[other], cand[other]
+
             for at in range(0, len(some), 256):
                 part = some.slice(at, 256)
                 q = unit(matrix(part["embedding"]))
@@ -136,19 +149,24 @@ def search(index: DataFrame, asked: DataFrame, model: Codebooks, blocks: int, qb
                 near = np.zeros((len(x), len(q)), np.float32)
                 for m in range(lut.shape[0]):
                     near += lut[m][codes[:, m]]
-                near = near.T + rest
+                bound = near.T + rest
+                asks = list(zip(part["qno"].to_pylist(), part["query_id"].to_pylist()))
                 r = min(rerank, len(x))
-                top = np.argpartition(near, len(x) - r, 1)[:, len(x) - r :]
-                for i, (qno, qid) in enumerate(zip(part["qno"].to_pylist(), part["query_id"].to_pylist())):
-                    c = top[i]
-                    exact = (x[c] * q[i]).sum(1)
-                    n = (many - first)[c]
-                    cand = np.concatenate([ids[first[j] : many[j]] for j in c])
-                    score = np.repeat(exact, n)
-                    other = cand != qid
-                    cand, score = cand[other], score[other]
+                top = np.argpartition(bound, len(x) - r, 1)[:, len(x) - r :]
+                kth = np.full(len(q), -np.inf)
+                for i, (_, qid) in enumerate(asks):
+                    exact, cand = expand(top[i], (x[top[i]] * q[i]).sum(1), qid)
+                    if len(cand) >= k:
+                        kth[i] = np.partition(exact, len(exact) - k)[len(exact) - k] - _SLACK
+                # all that may still beat the k-th best, for the queries together
+                rows_left = np.flatnonzero((bound >= kth[:, None]).any(0))
+                products = q @ x[rows_left].T
+                for i, (qno, qid) in enumerate(asks):
+                    at_least = np.flatnonzero(products[i] >= kth[i])
+                    score, cand = expand(rows_left[at_least], products[i, at_least], qid)
                     b = best(score, cand, k)
-                    for col, val in zip(cols, ([qno] * len(b), [qid] * len(b), cand[b].tolist(), score[b].tolist())):
+                    cand, score = cand[b], score[b]
+                    for col, val in zip(cols, ([qno] * len(cand), [qid] * len(cand), cand.tolist(), score.tolist())):
                         col.extend(val)
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
 
