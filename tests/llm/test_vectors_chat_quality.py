@@ -107,6 +107,16 @@ def test_exact_search_equals_brute_force(spark, monkeypatch):
         assert got == want
 
 
+def test_exact_search_when_quantiles_differ_each_time(spark, monkeypatch):
+    df, _ = table(spark)
+    want = brute(df, lambda x, q: np.floor(256 * x) @ np.floor(256 * q), 50, 5, True)
+    quantiles = F.percentile_approx
+    moved = F.udf(lambda q: sorted(x * random.SystemRandom().uniform(0.8, 1.2) for x in q), "array<double>").asNondeterministic()
+    monkeypatch.setattr(F, "percentile_approx", lambda *a: moved(quantiles(*a)))
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_search.top_products(df, every=50, ring_rows=20).collect())
+    assert got == want
+
+
 def test_rings_out_of_reach_are_left_out(spark):
     rng = np.random.default_rng(3)
     rows = [(i, (rng.normal(size=4) * 0.01 + np.eye(4)[i % 4] * 3).tolist(), 1, "", "", "") for i in range(200)]

@@ -108,6 +108,8 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5, scale: float =
     per = [r.asDict() for r in keyed.groupBy("pivot").agg(F.count("*").alias("n")).collect()]  # a row a pivot
     most = min(RINGS, max(1, -(-max(r["n"] for r in per) // ring_rows)))
     cuts = keyed.groupBy("pivot").agg(F.count("*").alias("n"), F.percentile_approx("dist", [i / most for i in range(1, most + 1)], 10 * most + 100).alias("q"))
+    # approximate quantiles depend on the order of merging: taken once, so that a vector has one ring for all that follows
+    cuts = save(cuts, "pivot-cuts")
     rings = keyed.join(cuts.select(F.col("pivot").alias("_p"), "q"), F.col("pivot") == F.col("_p")).withColumn("ring", F.size(F.filter("q", lambda c: c < F.col("dist")))).drop("_p", "q")
     facts = rings.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high"))
     facts = save(facts.withColumn("parts", F.ceil(F.col("n") / (2 * ring_rows)).cast("int")), "pivot-rings")
