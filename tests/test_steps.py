@@ -84,3 +84,20 @@ def test_last_distinct_and_latest_lists():
     s, out = S.latest_lists({}, {"lists": {"like": 5}, "ts": 0})
     s, out = S.latest_lists(s, {"lists": {"like": 6}, "ts": 13 * 3_600_000})
     assert out == [{"like": [6]}]
+
+
+def test_sixteen_latest_lists(spark, sf):
+    import json
+
+    from tidemark.plans.feature_queries import LATEST_LISTS, latest_list_replay, latest_lists_of
+
+    flags = ["complete", "like", "comment", "share", "collect", "follow", "profile", "report", "uninterested", "paid"]
+    rows = [(1, 5, 9, 12.0, 9.0, *[True] * 10, 0), (1, 6, 0, 2.0, 8.5, *[False] * 10, 1), (1, 7, 8, 1.0, 1.0, *[False] * 10, 2), (1, 8, 0, 0.0, 0.0, *[f == "report" for f in flags], 3)]
+    df = spark.createDataFrame(rows, "uid long, post_id long, author long, standing_time double, playback_time double, " + "".join(f"{f} boolean, " for f in flags) + "t long").selectExpr("*", "timestamp_seconds(t) as ts")
+    (r,) = latest_lists_of(df).collect()
+    got = json.loads(r.value)
+    assert len(got) == 16 and set(got) == set(LATEST_LISTS)
+    assert got["stand_10s"] == [[5, 12.0]] and got["play_8s"] == [[5, 9.0], [6, 8.5]]
+    assert got["report"] == [5, 8] and got["negative"] == [5, 8] and got["negative_authors"] == [9] and got["positive_authors"] == [9] and got["like"] == [5]
+    seen = {k for x in latest_list_replay(spark, sf).collect() for k in json.loads(x.value)}
+    assert {"complete_play", "stand_10s", "play_8s", "like", "follow", "report", "positive", "negative", "positive_authors", "negative_authors"} >= seen >= {"stand_10s", "like", "follow", "report", "positive", "negative", "positive_authors", "negative_authors"}

@@ -430,10 +430,26 @@ def early_session_replay(spark: SparkSession, d: str) -> DataFrame:
     return stateful.replay(e, "key", ["standing_time", "progress_time", "playback_time", "strong"], lambda s, x: steps.early_session(s, x, 6 * 3_600_000))
 
 
+_GOOD, _BAD = "(like or comment or share or follow or collect or profile or paid)", "(report or uninterested)"
+#: The sixteen latest lists of a user: id, condition, how many are kept, score.
+LATEST_LISTS = {
+    "complete_play": ("post_id", "complete", 30, None), "stand_10s": ("post_id", "standing_time > 10", 30, "standing_time"), "play_8s": ("post_id", "playback_time > 8", 30, "playback_time"),
+    **{n: ("post_id", f, 10, None) for n, f in {"like": "like", "comment": "comment", "share": "share", "follow": "follow", "collect": "collect", "profile": "profile", "pay": "paid", "report": "report", "dislike": "uninterested"}.items()},
+    "positive": ("post_id", _GOOD, 20, None), "negative": ("post_id", _BAD, 20, None), "positive_authors": ("author", f"{_GOOD} and author > 0", 20, None), "negative_authors": ("author", f"{_BAD} and author > 0", 20, None),
+}
+
+
+def latest_lists_of(posts: DataFrame) -> DataFrame:
+    """The last state of each user's lists; only events that enter a list count."""
+    lists = F.struct(*[F.when(F.expr(cond), F.col(ident)).alias(n) for n, (ident, cond, _, _) in LATEST_LISTS.items()])
+    scores = F.struct(*[F.col(score).alias(n) for n, (_, _, _, score) in LATEST_LISTS.items() if score])
+    e = posts.filter(" or ".join(cond for _, cond, _, _ in LATEST_LISTS.values())).withColumns({"lists": lists, "scores": scores})
+    sizes = {n: size for n, (_, _, size, _) in LATEST_LISTS.items()}
+    return stateful.replay(e, "uid", ["lists", "scores"], lambda s, x: steps.latest_lists(s, x, sizes), final_only=True)
+
+
 def latest_list_replay(spark: SparkSession, d: str) -> DataFrame:
-    e = post_events(spark, d)
-    lists = F.struct(F.when(F.col("like"), F.col("post_id")).alias("like"), F.when(F.col("follow"), F.col("author")).alias("follow_author"), F.col("post_id").alias("expose"))
-    return stateful.replay(e.withColumn("lists", lists), "uid", ["lists"], steps.latest_lists, final_only=True)
+    return latest_lists_of(post_events(spark, d))
 
 
 def user_counter_replay(spark: SparkSession, d: str) -> DataFrame:
