@@ -176,6 +176,20 @@ def test_chats_read_back(spark):
     assert chat.format_chats(spark.createDataFrame([], DDL)).count() == 0
 
 
+def test_digests_gather_no_conversation(spark):
+    rows, df = chats(spark)
+    out = chat.digests(chat.read_back(chat.format_chats(df, 64, 16)))
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    got = {r.conv_id: r for r in out.collect()}
+    assert len(got) == out.count()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for c in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        assert got[c].turns_sha256 == sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own))
+        assert (got[c].loss_sha256, got[c].loss_chars, got[c].n_turns) == (sha(loss), len(loss), len(own))
+
+
 def test_windows_keep_to_the_budget():
     turns = [("system", "s", 10)] + [("user" if i % 2 else "assistant", f"t{i}", 20) for i in range(12)] + [("user", "long", 500), ("assistant", "end", 20)]
     cost = {t[1]: t[2] for t in turns}
