@@ -60,15 +60,15 @@ ITEM = {"post_id": "9", "item_type": 1, "post_type": 2, "exposed_pos": 2, "rec_t
 def test_client_events(spark):
     one = ITEM | {"userId": 4, "author_id": 8, "action": "like"}
     df = lines(
-        spark, log("post_like", one), log("post_like", one | {"action": "unlike"}), log("post_like", one | {"exposed_pos": 1}), log("post_profile_enter", one), log("post_avatar_click", one), log("post_collect", {"userId": 4, "source": 77, "action_type": 1}), log("post_collect", {"userId": 4, "source": 78, "action_type": 0}),
-        log("video_play_duration", {"userId": 4, "list": [ITEM | {"standing_time": 3.0}, ITEM | {"item_type": 2}]}), log("post_like", "null"), log("post_like", ""), log("other", one),
+        spark, log("postLikeButtonClicked", one), log("postLikeButtonClicked", one | {"action": "unlike"}), log("postLikeButtonClicked", one | {"exposed_pos": 1}), log("postSwipeRight", one), log("postClickAvatar", one), log("collect_page_click", {"userId": 4, "source": 77, "action_type": 1}), log("collect_page_click", {"userId": 4, "source": 78, "action_type": 0}),
+        log("videoPlayDuration", {"userId": 4, "list": [ITEM | {"standing_time": 3.0}, ITEM | {"item_type": 2}]}), log("postLikeButtonClicked", "null"), log("postLikeButtonClicked", ""), log("other", one),
     )
     got = sorted((r.event, r.post_id, r.like, r.profile, r.collect, r.standing_time) for r in parse.client_posts(parse.client_log(df)).collect())
-    assert got == sorted([("post_like", 9, True, False, False, 0.0), ("post_like", 9, False, False, False, 0.0), ("post_profile_enter", 9, False, True, False, 0.0), ("post_avatar_click", 9, False, True, False, 0.0), ("post_collect", 77, False, False, True, 0.0), ("video_play_duration", 9, False, False, False, 3.0)])
+    assert got == sorted([("postLikeButtonClicked", 9, True, False, False, 0.0), ("postLikeButtonClicked", 9, False, False, False, 0.0), ("postSwipeRight", 9, False, True, False, 0.0), ("postClickAvatar", 9, False, True, False, 0.0), ("collect_page_click", 77, False, False, True, 0.0), ("videoPlayDuration", 9, False, False, False, 3.0)])
 
 
 def test_missing_timestamp_takes_ingest_time(spark):
-    x = log("post_like", {"a": 1})
+    x = log("postLikeButtonClicked", {"a": 1})
     del x["user_event_log"]["timestamp"]
     df = lines(spark, x).withColumn("at", F.expr("timestamp'2024-01-01 00:00:00'"))
     assert parse.client_log(df, ingest_ts="at").first().ts.year == 2024
@@ -80,8 +80,48 @@ def test_event_type_prefilter(spark):
     assert got == [(True, True, 8), (False, False, 81), (False, False, -1), (False, False, -1), (True, False, 9)]
 
 
+def views(spark, rows):
+    """Feature events of views: post_id, interactions, progress_time, standing_time."""
+    df = spark.createDataFrame(rows, "post_id long, interactions array<int>, progress_time double, standing_time double")
+    return df.selectExpr("1L as uid", "post_id", "2L as author", "'t' as rec_token", "'view' as kind", "standing_time", "progress_time", "interactions", "timestamp'2024-01-01' as ts")
+
+
 def test_feedback_kinds(spark):
-    rows = [(1, [7, 11], 1.0), (2, [], 2.99), (3, [], 3.0), (4, [], 10.0), (5, [7], 12.0)]
-    df = spark.createDataFrame(rows, "post_id long, interactions array<int>, standing_time double").selectExpr("1 as uid", "post_id", "2 as author", "'view' as kind", "standing_time", "interactions", "timestamp'2024-01-01' as ts")
-    got = sorted((r.post_id, r.feedback) for r in parse.feedback(df).collect())
-    assert got == [(1, "report"), (1, "uninterested"), (2, "short"), (4, "positive"), (5, "positive"), (5, "report")]
+    """Played time decides: nothing at 0, short below 3 seconds, positive from 10 on; how long one stood doesn't count."""
+    rows = [(1, [7, 11], 1.0, 99.0), (2, [], 2.99, 99.0), (3, [], 3.0, 1.0), (4, [], 10.0, 0.0), (5, [7], 12.0, 0.0), (6, [], 0.0, 1.0), (7, [], 9.99, 50.0), (8, [11], 2.0, 0.0), (9, None, 1.0, 0.0)]
+    got = sorted((r.post_id, r.feedback) for r in parse.feedback(views(spark, rows)).collect())
+    assert got == [(1, "report"), (1, "uninterested"), (2, "short"), (4, "positive"), (5, "positive"), (5, "report"), (8, "uninterested")]
+    assert sorted(r.post_id for r in parse.short_views(views(spark, rows)).collect()) == [1, 2, 8, 9]
+
+
+def test_interaction_flags(spark):
+    """A long view is one played for 3 seconds or stood at for 5."""
+    rows = [(1, [], 2.99, 4.99), (2, [], 3.0, 0.0), (3, [], 0.0, 5.0), (4, [1, 13, 15, 3, 5, 6, 9], 0.0, 0.0)]
+    got = {r.post_id: r for r in parse.interaction_flags(views(spark, rows)).collect()}
+    assert {i: r.long_view for i, r in got.items()} == {1: False, 2: True, 3: True, 4: False}
+    f = got[4]
+    assert f.click and f.like and f.follow and f.profile and f.comment and f.favorite and f.share and not f.download and not f.forward
+
+
+def test_client_flags_as_codes(spark):
+    flags = ["like", "comment", "share", "collect", "paid", "follow", "profile", "report", "uninterested"]
+    rows = [(f, *[f == g for g in parse.FLAGS]) for f in flags] + [(parse.PROMPT_NO, *[g == "uninterested" for g in parse.FLAGS]), (parse.EXPOSURE, *[False for _ in parse.FLAGS])]
+    df = spark.createDataFrame(rows, "event string, " + ", ".join(f"{f} boolean" for f in parse.FLAGS))
+    df = df.selectExpr("*", "1L as uid", "2L as post_id", "3L as author", "'t' as rec_token", "1 as post_type", "0D as standing_time", "0D as progress_time", "timestamp'2024-01-01' as ts")
+    got = [(r.kind, r.interactions) for r in parse.client_to_views(df).collect()]
+    assert got == [("view", [c]) for c in (1, 3, 5, 6, 10, 13, 15, 11, 7)] + [("view", [7, 18]), ("expose", [])]
+
+
+def test_client_lists_read_their_own_fields(spark):
+    item = ITEM | {"length": 9.0, "standing_time": 3.0, "progress_time": 2.0, "playback_time": 4.0, "author": 5}
+    both = {"userId": 4, "posts": [item], "list": [item | {"post_id": "10"}]}
+    df = lines(spark, log("postExposure", both), log("videoPlayDuration", both), log("imagePlay", both), log("imagePlay", {"list": [item]}))
+    got = sorted((r.event, r.post_id, r.author, r.length, r.standing_time, r.progress_time, r.playback_time) for r in parse.client_posts(parse.client_log(df)).collect())
+    assert got == [("imagePlay", 10, 5, 9.0, 3.0, 2.0, 0.0), ("postExposure", 9, 0, 9.0, 0.0, 0.0, 0.0), ("videoPlayDuration", 10, 5, 9.0, 3.0, 2.0, 4.0)]
+
+
+def test_live_events_read_their_own_fields(spark):
+    data = {"uid": 4, "live_id": 1, "anchor_id": 2, "scene": 1, "from_scene": 3, "watch_duration": 7, "stay_duration": 8, "gift_price": 5, "gift_count": 2}
+    df = lines(spark, *[log(e, data) for e in parse.LIVE_EVENTS], log("live_view", data | {"anchor_id": 0}), log("live_view", data | {"uid": 0}))
+    got = {r.event: (r.watch, r.stay, r.coins) for r in parse.live_events(parse.client_log(df)).collect()}
+    assert got == {e: (0, 0, 0) for e in parse.LIVE_EVENTS} | {"live_view": (7, 0, 0), "exit_liveroom": (8, 8, 0), "liveroom_gift_send": (0, 0, 10)}

@@ -21,6 +21,9 @@ def test_weights_and_their_inverse(spark):
     # a dislike's weight s(-net) above one half comes back as its mirror image
     assert [round(abs(b), 6) for b in back] == [abs(n) for n in nets]
     assert one(spark, X.net_from_weight(F.lit(2.0)), X.net_from_weight(F.lit(0.0))) == (3.0, -3.0)
+    # logits beyond 3 stay; the limit holds within a hundredth of an end; other weights are balanced
+    got = one(spark, *[X.net_from_weight(F.lit(w)) for w in (1.98, 1.995, 0.02, 0.995, 1.0, 2.5, -1.0)])
+    assert [round(x, 4) for x in got] == [3.8918, 3.0, 3.8918, -3.0, 0.0, 0.0, 0.0]
 
 
 def test_alignment(spark):
@@ -41,6 +44,14 @@ def test_history_forms(spark):
     assert [list(g) for g in got] == [[1, 2], [3, 4], [], []]
 
 
+def test_history_objects(spark):
+    text = '[{"itemId":5,"ts":1000,"weight":1.5},{"item_id":"7"},{"itemId":5,"ts":2000},{"itemId":0},{"ts":3},{"itemId":9,"ts":-90000000}]'
+    (got,) = one(spark, X.history_items(F.lit(text), F.lit(5000)))
+    assert [(x.id, x.ts, x.weight) for x in got] == [(7, 5000, 1.0), (5, 2000, 1.0)]
+    (ids,) = one(spark, X.history_ids(F.lit('[{"itemId":5},{"item_id":7},{"itemId":5}]')))
+    assert ids == [5, 7]
+
+
 def test_small_ones(spark):
     got = one(spark, X.step_decay(F.lit(100), F.lit(2)), X.cooldown_days(F.lit("block"), F.lit(9)), X.cooldown_days(F.lit("x"), F.lit(0)), X.half_life(F.lit(8.0), F.lit(12), 6), X.flow_value(X.flow_text("v5", a=F.lit(1), b=F.lit("z")), "b"))
     assert got == (96, 7, 3, 2.0, "z")

@@ -86,18 +86,51 @@ def test_last_distinct_and_latest_lists():
     assert out == [{"like": [6]}]
 
 
+FLAGS = ["complete", "like", "comment", "share", "collect", "follow", "profile", "report", "uninterested", "paid"]
+SESSION = "uid long, post_id long, author long, standing double, playback double, progress double, rate double, " + "".join(f"{f} boolean, " for f in FLAGS) + "t long"
+
+
+def summaries(spark, rows):
+    return spark.createDataFrame(rows, SESSION).selectExpr("*", "timestamp_seconds(t) as ts", "timestamp_seconds(t) as session_time")
+
+
 def test_sixteen_latest_lists(spark, sf):
     import json
 
-    from tidemark.plans.feature_queries import LATEST_LISTS, latest_list_replay, latest_lists_of
+    from tidemark.operators.aggregates import RECENT_LISTS
+    from tidemark.plans.state_queries import latest_list_replay, latest_lists_of
 
-    flags = ["complete", "like", "comment", "share", "collect", "follow", "profile", "report", "uninterested", "paid"]
-    rows = [(1, 5, 9, 12.0, 9.0, *[True] * 10, 0), (1, 6, 0, 2.0, 8.5, *[False] * 10, 1), (1, 7, 8, 1.0, 1.0, *[False] * 10, 2), (1, 8, 0, 0.0, 0.0, *[f == "report" for f in flags], 3)]
-    df = spark.createDataFrame(rows, "uid long, post_id long, author long, standing_time double, playback_time double, " + "".join(f"{f} boolean, " for f in flags) + "t long").selectExpr("*", "timestamp_seconds(t) as ts")
-    (r,) = latest_lists_of(df).collect()
+    rows = [(1, 5, 9, 12.0, 9.0, 0.0, 0.0, *[True] * 10, 0), (1, 6, 0, 2.0, 8.5, 0.0, 0.0, *[False] * 10, 1), (1, 7, 8, 1.0, 1.0, 0.0, 0.0, *[False] * 10, 2), (1, 8, 0, 0.0, 0.0, 0.0, 0.0, *[f == "report" for f in FLAGS], 3)]
+    (r,) = latest_lists_of(summaries(spark, rows)).collect()
     got = json.loads(r.value)
-    assert len(got) == 16 and set(got) == set(LATEST_LISTS)
+    assert len(got) == 16 and set(got) == set(RECENT_LISTS)
     assert got["stand_10s"] == [[5, 12.0]] and got["play_8s"] == [[5, 9.0], [6, 8.5]]
     assert got["report"] == [5, 8] and got["negative"] == [5, 8] and got["negative_authors"] == [9] and got["positive_authors"] == [9] and got["like"] == [5]
-    seen = {k for x in latest_list_replay(spark, sf).collect() for k in json.loads(x.value)}
-    assert {"complete_play", "stand_10s", "play_8s", "like", "follow", "report", "positive", "negative", "positive_authors", "negative_authors"} >= seen >= {"stand_10s", "like", "follow", "report", "positive", "negative", "positive_authors", "negative_authors"}
+    assert {r.list for r in latest_list_replay(spark, sf).collect()} == set(RECENT_LISTS)
+
+
+def test_session_features_at_their_thresholds(spark):
+    """Counters are strict (> 10 and > 20 stood, > 5 and > 10, > 8 and > 12 played, skips up to 2), lists have their sizes."""
+    from tidemark.operators import aggregates as A
+
+    at = lambda post, stand, play, progress, flags=(), author=9, t=0: (1, post, author, float(stand), float(play), float(progress), progress / 10, *[f in flags for f in FLAGS], t)
+    rows = [at(1, 10, 5, 2), at(1, 10.5, 5.5, 2.5, ("like", "paid"), t=1), at(1, 21, 12.5, 0, ("uninterested",), 0, 2), at(2, 20, 8, 3, ("report", "profile"), t=3), at(3, 0, 8.5, 3, ("follow",), t=4), at(4, 0, 12, 9, (), t=5)]
+    s = summaries(spark, rows)
+    day = lambda d: d.filter("window_end = '1970-01-02'")
+    p = {r.post_id: r for r in day(A.session_post_counts(s)).collect()}
+    got = p[1]
+    assert (got.exposures, got.skips, got.stand_10s, got.stand_20s, got.play_5s, got.play_10s, got.like, got.pay, got.dislike, got.report) == (3, 2, 2, 1, 2, 1, 1, 1, 1, 0)
+    assert abs(got.mean_rate - (0.2 + 0.25) / 2) < 1e-9 and (p[2].stand_10s, p[2].stand_20s, p[4].play_10s) == (1, 0, 1)
+    a = {r.author: r for r in day(A.session_author_counts(s)).collect()}
+    assert set(a) == {0, 9} and (a[0].play_12s, a[0].dislike, a[9].play_8s, a[9].play_12s, a[9].stand_10s, a[9].stand_20s, a[9].follow) == (1, 1, 2, 0, 2, 0, 1)
+    lists = {r.list: [(x.id, x.score) for x in r["items"]] for r in day(A.session_user_lists(s)).collect()}
+    assert lists["stand_10s"] == [(2, 20.0), (1, 21.0)] and lists["play_8s"] == [(4, 12.0), (3, 8.5), (1, 12.5)]
+    assert lists["positive"] == [(3, None), (2, None), (1, None)] and lists["negative"] == [(2, None), (1, None)] and lists["negative_authors"] == [(9, None)]
+    assert lists["skip"] == [(1, None)] and lists["pay"] == [(1, None)] and lists["dislike"] == [(1, None)] and "view" not in lists and "expose" not in lists
+    many = summaries(spark, [at(i, 11, 9, 0, FLAGS, author=i, t=i) for i in range(1, 400)])
+    sizes = {r.list: len(r["items"]) for r in day(A.session_user_lists(many, cap=None)).collect()}
+    assert sizes == {"complete_play": 30, "skip": 30, "stand_10s": 30, "play_8s": 30, **{n: 10 for n in ("like", "comment", "share", "follow", "collect", "profile", "pay", "report", "dislike")}, **{n: 20 for n in ("positive", "negative", "positive_authors", "negative_authors")}}
+    capped = {r.list: r["items"][0].id for r in day(A.session_user_lists(many)).collect()}
+    assert set(capped.values()) == {300} and day(A.session_user_counts(many)).first().exposures == 300
+    turned = {r.list: [x.id for x in r["items"]] for r in day(A.session_user_lists(s, oldest_first=True)).collect()}
+    assert turned["positive"] == [1, 2, 3]

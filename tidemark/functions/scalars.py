@@ -62,14 +62,15 @@ def net_weight(net, mode: str = "reference") -> Column:
     return F.when(n > 0, 1 + sigmoid(n)).when(n < 0, sigmoid(-n)).otherwise(F.lit(1.0))
 
 
-def net_from_weight(weight, limit: float = 3.0) -> Column:
-    """Inverse of the ``reference`` weight, held within +-limit."""
+def net_from_weight(weight, limit: float = 3.0, edge: float = 0.01) -> Column:
+    """Inverse of the ``reference`` weight as it is read back: (1, 2] by the logit of weight - 1, [0, 1) by the negative
+    logit of the weight; +-limit within ``edge`` of an end, 0 for any other weight."""
     w = c(weight)
-    lim = F.lit(float(limit))
-    up = F.when(w >= 2, lim).otherwise(F.log((w - 1) / (2 - w)))
-    down = F.when(w <= 0, -lim).otherwise(-F.log(w / (1 - w)))
-    net = F.when(w > 1, up).when(w < 1, down).otherwise(F.lit(0.0))
-    return F.greatest(-lim, F.least(lim, net))
+    logit = lambda p: -F.log(1 / p - 1)
+    inner = lambda p: (p > edge) & (p < 1 - edge)
+    up = F.when(inner(w - 1), logit(w - 1)).otherwise(F.lit(float(limit)))
+    down = F.when(inner(w), -logit(w)).otherwise(F.lit(-float(limit)))
+    return F.when((w > 1) & (w <= 2), up).when((w >= 0) & (w < 1), down).otherwise(F.lit(0.0))
 
 
 def step_decay(score, minutes, base: float = 0.96, step: float = 2.0) -> Column:
@@ -136,13 +137,33 @@ def timed_posts_text(items) -> Column:
     return F.array_join(F.transform(c(items), lambda x: F.concat_ws("|", x["post_id"].cast("string"), x["time"].cast("string"))), ",")
 
 
+def history_items(text, now_ms, max_hours: int = 24, k: int = 50) -> Column:
+    """Array of (id, ts, weight) from a JSON array of objects (``itemId`` or ``item_id``, ``ts``, ``weight``) or from
+    ``id|..,id|..``; bare ids in a JSON array count too. Missing times are ``now_ms``, missing weights 1. Items older
+    than ``max_hours`` go, the rest come latest first, each id once, ``k`` at most."""
+    t, now = F.trim(c(text)), c(now_ms).cast("long")
+    item = lambda ident, ts, w: F.struct(ident.alias("id"), F.coalesce(ts, now).alias("ts"), F.coalesce(w, F.lit(1.0)).alias("weight"))
+    field = lambda x, name: F.get_json_object(x, f"$.{name}")
+
+    def read(x: Column) -> Column:
+        ident = F.coalesce(F.when(x.startswith("{"), F.coalesce(field(x, "itemId"), field(x, "item_id"))).otherwise(x).try_cast("long"), F.lit(0).cast("long"))
+        return item(ident, F.when(x.startswith("{"), field(x, "ts").try_cast("long")), F.when(x.startswith("{"), field(x, "weight").try_cast("double")))
+
+    listed = F.transform(F.from_json(t, "array<string>"), read)
+    none = F.lit(None)
+    plain = F.transform(F.split(t, ","), lambda x: item(F.coalesce(F.trim(F.split_part(x, F.lit("|"), F.lit(1))).try_cast("long"), F.lit(0).cast("long")), none.cast("long"), none.cast("double")))
+    got = F.coalesce(F.when(t.startswith("["), F.coalesce(listed, plain)).otherwise(plain), F.array().cast("array<struct<id:bigint,ts:bigint,weight:double>>"))
+    fresh = F.filter(got, lambda x: (x["id"] > 0) & (now - x["ts"] <= max_hours * 3_600_000))
+    # latest first; equal times keep their places
+    placed = F.transform(fresh, lambda x, i: F.struct((-x["ts"]).alias("o"), i.alias("i"), x.alias("x")))
+    in_order = F.transform(F.array_sort(placed), lambda z: z["x"])
+    first = F.filter(in_order, lambda x, i: F.array_position(F.transform(in_order, lambda y: y["id"]), x["id"]) == i + 1)
+    return F.slice(first, 1, k)
+
+
 def history_ids(text) -> Column:
-    """Ids from a JSON array or from ``id|..,id|..``."""
-    t = F.trim(c(text))
-    listed = F.from_json(t, "array<string>")
-    plain = F.transform(F.split(t, ","), lambda x: F.trim(F.split_part(x, F.lit("|"), F.lit(1))))
-    got = F.transform(F.when(t.startswith("["), listed).otherwise(plain), lambda x: x.try_cast("long"))
-    return F.filter(F.coalesce(got, F.array().cast("array<bigint>")), lambda x: x.isNotNull() & (x > 0))
+    """The ids of :func:`history_items`, their times not judged."""
+    return F.transform(history_items(text, F.lit(0), max_hours=1 << 40), lambda x: x["id"])
 
 
 def int32_only(ids) -> Column:

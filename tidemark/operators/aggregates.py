@@ -23,6 +23,11 @@ def has(*names: str) -> Column:
     return reduce(lambda a, b: a | b, (F.array_contains("interactions", CODES[n]) for n in names))
 
 
+def acted(*names: str) -> Column:
+    """A view with one of the interactions."""
+    return (F.col("kind") == "view") & has(*names)
+
+
 def viewed(least: float = 0) -> Column:
     return (F.col("kind") == "view") & (F.col("progress_time") >= least)
 
@@ -35,7 +40,7 @@ def item_conditions() -> dict[str, Column]:
     """The eleven counters of an item."""
     out = {"expose": F.col("kind") == "expose"}
     out |= {f"view_{s}s": viewed(s) for s in VIEW_STEPS} | {f"stand_{s}s": stood(s) for s in STAND_STEPS}
-    return out | {"like": has("like"), "follow": has("follow"), "profile": has("profile"), "interact": has("comment", "collect", "share")}
+    return out | {"like": acted("like"), "follow": acted("follow"), "profile": acted("profile"), "interact": acted("comment", "collect", "share")}
 
 
 def item_windows(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", exact: bool = False) -> DataFrame:
@@ -61,6 +66,20 @@ def item_panes(events: DataFrame, size_s: int = 86400, slide_s: int = 1800) -> D
     return T.paned(events, ["post_id"], size_s, slide_s, {n: T.distinct_sketch("rec_token", cond) for n, cond in item_conditions().items()})
 
 
+def item_cohorts(events: DataFrame, starts: DataFrame, hours: int = 48, exact: bool = True) -> DataFrame:
+    """post_id, start_ts, emit_ts (when the cohort closes) and the eleven counters of an item over the ``hours`` from its
+    start record on. In streams give both sides a watermark; counts are sketches there, and output mode ``update``
+    shows each as it grows."""
+    from tidemark.operators.joins import within_start
+
+    one = F.count_distinct if exact and not events.isStreaming else sketched
+    rows = within_start(events, starts, hours)
+    keys = ["post_id", "start_ts"]
+    counted = {n: one(F.when(cond, F.col("rec_token"))) for n, cond in item_conditions().items()}
+    out = rows.groupBy(*keys).agg(*[x.alias(n) for n, x in counted.items()])
+    return out.select(*keys, (F.col("start_ts") + F.expr(f"INTERVAL {hours} HOURS")).alias("emit_ts"), *counted)
+
+
 def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
     """Exposed posts and posts viewed for 3 seconds: all, images (1), videos (2)."""
     image, video = F.col("post_type") == 1, F.col("post_type") == 2
@@ -68,21 +87,59 @@ def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes
 
 
 #: Lists of a user: what is listed, and which interactions put it there.
-USER_LISTS = {"like_posts": ("post_id", ("like",)), "follow_posts": ("post_id", ("follow",)), "profile_posts": ("post_id", ("profile",)), "interact_posts": ("post_id", ("comment", "collect", "share")), "like_authors": ("author", ("like",)), "follow_authors": ("author", ("follow",)), "profile_authors": ("author", ("profile",))}
-
-
-def user_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10) -> DataFrame:
-    """uid, window_end, list, items: the k ids last acted on, latest first, for each of USER_LISTS."""
-    marks = F.array_compact(F.array(*[F.when(has(*acts) & (F.col(ident) > 0), F.struct(F.lit(name).alias("list"), F.col(ident).alias("id"))) for name, (ident, acts) in USER_LISTS.items()]))
-    rows = events.withColumn("m", F.explode(marks)).select("uid", "ts", "m.list", "m.id")
-    return topk.recent_list(T.assign(rows, size, slide), ["uid", "window_end", "list"], "id", "ts", k, "items")
-
-
-def user_scored_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10) -> DataFrame:
-    """uid, window_end, list, items: posts viewed for 3 seconds by progress, posts stood at for 5 by standing time."""
-    marks = F.array_compact(F.array(F.when(viewed(3), F.struct(F.lit("view_3s").alias("list"), F.col("progress_time").alias("score"))), F.when(stood(5), F.struct(F.lit("stand_5s").alias("list"), F.col("standing_time").alias("score")))))
-    rows = events.withColumn("m", F.explode(marks)).select("uid", "ts", "post_id", "m.list", "m.score")
-    return topk.scored_list(T.assign(rows, size, slide), ["uid", "window_end", "list"], "post_id", "score", k, "items")
+USER_LISTS = {
+    "like_posts": ("post_id", ("like",)),
+    "follow_posts": ("post_id", ("follow",)),
+    "profile_posts": ("post_id", ("profile",)),
+    "interact_posts": ("post_id", ("comment", "collect", "share")),
+    "like_authors": ("author", ("like",)),
+    "follow_authors": ("author", ("follow",)),
+    "profile_authors": ("author", ("profile",)),
+}
+
+
+def user_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None) -> DataFrame:
+    """uid, window_end, list, items (ids): the k ids last acted on, latest first, for each of USER_LISTS. ``cap``: only a
+    user's first ``cap`` events of a window count."""
+    marks = [
+        F.when(acted(*acts) & (F.col(ident) > 0), F.struct(F.lit(name).alias("list"), F.col(ident).alias("id")))
+        for name, (ident, acts) in USER_LISTS.items()
+    ]
+    return _listed(events, marks, F.unix_micros("ts"), size, slide, k, k, cap).withColumn("items", F.transform("items", lambda x: x["id"]))
+
+
+def user_scored_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None) -> DataFrame:
+    """uid, window_end, list, items (id, score): posts viewed for 3 seconds by progress, posts stood at for 5 by standing
+    time, largest first."""
+    mark = lambda cond, name, score: F.when(cond, F.struct(F.lit(name).alias("list"), F.col("post_id").alias("id"), F.col(score).alias("score")))
+    marks = [mark(viewed(3), "view_3s", "progress_time"), mark(stood(5), "stand_5s", "standing_time")]
+    out = _listed(events, marks, F.col("score"), size, slide, k, k, cap)
+    return out.withColumn("items", F.transform("items", lambda x: F.struct(x["id"].alias("id"), x["value"].alias("score"))))
+
+
+def _listed(df: DataFrame, marks: list[Column], order: Column, size: str, slide: str, k, most: int, cap: int | None, ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """Lists of a user by window; ``marks`` are structs (list, id, ..) or null, a row for each that isn't."""
+    size_s, slide_s = T.seconds(size), T.seconds(slide)
+    keys = ["uid", "list"]
+    light, busy = (df, None) if cap is None else split_busy(df, "uid", size, slide, cap, ts, tie)
+    of = lambda d: d.withColumn("_m", F.explode(F.array_compact(F.array(*marks)))).select(*d.columns, "_m.*")
+    out = T.list_windows(of(light), keys, size_s, slide_s, "id", order, k, most, ts)
+    if busy is None:
+        return out
+    # a window of a capped user stands for itself: its rows as a tumbling window of their own
+    rows = of(busy.withColumn("_w", F.unix_seconds("window_end")))
+    one = rows.withColumn("_at", F.timestamp_seconds(F.col("_w") - slide_s))
+    return out.unionByName(T.list_windows(one, keys, slide_s, slide_s, "id", order, k, most, "_at"))
+
+
+def split_busy(df: DataFrame, key: str, size: str, slide: str, cap: int, ts: str = "ts", tie: str = "event_id") -> tuple[DataFrame, DataFrame]:
+    """Rows of keys that never have more than ``cap`` rows in a window, and, for the others, the first ``cap`` rows of each
+    window with window_end. Only rows of the busy keys are copied into windows."""
+    counts = T.paned(df, [key], T.seconds(size), T.seconds(slide), {"_n": T.count_all()}, ts)
+    over = counts.filter(F.col("_n") > cap).select(F.col(key).alias("_k")).distinct()
+    light = df.join(over, F.col(key) == F.col("_k"), "left_anti")
+    rows = T.assign(df.join(over, F.col(key) == F.col("_k"), "left_semi"), size, slide, ts)
+    return light, T.first_events(rows, [key, "window_end"], cap, [ts, tie])
 
 
 def capped_windows(events: DataFrame, size: str, slide: str, cap: int, key: str = "uid", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
@@ -91,7 +148,7 @@ def capped_windows(events: DataFrame, size: str, slide: str, cap: int, key: str
 
 
 def author_conditions() -> dict[str, Column]:
-    return {f"view_{s}s": viewed(s) for s in VIEW_STEPS} | {f"stand_{s}s": stood(s) for s in STAND_STEPS} | {"like": has("like")}
+    return {f"view_{s}s": viewed(s) for s in VIEW_STEPS} | {f"stand_{s}s": stood(s) for s in STAND_STEPS} | {"like": acted("like")}
 
 
 def user_author_windows(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", keep_empty: bool = False, exact: bool = True) -> DataFrame:
@@ -123,56 +180,106 @@ def post_sessions(posts: DataFrame, gap: str = "70 seconds") -> DataFrame:
     return out.withColumn("rate", F.when(F.col("length") > 0, F.col("progress") / F.col("length")).otherwise(0.0))
 
 
-#: Recent lists of a user over sessions: id, which sessions, and how many are kept.
-SESSION_LISTS = {
-    "expose": ("post_id", None, 30), "skip": ("post_id", "progress <= 2", 30), "view": ("post_id", "progress > 2", 30), "long_view": ("post_id", "progress >= 10", 20), "complete": ("post_id", "complete", 20), "like": ("post_id", "like", 20), "comment": ("post_id", "comment", 10),
-    "share": ("post_id", "share", 10), "collect": ("post_id", "collect", 10), "follow": ("post_id", "follow", 10), "profile": ("post_id", "profile", 10), "negative": ("post_id", "report or uninterested", 10), "positive": ("post_id", "like or comment or share or collect or follow or paid", 20),
-    "like_author": ("author", "like and author > 0", 10), "follow_author": ("author", "follow and author > 0", 10), "profile_author": ("author", "profile and author > 0", 10), "negative_author": ("author", "(report or uninterested) and author > 0", 10), "positive_author": ("author", "(like or comment or share or collect or follow or paid) and author > 0", 20),
-}
-
-
-def session_user_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time") -> DataFrame:
-    return T.windowed(s, ["uid"], size, slide, {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}, ts)
-
-
-def session_user_lists(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", oldest_first: bool = False, cap: int | None = None) -> DataFrame:
-    """uid, window_end, list, items: for each of SESSION_LISTS the ids seen last."""
-    marks = F.array_compact(F.array(*[F.when(F.expr(cond) if cond else F.lit(True), F.struct(F.lit(n).alias("list"), F.col(ident).alias("id"), F.lit(k).alias("k"))) for n, (ident, cond, k) in SESSION_LISTS.items()]))
-    rows = T.assign(s, size, slide, ts)
-    if cap is not None:
-        rows = T.first_events(rows, ["uid", "window_end"], cap, [ts, "post_id"])
-    rows = rows.withColumn("m", F.explode(marks)).select("uid", "window_end", F.col(ts).alias("t"), "m.*")
-    last = rows.groupBy("uid", "window_end", "list", "k", "id").agg(F.max("t").alias("_last"))
-    most = max(k for _, _, k in SESSION_LISTS.values())
-    r = topk.top_rows(last, ["uid", "window_end", "list"], [F.desc("_last"), F.asc("id")], most).filter(F.col("rank") <= F.col("k"))
-    items = F.sort_array(F.collect_list(F.struct("rank", "id")), asc=not oldest_first)
-    return r.groupBy("uid", "window_end", "list").agg(F.transform(items, lambda x: x["id"]).alias("items"))
-
-
-def session_counts() -> dict[str, Column]:
-    n = {"exposures": F.count("*"), "views": F.count_if(F.col("progress") > 2), "skips": F.count_if(F.col("progress") <= 2)}
-    n |= {f"view_{x}s": F.count_if(F.col("progress") >= x) for x in (8, 12)} | {f: F.count_if(F.col(f)) for f in FLAGS}
-    return n
+GOOD, BAD = "(like or comment or share or follow or collect or profile or paid)", "(report or uninterested)"
+#: Recent lists of a user: id, which sessions, how many are kept, and the score that goes with an id (fixed values).
+RECENT_LISTS = {
+    "complete_play": ("post_id", "complete", 30, None),
+    "stand_10s": ("post_id", "standing > 10", 30, "standing"),
+    "play_8s": ("post_id", "playback > 8", 30, "playback"),
+    "like": ("post_id", "like", 10, None),
+    "comment": ("post_id", "comment", 10, None),
+    "share": ("post_id", "share", 10, None),
+    "follow": ("post_id", "follow", 10, None),
+    "collect": ("post_id", "collect", 10, None),
+    "profile": ("post_id", "profile", 10, None),
+    "pay": ("post_id", "paid", 10, None),
+    "report": ("post_id", "report", 10, None),
+    "dislike": ("post_id", "uninterested", 10, None),
+    "positive": ("post_id", GOOD, 20, None),
+    "negative": ("post_id", BAD, 20, None),
+    "positive_authors": ("author", f"{GOOD} and author > 0", 20, None),
+    "negative_authors": ("author", f"{BAD} and author > 0", 20, None),
+}
+#: Over a day the skipped posts have a list too.
+SESSION_LISTS = RECENT_LISTS | {"skip": ("post_id", "progress <= 2", 30, None)}
+#: Sessions of a user that count in a window.
+SESSION_CAP = 300
+
+
+def session_user_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", cap: int | None = SESSION_CAP) -> DataFrame:
+    """Sessions and skips of a user, of the first ``cap`` sessions of a window (streams count all)."""
+    aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}
+    if s.isStreaming:
+        return T.windowed(s, ["uid"], size, slide, aggs, ts)
+    light, busy = (s, None) if cap is None else split_busy(s, "uid", size, slide, cap, ts, "post_id")
+    out = T.paned(light, ["uid"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()}, ts)
+    return out if busy is None else out.unionByName(busy.groupBy("uid", "window_end").agg(*[a.alias(n) for n, a in aggs.items()]))
+
+
+def session_user_lists(
+    s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", oldest_first: bool = False, cap: int | None = SESSION_CAP
+) -> DataFrame:
+    """uid, window_end, list, items (id, score): for each of SESSION_LISTS the ids of the sessions that came last, each at
+    its last session of the list with that session's score (null for lists without)."""
+    marks = [
+        F.when(F.expr(cond), F.struct(F.lit(n).alias("list"), F.col(ident).alias("id"), (F.col(score) if score else F.lit(None)).cast("double").alias("score")))
+        for n, (ident, cond, _, score) in SESSION_LISTS.items()
+    ]
+    most = max(k for _, _, k, _ in SESSION_LISTS.values())
+    kept = F.lit(most)
+    for n, (_, _, k, _) in SESSION_LISTS.items():
+        kept = F.when(F.col("list") == n, k).otherwise(kept)
+    order = F.struct(F.unix_micros(ts).alias("t"), F.col("score").alias("s"))
+    out = _listed(s, marks, order, size, slide, kept, most, cap, ts, "post_id")
+    items = F.transform("items", lambda x: F.struct(x["id"].alias("id"), x["value"]["s"].alias("score")))
+    return out.withColumn("items", F.reverse(items) if oldest_first else items)
+
+
+_SESSION_FLAGS = {"like": "like", "comment": "comment", "share": "share", "collect": "collect", "profile": "profile", "report": "report", "dislike": "uninterested", "pay": "paid"}
+
+
+def _longer(column: str, name: str, *steps: int) -> dict[str, Column]:
+    return {f"{name}_{n}s": F.count_if(F.col(column) > n) for n in steps}
 
 
 def session_post_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time") -> DataFrame:
     """Fifteen counts of a post and the mean rate of progress where there is one."""
-    return T.windowed(s, ["post_id"], size, slide, session_counts() | {"mean_rate": F.avg(F.when(F.col("rate") > 0, F.col("rate")))}, ts)
+    aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2), "complete": F.count_if("complete")}
+    aggs |= _longer("standing", "stand", 10, 20) | _longer("playback", "play", 5, 10) | {n: F.count_if(f) for n, f in _SESSION_FLAGS.items()}
+    rate = F.when(F.col("rate") > 0, F.col("rate"))
+    if s.isStreaming:
+        return T.windowed(s, ["post_id"], size, slide, aggs | {"mean_rate": F.avg(rate)}, ts)
+    parts = {n: T.Agg(a) for n, a in aggs.items()} | {"_rates": T.Agg(F.sum(rate)), "_n": T.Agg(F.count(rate))}
+    out = T.paned(s, ["post_id"], T.seconds(size), T.seconds(slide), parts, ts)
+    return out.withColumn("mean_rate", F.col("_rates") / F.nullif(F.col("_n"), F.lit(0))).drop("_rates", "_n")
+
 
+def session_author_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", cap: int | None = SESSION_CAP) -> DataFrame:
+    """Fifteen counts of a user for each author, of the first ``cap`` sessions of a window (streams count all)."""
+    aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}
+    aggs |= _longer("playback", "play", 8, 12) | _longer("standing", "stand", 10, 20) | {n: F.count_if(f) for n, f in (_SESSION_FLAGS | {"follow": "follow"}).items()}
+    if s.isStreaming:
+        return T.windowed(s, ["uid", "author"], size, slide, aggs, ts)
+    light, busy = (s, None) if cap is None else split_busy(s, "uid", size, slide, cap, ts, "post_id")
+    out = T.paned(light, ["uid", "author"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()}, ts)
+    return out if busy is None else out.unionByName(busy.groupBy("uid", "author", "window_end").agg(*[a.alias(n) for n, a in aggs.items()]))
 
-def session_author_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time") -> DataFrame:
-    return T.windowed(s.filter(F.col("author") > 0), ["uid", "author"], size, slide, session_counts(), ts)
+
+_ROOM_EVENTS = {"enter": "enter_liveroom", "quit": "exit_liveroom", "gift": "liveroom_gift_send", "follow": "liveroom_follow_anchor", "chat": "liveroom_chat_message"}
 
 
 def anchor_windows(live: DataFrame, size: str = "5 minutes", slide: str = "30 seconds", exact: bool = True) -> DataFrame:
     """Of an anchor: distinct users that enter, quit, give, follow, chat; coins; whole mean seconds stayed."""
-    one = (lambda x: F.count_distinct(x)) if exact and not live.isStreaming else (lambda x: sketched(x, 15))
-    u = lambda e: one(F.when(F.col("event") == e, F.col("uid")))
-    quit_ = F.col("event") == "exit_liveroom"
-    return T.windowed(live, ["anchor_id"], size, slide, {
-        "enter_users": u("enter_liveroom"), "quit_users": u("exit_liveroom"), "gift_users": u("liveroom_gift_send"), "follow_users": u("liveroom_follow_anchor"), "chat_users": u("liveroom_chat_message"),
-        "coins": F.sum("coins"), "mean_stay": F.coalesce(F.floor(F.avg(F.when(quit_, F.col("stay")))), F.lit(0)).cast("long"),
-    })
+    is_ = lambda e: F.col("event") == e
+    sums = {"coins": F.col("coins"), "_stay": F.when(is_("exit_liveroom"), F.col("stay")).otherwise(0), "_quits": is_("exit_liveroom").cast("long")}
+    users = {f"{n}_users": is_(e) for n, e in _ROOM_EVENTS.items()}
+    if exact and not live.isStreaming:
+        out = T.distinct_windows(live.filter(F.col("uid").isNotNull()), ["anchor_id"], size, slide, "uid", users, sums=sums)
+    else:
+        counts = {n: sketched(F.when(cond, F.col("uid")), 15) for n, cond in users.items()}
+        out = T.windowed(live, ["anchor_id"], size, slide, counts | {n: F.sum(x) for n, x in sums.items()})
+    mean = F.coalesce(F.floor(F.col("_stay") / F.nullif(F.col("_quits"), F.lit(0))), F.lit(0)).cast("long")
+    return out.withColumn("mean_stay", mean).drop("_stay", "_quits")
 
 
 def live_exposures(live: DataFrame, size: str = "5 minutes", slide: str = "10 seconds") -> DataFrame:
@@ -181,7 +288,15 @@ def live_exposures(live: DataFrame, size: str = "5 minutes", slide: str = "10 se
 
 def user_anchor_windows(live: DataFrame, size: str = "15 minutes", slide: str = "30 seconds") -> DataFrame:
     watched = F.col("event").isin("live_view", "exit_liveroom")
-    return T.windowed(live, ["uid", "anchor_id"], size, slide, {"exposures": F.count_if(F.col("event") == "live_exposure"), "enters": F.count_if(F.col("event") == "enter_liveroom"), "watch_6s": F.count_if(watched & (F.col("watch") >= 6)), "watched": F.sum(F.when(watched, F.col("watch")).otherwise(0))})
+    aggs = {
+        "exposures": F.count_if(F.col("event") == "live_exposure"),
+        "enters": F.count_if(F.col("event") == "enter_liveroom"),
+        "watch_6s": F.count_if(watched & (F.col("watch") >= 6)),
+        "watched": F.sum(F.when(watched, F.col("watch")).otherwise(0)),
+    }
+    if live.isStreaming:
+        return T.windowed(live, ["uid", "anchor_id"], size, slide, aggs)
+    return T.paned(live, ["uid", "anchor_id"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()})
 
 
 def regroup_user_anchor(parts: DataFrame, keys: tuple[str, ...] = ("uid",)) -> DataFrame:
@@ -191,8 +306,9 @@ def regroup_user_anchor(parts: DataFrame, keys: tuple[str, ...] = ("uid",)) -> D
 
 
 def tag_recent_posts(tag_posts: DataFrame, size: str = "12 hours", slide: str = "10 minutes", k: int = 300, ts: str = "ts") -> DataFrame:
-    """tag, window_end, items: the posts of a tag last updated."""
-    return topk.recent_list(T.assign(tag_posts, size, slide, ts), ["tag", "window_end"], "post_id", "time", k, "items")
+    """tag, window_end, items (id, time): the posts of a tag last updated, by the long column ``time``."""
+    out = T.list_windows(tag_posts, ["tag"], T.seconds(size), T.seconds(slide), "post_id", F.col("time"), k, k, ts)
+    return out.withColumn("items", F.transform("items", lambda x: F.struct(x["id"].alias("id"), x["value"].alias("time"))))
 
 
 def user_live_windows(watches: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:

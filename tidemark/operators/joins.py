@@ -1,22 +1,16 @@
-"""Lookups and stream-to-stream joins. A dimension is broadcast only if its size has been checked; otherwise Spark
-picks a shuffled join, which AQE splits at hot keys."""
+"""Lookups and stream-to-stream joins. No side is told to be broadcast: Spark does so by its bytes, estimated or measured
+while the query runs (``spark.sql.autoBroadcastJoinThreshold``), and else takes a shuffled join, which AQE splits at hot
+keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a dimension counts as small.
-BROADCAST_ROWS = 1_000_000
 #: Weights of the eight history lists (fixed values), in their order.
 HISTORY_WEIGHTS = (1.0, 1.0, 1.2, 1.3, 0.8, 1.1, 1.6, 1.5)
 
 
-def small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The dimension with a broadcast hint if it has at most ``rows`` rows; counted, never assumed."""
-    return F.broadcast(dim) if not dim.isStreaming and dim.limit(rows + 1).count() <= rows else dim
-
-
 def with_tags(events: DataFrame, tags: DataFrame, pick=None, unknown: str | None = "unk") -> DataFrame:
     """Events with ``tag``: what ``pick`` makes of their post's ``tags`` text; posts without one are ``unknown``."""
     t = tags.select(F.col("post_id").alias("_p"), (pick(F.col("tags")) if pick else F.col("tags")).alias("tag"))
@@ -40,7 +34,7 @@ def user_types(rows: DataFrame, settings: DataFrame) -> DataFrame:
 
 def members(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in a refreshed set; none while the set is empty."""
-    return rows.join(small(wanted.select(key).distinct()), key, "left_semi")
+    return rows.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def with_history(sessions: DataFrame, history: DataFrame, user: str = "uid", item: str = "item_id") -> DataFrame:

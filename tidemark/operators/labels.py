@@ -110,7 +110,8 @@ def watch_flags(sessions: DataFrame, anchors: DataFrame, seconds: float = 15) ->
 STATE_KEYS = ("user_type", "stage", "dist", "probe_count", "cooldown_end_ts", "cooldown_stage", "last_feedback", "last_feedback_ts", "last_pos_tag", "last_neg_tag", "last_update_ts", "state_flow")
 
 
-def state_rows(states: DataFrame, prefix: str = "rec_post:{", suffix: str = "}:") -> DataFrame:
-    """key, value for each of the twelve keys of a user's state."""
+def state_rows(states: DataFrame, prefix: str = "rec_post:{", suffix: str = "}:porn_", end: str = "_v5") -> DataFrame:
+    """key, value for each of the twelve keys of a user's state (key formats are fixed values)."""
     pairs = F.array(*[F.struct(F.lit(k).alias("name"), F.coalesce(F.col(k).cast("string"), F.lit("")).alias("value")) for k in STATE_KEYS])
-    return states.select("uid", F.explode(pairs).alias("x")).select(F.concat(F.lit(prefix), F.col("uid").cast("string"), F.lit(suffix), F.col("x.name")).alias("key"), F.col("x.value").alias("value"))
+    key = F.concat(F.lit(prefix), F.col("uid").cast("string"), F.lit(suffix), F.col("x.name"), F.lit(end))
+    return states.select("uid", F.explode(pairs).alias("x")).select(key.alias("key"), F.col("x.value").alias("value"))

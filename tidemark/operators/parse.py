@@ -11,10 +11,19 @@ from tidemark.operators import filters as P
 
 NO_INTS = "cast(array() as array<int>)"
 #: Names of client events (fixed values of the event format).
-LIST_EVENTS = {"post_exposure": "posts", "video_play_duration": "list", "image_play": "list"}
+EXPOSURE, VIDEO, IMAGE, COLLECT, PROMPT_NO = "postExposure", "videoPlayDuration", "imagePlay", "collect_page_click", "prompt_recommendation_click_no"
 SINGLE_EVENTS = {
-    "video_play_complete": "complete", "post_like": "like", "post_comment": "comment", "post_share": "share", "post_follow": "follow", "post_profile_click": "profile",
-    "post_profile_enter": "profile", "post_avatar_click": "profile", "post_report": "report", "post_uninterested": "uninterested", "post_paid": "paid",
+    "videoPlayComplete": "complete",
+    "postLikeButtonClicked": "like",
+    "postCommentSucceed": "comment",
+    "postShare": "share",
+    "postFollow": "follow",
+    "postClickNickname": "profile",
+    "postSwipeRight": "profile",
+    "postClickAvatar": "profile",
+    "postReportClick": "report",
+    "postUninterestedClick": "uninterested",
+    "post_paid_unlock_entry_show": "paid",
 }
 LIVE_EVENTS = ("live_exposure", "live_view", "enter_liveroom", "exit_liveroom", "liveroom_chat_message", "liveroom_gift_send", "liveroom_follow_anchor")
 FLAGS = ("complete", "like", "comment", "share", "collect", "follow", "profile", "report", "uninterested", "paid")
@@ -91,31 +100,49 @@ def client_log(df: DataFrame, value: str = "value", ingest_ts: str | None = None
 
 
 def client_lists(log: DataFrame) -> DataFrame:
-    """Client events that list posts: exposures, play times, images."""
-    d = log.filter(F.col("event").isin(*LIST_EVENTS)).withColumn("j", F.from_json("data", S.CLIENT_LIST))
-    d = d.withColumn("items", F.coalesce("j.posts", "j.list")).select("event", F.coalesce("j.userId", "uid").alias("uid"), "ts", F.explode("items").alias("x")).filter(P.is_client_post(F.col("x")))
+    """Client events that list posts. An exposure lists ``posts`` and has their length alone, plays list ``list``;
+    only videos have a playback time. The user is the data's."""
+    d = log.filter(F.col("event").isin(EXPOSURE, VIDEO, IMAGE)).withColumn("j", F.from_json("data", S.CLIENT_LIST))
+    shown = F.col("event") == EXPOSURE
+    d = d.withColumn("items", F.when(shown, F.col("j.posts")).otherwise(F.col("j.list")))
+    d = d.select("event", F.col("j.userId").alias("uid"), "ts", F.explode("items").alias("x")).filter(P.is_client_post(F.col("x")))
     d = d.withColumn("post_id", F.col("x.post_id").try_cast("long")).filter(P.valid_ids("uid", "post_id"))
-    num = lambda n: F.coalesce(F.col(f"x.{n}"), F.lit(0.0)).alias(n)
-    return d.select("event", "uid", "post_id", F.coalesce("x.author", F.lit(0)).alias("author"), F.col("x.rec_token").alias("rec_token"), F.col("x.post_type").alias("post_type"), num("length"), num("standing_time"), num("progress_time"), num("playback_time"), *[F.lit(False).alias(f) for f in FLAGS], "ts")
+
+    def number(name: str, known: Column) -> Column:
+        return F.when(known, F.coalesce(F.col(f"x.{name}"), F.lit(0.0))).otherwise(F.lit(0.0)).alias(name)
+
+    return d.select(
+        "event", "uid", "post_id", F.when(shown, F.lit(0)).otherwise(F.coalesce("x.author", F.lit(0))).cast("long").alias("author"),
+        F.col("x.rec_token").alias("rec_token"), F.col("x.post_type").alias("post_type"),
+        number("length", F.lit(True)), number("standing_time", ~shown), number("progress_time", ~shown), number("playback_time", F.col("event") == VIDEO),
+        *[F.lit(False).alias(f) for f in FLAGS], "ts",
+    )
+
+
+def _no_times() -> list[Column]:
+    return [F.lit(0.0).alias(n) for n in ("length", "standing_time", "progress_time", "playback_time")]
 
 
 def client_singles(log: DataFrame) -> DataFrame:
-    """Client events about one post, as flags. ``unlike`` isn't a like."""
+    """Client events about one post, as flags. ``unlike`` isn't a like. The user is the data's."""
     d = log.filter(F.col("event").isin(*SINGLE_EVENTS)).withColumn("j", F.from_json("data", S.CLIENT_SINGLE)).filter(P.is_client_post(F.col("j")))
-    d = d.withColumn("uid", F.coalesce("j.userId", "uid")).withColumn("post_id", F.col("j.post_id").try_cast("long")).filter(P.valid_ids("uid", "post_id"))
-    of = lambda flag: [e for e, f in SINGLE_EVENTS.items() if f == flag]
-    flags = {f: F.col("event").isin(*of(f)) if of(f) else F.lit(False) for f in FLAGS}
+    d = d.withColumn("uid", F.col("j.userId")).withColumn("post_id", F.col("j.post_id").try_cast("long")).filter(P.valid_ids("uid", "post_id"))
+    flags = {f: F.col("event").isin(*[e for e, g in SINGLE_EVENTS.items() if g == f]) if f in SINGLE_EVENTS.values() else F.lit(False) for f in FLAGS}
     flags["like"] = flags["like"] & (F.coalesce("j.action", F.lit("")) != "unlike")
-    zero = [F.lit(0.0).alias(n) for n in ("length", "standing_time", "progress_time", "playback_time")]
-    return d.select("event", "uid", "post_id", F.coalesce("j.author_id", F.lit(0)).alias("author"), F.col("j.rec_token").alias("rec_token"), F.col("j.post_type").alias("post_type"), *zero, *[v.alias(k) for k, v in flags.items()], "ts")
+    return d.select(
+        "event", "uid", "post_id", F.coalesce("j.author_id", F.lit(0)).alias("author"), F.col("j.rec_token").alias("rec_token"),
+        F.col("j.post_type").alias("post_type"), *_no_times(), *[v.alias(k) for k, v in flags.items()], "ts",
+    )
 
 
 def client_collects(log: DataFrame) -> DataFrame:
     """Collections: the source is the post, there is no token."""
-    d = log.filter(F.col("event") == "post_collect").withColumn("j", F.from_json("data", S.CLIENT_COLLECT)).filter(F.col("j.action_type") == 1)
-    d = d.withColumn("uid", F.coalesce("j.userId", "uid")).filter(P.valid_ids("uid", "j.source"))
-    zero = [F.lit(0.0).alias(n) for n in ("length", "standing_time", "progress_time", "playback_time")]
-    return d.select("event", "uid", F.col("j.source").alias("post_id"), F.lit(0).cast("long").alias("author"), F.lit("").alias("rec_token"), F.lit(None).cast("int").alias("post_type"), *zero, *[F.lit(f == "collect").alias(f) for f in FLAGS], "ts")
+    d = log.filter(F.col("event") == COLLECT).withColumn("j", F.from_json("data", S.CLIENT_COLLECT)).filter(F.col("j.action_type") == 1)
+    d = d.withColumn("uid", F.col("j.userId")).filter(P.valid_ids("uid", "j.source"))
+    return d.select(
+        "event", "uid", F.col("j.source").alias("post_id"), F.lit(0).cast("long").alias("author"), F.lit("").alias("rec_token"),
+        F.lit(None).cast("int").alias("post_type"), *_no_times(), *[F.lit(f == "collect").alias(f) for f in FLAGS], "ts",
+    )
 
 
 def client_posts(log: DataFrame) -> DataFrame:
@@ -124,24 +151,40 @@ def client_posts(log: DataFrame) -> DataFrame:
 
 def prompt_no(log: DataFrame) -> DataFrame:
     """Refusals of a prompt; the user is the envelope's, else the data's."""
-    d = log.filter(F.col("event") == "post_prompt_no").withColumn("j", F.from_json("data", S.CLIENT_PROMPT_NO))
-    d = d.withColumn("uid", F.coalesce(F.when(F.col("uid") > 0, F.col("uid")), F.col("j.userId").try_cast("long"))).withColumn("post_id", F.col("j.post_id").try_cast("long"))
-    return d.filter(P.valid_ids("uid", "post_id")).select("uid", "post_id", F.coalesce("j.rec_token", F.lit("")).alias("rec_token"), "ts")
+    d = log.filter(F.col("event") == PROMPT_NO).withColumn("j", F.from_json("data", S.CLIENT_PROMPT_NO))
+    uid = F.coalesce(F.when(F.col("uid") > 0, F.col("uid")), F.col("j.userId").try_cast("long"))
+    d = d.withColumn("uid", uid).withColumn("post_id", F.col("j.post_id").try_cast("long")).filter(P.valid_ids("uid", "post_id"))
+    return d.select("event", "uid", "post_id", F.coalesce("j.rec_token", F.lit("")).alias("rec_token"), "ts")
+
+
+def refusals_as_posts(refusals: DataFrame) -> DataFrame:
+    """Refusals in the columns of client posts, as not interested."""
+    flags = [F.lit(f == "uninterested").alias(f) for f in FLAGS]
+    return refusals.select("event", "uid", "post_id", F.lit(0).cast("long").alias("author"), "rec_token", F.lit(None).cast("int").alias("post_type"), *_no_times(), *flags, "ts")
 
 
 def client_to_views(posts: DataFrame, codes: dict[str, int] | None = None) -> DataFrame:
-    """Client events as feature events, their flags as interaction codes."""
-    k = S.CODES | {"paid": S.CODES["purchase"]} | (codes or {})
-    inter = F.array_compact(F.array(*[F.when(F.col(f), k[f]) for f in FLAGS if f in k]))
-    return posts.select("uid", "post_id", "author", "rec_token", F.when(F.col("event") == "post_exposure", "expose").otherwise("view").alias("kind"), "post_type", "standing_time", "progress_time", inter.cast("array<int>").alias("interactions"), "ts")
+    """Client events as feature events, their flags as interaction codes; a refused prompt has its own code besides
+    that of not interested."""
+    k = S.CLIENT_CODES | (codes or {})
+    marks = [F.when(F.col(f), k[f]) for f in k if f in FLAGS] + [F.when(F.col("uninterested") & (F.col("event") == PROMPT_NO), k["prompt_no"])]
+    kind = F.when(F.col("event") == EXPOSURE, "expose").otherwise("view")
+    inter = F.array_compact(F.array(*marks)).cast("array<int>")
+    return posts.select("uid", "post_id", "author", "rec_token", kind.alias("kind"), "post_type", "standing_time", "progress_time", inter.alias("interactions"), "ts")
 
 
 def live_events(log: DataFrame, names: tuple[str, ...] = LIVE_EVENTS) -> DataFrame:
-    """Events of live rooms by name; watch time is what the event measures, gift coins are price times count."""
-    d = log.filter(F.col("event").isin(*names)).withColumn("j", F.from_json("data", S.CLIENT_LIVE)).withColumn("uid", F.coalesce("j.uid", "uid")).filter(P.valid_ids("uid"))
-    return d.select("event", "uid", F.col("j.live_id").alias("live_id"), F.col("j.anchor_id").alias("anchor_id"), F.col("j.scene").alias("scene"), F.col("j.from_scene").alias("from_scene"),
-        F.coalesce(F.when(F.col("event") == "exit_liveroom", F.col("j.stay_duration")), F.col("j.watch_duration"), F.lit(0)).alias("watch"), F.coalesce(F.col("j.stay_duration"), F.lit(0)).alias("stay"),
-        (F.coalesce(F.col("j.gift_price"), F.lit(0)) * F.coalesce(F.col("j.gift_count"), F.lit(0))).cast("long").alias("coins"), F.coalesce("j.rec_token", F.lit("")).alias("rec_token"), "ts")
+    """Events of live rooms by name; ``watch`` is a view's watch time or an exit's stay, ``stay`` an exit's alone, and
+    coins are a gift's price times its count. User and anchor are the data's."""
+    d = log.filter(F.col("event").isin(*names)).withColumn("j", F.from_json("data", S.CLIENT_LIVE)).withColumn("uid", F.col("j.uid")).filter(P.valid_ids("uid", "j.anchor_id"))
+    of = lambda event, value: F.when(F.col("event") == event, F.coalesce(value, F.lit(0)))
+    stay = of("exit_liveroom", F.col("j.stay_duration"))
+    coins = of("liveroom_gift_send", F.col("j.gift_price") * F.col("j.gift_count")).cast("long")
+    return d.select(
+        "event", "uid", *[F.col(f"j.{n}").alias(n) for n in ("live_id", "anchor_id", "scene", "from_scene")],
+        F.coalesce(stay, of("live_view", F.col("j.watch_duration")), F.lit(0)).alias("watch"), F.coalesce(stay, F.lit(0)).alias("stay"),
+        F.coalesce(coins, F.lit(0)).alias("coins"), F.coalesce("j.rec_token", F.lit("")).alias("rec_token"), "ts",
+    )
 
 
 def live_watches(df: DataFrame, value: str = "value") -> DataFrame:
@@ -151,19 +194,32 @@ def live_watches(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def feedback(events: DataFrame, short: float = 3.0, long: float = 10.0) -> DataFrame:
-    """Views as feedback: report and not-interested each count; a view shorter than ``short`` without either is
-    short; one of ``long`` seconds or more is positive. A view can yield several."""
+    """Views as feedback: report and not-interested each count; one played for less than ``short`` (but above 0)
+    without either is short; one played for ``long`` seconds or more is positive. A view can yield several."""
     has = lambda n: F.array_contains("interactions", S.CODES[n])
-    bad = has("report") | has("uninterested")
-    kinds = F.array_compact(F.array(F.when(has("report"), F.lit("report")), F.when(has("uninterested"), F.lit("uninterested")), F.when(~bad & (F.col("standing_time") < short), F.lit("short")), F.when(F.col("standing_time") >= long, F.lit("positive"))))
-    return events.filter(F.col("kind") == "view").select("uid", "post_id", "author", "standing_time", "ts", F.explode(kinds).alias("feedback"))
+    played = F.col("progress_time")
+    kinds = F.array_compact(F.array(
+        F.when(has("report"), F.lit("report")),
+        F.when(has("uninterested"), F.lit("uninterested")),
+        F.when(~has("report") & ~has("uninterested") & (played > 0) & (played < short), F.lit("short")),
+        F.when(played >= long, F.lit("positive")),
+    ))
+    return events.filter(F.col("kind") == "view").select("uid", "post_id", "author", "progress_time", "ts", F.explode(kinds).alias("feedback"))
 
 
-def interaction_flags(events: DataFrame, long_view: float = 10.0) -> DataFrame:
-    """Feature events with a flag for each scored action."""
-    has = lambda n: F.array_contains("interactions", n)
-    k = S.CODES
+def short_views(events: DataFrame, short: float = 3.0) -> DataFrame:
+    """Short views whatever their interactions, as feedback."""
+    played = F.col("progress_time")
+    return events.filter((F.col("kind") == "view") & (played > 0) & (played < short)).select("uid", "post_id", "author", "progress_time", "ts", F.lit("short").alias("feedback"))
+
+
+def interaction_flags(events: DataFrame, long_play: float = 3.0, long_stand: float = 5.0) -> DataFrame:
+    """Feature events with a flag for each scored action. A long view is one played or stood at for long; downloads and
+    forwards have no code here."""
+    has = lambda n: F.array_contains("interactions", S.CODES[n])
     return events.withColumns({
-        "click": F.col("kind") == "view", "long_view": (F.col("kind") == "view") & (F.col("progress_time") >= long_view), "like": has(k["like"]), "follow": has(k["follow"]), "profile": has(k["profile"]),
-        "favorite": has(k["collect"]), "comment": has(k["comment"]), "share": has(k["share"]), "download": has(k["download"]), "forward": F.lit(False),
+        "click": F.col("kind") == "view",
+        "long_view": (F.col("progress_time") >= long_play) | (F.col("standing_time") >= long_stand),
+        "like": has("like"), "follow": has("follow"), "profile": has("profile"), "favorite": has("collect"), "comment": has("comment"), "share": has("share"),
+        "download": F.lit(False), "forward": F.lit(False),
     })

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import c
@@ -65,42 +66,93 @@ def windowed(df: DataFrame, keys: list[str], size: str, slide: str | None, aggs:
     return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
 
 
-def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
-    """``keys``, window_end (timestamp), aggregates, as :func:`windowed` would give them. ``slide_s`` divides ``size_s``."""
+def panes_in(size_s: int, slide_s: int) -> int:
     if size_s % slide_s:
         raise ValueError("the slide must divide the size")
-    pane = F.floor(F.unix_micros(c(ts)) / F.lit(slide_s * 1_000_000)).cast("long")
-    panes = df.groupBy(*keys, pane.alias("_pane")).agg(*[a.partial.alias(n) for n, a in aggs.items()])
-    spread = panes.withColumn("_end", F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + size_s // slide_s)))
-    out = spread.groupBy(*keys, "_end").agg(*[a.merged(n).alias(n) for n, a in aggs.items()])
-    done = [(F.coalesce(F.hll_sketch_estimate(n), F.lit(0)) if a.finish == "hll" else F.col(n)).alias(n) for n, a in aggs.items()]
+    return size_s // slide_s
+
+
+def pane_of(ts, slide_s: int) -> Column:
+    """Number of the pane, a stretch of one slide, that holds the time."""
+    return F.floor(F.unix_micros(c(ts)) / F.lit(slide_s * 1_000_000)).cast("long")
+
+
+def chunked(panes: DataFrame, n: int) -> DataFrame:
+    """Pane rows (``_pane``) with ``_chunk``: the windows ending at panes c * n to c * n + n - 1 are chunk c, and a pane
+    lies in windows of at most two chunks. So what a window needs is in its chunk, and rows are copied twice, not n
+    times, before they are shuffled."""
+    first, last = F.floor((F.col("_pane") + 1) / F.lit(n)), F.floor((F.col("_pane") + n) / F.lit(n))
+    return panes.withColumn("_chunk", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+
+
+def chunk_ends(n: int) -> Column:
+    """Ends of the pane's windows in its chunk, in slides."""
+    low = F.greatest(F.col("_pane") + 1, F.col("_chunk") * n)
+    return F.explode(F.sequence(low, F.least(F.col("_pane") + n, F.col("_chunk") * n + (n - 1))))
+
+
+def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
+    """``keys``, window_end (timestamp), aggregates, as :func:`windowed` would give them. ``slide_s`` divides ``size_s``.
+    Panes are shuffled by key and chunk; copies into windows are made and merged behind that shuffle."""
+    n = panes_in(size_s, slide_s)
+    panes = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane")).agg(*[a.partial.alias(x) for x, a in aggs.items()])
+    spread = chunked(panes, n).repartition(*keys, "_chunk").withColumn("_end", chunk_ends(n))
+    out = spread.groupBy(*keys, "_chunk", "_end").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
+    done = [(F.coalesce(F.hll_sketch_estimate(x), F.lit(0)) if a.finish == "hll" else F.col(x)).alias(x) for x, a in aggs.items()]
     return out.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
 
 
+def list_windows(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ident: str, order: Column, k: Column | int, most: int, ts: str = "ts") -> DataFrame:
+    """``keys``, window_end, items: for each sliding window the ``k`` (at most ``most``) ids of largest ``order``, ties to
+    smaller ids, as an array of (id, value). ``order`` is a long or double, or a struct whose first field is one; an id
+    counts with its largest.
+
+    An id is among a window's first k only if it is among the first k of one of its panes, so panes keep ``most`` rows of
+    a key. A chunk of windows then holds at most 2 * ``most`` * panes rows of a key in one array, and each window takes its
+    part of the sorted array: no row is copied into windows."""
+    n = panes_in(size_s, slide_s)
+    best = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane"), F.col(ident).alias("id")).agg(F.max(order).alias("value"))
+    rank = F.row_number().over(W.partitionBy(*keys, "_pane").orderBy(F.desc("value"), "id"))
+    few = best.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")
+    entry = F.struct(F.col("value"), (-F.col("id")).alias("m"), F.col("_pane").alias("p"))
+    per = chunked(few, n).groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
+    per = per.withColumn("_end", F.explode(F.sequence(F.col("_chunk") * n, F.col("_chunk") * n + (n - 1))))
+    # a generator each, so that Spark doesn't write one expression into the next
+    mine = F.filter("_all", lambda x: (x["p"] >= F.col("_end") - n) & (x["p"] < F.col("_end")))
+    per = per.withColumn("_mine", F.explode(F.array(mine))).filter(F.size("_mine") > 0)
+    per = per.withColumn("_ids", F.transform("_mine", lambda x: x["m"]))
+    first = F.slice(F.array_distinct("_ids"), 1, k)
+    items = F.transform(first, lambda m: F.struct((-m).alias("id"), F.element_at("_mine", F.array_position("_ids", m).cast("int"))["value"].alias("value")))
+    return per.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), items.alias("items"))
+
+
 def seconds(text: str) -> int:
     """Seconds of ``10 minutes`` and the like."""
     n, unit = text.split()
     return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
-def distinct_windows(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts") -> DataFrame:
+def distinct_windows(
+    df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts", sums: dict[str, Column] | None = None
+) -> DataFrame:
     """Exact distinct counts of one column under many conditions, as :func:`windowed` with ``count_distinct(when(..))``
-    gives them. A value's conditions are bits of one mask, united by pane and then by window, and bits are summed: a
-    row for each value and window, where Spark's own plan would make a row for each condition too. Batches only;
-    ``slide`` divides ``size``."""
+    gives them, and ``sums``. A value's conditions are bits of one mask, united by pane and then by window, and bits are
+    summed: a row for each value and window, where Spark's own plan would make a row for each condition too. Rows are
+    shuffled by key and value before they are copied into windows. Batches only; ``slide`` divides ``size``."""
     size_s, slide_s = seconds(size), seconds(slide)
-    if size_s % slide_s:
-        raise ValueError("the slide must divide the size")
+    n, extra = panes_in(size_s, slide_s), sums or {}
     mask = F.lit(0).cast("long")
     for i, cond in enumerate(conds.values()):
         mask = mask + F.when(cond & F.col(value).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0)
-    pane = F.floor(F.unix_micros(c(ts)) / F.lit(slide_s * 1_000_000)).cast("long")
-    panes = df.groupBy(*keys, pane.alias("_pane"), F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"))
-    ends = panes.withColumn("_end", F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + size_s // slide_s)))
-    each = ends.groupBy(*keys, "_end", "_v").agg(F.bit_or("_mask").alias("_mask"))
-    out = each.groupBy(*keys, "_end").agg(*[F.sum(F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))).alias(n) for i, n in enumerate(conds)])
+    added = [F.sum(x).alias(name) for name, x in extra.items()]
+    again = [F.sum(name).alias(name) for name in extra]
+    panes = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane"), F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"), *added)
+    ends = panes.repartition(*keys, "_v").withColumn("_end", F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)))
+    each = ends.groupBy(*keys, "_v", "_end").agg(F.bit_or("_mask").alias("_mask"), *again)
+    bit = lambda i: F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))
+    out = each.groupBy(*keys, "_end").agg(*[F.sum(bit(i)).alias(name) for i, name in enumerate(conds)], *again)
     end = F.timestamp_seconds(F.col("_end") * slide_s)
-    return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds)
+    return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds, *extra)
 
 
 def sessions(df: DataFrame, keys: list[str], gap: str, aggs: dict[str, Column], ts: str = "ts") -> DataFrame:
@@ -112,8 +164,6 @@ def sessions(df: DataFrame, keys: list[str], gap: str, aggs: dict[str, Column],
 
 def first_events(df: DataFrame, keys: list[str], n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows of each key in order: a cap against very busy keys, taken before the shuffle too."""
-    from pyspark.sql import Window as W
-
     r = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_r", r).filter(F.col("_r") <= n).drop("_r")
 

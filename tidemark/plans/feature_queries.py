@@ -8,11 +8,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
+from tidemark.operators import aggregates as A
 from tidemark.operators import cf, filters, joins, labels, parse, skew, topk
 from tidemark.operators import windows as T
-from tidemark.plans.domain import EV, LIVE, TAGS, events, live, post_events, tags, windows_sql
+from tidemark.plans.domain import EV, LIVE, TAGS, acted_sql, events, has_sql, live, tags, windows_sql
+from tidemark.plans.window_queries import fixed, fixed_sql
 from tidemark.sources import kv
-from tidemark.streaming import stateful, steps
 
 def _sec():
     return F.unix_seconds("ts")
@@ -42,7 +43,7 @@ def parsed_feature_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 PARSED_SQL = f"""WITH {EV} SELECT uid, post_id, CASE kind WHEN 'view' THEN author ELSE 0 END AS author, rec_token, kind, CASE kind WHEN 'view' THEN post_type ELSE 0 END AS post_type,
-  CASE kind WHEN 'view' THEN CAST(floor(CAST(CAST(progress_time AS FLOAT) AS DOUBLE) * 10 + 0.5) AS BIGINT) ELSE 0 END AS progress, CASE WHEN kind = 'view' AND code IS NOT NULL THEN CAST(code AS VARCHAR) ELSE '' END AS interactions, epoch_us(ts) // 1000000 AS sec FROM ev WHERE uid > 0"""
+  CASE kind WHEN 'view' THEN CAST(floor(CAST(CAST(progress_time AS FLOAT) AS DOUBLE) * 10 + 0.5) AS BIGINT) ELSE 0 END AS progress, coalesce(array_to_string(codes, ','), '') AS interactions, epoch_us(ts) // 1000000 AS sec FROM ev WHERE uid > 0"""
 
 
 def exposure_device_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -95,43 +96,81 @@ def _log(e: DataFrame, name, data) -> DataFrame:
     return e.select(F.to_json(F.struct(F.lit(1).alias("event_type"), body.alias("user_event_log"))).alias("value"))
 
 
-def parsed_client_posts(spark: SparkSession, d: str) -> DataFrame:
-    """Client logs of all families, with likes taken back and items that don't count, as flagged rows."""
-    e = post_events(spark, d).withColumn("k", F.col("post_id") - 1)
-    one = F.struct(F.col("uid").alias("userId"), F.col("post_id").cast("string").alias("post_id"), F.lit(1).alias("item_type"), F.lit(1).alias("post_type"), (F.col("k") % 2 + 1).cast("int").alias("exposed_pos"), "rec_token", F.col("author").alias("author_id"), F.when(F.col("k") % 3 == 0, "unlike").otherwise("like").alias("action"))
-    item = F.struct(F.col("post_id").cast("string").alias("post_id"), F.lit(1).alias("item_type"), F.lit(2).alias("post_type"), F.lit(2).alias("exposed_pos"), "rec_token", "length", "standing_time", "progress_time", "playback_time", "author")
-    liked, followed = e.filter("like"), e.filter("follow")
-    rest = e.filter("not like and not follow and not report")
-    reported = e.filter("report")
-    log = parse.client_log(_texts(
-        _log(liked, F.lit("post_like"), F.to_json(one)), _log(followed, F.lit("post_follow"), F.to_json(one)), _log(rest, F.lit("video_play_duration"), F.to_json(F.struct(F.col("uid").alias("userId"), F.array(item).alias("list")))),
-        _log(reported, F.lit("post_collect"), F.to_json(F.struct(F.col("uid").alias("userId"), F.col("post_id").alias("source"), (F.col("k") % 2).cast("int").alias("action_type")))), _log(reported, F.lit("post_like"), F.lit("null")),
+#: Client events by the first interaction code of an event; all other events are plays.
+_SINGLES = {1: "postLikeButtonClicked", 3: "postCommentSucceed", 6: "postShare", 13: "postFollow", 15: "postClickNickname", 7: "postReportClick", 11: "postUninterestedClick", 10: "post_paid_unlock_entry_show"}
+_CLIENT_FLAGS = {"like": "postLikeButtonClicked", "comment": "postCommentSucceed", "share": "postShare", "follow": "postFollow", "profile": "postClickNickname", "report": "postReportClick", "uninterested": "postUninterestedClick", "paid": "post_paid_unlock_entry_show"}
+
+
+def _client_log(spark: SparkSession, d: str) -> DataFrame:
+    """Client logs of all families, with likes taken back, items that don't count and empty data."""
+    e = events(spark, d).withColumn("first", F.get("interactions", F.lit(0)))
+    k = F.col("k")
+    one = F.struct(
+        F.col("uid").alias("userId"), F.col("post_id").cast("string").alias("post_id"), F.lit(1).alias("item_type"), F.lit(1).alias("post_type"), (k % 7 % 2 + 1).cast("int").alias("exposed_pos"),
+        "rec_token", F.col("author").alias("author_id"), F.when(k % 4 == 0, "unlike").otherwise("like").alias("action"),
+    )
+    item = F.struct(
+        F.col("post_id").cast("string").alias("post_id"), F.lit(1).alias("item_type"), F.lit(2).alias("post_type"), F.lit(2).alias("exposed_pos"), "rec_token", F.lit(100.0).alias("length"),
+        "standing_time", "progress_time", F.col("progress_time").alias("playback_time"), "author",
+    )
+    name = F.lit(None)
+    for code, n in _SINGLES.items():
+        name = F.when(F.col("first") == code, n).otherwise(name)
+    listed = lambda field: F.to_json(F.struct(F.col("uid").alias("userId"), F.array(item).alias(field)))
+    collect = F.to_json(F.struct(F.col("uid").alias("userId"), F.col("post_id").alias("source"), (k % 4 == 2).cast("int").alias("action_type")))
+    plays = e.filter(F.col("first").isNull() & (F.col("kind") == "view"))
+    return parse.client_log(_texts(
+        _log(e, name, F.to_json(one)), _log(e.filter("first = 5"), F.lit(parse.COLLECT), collect), _log(e.filter("first = 9"), F.lit("postShare"), F.lit("null")),
+        _log(e.filter("kind = 'expose'"), F.lit(parse.EXPOSURE), listed("posts")), _log(plays, F.when(k % 2 == 0, parse.VIDEO).otherwise(parse.IMAGE), listed("list")),
     ))
-    p = parse.client_posts(log)
-    return p.select("event", "uid", "post_id", "author", "rec_token", "like", "follow", "collect", F.round("progress_time", 2).alias("progress_time"), F.unix_millis("ts").alias("ms"))
 
 
-CLIENT_SQL = f"""WITH {EV}, x AS (SELECT *, epoch_us(ts) // 1000 AS ms FROM ev)
-SELECT 'post_like' AS event, uid, post_id, author, rec_token, k % 3 <> 0 AS "like", false AS follow, false AS collect, 0.0::DOUBLE AS progress_time, ms FROM x WHERE uid > 0 AND code = 1 AND k % 2 = 1
-UNION ALL SELECT 'post_follow', uid, post_id, author, rec_token, false, true, false, 0.0, ms FROM x WHERE uid > 0 AND code = 13 AND k % 2 = 1
-UNION ALL SELECT 'video_play_duration', uid, post_id, author, rec_token, false, false, false, round(progress_time, 2), ms FROM x WHERE uid > 0 AND code IS NULL
-UNION ALL SELECT 'post_collect', uid, post_id, 0, '', false, false, true, 0.0, ms FROM x WHERE uid > 0 AND code = 7 AND k % 2 = 1"""
+def parsed_client_posts(spark: SparkSession, d: str) -> DataFrame:
+    p = parse.client_posts(_client_log(spark, d))
+    rounded = [fixed(n, 2).alias(n) for n in ("length", "standing_time", "progress_time", "playback_time")]
+    return p.select("event", "uid", "post_id", "author", "rec_token", *rounded, *[f for f in parse.FLAGS if f != "complete"], F.unix_millis("ts").alias("ms"))
+
+
+def _client_row(event: str, where: str, author: str = "author", token: str = "rec_token", times: tuple[str, ...] = ("0.0", "0.0", "0.0", "0.0"), **flags: str) -> str:
+    names = ("length", "standing_time", "progress_time", "playback_time")
+    shown = ", ".join(f"{fixed_sql(x, 2)} AS {n}" for n, x in zip(names, times))
+    marks = ", ".join(f'{flags.get(f, "false")} AS "{f}"' for f in parse.FLAGS if f != "complete")
+    return f"SELECT {event} AS event, uid, post_id, {author} AS author, {token} AS rec_token, {shown}, {marks}, ms, k FROM x WHERE uid > 0 AND {where}"
+
+
+_FIRST = "coalesce(codes[1], 0)"
+CLIENT_ROWS = f"{EV}, x AS (SELECT *, epoch_us(ts) // 1000 AS ms FROM ev), cp AS (" + " UNION ALL ".join([
+    *[_client_row(f"'{n}'", f"{_FIRST} = {code} AND k % 7 % 2 = 1", **{f: "k % 4 <> 0" if f == "like" else "true" for f, m in _CLIENT_FLAGS.items() if m == n}) for code, n in _SINGLES.items()],
+    _client_row(f"'{parse.COLLECT}'", f"{_FIRST} = 5 AND k % 4 = 2", "0", "''", collect="true"),
+    _client_row(f"'{parse.EXPOSURE}'", "kind = 'expose'", "0", times=("100.0", "0.0", "0.0", "0.0")),
+    _client_row(f"CASE WHEN k % 2 = 0 THEN '{parse.VIDEO}' ELSE '{parse.IMAGE}' END", f"kind = 'view' AND {_FIRST} = 0",
+                times=("100.0", "standing_time", "progress_time", "CASE WHEN k % 2 = 0 THEN progress_time ELSE 0.0 END")),
+]) + ")"
+CLIENT_SQL = f"WITH {CLIENT_ROWS} SELECT * EXCLUDE (k) FROM cp"
 
 
 def client_views(spark: SparkSession, d: str) -> DataFrame:
-    """Flagged client events as views with interaction codes."""
-    e = post_events(spark, d).withColumn("event", F.lit("post_like")).withColumn("post_type", F.lit(1))
-    v = parse.client_to_views(e)
-    return v.select("uid", "post_id", "kind", F.array_join(F.transform("interactions", lambda x: x.cast("string")), ",").alias("codes"), F.unix_micros("ts").alias("us"))
+    """Client events and refused prompts as views with interaction codes."""
+    log = _client_log(spark, d).unionByName(parse.client_log(_refusal_log(spark, d)))
+    v = parse.client_to_views(joins.unite(parse.client_posts(log), parse.refusals_as_posts(parse.prompt_no(log))))
+    return v.select("uid", "post_id", "author", "kind", F.array_join(F.transform("interactions", lambda x: x.cast("string")), ",").alias("codes"), F.unix_millis("ts").alias("ms"))
 
 
-CLIENT_VIEWS_SQL = f"WITH {EV} SELECT uid, post_id, 'view' AS kind, CASE WHEN code IS NULL THEN '' ELSE CAST(code AS VARCHAR) END AS codes, epoch_us(ts) AS us FROM ev"
+_VIEW_CODES = {"like": 1, "comment": 3, "share": 5, "collect": 6, "paid": 10, "follow": 13, "profile": 15, "report": 11, "uninterested": 7}
+CLIENT_VIEWS_SQL = f"""WITH {CLIENT_ROWS}
+SELECT uid, post_id, author, CASE WHEN event = '{parse.EXPOSURE}' THEN 'expose' ELSE 'view' END AS kind,
+  array_to_string(list_filter([{", ".join(f'CASE WHEN "{f}" THEN {code} END' for f, code in _VIEW_CODES.items())}], lambda c: c IS NOT NULL), ',') AS codes, ms FROM cp
+UNION ALL SELECT CASE WHEN k % 2 = 0 OR uid = 0 THEN author + 1000 ELSE uid END, post_id, 0, 'view', '7,18', epoch_us(ts) // 1000 FROM ev WHERE event_type = 'error'"""
 
 
-def prompt_refusals(spark: SparkSession, d: str) -> DataFrame:
+def _refusal_log(spark: SparkSession, d: str) -> DataFrame:
     e = events(spark, d).filter(F.col("event_type") == "error")
-    raw = _log(e.withColumn("uid", F.when(F.col("k") % 2 == 0, F.lit(0)).otherwise(F.col("uid"))), F.lit("post_prompt_no"), F.to_json(F.struct((F.col("author") + 1000).cast("string").alias("userId"), F.col("post_id").cast("string").alias("post_id"))))
-    p = parse.prompt_no(parse.client_log(raw))
+    data = F.to_json(F.struct((F.col("author") + 1000).cast("string").alias("userId"), F.col("post_id").cast("string").alias("post_id")))
+    return _log(e.withColumn("uid", F.when(F.col("k") % 2 == 0, F.lit(0)).otherwise(F.col("uid"))), F.lit(parse.PROMPT_NO), data)
+
+
+def prompt_refusals(spark: SparkSession, d: str) -> DataFrame:
+    p = parse.prompt_no(parse.client_log(_refusal_log(spark, d)))
     return p.select("uid", "post_id", "rec_token", F.unix_millis("ts").alias("ms"))
 
 
@@ -139,15 +178,17 @@ PROMPT_SQL = f"WITH {EV} SELECT CASE WHEN k % 2 = 0 OR uid = 0 THEN author + 100
 
 
 def parsed_live_events(spark: SparkSession, d: str) -> DataFrame:
-    """Live rooms' events with the scene that counts."""
+    """Live rooms' events with the scene that counts; every event carries all fields, of which each kind reads its own."""
     e = live(spark, d)
-    data = F.to_json(F.struct("uid", "live_id", "anchor_id", "scene", "from_scene", F.col("watch").alias("watch_duration"), F.col("stay").alias("stay_duration"), F.lit(2).alias("gift_price"), F.when(F.col("event") == "liveroom_gift_send", F.col("watch")).otherwise(0).cast("int").alias("gift_count")))
+    data = F.to_json(F.struct("uid", "live_id", F.when(F.col("live_id") % 50 > 0, F.col("anchor_id")).otherwise(0).alias("anchor_id"), "scene", "from_scene", (F.col("event_id") % 40).alias("watch_duration"), (F.col("event_id") % 60).alias("stay_duration"), F.lit(2).alias("gift_price"), (F.col("event_id") % 9).cast("int").alias("gift_count")))
     p = parse.live_events(parse.client_log(_log(e, F.col("event"), data)))
-    return p.filter(filters.in_scene("event")).select("event", "uid", "live_id", "anchor_id", filters.scene_of("event").alias("scene"), "watch", "coins", F.unix_millis("ts").alias("ms"))
+    return p.filter(filters.in_scene("event")).select("event", "uid", "live_id", "anchor_id", filters.scene_of("event").alias("scene"), "watch", "stay", "coins", F.unix_millis("ts").alias("ms"))
 
 
 LIVE_SQL = f"""WITH {LIVE}, x AS (SELECT *, CASE WHEN event IN ('enter_liveroom', 'exit_liveroom') THEN from_scene ELSE scene END AS sc FROM live)
-SELECT event, uid, live_id, anchor_id, sc AS scene, watch, coins, epoch_us(ts) // 1000 AS ms FROM x WHERE uid > 0 AND sc IN (1, 3, 4, 5)"""
+SELECT event, uid, live_id, anchor_id, sc AS scene, CASE event WHEN 'live_view' THEN event_id % 40 WHEN 'exit_liveroom' THEN event_id % 60 ELSE 0 END AS watch,
+  CASE event WHEN 'exit_liveroom' THEN event_id % 60 ELSE 0 END AS stay, CASE event WHEN 'liveroom_gift_send' THEN 2 * (event_id % 9) ELSE 0 END AS coins, epoch_us(ts) // 1000 AS ms
+FROM x WHERE uid > 0 AND live_id % 50 > 0 AND sc IN (1, 3, 4, 5)"""
 
 
 def parsed_live_watches(spark: SparkSession, d: str) -> DataFrame:
@@ -163,8 +204,11 @@ def view_feedback(spark: SparkSession, d: str) -> DataFrame:
     return parse.feedback(events(spark, d)).select("uid", "post_id", "feedback", F.unix_micros("ts").alias("us"))
 
 
-FEEDBACK_SQL = f"""WITH {EV}, v AS (SELECT uid, post_id, epoch_us(ts) AS us, coalesce(code, 0) AS code, standing_time AS s FROM ev WHERE kind = 'view')
-SELECT uid, post_id, 'report' AS feedback, us FROM v WHERE code = 7 UNION ALL SELECT uid, post_id, 'short', us FROM v WHERE code NOT IN (7, 11) AND s < 3 UNION ALL SELECT uid, post_id, 'positive', us FROM v WHERE s >= 10"""
+#: ``fb``: uid, post_id, author, feedback, us of views.
+FB = f"""v AS (SELECT uid, post_id, author, epoch_us(ts) AS us, codes, progress_time AS p FROM ev WHERE kind = 'view'),
+fb AS (SELECT uid, post_id, author, 'report' AS feedback, us FROM v WHERE {has_sql(7)} UNION ALL SELECT uid, post_id, author, 'uninterested', us FROM v WHERE {has_sql(11)}
+  UNION ALL SELECT uid, post_id, author, 'short', us FROM v WHERE NOT {has_sql(7, 11)} AND p > 0 AND p < 3 UNION ALL SELECT uid, post_id, author, 'positive', us FROM v WHERE p >= 10)"""
+FEEDBACK_SQL = f"WITH {EV}, {FB} SELECT uid, post_id, feedback, us FROM fb"
 
 
 def scalar_values(spark: SparkSession, d: str) -> DataFrame:
@@ -173,18 +217,19 @@ def scalar_values(spark: SparkSession, d: str) -> DataFrame:
     rec = X.label_record(F.lit("u_ylevel_mid"), F.array("post_id", "author"), F.unix_millis("ts"))
     return e.select(
         "event_id", X.sensitivity_tag("tags").alias("tag"), X.prioritized_tag("tags").alias("prior"), X.tag_level(X.sensitivity_tag("tags")).alias("level"), F.round(X.half_life("progress_time", F.col("k") / 4, 6), 6).alias("decayed"),
-        F.round(X.net_weight(F.col("k") / 10 - 5), 6).alias("weight"), X.step_decay(F.col("k") * 10, F.col("author")).alias("step"), F.unix_seconds(X.next_local_hour("ts")).alias("next20"), X.cooldown_days(F.when(F.col("k") % 2 == 0, "block").otherwise("no_zone"), (F.col("k") % 5).cast("int")).alias("days"),
+        F.round(X.net_weight(F.col("k") / 10 - 5), 6).alias("weight"), F.round(X.net_from_weight(F.col("k") / 49), 6).alias("net"), X.step_decay(F.col("k") * 10, F.col("author")).alias("step"), F.unix_seconds(X.next_local_hour("ts")).alias("next20"), X.cooldown_days(F.when(F.col("k") % 2 == 0, "block").otherwise("no_zone"), (F.col("k") % 5).cast("int")).alias("days"),
         X.flow_value(X.flow_text("v5", stage=F.lit("stable"), n="k"), "n").alias("flow"), rec.alias("record"), F.size(X.parse_label_record(rec)["ids"]).alias("n_ids"), X.feature_key("rec:user_feature:{", "uid", "}:post1h").alias("key"),
-        F.array_join(F.transform(X.history_ids(F.when(F.col("k") % 2 == 0, F.format_string("[%d, \"7\"]", "k")).otherwise(F.format_string("%d|9,7|3,x", F.col("k")))), lambda x: x.cast("string")), ",").alias("history"),
+        F.array_join(F.transform(X.history_ids(F.when(F.col("k") % 2 == 0, F.format_string('[{"itemId":%d,"ts":%d,"weight":1.5},{"item_id":"7"},{"ts":1}]', F.col("k"), F.col("k") % 3)).otherwise(F.format_string("%d|9,7|3,x", F.col("k")))), lambda x: x.cast("string")), ",").alias("history"),
     )
 
 
-SCALAR_SQL = f"""WITH {EV}, {TAGS}, j AS (SELECT ev.*, t.tag, t.content_tag, (k / 10.0 - 5)::DOUBLE AS net, (epoch_us(ts) // 1000000) + 19800 AS ist FROM ev JOIN tags t ON ev.post_id = t.post_id)
+SCALAR_SQL = f"""WITH {EV}, {TAGS}, j AS (SELECT ev.*, t.tag, t.content_tag, (k / 10.0 - 5)::DOUBLE AS net, (k / 49.0)::DOUBLE AS wt, (epoch_us(ts) // 1000000) + 19800 AS ist FROM ev JOIN tags t ON ev.post_id = t.post_id)
 SELECT event_id, tag, CASE tag WHEN 'explicit' THEN 'restricted#explicit' ELSE content_tag END AS prior, CASE tag WHEN 'explicit' THEN 3 WHEN 'high' THEN 2 WHEN 'mid' THEN 1 ELSE 0 END AS level, round(progress_time * pow(0.5, k / 4.0 / 6), 6) AS decayed,
-  round(CASE WHEN net > 0 THEN 1 + 1 / (1 + exp(-net)) WHEN net < 0 THEN 1 / (1 + exp(net)) ELSE 1.0 END, 6) AS weight, CAST(floor(k * 10 * pow(0.96, author / 2.0) + 0.5) AS BIGINT) AS step,
+  round(CASE WHEN net > 0 THEN 1 + 1 / (1 + exp(-net)) WHEN net < 0 THEN 1 / (1 + exp(net)) ELSE 1.0 END, 6) AS weight,
+  round(CASE WHEN wt > 1 AND wt <= 2 THEN CASE WHEN wt - 1 > 0.01 AND wt - 1 < 0.99 THEN -ln(1 / (wt - 1) - 1) ELSE 3.0 END WHEN wt >= 0 AND wt < 1 THEN CASE WHEN wt > 0.01 AND wt < 0.99 THEN ln(1 / wt - 1) ELSE -3.0 END ELSE 0.0 END, 6) AS net, CAST(floor(k * 10 * pow(0.96, author / 2.0) + 0.5) AS BIGINT) AS step,
   CASE WHEN ist % 86400 < 72000 THEN ist - ist % 86400 + 72000 ELSE ist - ist % 86400 + 72000 + 86400 END - 19800 AS next20,
   CASE WHEN k % 2 = 0 THEN [1, 1, 3, 7, 7][CAST(k % 5 + 1 AS INTEGER)] ELSE [3, 3, 7, 14, 14][CAST(k % 5 + 1 AS INTEGER)] END AS days, CAST(k AS VARCHAR) AS flow,
-  concat('u_ylevel_mid|', least(post_id, author), ',', greatest(post_id, author), '|', epoch_us(ts) // 1000) AS record, 2 AS n_ids, 'rec:user_feature:{{' || uid || '}}:post1h' AS key, CASE WHEN k = 0 THEN '7' ELSE concat(k, ',7') END AS history FROM j"""
+  concat('u_ylevel_mid|', least(post_id, author), ',', greatest(post_id, author), '|', epoch_us(ts) // 1000) AS record, 2 AS n_ids, 'rec:user_feature:{{' || uid || '}}:post1h' AS key, CASE WHEN k = 0 OR k = 7 THEN '7' ELSE concat(k, ',7') END AS history FROM j"""
 
 
 def tagged_views(spark: SparkSession, d: str) -> DataFrame:
@@ -193,11 +238,10 @@ def tagged_views(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tag_lookup(spark: SparkSession, d: str) -> DataFrame:
-    some = tags(spark, d).filter(F.col("post_id") % 3 > 0)
-    return joins.with_tags(events(spark, d), some, X.sensitivity_tag).groupBy("uid", "tag").agg(F.count("*").alias("n"))
+    return joins.with_tags(events(spark, d), tags(spark, d), X.sensitivity_tag).groupBy("uid", "tag").agg(F.count("*").alias("n"))
 
 
-LOOKUP_SQL = f"WITH {EV}, {TAGS} SELECT uid, CASE WHEN ev.post_id % 3 > 0 THEN tag ELSE 'unk' END AS tag, count(*) AS n FROM ev JOIN tags USING (post_id) GROUP BY ALL"
+LOOKUP_SQL = f"WITH {EV}, {TAGS} SELECT uid, tag, count(*) AS n FROM ev JOIN tags USING (post_id) GROUP BY ALL"
 
 
 def user_type_lookup(spark: SparkSession, d: str) -> DataFrame:
@@ -221,14 +265,18 @@ SELECT uid, anchor_id, end_us, 1 AS flag FROM s WHERE watched > 15 AND anchor_id
 
 
 def cohort_interactions(spark: SparkSession, d: str) -> DataFrame:
-    """Interactions within 48 hours of the first exposure of a post."""
+    """The eleven counters of a post over the 48 hours from its first exposure on."""
     e = events(spark, d)
     starts = e.filter(F.col("kind") == "expose").groupBy("post_id").agg(F.min("ts").alias("start_ts"))
-    return joins.within_start(e.filter(F.col("kind") == "view"), starts).groupBy("post_id").agg(F.count("*").alias("views"), F.count_distinct("uid").alias("users"), F.count_if(F.array_contains("interactions", 1)).alias("likes"))
+    c = A.item_cohorts(e, starts)
+    return c.select(*[n for n in c.columns if not n.endswith("_ts")], F.unix_micros("emit_ts").alias("emit_us"))
 
 
+_ITEM = {"expose": "kind = 'expose'"} | {f"view_{n}s": f"kind = 'view' AND progress_time >= {n}" for n in A.VIEW_STEPS} | {f"stand_{n}s": f"kind = 'view' AND standing_time >= {n}" for n in A.STAND_STEPS}
+_ITEM |= {"like": acted_sql(1), "follow": acted_sql(13), "profile": acted_sql(15), "interact": acted_sql(3, 5, 6)}
 COHORT_SQL = f"""WITH {EV}, s AS (SELECT post_id, min(ts) AS t0 FROM ev WHERE kind = 'expose' GROUP BY post_id)
-SELECT ev.post_id, count(*) AS views, count(DISTINCT uid) AS users, count(*) FILTER (WHERE code = 1) AS likes FROM ev JOIN s ON ev.post_id = s.post_id WHERE kind = 'view' AND ts >= t0 AND ts <= t0 + INTERVAL 48 HOURS GROUP BY ev.post_id"""
+SELECT ev.post_id, epoch_us(t0) + 172800000000 AS emit_us, {", ".join(f'count(DISTINCT CASE WHEN {c} THEN rec_token END) AS "{n}"' for n, c in _ITEM.items())}
+FROM ev JOIN s ON ev.post_id = s.post_id WHERE ts >= t0 AND ts <= t0 + INTERVAL 48 HOURS GROUP BY ev.post_id, t0"""
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
@@ -241,7 +289,7 @@ def user_history(spark: SparkSession, d: str) -> DataFrame:
     return _history(spark, d).select("uid", "right", "pos", "rank")
 
 
-_H = "h AS (SELECT uid, post_id AS \"right\", min(event_id) AS pos FROM ev WHERE code IS NOT NULL GROUP BY ALL), hist AS (SELECT *, CAST(row_number() OVER (PARTITION BY uid ORDER BY pos) AS INTEGER) AS rank FROM h)"
+_H = "h AS (SELECT uid, post_id AS \"right\", min(event_id) AS pos FROM ev WHERE len(codes) > 0 GROUP BY ALL), hist AS (SELECT *, CAST(row_number() OVER (PARTITION BY uid ORDER BY pos) AS INTEGER) AS rank FROM h)"
 HISTORY_SQL = f'WITH {EV}, {_H} SELECT uid, "right", pos, rank FROM hist WHERE rank <= 20'
 
 
@@ -250,7 +298,8 @@ def cf_session_scores(spark: SparkSession, d: str) -> DataFrame:
     return s.select("uid", "rec_token", "item_id", "score", F.unix_micros("last_ts").alias("last_us"), F.unix_seconds("window_end").alias("window_end"))
 
 
-_S = f"{windows_sql(300, 300)}, sc AS (SELECT uid, rec_token, post_id AS item_id, window_end, CAST(sum(CASE kind WHEN 'view' THEN 1 ELSE 0 END + CASE WHEN kind = 'view' AND progress_time >= 10 THEN 6 ELSE 0 END + CASE coalesce(code, 0) WHEN 1 THEN 4 WHEN 13 THEN 8 ELSE 0 END) AS BIGINT) AS score, max(ts) AS last_ts FROM w GROUP BY ALL)"
+_ACTIONS = " + ".join(f"CASE WHEN {has_sql(code)} THEN {n} ELSE 0 END" for code, n in {1: 4, 13: 8, 15: 4, 5: 4, 3: 4, 6: 8}.items())
+_S = f"{windows_sql(300, 300)}, sc AS (SELECT uid, rec_token, post_id AS item_id, window_end, CAST(sum(CASE kind WHEN 'view' THEN 1 ELSE 0 END + CASE WHEN progress_time >= 3 OR standing_time >= 5 THEN 6 ELSE 0 END + {_ACTIONS}) AS BIGINT) AS score, max(ts) AS last_ts FROM w GROUP BY ALL)"
 CF_SESSION_SQL = f"WITH {EV}, {_S} SELECT uid, rec_token, item_id, score, epoch_us(last_ts) AS last_us, window_end FROM sc WHERE score > 0"
 
 
@@ -280,17 +329,21 @@ def share_labels(spark: SparkSession, d: str) -> DataFrame:
     return one.withColumnRenamed("label", "label_share").join(two.withColumnRenamed("label", "label_seconds"), "uid")
 
 
-_V6 = f"v6 AS (SELECT uid, tag, standing_time, coalesce(code, 0) AS code, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS n FROM ev JOIN tags USING (post_id) WHERE kind = 'view'), t6 AS (SELECT uid, tag, sum(standing_time) AS stood, count(*) FILTER (WHERE code IN (1, 13)) AS good, count(*) FILTER (WHERE code = 11) AS bad FROM v6 WHERE n <= 6 GROUP BY ALL), s6 AS (SELECT *, sum(stood) OVER (PARTITION BY uid) AS total FROM t6)"  # noqa: F541
-SHARE_SQL = f"""WITH {EV}, {TAGS}, {_V6}, a AS (SELECT uid, arg_max(tag, stood) FILTER (WHERE (stood / total > 0.3 OR good > 0) AND bad <= 0) AS x, arg_max(tag, stood) FILTER (WHERE (stood >= 30 OR good > 0) AND bad <= 0 AND tag NOT IN ('unk', 'clean')) AS y FROM s6 GROUP BY uid)
-SELECT uid, 'u_ylevel_' || coalesce(x, 'unk') AS label_share, 'u_ylevel_' || coalesce(y, 'unk') AS label_seconds FROM a"""
+def _in(codes: tuple[int, ...]) -> str:
+    return f"len(list_filter(codes, lambda c: c IN ({', '.join(map(str, codes))})))"
 
-_AS_OF = "timestamp'2024-01-20 00:00:00'"
 
+_V6 = f"""v6 AS (SELECT uid, tag, standing_time, {_in(labels.POSITIVE_CODES)} AS good, {_in((11,))} AS bad, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS n FROM ev JOIN tags USING (post_id) WHERE kind = 'view'),
+t6 AS (SELECT uid, tag, sum(standing_time) AS stood, sum(good) AS good, sum(bad) AS bad FROM v6 WHERE n <= 6 GROUP BY ALL), s6 AS (SELECT *, sum(stood) OVER (PARTITION BY uid) AS total FROM t6)"""
+SHARE_SQL = f"""WITH {EV}, {TAGS}, {_V6}, a AS (SELECT uid, arg_max(tag, stood) FILTER (WHERE (coalesce(stood / nullif(total, 0) > 0.3, false) OR good > 0) AND bad <= 0) AS x, arg_max(tag, stood) FILTER (WHERE (stood >= 30 OR good > 0) AND bad <= 0 AND tag NOT IN ('unk', 'clean')) AS y FROM s6 GROUP BY uid)
+SELECT uid, 'u_ylevel_' || coalesce(x, 'unk') AS label_share, 'u_ylevel_' || coalesce(y, 'unk') AS label_seconds FROM a"""
 
 def _picked(spark: SparkSession, d: str) -> DataFrame:
-    v = tagged_views(spark, d).filter(F.col("ts") < F.expr(_AS_OF)).withColumn("first_ts", F.min("ts").over(W.partitionBy("uid", "post_id")))
+    """Tags picked from each user's last twelve views, as of the last of them; actions count on posts first seen in the
+    three days before."""
+    v = tagged_views(spark, d).withColumn("first_ts", F.min("ts").over(W.partitionBy("uid", "post_id"))).withColumn("as_of", F.max("ts").over(W.partitionBy("uid")))
     v = topk.top_rows(v, ["uid"], [F.desc("ts"), F.desc("event_id")], 12)
-    return labels.pick_tags(labels.tag_statistics(v, F.expr(_AS_OF), dislikes=(7, 11), fresh_minutes=60 * 24 * 30))
+    return labels.pick_tags(labels.tag_statistics(v, F.col("as_of"), dislikes=(7, 11), fresh_minutes=60 * 24 * 3))
 
 
 def tag_label_picks(spark: SparkSession, d: str) -> DataFrame:
@@ -299,10 +352,10 @@ def tag_label_picks(spark: SparkSession, d: str) -> DataFrame:
     return p.select("uid", F.coalesce("positive_tag", F.lit("-")).alias("positive_tag"), text("positive_posts").alias("positive_posts"), F.coalesce("negative_tag", F.lit("-")).alias("negative_tag"), text("negative_posts").alias("negative_posts"), "feedback")
 
 
-_P = """v AS (SELECT ev.*, tag, coalesce(code, 0) AS c, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS n FROM ev JOIN tags USING (post_id) WHERE kind = 'view' AND ts < TIMESTAMP '2024-01-20'),
-p AS (SELECT uid, tag, post_id, sum(standing_time) AS stood, sum(progress_time) AS prog, bool_or(c IN (1, 13)) AS good, bool_or(c = 7) AS dis FROM v WHERE n <= 12 GROUP BY ALL), q AS (SELECT *, stood < 3 AND prog < 3 AS short FROM p),
-st AS (SELECT uid, tag, CASE tag WHEN 'explicit' THEN 3 WHEN 'high' THEN 2 WHEN 'mid' THEN 1 ELSE 0 END AS level, max(stood) AS longest, count(*) FILTER (WHERE good) AS pos, count(*) FILTER (WHERE dis OR short) AS neg, count(*) FILTER (WHERE dis) AS dislikes, count(*) FILTER (WHERE short) AS shorts,
-  coalesce(string_agg(CAST(post_id AS VARCHAR), ',' ORDER BY post_id) FILTER (WHERE good OR stood >= 10), '') AS pp, coalesce(string_agg(CAST(post_id AS VARCHAR), ',' ORDER BY post_id) FILTER (WHERE dis OR short), '') AS np FROM q GROUP BY uid, tag),
+_P = f"""v0 AS (SELECT ev.*, tag, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS n, min(ts) OVER (PARTITION BY uid, post_id) > max(ts) OVER (PARTITION BY uid) - INTERVAL 3 DAYS AS fresh FROM ev JOIN tags USING (post_id) WHERE kind = 'view'),
+p AS (SELECT uid, tag, post_id, sum(standing_time) AS stood, sum(progress_time) AS prog, bool_or(fresh AND {has_sql(*labels.POSITIVE_CODES)}) AS good, bool_or(fresh AND {has_sql(*labels.NEGATIVE_CODES)}) AS bad, bool_or(fresh AND {has_sql(7, 11)}) AS dis FROM v0 WHERE n <= 12 GROUP BY ALL), q AS (SELECT *, stood < 3 AND prog < 3 AS short FROM p),
+st AS (SELECT uid, tag, CASE tag WHEN 'explicit' THEN 3 WHEN 'high' THEN 2 WHEN 'mid' THEN 1 ELSE 0 END AS level, max(stood) AS longest, count(*) FILTER (WHERE good) AS pos, count(*) FILTER (WHERE bad OR short) AS neg, count(*) FILTER (WHERE dis) AS dislikes, count(*) FILTER (WHERE short) AS shorts,
+  coalesce(string_agg(CAST(post_id AS VARCHAR), ',' ORDER BY post_id) FILTER (WHERE good OR stood >= 10), '') AS pp, coalesce(string_agg(CAST(post_id AS VARCHAR), ',' ORDER BY post_id) FILTER (WHERE bad OR short), '') AS np FROM q GROUP BY uid, tag),
 k AS (SELECT uid, arg_max(tag, level) FILTER (WHERE (longest >= 10 OR pos > 0) AND neg <= 0) AS pt, arg_max(pp, level) FILTER (WHERE (longest >= 10 OR pos > 0) AND neg <= 0) AS pp, arg_min(tag, level) FILTER (WHERE shorts >= 5 OR dislikes >= 1) AS nt, arg_min(np, level) FILTER (WHERE shorts >= 5 OR dislikes >= 1) AS np
   FROM st WHERE tag NOT IN ('unk', 'clean') GROUP BY uid)"""
 PICK_SQL = f"WITH {EV}, {TAGS}, {_P} SELECT uid, coalesce(pt, '-') AS positive_tag, coalesce(pp, '') AS positive_posts, coalesce(nt, '-') AS negative_tag, coalesce(np, '') AS negative_posts, CASE WHEN nt IS NOT NULL THEN 'negative' WHEN pt IS NOT NULL THEN 'positive' ELSE 'none' END AS feedback FROM k"
@@ -326,36 +379,51 @@ SELECT uid, np_ AS new_pos, np_ <> 'u_ylevel_unk' AND NOT samep AND (((no_ IS NU
 
 
 def kv_writes(spark: SparkSession, d: str) -> DataFrame:
-    """A key-value table after strings, hash fields, a list and a set were written, expired entries gone."""
+    """A key-value table after strings, hash fields, hashes replaced whole (of users who bought from an author of the first
+    five), a list and a set were written, expired entries gone."""
     e = events(spark, d).select("event_id", "uid", "post_id", "author", "event_type")
     t0, t1 = F.expr("timestamp'2024-02-01 00:00:00'"), F.expr("timestamp'2024-02-01 01:00:00'")
     none = spark.createDataFrame([], "key string, field string, value string, seq long, updated_at timestamp, expires_at timestamp")
     key = lambda p: F.concat(F.lit(p), F.col("uid").cast("string"))
     a = kv.set_strings(none, e.filter("event_type = 'click'").select(key("s").alias("key"), F.col("post_id").cast("string").alias("value"), "event_id"), t0, 600, "event_id")
-    b = kv.set_strings(a, e.filter("event_type = 'view' and uid % 2 = 0").select(key("s").alias("key"), F.col("post_id").cast("string").alias("value"), "event_id"), t1, 600, "event_id")
+    b = kv.set_strings(a, e.filter("event_type = 'view'").select(key("s").alias("key"), F.col("post_id").cast("string").alias("value"), "event_id"), t1, 600, "event_id")
     c = kv.set_fields(b, e.filter("event_type = 'purchase'").select(key("h").alias("key"), F.col("author").cast("string").alias("field"), F.col("post_id").cast("string").alias("value"), "event_id"), t1, None, "event_id")
-    s = kv.add_members(c, e.filter("event_type = 'error'").select(key("m").alias("key"), F.col("author").cast("string").alias("value")), t1, None)
+    h = kv.set_fields(c, e.filter("event_type = 'purchase' and author <= 5").select(key("h").alias("key"), F.concat(F.lit("new"), F.col("author").cast("string")).alias("field"), F.col("post_id").cast("string").alias("value"), "event_id"), t1, None, "event_id", replace=True)
+    s = kv.add_members(h, e.filter("event_type = 'error'").select(key("m").alias("key"), F.col("author").cast("string").alias("value")), t1, None)
     p = kv.push(s, e.filter("event_type = 'signup'").select(key("l").alias("key"), F.col("post_id").cast("string").alias("value"), "event_id"), t1, None, "event_id")
     return kv.alive(p, t1).select("key", "field", "value", "seq")
 
 
 KV_SQL = f"""WITH {EV}, r AS (SELECT *, row_number() OVER (PARTITION BY uid, event_type ORDER BY event_id DESC) AS n, row_number() OVER (PARTITION BY uid, event_type ORDER BY event_id) AS m, row_number() OVER (PARTITION BY uid, author, event_type ORDER BY event_id DESC) AS na FROM ev)
-SELECT concat('s', uid) AS key, '' AS field, CAST(post_id AS VARCHAR) AS value, 0::BIGINT AS seq FROM r WHERE event_type = 'view' AND uid % 2 = 0 AND n = 1
-UNION ALL SELECT concat('h', uid), CAST(author AS VARCHAR), CAST(post_id AS VARCHAR), 0 FROM r WHERE event_type = 'purchase' AND na = 1
+SELECT concat('s', uid) AS key, '' AS field, CAST(post_id AS VARCHAR) AS value, 0::BIGINT AS seq FROM r WHERE event_type = 'view' AND n = 1
+UNION ALL SELECT concat('h', uid), CASE WHEN low THEN concat('new', author) ELSE CAST(author AS VARCHAR) END, CAST(post_id AS VARCHAR), 0 FROM (SELECT *, bool_or(event_type = 'purchase' AND author <= 5) OVER (PARTITION BY uid) AS low FROM r) WHERE event_type = 'purchase' AND na = 1 AND (author <= 5 OR NOT low)
 UNION ALL SELECT DISTINCT concat('m', uid), CAST(author AS VARCHAR), CAST(author AS VARCHAR), 0 FROM r WHERE event_type = 'error'
 UNION ALL SELECT concat('l', uid), '[]', CAST(post_id AS VARCHAR), m - 1 FROM r WHERE event_type = 'signup'"""
 
 
 def kv_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Heads of lists by key pattern."""
+    """Values by key pattern and kind: strings, heads of lists, least members of sets, first fields' values of hashes."""
     e = events(spark, d)
     now = F.expr("timestamp'2024-02-01 00:00:00'")
     none = spark.createDataFrame([], "key string, field string, value string, seq long, updated_at timestamp, expires_at timestamp")
-    p = kv.push(none, e.select(F.concat(F.lit("list:"), F.col("author").cast("string")).alias("key"), F.col("post_id").cast("string").alias("value"), "event_id"), now, 60, "event_id", left=True)
-    return kv.scan(p, "list:1%", now, "list")
+    rows = lambda kind: e.select(F.concat(F.lit(f"{kind}:"), F.col("author").cast("string")).alias("key"), F.col("post_id").cast("string").alias("value"), F.col("uid").cast("string").alias("field"), "event_id")
+    t = kv.push(none, rows("list").drop("field"), now, 60, "event_id", left=True)
+    t = kv.set_strings(t, rows("string").drop("field"), now, 60, "event_id")
+    t = kv.add_members(t, rows("set"), now, 60)
+    t = kv.set_fields(t, rows("hash"), now, None, "event_id")
+    parts = [kv.scan(t, f"{kind}:1%", now, kind).withColumn("kind", F.lit(kind)) for kind in ("string", "list", "set", "hash")]
+    return joins.unite(*parts)
 
 
-KV_SCAN_SQL = f"WITH {EV} SELECT concat('list:', author) AS key, CAST(arg_max(post_id, event_id) AS VARCHAR) AS value FROM ev WHERE CAST(author AS VARCHAR) LIKE '1%' GROUP BY author"
+_SCAN = {
+    "list": "CAST(arg_max(post_id, event_id) AS VARCHAR)",
+    "string": "CAST(arg_max(post_id, event_id) AS VARCHAR)",
+    "set": "min(CAST(post_id AS VARCHAR))",
+    "hash": "CAST(arg_max(post_id, event_id) FILTER (WHERE CAST(uid AS VARCHAR) = low) AS VARCHAR)",
+}
+KV_SCAN_SQL = f"WITH {EV}, x AS (SELECT *, min(CAST(uid AS VARCHAR)) OVER (PARTITION BY author) AS low FROM ev) " + " UNION ALL ".join(
+    f"SELECT concat('{kind}:', author) AS key, {v} AS value, '{kind}' AS kind FROM x WHERE CAST(author AS VARCHAR) LIKE '1%' GROUP BY author" for kind, v in _SCAN.items()
+)
 
 
 def hot_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -377,92 +445,34 @@ def salted_counts(spark: SparkSession, d: str) -> DataFrame:
     return skew.salted(events(spark, d), ["kind"], {"n": F.count("*"), "s": F.sum("event_id")}, {"n": F.sum("n"), "id_sum": F.sum("s")}, 10, "event_id")
 
 
-def state_machine_replay(spark: SparkSession, d: str) -> DataFrame:
-    """Each user's last state after all likes and dislikes."""
-    e = events(spark, d).filter(F.size("interactions") > 0)
-    e = e.withColumn("feedback", F.when(F.array_contains("interactions", 7), "negative").otherwise("positive")).withColumn("user_type", F.element_at(F.array(*[F.lit(x) for x in ("no_zone", "block", "zone")]), (F.col("uid") % 3 + 1).cast("int")))
-    r = stateful.replay(e, "uid", ["user_type", "feedback"], steps.sensitivity, final_only=True)
-    j = lambda n: F.get_json_object("value", f"$.{n}")
-    return r.select(F.col("key").cast("long").alias("uid"), "ts", j("stage").alias("stage"), j("probe_count").cast("int").alias("probe_count"), j("cooldown_stage").cast("int").alias("cooldown_stage"), j("cooldown_end_ts").cast("long").alias("cooldown_end_ts"), j("user_type").alias("user_type"), j("last_feedback").alias("last_feedback"))
-
-
-def state_key_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The twelve keys of each user's state."""
-    s = state_machine_replay(spark, d)
-    s = s.withColumns({"dist": X.stage_distribution("stage"), "last_feedback_ts": F.col("ts"), "last_pos_tag": F.lit("mid"), "last_neg_tag": F.lit("unk"), "last_update_ts": F.col("ts")})
-    return labels.state_rows(s.withColumn("state_flow", X.flow_text("v5", user_type="user_type", stage="stage", dist="dist", probe_round="probe_count", cooling_stage="cooldown_stage", cooling_end_ts="cooldown_end_ts")))
-
-
-def _replayed(spark: SparkSession, d: str, step, final_only: bool = True) -> DataFrame:
-    e = joins.with_tags(parse.feedback(events(spark, d)), tags(spark, d), X.prioritized_tag, None)
-    return stateful.replay(e, "uid", ["feedback", "tag", "author"], step, final_only=final_only)
-
-
-def feedback_queue_replay(spark: SparkSession, d: str) -> DataFrame:
-    return _replayed(spark, d, steps.feedback_queues)
-
-
-def short_view_tag_replay(spark: SparkSession, d: str) -> DataFrame:
-    return _replayed(spark, d, steps.negative_tags)
-
-
-def weighted_interest_replay(spark: SparkSession, d: str) -> DataFrame:
-    return _replayed(spark, d, steps.weighted_interests)
-
-
-def recent_anchor_replay(spark: SparkSession, d: str) -> DataFrame:
-    return stateful.replay(live(spark, d), "uid", ["event", "anchor_id"], steps.recent_anchors)
-
-
-def last_posts_replay(spark: SparkSession, d: str) -> DataFrame:
-    """The last distinct posts of a user, by a state."""
-    r = stateful.replay(events(spark, d), "uid", ["post_id"], lambda s, x: steps.last_distinct(s, x, 200), final_only=True)
-    return r.select(F.col("key").cast("long").alias("uid"), F.translate(F.get_json_object("value", "$.posts"), "[] ", "").alias("posts"))
-
-
-LAST_POSTS_SQL = f"""WITH {EV}, f AS (SELECT uid, post_id, min(epoch_us(ts) // 1000) AS t FROM ev GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY t DESC) AS n, count(*) OVER (PARTITION BY uid) AS c FROM f)
-SELECT uid, string_agg(CAST(post_id AS VARCHAR), ',' ORDER BY t) AS posts FROM r WHERE n <= 200 AND c >= 2 GROUP BY uid"""
-
-
-def early_session_replay(spark: SparkSession, d: str) -> DataFrame:
-    """First strong signals and ends of sessions of 6 hours."""
-    e = post_events(spark, d).withColumn("key", F.concat_ws("|", "rec_token", "post_id")).withColumn("strong", F.expr("like or follow or report"))
-    return stateful.replay(e, "key", ["standing_time", "progress_time", "playback_time", "strong"], lambda s, x: steps.early_session(s, x, 6 * 3_600_000))
-
-
-_GOOD, _BAD = "(like or comment or share or follow or collect or profile or paid)", "(report or uninterested)"
-#: The sixteen latest lists of a user: id, condition, how many are kept, score.
-LATEST_LISTS = {
-    "complete_play": ("post_id", "complete", 30, None), "stand_10s": ("post_id", "standing_time > 10", 30, "standing_time"), "play_8s": ("post_id", "playback_time > 8", 30, "playback_time"),
-    **{n: ("post_id", f, 10, None) for n, f in {"like": "like", "comment": "comment", "share": "share", "follow": "follow", "collect": "collect", "profile": "profile", "pay": "paid", "report": "report", "dislike": "uninterested"}.items()},
-    "positive": ("post_id", _GOOD, 20, None), "negative": ("post_id", _BAD, 20, None), "positive_authors": ("author", f"{_GOOD} and author > 0", 20, None), "negative_authors": ("author", f"{_BAD} and author > 0", 20, None),
-}
-
-
-def latest_lists_of(posts: DataFrame) -> DataFrame:
-    """The last state of each user's lists; only events that enter a list count."""
-    lists = F.struct(*[F.when(F.expr(cond), F.col(ident)).alias(n) for n, (ident, cond, _, _) in LATEST_LISTS.items()])
-    scores = F.struct(*[F.col(score).alias(n) for n, (_, _, _, score) in LATEST_LISTS.items() if score])
-    e = posts.filter(" or ".join(cond for _, cond, _, _ in LATEST_LISTS.values())).withColumns({"lists": lists, "scores": scores})
-    sizes = {n: size for n, (_, _, size, _) in LATEST_LISTS.items()}
-    return stateful.replay(e, "uid", ["lists", "scores"], lambda s, x: steps.latest_lists(s, x, sizes), final_only=True)
-
-
-def latest_list_replay(spark: SparkSession, d: str) -> DataFrame:
-    return latest_lists_of(post_events(spark, d))
-
-
-def user_counter_replay(spark: SparkSession, d: str) -> DataFrame:
-    return stateful.replay(events(spark, d), "uid", ["event_type"], lambda s, x: steps.user_counters(s, x, 10**15), final_only=True).select(F.col("key").cast("long").alias("uid"), F.get_json_object("value", "$.n").cast("long").alias("n"), F.get_json_object("value", "$.types").cast("long").alias("types"))
-
-
-COUNTER_SQL = f"WITH {EV} SELECT uid, count(*) AS n, count(DISTINCT event_type) AS types FROM ev GROUP BY uid"
-
+_SALTED_SQL = f"WITH {EV} SELECT kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev GROUP BY kind"
 SQL = {
-    "parsed_feature_events": PARSED_SQL, "exposure_device_rows": DEVICE_SQL, "event_type_filter": TYPE_SQL, "parsed_tags": TAGS_SQL, "parsed_valid_posts": VALID_SQL, "parsed_client_posts": CLIENT_SQL, "client_views": CLIENT_VIEWS_SQL, "prompt_refusals": PROMPT_SQL, "parsed_live_events": LIVE_SQL,
-    "parsed_live_watches": LIVE_WATCH_SQL, "view_feedback": FEEDBACK_SQL, "scalar_values": SCALAR_SQL, "tag_lookup": LOOKUP_SQL, "user_type_lookup": USER_TYPE_SQL, "listed_anchors": ANCHOR_SQL, "cohort_interactions": COHORT_SQL, "user_history": HISTORY_SQL, "cf_session_scores": CF_SESSION_SQL, "cf_index": CF_INDEX_SQL,
-    "share_labels": SHARE_SQL, "tag_label_picks": PICK_SQL, "label_writes": WRITES_SQL, "kv_writes": KV_SQL, "kv_scan": KV_SCAN_SQL, "hot_keys": HOT_SQL, "window_key_shares": SHARES_SQL, "salted_counts": f"WITH {EV} SELECT kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev GROUP BY kind",
-    "last_posts_replay": LAST_POSTS_SQL, "user_counter_replay": COUNTER_SQL,
-}
-_NAMES = [*SQL, "state_machine_replay", "state_key_rows", "feedback_queue_replay", "short_view_tag_replay", "weighted_interest_replay", "recent_anchor_replay", "early_session_replay", "latest_list_replay"]
-QUERIES = {n: globals()[n] for n in _NAMES}
+    "parsed_feature_events": PARSED_SQL,
+    "exposure_device_rows": DEVICE_SQL,
+    "event_type_filter": TYPE_SQL,
+    "parsed_tags": TAGS_SQL,
+    "parsed_valid_posts": VALID_SQL,
+    "parsed_client_posts": CLIENT_SQL,
+    "client_views": CLIENT_VIEWS_SQL,
+    "prompt_refusals": PROMPT_SQL,
+    "parsed_live_events": LIVE_SQL,
+    "parsed_live_watches": LIVE_WATCH_SQL,
+    "view_feedback": FEEDBACK_SQL,
+    "scalar_values": SCALAR_SQL,
+    "tag_lookup": LOOKUP_SQL,
+    "user_type_lookup": USER_TYPE_SQL,
+    "listed_anchors": ANCHOR_SQL,
+    "cohort_interactions": COHORT_SQL,
+    "user_history": HISTORY_SQL,
+    "cf_session_scores": CF_SESSION_SQL,
+    "cf_index": CF_INDEX_SQL,
+    "share_labels": SHARE_SQL,
+    "tag_label_picks": PICK_SQL,
+    "label_writes": WRITES_SQL,
+    "kv_writes": KV_SQL,
+    "kv_scan": KV_SCAN_SQL,
+    "hot_keys": HOT_SQL,
+    "window_key_shares": SHARES_SQL,
+    "salted_counts": _SALTED_SQL,
+}
+QUERIES = {n: globals()[n] for n in SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import feature_queries, window_queries
+from tidemark.plans import feature_queries, state_queries, window_queries
 
-QUERIES: dict = {**window_queries.QUERIES, **feature_queries.QUERIES}
-SQL: dict = {**window_queries.SQL, **feature_queries.SQL}
+QUERIES: dict = {**window_queries.QUERIES, **feature_queries.QUERIES, **state_queries.QUERIES}
+SQL: dict = {**window_queries.SQL, **feature_queries.SQL, **state_queries.SQL}

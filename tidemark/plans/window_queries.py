@@ -9,7 +9,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import records as R
 from tidemark.operators import topk
 from tidemark.operators import windows as T
-from tidemark.plans.domain import EV, LIVE, SESSIONS, events, live, post_events, tags, windows_sql
+from tidemark.plans.domain import EV, LIVE, SESSIONS, acted_sql, events, live, post_events, tags, windows_sql
 
 GAP = "6 hours"
 
@@ -18,6 +18,15 @@ def _end(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in ("window_start", "window_end")], F.unix_seconds("window_end").alias("window_end")) if not cols else df.select(*cols, F.unix_seconds("window_end").alias("window_end"))
 
 
+def fixed(x, digits: int) -> Column:
+    """A double in units of its last digit, as a long. The offset isn't a half, so that no rounding rule matters."""
+    return F.floor((F.col(x) if isinstance(x, str) else x) * 10**digits + 0.3).cast("long")
+
+
+def fixed_sql(x: str, digits: int) -> str:
+    return f"CAST(floor(({x}) * {10**digits} + 0.3::DOUBLE) AS BIGINT)"
+
+
 def _ids(items: str) -> Column:
     return F.array_join(F.transform(items, lambda x: x["id"].cast("string")), ",")
 
@@ -26,7 +35,7 @@ def item_window_counts(spark: SparkSession, d: str) -> DataFrame:
     return _end(A.item_windows(events(spark, d), exact=True))
 
 
-_HAS = {"like": "code = 1", "follow": "code = 13", "profile": "code = 15", "interact": "code IN (3, 5, 6)"}
+_HAS = {"like": acted_sql(1), "follow": acted_sql(13), "profile": acted_sql(15), "interact": acted_sql(3, 5, 6)}
 _ITEM = {"expose": "kind = 'expose'"} | {f"view_{s}s": f"kind = 'view' AND progress_time >= {s}" for s in A.VIEW_STEPS} | {f"stand_{s}s": f"kind = 'view' AND standing_time >= {s}" for s in A.STAND_STEPS} | _HAS
 ITEM_WINDOW_SQL = f"WITH {EV}, {windows_sql(3600, 600)} SELECT post_id, window_end, " + ", ".join(f'count(DISTINCT CASE WHEN {c} THEN rec_token END) AS "{n}"' for n, c in _ITEM.items()) + " FROM w GROUP BY post_id, window_end"
 
@@ -55,16 +64,31 @@ USER_COUNTS_SQL = f"""WITH {EV}, {windows_sql(3600, 300)} SELECT uid, window_end
 
 def user_action_lists(spark: SparkSession, d: str) -> DataFrame:
     u = A.user_lists(events(spark, d), "24 hours", "30 minutes")
-    return u.select("uid", "list", _ids("items").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+    return u.select("uid", "list", F.array_join("items", ",").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+
 
+_LISTED = {"like": (1,), "follow": (13,), "profile": (15,), "interact": (3, 5, 6)}
 
-USER_LISTS_SQL = f"""WITH {EV}, {windows_sql(86400, 1800)}, m AS (
-  SELECT uid, window_end, ts, 'like_posts' AS list, post_id AS id FROM w WHERE code = 1 UNION ALL SELECT uid, window_end, ts, 'follow_posts', post_id FROM w WHERE code = 13
-  UNION ALL SELECT uid, window_end, ts, 'like_authors', author FROM w WHERE code = 1 UNION ALL SELECT uid, window_end, ts, 'follow_authors', author FROM w WHERE code = 13),
+
+def _user_lists_sql(windows: str, source: str = "w") -> str:
+    parts = [
+        f"SELECT uid, window_end, ts, '{n}_{of}s' AS list, {ident} AS id FROM {source} WHERE {acted_sql(*codes)}"
+        for n, codes in _LISTED.items() for of, ident in (("post", "post_id"), ("author", "author")) if (n, of) != ("interact", "author")
+    ]
+    return f"""WITH {EV}, {windows}, m AS ({" UNION ALL ".join(parts)}),
 l AS (SELECT uid, window_end, list, id, max(ts) AS t FROM m GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY uid, window_end, list ORDER BY t DESC, id) AS n FROM l)
 SELECT uid, window_end, list, string_agg(CAST(id AS VARCHAR), ',' ORDER BY n) AS items FROM r WHERE n <= 10 GROUP BY uid, window_end, list"""
 
 
+def capped_user_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The same of a user's first six events of each window."""
+    u = A.user_lists(events(spark, d), "24 hours", "6 hours", cap=6)
+    return u.select("uid", "list", F.array_join("items", ",").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+
+
+_CAPPED = f"{windows_sql(86400, 21600)}, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, window_end ORDER BY ts, event_id) AS no FROM w) WHERE no <= 6)"
+
+
 def user_scored_lists(spark: SparkSession, d: str) -> DataFrame:
     u = A.user_scored_lists(events(spark, d), "24 hours", "30 minutes")
     score = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["id"].cast("string"), F.floor(x["score"] * 100).cast("long").cast("string"))), ",")
@@ -122,48 +146,105 @@ def sessions(spark: SparkSession, d: str) -> DataFrame:
     return A.post_sessions(post_events(spark, d), GAP)
 
 
+_FLAGS = list(A.FLAGS)
+
+
 def post_session_summaries(spark: SparkSession, d: str) -> DataFrame:
-    s = sessions(spark, d)
-    return s.select("uid", "rec_token", "post_id", "author", F.unix_micros("session_start").alias("start_us"), F.unix_micros("last_ts").alias("last_us"), F.round("standing", 6).alias("standing"), F.round("playback", 6).alias("playback"), "progress", "complete", "like", "follow", "report", F.round("rate", 6).alias("rate"))
+    rounded = [fixed(n, 6).alias(n) for n in ("standing", "playback", "rate")]
+    times = [F.unix_micros("session_start").alias("start_us"), F.unix_micros("last_ts").alias("last_us")]
+    return sessions(spark, d).select("uid", "rec_token", "post_id", "author", "progress", *times, *rounded, *_FLAGS)
+
 
+SESSION_SQL = f"""WITH {SESSIONS} SELECT uid, rec_token, post_id, author, progress, epoch_us(start_ts) AS start_us, epoch_us(last_ts) AS last_us, {fixed_sql("standing", 6)} AS standing,
+  {fixed_sql("playback", 6)} AS playback, {fixed_sql("rate", 6)} AS rate, {", ".join(f'"{n}"' for n in _FLAGS)} FROM s"""
 
-SESSION_SQL = f"""WITH {SESSIONS} SELECT uid, rec_token, post_id, author, epoch_us(start_ts) AS start_us, epoch_us(last_ts) AS last_us, round(standing, 6) AS standing, round(playback, 6) AS playback, progress, complete, "like", follow, report, round(rate, 6) AS rate FROM s"""
+
+#: Sessions of a user that count in the registered queries' windows: few, so that the cap bites.
+CAP = 4
 
 
 def session_user_day(spark: SparkSession, d: str) -> DataFrame:
-    return _end(A.session_user_counts(sessions(spark, d)))
+    return _end(A.session_user_counts(sessions(spark, d), cap=CAP))
 
 
-SESSION_USER_SQL = f"WITH {SESSIONS}, {windows_sql(86400, 3600, 's', 'session_time')} SELECT uid, window_end, count(*) AS exposures, count(*) FILTER (WHERE progress <= 2) AS skips FROM w GROUP BY uid, window_end"
+def _session_windows(slide: int) -> str:
+    """``w``: sessions by window; ``f``: the first CAP of each user's window."""
+    return f"""{windows_sql(86400, slide, 's', 'session_time')},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, window_end ORDER BY session_time, post_id) AS no FROM w) WHERE no <= {CAP})"""
 
 
-def session_user_lists(spark: SparkSession, d: str) -> DataFrame:
-    u = A.session_user_lists(sessions(spark, d), "24 hours", "6 hours")
-    return u.select("uid", "list", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+SESSION_USER_SQL = f"WITH {SESSIONS}, {_session_windows(3600)} SELECT uid, window_end, count(*) AS exposures, count(*) FILTER (WHERE progress <= 2) AS skips FROM f GROUP BY uid, window_end"
 
 
-_SL = [("expose", "post_id", "true", 30), ("skip", "post_id", "progress <= 2", 30), ("view", "post_id", "progress > 2", 30), ("long_view", "post_id", "progress >= 10", 20), ("complete", "post_id", "complete", 20), ("like", "post_id", '"like"', 20), ("follow", "post_id", "follow", 10), ("negative", "post_id", "report", 10), ("positive", "post_id", '"like" OR follow', 20), ("like_author", "author", '"like"', 10), ("follow_author", "author", "follow", 10), ("negative_author", "author", "report", 10), ("positive_author", "author", '"like" OR follow', 20)]
-SESSION_LISTS_SQL = f"WITH {SESSIONS}, {windows_sql(86400, 21600, 's', 'session_time')}, m AS (" + " UNION ALL ".join(f"SELECT uid, window_end, session_time AS t, '{n}' AS list, {i} AS id, {k} AS k FROM w WHERE {c}" for n, i, c, k in _SL) + """),
-l AS (SELECT uid, window_end, list, k, id, max(t) AS t FROM m GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY uid, window_end, list ORDER BY t DESC, id) AS n FROM l)
-SELECT uid, window_end, list, string_agg(CAST(id AS VARCHAR), ',' ORDER BY n) AS items FROM r WHERE n <= k GROUP BY uid, window_end, list"""
+def _scored_text(items: str) -> Column:
+    one = lambda x: F.concat_ws(":", x["id"].cast("string"), fixed(x["score"], 2).cast("string"))
+    return F.array_join(F.transform(items, one), ",")
 
-_SC = {"exposures": "true", "views": "progress > 2", "skips": "progress <= 2", "view_8s": "progress >= 8", "view_12s": "progress >= 12", "complete": "complete", "like": '"like"', "comment": "false", "share": "false", "collect": "false", "follow": "follow", "profile": "false", "report": "report", "uninterested": "false", "paid": "false"}
-_SC_SQL = ", ".join(f'count(*) FILTER (WHERE {c}) AS "{n}"' for n, c in _SC.items())
+
+def session_user_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The seventeen lists of a user over a day of sessions, latest first, with scores where they have them."""
+    u = A.session_user_lists(sessions(spark, d), "24 hours", "6 hours", cap=CAP)
+    return u.select("uid", "list", _scored_text("items").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+
+
+_GOOD = '("like" OR comment OR share OR follow OR "collect" OR profile OR paid)'
+_BAD = "(report OR uninterested)"
+#: list: id, condition, size, score
+_SL = {
+    "complete_play": ("post_id", "complete", 30, "NULL"),
+    "skip": ("post_id", "progress <= 2", 30, "NULL"),
+    "stand_10s": ("post_id", "standing > 10", 30, "standing"),
+    "play_8s": ("post_id", "playback > 8", 30, "playback"),
+    "like": ("post_id", '"like"', 10, "NULL"),
+    "comment": ("post_id", "comment", 10, "NULL"),
+    "share": ("post_id", "share", 10, "NULL"),
+    "follow": ("post_id", "follow", 10, "NULL"),
+    "collect": ("post_id", '"collect"', 10, "NULL"),
+    "profile": ("post_id", "profile", 10, "NULL"),
+    "pay": ("post_id", "paid", 10, "NULL"),
+    "report": ("post_id", "report", 10, "NULL"),
+    "dislike": ("post_id", "uninterested", 10, "NULL"),
+    "positive": ("post_id", _GOOD, 20, "NULL"),
+    "negative": ("post_id", _BAD, 20, "NULL"),
+    "positive_authors": ("author", f"{_GOOD} AND author > 0", 20, "NULL"),
+    "negative_authors": ("author", f"{_BAD} AND author > 0", 20, "NULL"),
+}
+
+
+def session_marks_sql(source: str, columns: str, skip: tuple[str, ...] = ()) -> str:
+    """A row for each list that a session enters: columns, list, id, k, score."""
+    parts = [f"SELECT {columns}, '{n}' AS list, {i} AS id, {k} AS k, CAST({x} AS DOUBLE) AS score FROM {source} WHERE {c}" for n, (i, c, k, x) in _SL.items() if n not in skip]
+    return " UNION ALL ".join(parts)
+
+
+_ENTRY = "concat(id, CASE WHEN score IS NULL THEN '' ELSE ':' || CAST(floor(score * 100 + 0.3::DOUBLE) AS BIGINT) END)"
+SESSION_LISTS_SQL = f"""WITH {SESSIONS}, {_session_windows(21600)}, m AS ({session_marks_sql("f", "uid, window_end, session_time AS t")}),
+l AS (SELECT uid, window_end, list, k, id, max(t) AS t, arg_max(score, t) AS score FROM m GROUP BY uid, window_end, list, k, id),
+r AS (SELECT *, row_number() OVER (PARTITION BY uid, window_end, list ORDER BY t DESC, id) AS n FROM l)
+SELECT uid, window_end, list, string_agg({_ENTRY}, ',' ORDER BY n) AS items FROM r WHERE n <= k GROUP BY uid, window_end, list"""
+
+_ACTS = {"like": '"like"', "comment": "comment", "share": "share", "collect": '"collect"', "profile": "profile", "report": "report", "dislike": "uninterested", "pay": "paid"}
+_POST = {"exposures": "true", "skips": "progress <= 2", "complete": "complete", "stand_10s": "standing > 10", "stand_20s": "standing > 20", "play_5s": "playback > 5", "play_10s": "playback > 10"} | _ACTS
+_PAIR = {"exposures": "true", "skips": "progress <= 2", "play_8s": "playback > 8", "play_12s": "playback > 12", "stand_10s": "standing > 10", "stand_20s": "standing > 20", "follow": "follow"} | _ACTS
+
+
+def _counts_sql(conds: dict[str, str]) -> str:
+    return ", ".join(f'count(*) FILTER (WHERE {c}) AS "{n}"' for n, c in conds.items())
 
 
 def session_post_day(spark: SparkSession, d: str) -> DataFrame:
-    p = _end(A.session_post_counts(sessions(spark, d)))
-    return p.withColumn("mean_rate", F.round("mean_rate", 10))
+    return _end(A.session_post_counts(sessions(spark, d))).withColumn("mean_rate", F.coalesce(fixed("mean_rate", 8), F.lit(-1)))
 
 
-SESSION_POST_SQL = f"WITH {SESSIONS}, {windows_sql(86400, 3600, 's', 'session_time')} SELECT post_id, window_end, {_SC_SQL}, round(avg(CASE WHEN rate > 0 THEN rate END), 10) AS mean_rate FROM w GROUP BY post_id, window_end"
+SESSION_POST_SQL = f"""WITH {SESSIONS}, {windows_sql(86400, 3600, 's', 'session_time')}
+SELECT post_id, window_end, {_counts_sql(_POST)}, coalesce({fixed_sql("avg(CASE WHEN rate > 0 THEN rate END)", 8)}, -1) AS mean_rate FROM w GROUP BY post_id, window_end"""
 
 
 def session_author_day(spark: SparkSession, d: str) -> DataFrame:
-    return _end(A.session_author_counts(sessions(spark, d), "24 hours", "6 hours"))
+    return _end(A.session_author_counts(sessions(spark, d), "24 hours", "6 hours", cap=CAP))
 
 
-SESSION_AUTHOR_SQL = f"WITH {SESSIONS}, {windows_sql(86400, 21600, 's', 'session_time')} SELECT uid, author, window_end, {_SC_SQL} FROM w GROUP BY uid, author, window_end"
+SESSION_AUTHOR_SQL = f"WITH {SESSIONS}, {_session_windows(21600)} SELECT uid, author, window_end, {_counts_sql(_PAIR)} FROM f GROUP BY uid, author, window_end"
 
 
 def anchor_window_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -264,24 +345,27 @@ SELECT 'rec:item_feature:{{' || post_id || '}}:post24h' AS key, concat('{{"event
 
 
 def user_author_records(spark: SparkSession, d: str) -> DataFrame:
-    """Hash entries of a user's authors over a day."""
-    a = A.user_author_windows(events(spark, d), "24 hours", "24 hours", keep_empty=True).filter(F.unix_seconds("window_end") == 1704067200 + 11 * 86400)
+    """Hash entries of a user's authors over the last day of theirs."""
+    a = A.user_author_windows(events(spark, d), "24 hours", "24 hours", keep_empty=True)
+    last = a.groupBy("uid").agg(F.max("window_end").alias("_last")).withColumnRenamed("uid", "_u")
+    a = a.join(last, (F.col("uid") == F.col("_u")) & (F.col("window_end") == F.col("_last")))
     return R.as_text(R.hash_records(a, "user_author_24h", "author", ["view_3s", "like"])).select("key", "field", "value", "ttl_s")
 
 
-AUTHOR_RECORDS_SQL = f"""WITH {EV}, x AS (SELECT uid, author, count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 THEN rec_token END) AS v, count(DISTINCT CASE WHEN code = 1 THEN rec_token END) AS l FROM ev WHERE epoch_us(ts) // 86400000000 = 1704067200 // 86400 + 10 GROUP BY ALL)
+AUTHOR_RECORDS_SQL = f"""WITH {EV}, day AS (SELECT *, epoch_us(ts) // 86400000000 AS d, max(epoch_us(ts) // 86400000000) OVER (PARTITION BY uid) AS top FROM ev),
+x AS (SELECT uid, author, count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 THEN rec_token END) AS v, count(DISTINCT CASE WHEN {acted_sql(1)} THEN rec_token END) AS l FROM day WHERE d = top GROUP BY uid, author)
 SELECT 'rec:user_author_feature:{{' || uid || '}}:post24h' AS key, CAST(author AS VARCHAR) AS field, concat('{{"view_3s":', v, ',"like":', l, '}}') AS value, 7200 AS ttl_s FROM x"""
 
 QUERIES = {
     "item_feature_records": item_feature_records, "user_author_records": user_author_records,
-    "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
+    "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "capped_user_lists": capped_user_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
     "user_author_hour": user_author_hour, "user_author_day": user_author_day, "user_author_maps": user_author_maps, "post_session_summaries": post_session_summaries, "session_user_day": session_user_day, "session_user_lists": session_user_lists, "session_post_day": session_post_day,
     "session_author_day": session_author_day, "anchor_window_counts": anchor_window_counts, "live_room_exposures": live_room_exposures, "user_anchor_quarter": user_anchor_quarter, "user_anchor_regrouped": user_anchor_regrouped, "tag_recent_posts": tag_recent_posts, "user_live_hour": user_live_hour,
     "user_last_three": user_last_three, "whole_stream_windows": whole_stream_windows, "event_type_counts": event_type_counts, "last_distinct_posts": last_distinct_posts,
 }
 SQL = {
     "item_feature_records": RECORDS_SQL, "user_author_records": AUTHOR_RECORDS_SQL,
-    "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": USER_LISTS_SQL, "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
+    "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": _user_lists_sql(windows_sql(86400, 1800)), "capped_user_lists": _user_lists_sql(_CAPPED, "f"), "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
     "user_author_maps": MAPS_SQL, "post_session_summaries": SESSION_SQL, "session_user_day": SESSION_USER_SQL, "session_user_lists": SESSION_LISTS_SQL, "session_post_day": SESSION_POST_SQL, "session_author_day": SESSION_AUTHOR_SQL, "anchor_window_counts": _anchor_sql(900, 90), "live_room_exposures": LIVE_EXPOSURE_SQL,
     "user_anchor_quarter": USER_ANCHOR_SQL, "user_anchor_regrouped": REGROUP_SQL, "tag_recent_posts": TAG_RECENT_SQL, "user_live_hour": USER_LIVE_SQL, "user_last_three": LAST_THREE_SQL, "whole_stream_windows": WHOLE_SQL, "event_type_counts": f"WITH {EV} SELECT event_type, post_type, count(*) AS n FROM ev GROUP BY ALL",
     "last_distinct_posts": LAST_DISTINCT_SQL,

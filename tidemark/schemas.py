@@ -30,5 +30,8 @@ KV = "key string, field string, value string, seq bigint, updated_at timestamp,
 
 #: Interaction codes (fixed values of the event format).
 CODES = {"like": 1, "comment": 3, "collect": 5, "share": 6, "report": 7, "download": 9, "purchase": 10, "uninterested": 11, "follow": 13, "profile": 15, "subscribe": 16, "prompt_no": 18}
+#: Codes that a client event's flags stand for in the sensitivity machine (fixed values); they differ from CODES in
+#: share and collect, and in report and not interested.
+CLIENT_CODES = {"like": 1, "comment": 3, "share": 5, "collect": 6, "paid": 10, "follow": 13, "profile": 15, "report": 11, "uninterested": 7, "prompt_no": 18}
 #: Event types of the envelopes (fixed values).
 EVENT_TYPES = {"client_log": 1, "post_view": 8, "content_tag": 11, "post_expose": 16, "valid_post": 17}

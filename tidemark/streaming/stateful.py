@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.streaming.steps import Step
 
 OUT = "key string, ts long, value string"
+_CLOSED = 1 << 62
 
 
 def _packed(df: DataFrame, key: str, fields: list[str], ts: str) -> DataFrame:
@@ -25,27 +26,36 @@ def _packed(df: DataFrame, key: str, fields: list[str], ts: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), ms.alias("ts"), F.to_json(F.struct(*[F.col(f) for f in fields])).alias("event"))
 
 
-def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", final_only: bool = False) -> DataFrame:
-    """key, ts, value (JSON) for all that ``step`` emits, or only each key's last."""
+def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", final_only: bool = False, close: bool = False) -> DataFrame:
+    """key, ts, value (JSON) for all that ``step`` emits, or only each key's last. ``close``: behind its last row a key's
+    step is called once more, with ``closing`` and a time beyond all gaps."""
     rows = _packed(df.filter(F.col(key).isNotNull()), key, fields, ts).repartition("key").sortWithinPartitions("key", "ts", "event")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, state, last = None, {}, None
+        now, at, state, last = None, 0, {}, None
+
+        def end() -> list[tuple]:
+            """What the key that ends here still emits."""
+            found = [] if last is None or not final_only else [last]
+            if close and now is not None:
+                more = [(now, at, json.dumps(x, sort_keys=True)) for x in step(state, {"ts": _CLOSED, "closing": True})[1]]
+                found = more[-1:] or found if final_only else more
+            return found
+
         for f in frames:
             out = []
             for k, t, e in zip(f["key"], f["ts"], f["event"]):
                 if k != now:
-                    if final_only and last is not None:
-                        out.append(last)
+                    out += end()
                     now, state, last = k, {}, None
-                state, emitted = step(state, json.loads(e) | {"ts": int(t)})
+                at = int(t)
+                state, emitted = step(state, json.loads(e) | {"ts": at})
                 for x in emitted:
-                    last = (k, int(t), json.dumps(x, sort_keys=True))
+                    last = (k, at, json.dumps(x, sort_keys=True))
                     if not final_only:
                         out.append(last)
             yield pd.DataFrame(out, columns=["key", "ts", "value"])
-        if final_only and last is not None:
-            yield pd.DataFrame([last], columns=["key", "ts", "value"])
+        yield pd.DataFrame(end(), columns=["key", "ts", "value"])
 
     return rows.mapInPandas(run, OUT)
 

@@ -1,5 +1,5 @@
 """Steps of the stateful operators: small functions from a key's state and one event to its new state and what it
-emits. Batches replay them per key with ``applyInPandas`` and streams hold the same state in
+emits. Batches replay them per key with ``mapInPandas`` and streams hold the same state in
 ``transformWithStateInPandas`` (see :mod:`tidemark.streaming.stateful`). State is a JSON-like dict; times are epoch
 milliseconds of the event, never the wall clock.
 """
@@ -26,10 +26,10 @@ def requeue(queue: list, key, value, size: int) -> list:
 
 
 def put_recent(held: dict, key: str, value, now: int, size: int) -> dict:
-    """A map that evicts the entry updated longest ago; values are [value, time]."""
+    """A map that evicts the entry updated longest ago; entries are lists that end with their time."""
     if key not in held and len(held) >= size:
-        held.pop(min(held, key=lambda k: (held[k][1], k)))
-    held[key] = [value, now]
+        held.pop(min(held, key=lambda k: (held[k][-1], k)))
+    held[key] = [*(value if isinstance(value, list) else [value]), now]
     return held
 
 
@@ -86,14 +86,9 @@ def weighted_interests(state: dict, e: dict, mode: str = "reference") -> tuple[d
         if not key:
             continue
         m = held[kind]
-        if key in m:
-            up, down = _decayed(m[key], now)
-        else:
-            up = down = 0.0
-            if len(m) >= INTEREST_SIZE:
-                m.pop(min(m, key=lambda k: (m[k][2], k)))
+        up, down = _decayed(m[key], now) if key in m else (0.0, 0.0)
         w = INTEREST_WEIGHTS[e["feedback"]]
-        m[key] = [up + w, down, now] if plus else [up, down + w, now]
+        put_recent(m, key, [up + w, down] if plus else [up, down + w], now, INTEREST_SIZE)
     out = {}
     for kind, m in held.items():
         scored = [(k, net_weight((lambda d: d[0] - d[1])(_decayed(v, now)), mode)) for k, v in m.items()]
@@ -174,11 +169,12 @@ def transition(user_type: str, s: dict, feedback: str, now: int) -> dict:
 
 
 def sensitivity(state: dict, e: dict) -> tuple[dict, list[dict]]:
-    """One step of the machine. Event: user_type, feedback, ts. Nothing is emitted without feedback."""
+    """One step of the machine. Event: user_type, feedback, ts, pos_tag, neg_tag. Nothing is emitted without feedback."""
     if e["feedback"] == "none":
         return state, []
     new = transition(e["user_type"], state, e["feedback"], e["ts"])
-    return new, [new | {"user_type": e["user_type"], "last_feedback": e["feedback"], "last_feedback_ts": e["ts"]}]
+    tags = {"last_pos_tag": e.get("pos_tag") or "unk", "last_neg_tag": e.get("neg_tag") or "unk"}
+    return new, [new | tags | {"user_type": e["user_type"], "last_feedback": e["feedback"], "last_feedback_ts": e["ts"]}]
 
 
 def early_session(state: dict, e: dict, gap_ms: int = 70_000) -> tuple[dict, list[dict]]:
