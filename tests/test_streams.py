@@ -109,3 +109,39 @@ def test_repeating_timer_reports_counts(spark, tmp_path):
     finally:
         q.stop()
     assert got["a"] == {"n": 3, "kinds": {"view": 2, "click": 1}} and got["b"]["n"] == 1
+
+
+def test_three_batches_arm_one_timer(spark, tmp_path):
+    """Rows of three micro-batches: a key still reports once a period."""
+    import time
+
+    df = spark.createDataFrame([("a", "view", i) for i in range(3)], "key string, kind string, i int").withColumn("ts", F.timestamp_seconds(F.col("i") + 1_700_000_000)).drop("i")
+    s = replayed(spark, df, tmp_path, "armed", 3)
+    out = s.groupBy("key").transformWithStateInPandas(stateful.Ticker(every_ms=1500), stateful.OUT, "append", "ProcessingTime")
+    q = out.writeStream.format("memory").queryName("armed").outputMode("append").option("checkpointLocation", str(tmp_path / "armed-cp")).trigger(processingTime="300 milliseconds").start()
+    try:
+        for _ in range(240):
+            at = sorted(r.ts for r in spark.table("armed").collect())
+            if len(at) >= 4:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert len(at) >= 4 and all(b - a >= 1500 for a, b in zip(at, at[1:]))
+    assert json.loads(spark.table("armed").orderBy(F.desc("ts")).first().value) == {"n": 3, "kinds": {"view": 3}}
+
+
+def _strong(spark, rows):
+    df = spark.createDataFrame(rows, "key string, t string, strong boolean").withColumn("ts", F.col("t").cast("timestamp"))
+    return df.select("key", "ts", "strong", F.lit(1.0).alias("standing_time"), F.lit(1.0).alias("progress_time"), F.lit(0.0).alias("playback_time"))
+
+
+@pytest.mark.parametrize("ttl_ms, closed", [(None, 2), (30_000, 1)])
+def test_gap_timer_is_one_a_key_and_may_have_a_ttl(spark, tmp_path, ttl_ms, closed):
+    """Three micro-batches of one session arm one timer, which closes it once; with a TTL below the gap, what is left of a
+    session when its timer fires is gone."""
+    rows = [("a", "2024-01-01 00:00:00", False), ("a", "2024-01-01 00:00:20", False), ("a", "2024-01-01 00:00:40", True), ("z", "2024-01-02 00:00:00", False), ("z", "2024-01-03 00:00:00", False)]
+    s = stateful.stream(replayed(spark, _strong(spark, rows), tmp_path, f"gap{closed}", 5), "key", ["standing_time", "progress_time", "playback_time", "strong"], steps.early_session, watermark="1 second", ttl_ms=ttl_ms, gap_ms=70_000)
+    got = [json.loads(r.value) | {"key": r.key} for r in collect(s, "append", tmp_path, f"gap{closed}").collect()]
+    a = [(x["is_final"], x["standing"]) for x in got if x["key"] == "a"]
+    assert a == [(False, 3.0), (True, 3.0)][:closed]

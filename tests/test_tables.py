@@ -57,6 +57,32 @@ def test_upserted_files_apply_a_batch_once(spark, tmp_path):
     assert content(sinks.read_files(spark, str(tmp_path / "kv"), KV), "key", "value") == [("k", "2")] and seen == [1, 1, 1]
 
 
+def test_upserts_rewrite_only_their_buckets(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "kv")
+    change = lambda old, new: kv.set_strings(old, new, at(0), None, "n")
+    write = sinks.upsert_files(spark, path, change, KV, buckets=8, keep=1)
+    batch = lambda *r: spark.createDataFrame(list(r), "key string, value string, n int")
+    write(batch(*[(f"k{i}", "1", 1) for i in range(40)]), 0)
+    write(batch(("k3", "2", 1)), 1)
+    write(batch(("k3", "3", 1), ("new", "1", 1)), 2)
+    got = dict(content(sinks.read_files(spark, path, KV), "key", "value"))
+    assert len(got) == 41 and got["k3"] == "3" and got["k4"] == "1"
+    assert sum(n.startswith("_bucket") for n in os.listdir(f"{path}/data/3")) <= 2
+    assert sorted(os.listdir(f"{path}/manifest")) == ["3"] and not os.path.exists(f"{path}/data/2")
+
+
+def test_jdbc_merge_takes_credentials_and_several_statements(spark):
+    url = "jdbc:derby:memory:guarded;create=true"
+    who = {"user": "app", "password": "a;b{c}"}
+    new = spark.createDataFrame([(1, "x;{y}")], "ID int, T string")
+    new.write.format("jdbc").option("url", url).option("dbtable", "NOTES").options(**who).option("createTableColumnTypes", "T VARCHAR(20)").mode("overwrite").save()
+    sinks.jdbc_upsert(spark.createDataFrame([(2, "z")], "ID int, T string"), url, "NOTES", "STAGED2", ["INSERT INTO {target} SELECT ID, CAST(SUBSTR(T, 1, 20) AS VARCHAR(20)) FROM {staging}", "UPDATE {target} SET T = 'a;{b}' WHERE ID = 1"], **who)
+    got = dict(content(spark.read.format("jdbc").option("url", url).option("dbtable", "NOTES").options(**who).load(), "ID", "T"))
+    assert got == {1: "a;{b}", 2: "z"}
+
+
 def test_jdbc_round_trip(spark):
     url = "jdbc:derby:memory:tidemark;create=true"
     base = spark.range(20).select(F.col("id").cast("int").alias("ID"), (F.col("id") * 2).cast("int").alias("N"))

@@ -17,18 +17,26 @@ def kafka(df: DataFrame, servers: str, topic: str, checkpoint: str | None = None
     return out.write.format("kafka").options(**opts).save()
 
 
-def jdbc_upsert(df: DataFrame, url: str, target: str, staging: str, merge_sql: str, **options: str) -> None:
-    """Write a staging table in parallel, then merge it in one statement of the database (``MERGE``, or
-    ``INSERT .. ON DUPLICATE KEY UPDATE``), which names both tables."""
+def jdbc_upsert(df: DataFrame, url: str, target: str, staging: str, merge: list[str] | str, **options: str) -> None:
+    """Write a staging table in parallel, then run the statements of ``merge`` in one transaction of the database
+    (``MERGE``, or ``INSERT .. ON DUPLICATE KEY UPDATE``); ``{target}`` and ``{staging}`` in them are the tables' names.
+    ``options`` (user, password, driver's own) hold for both."""
     df.write.format("jdbc").option("url", url).option("dbtable", staging).options(**options).mode("overwrite").save()
     jvm = df.sparkSession._jvm
-    con = jvm.java.sql.DriverManager.getConnection(url)
+    properties = jvm.java.util.Properties()
+    for name, value in options.items():
+        properties.setProperty(name, str(value))
+    con = jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
-        for sql in merge_sql.split(";"):
-            if sql.strip():
-                st = con.createStatement()
-                st.execute(sql.format(target=target, staging=staging))
-                st.close()
+        con.setAutoCommit(False)
+        for sql in [merge] if isinstance(merge, str) else merge:
+            st = con.createStatement()
+            st.execute(sql.replace("{target}", target).replace("{staging}", staging))
+            st.close()
+        con.commit()
+    except Exception:
+        con.rollback()
+        raise
     finally:
         con.close()
 
@@ -47,26 +55,67 @@ def fan_out(targets: list[Callable[[DataFrame, int], None]]) -> Callable[[DataFr
     return write
 
 
-def upsert_files(spark: SparkSession, path: str, change: Callable[[DataFrame, DataFrame], DataFrame], schema: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps a table as Parquet: version n + 1 is ``change(version n, batch)``. A
-    batch that ran before is not applied again, so retries give the same table."""
+def upsert_files(spark: SparkSession, path: str, change: Callable[[DataFrame, DataFrame], DataFrame], schema: str, key: str = "key", buckets: int = 16, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps a table as Parquet in ``buckets`` folders by a hash of ``key``. A batch
+    rewrites the buckets of its keys alone: a bucket's new version is ``change(its old rows, the batch's rows)``, so
+    ``change`` may not look at other keys. A manifest of bucket versions, written last, is the table; a batch that ran
+    before is not applied again, so retries give the same table. Bucket versions that the last ``keep`` manifests don't
+    name are removed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        at = f"{path}/v{batch_id + 1}"
-        if _exists(spark, f"{at}/_SUCCESS"):
+        if _exists(spark, f"{path}/manifest/{batch_id + 1}/_SUCCESS"):
             return
-        change(read_files(spark, path, schema, batch_id), batch).write.mode("overwrite").parquet(at)
+        held = batch.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = sorted(r[0] for r in held.select("_bucket").distinct().collect())  # at most ``buckets`` numbers
+        old = _manifest(spark, path, _last(spark, path, batch_id))
+        now = dict(old)
+        if touched:
+            rows = _bucket_rows(spark, path, schema, {b: v for b, v in old.items() if b in touched})
+            new = change(rows, held.drop("_bucket")).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            new.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/data/{batch_id + 1}")
+            now |= {b: batch_id + 1 for b in touched}
+        spark.createDataFrame(sorted(now.items()), "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/{batch_id + 1}")
+        _forget(spark, path, batch_id + 1, keep)
 
     return write
 
 
 def read_files(spark: SparkSession, path: str, schema: str, version: int | None = None) -> DataFrame:
-    """The table as of a version, or its newest."""
-    if version is None:
-        version = 0
-        while _exists(spark, f"{path}/v{version + 1}/_SUCCESS"):
-            version += 1
-    return spark.read.schema(schema).parquet(f"{path}/v{version}") if version else spark.createDataFrame([], schema)
+    """The table as of a version (a batch id and 1), or its newest."""
+    return _bucket_rows(spark, path, schema, _manifest(spark, path, _last(spark, path, version)))
+
+
+def _bucket_rows(spark: SparkSession, path: str, schema: str, versions: dict[int, int]) -> DataFrame:
+    paths = [p for b, v in versions.items() if _exists(spark, p := f"{path}/data/{v}/_bucket={b}")]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Names of the folder's entries, which are numbers; one listing."""
+    if not _exists(spark, folder):
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return sorted(int(f.getPath().getName()) for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
+
+
+def _last(spark: SparkSession, path: str, version: int | None) -> int:
+    done = [v for v in _numbers(spark, f"{path}/manifest") if (version is None or v <= version) and _exists(spark, f"{path}/manifest/{v}/_SUCCESS")]
+    return max(done, default=0)
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    if not version:
+        return {}
+    return {r.bucket: r.version for r in spark.read.schema("bucket int, version long").parquet(f"{path}/manifest/{version}").collect()}
+
+
+def _forget(spark: SparkSession, path: str, version: int, keep: int) -> None:
+    manifests = [v for v in _numbers(spark, f"{path}/manifest") if v <= version]
+    named = {x for v in manifests[-keep:] for x in _manifest(spark, path, v).values()}
+    gone = [f"{path}/manifest/{v}" for v in manifests[:-keep]] + [f"{path}/data/{v}" for v in _numbers(spark, f"{path}/data") if v <= version and v not in named]
+    for p in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -62,14 +62,27 @@ def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts
 
 class _Runner(StatefulProcessor):
     """Holds a key's state as JSON. ``gap_ms``: an event-time timer calls the step with ``closing`` once the key has
-    been quiet for so long."""
+    been quiet for so long; a key has one timer, and an older one goes. ``ttl_ms`` without a gap is the store's own, on
+    the wall clock; with one, Spark keeps a single clock, so state written longer ago in event time reads as none."""
 
     def __init__(self, step: Step, ttl_ms: int | None, gap_ms: int | None):
         self._step, self._ttl, self._gap = step, ttl_ms, gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._state = handle.getValueState("state", "json string", **({"ttlDurationMs": self._ttl} if self._ttl else {}))
+        own = {"ttlDurationMs": self._ttl} if self._ttl and not self._gap else {}
+        self._state = handle.getValueState("state", "json string", **own)
+
+    def _arm(self, at: int | None) -> None:
+        """The key's one timer."""
+        for t in list(self._handle.listTimers()):
+            if t != at:
+                self._handle.deleteTimer(t)
+        if at is not None:
+            self._handle.registerTimer(at)
+
+    def _fresh(self, state: dict, now: int) -> dict:
+        return {} if self._gap and self._ttl and state and now - state["last"] > self._ttl else state
 
     def _load(self) -> dict:
         return json.loads(self._state.get()[0]) if self._state.exists() else {}
@@ -84,16 +97,16 @@ class _Runner(StatefulProcessor):
         events = sorted((int(t), e) for f in rows for t, e in zip(f["ms"], f["event"]))
         state, out = self._load(), []
         for t, e in events:
-            state, emitted = self._step(state, json.loads(e) | {"ts": t})
+            state, emitted = self._step(self._fresh(state, t), json.loads(e) | {"ts": t})
             out += [(key[0], t, json.dumps(x, sort_keys=True)) for x in emitted]
         self._save(state)
-        if self._gap and state:
-            self._handle.registerTimer(state["last"] + self._gap + 1)
+        if self._gap:
+            self._arm(state["last"] + self._gap + 1 if state else None)
         yield pd.DataFrame(out, columns=["key", "ts", "value"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         t = expiredTimerInfo.getExpiryTimeInMs()
-        state, emitted = self._step(self._load(), {"ts": t, "closing": True})
+        state, emitted = self._step(self._fresh(self._load(), t), {"ts": t, "closing": True})
         self._save(state)
         yield pd.DataFrame([(key[0], t, json.dumps(x, sort_keys=True)) for x in emitted], columns=["key", "ts", "value"])
 
@@ -106,12 +119,13 @@ def stream(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts
     order of (ts, event); across batches, as they arrive."""
     d = df.filter(F.col(key).isNotNull()).withWatermark(ts, watermark)
     d = d.select(F.col(key).cast("string").alias("key"), F.col(ts), F.unix_millis(ts).alias("ms"), F.to_json(F.struct(*[F.col(f) for f in fields])).alias("event"))
-    mode = "ProcessingTime" if ttl_ms else "EventTime" if gap_ms else "None"
+    mode = "EventTime" if gap_ms else "ProcessingTime" if ttl_ms else "None"
     return d.groupBy("key").transformWithStateInPandas(_Runner(step, ttl_ms, gap_ms), OUT, "append", mode)
 
 
 class Ticker(StatefulProcessor):
-    """Counts of a key, emitted by a processing-time timer that sets itself again every ``every_ms``."""
+    """Counts of a key, emitted by a processing-time timer that sets itself again every ``every_ms``. A key's first rows arm
+    it; while it is armed, later ones don't."""
 
     def __init__(self, every_ms: int = 300_000, ttl_ms: int = 86_400_000):
         self._every, self._ttl = every_ms, ttl_ms
@@ -130,7 +144,8 @@ class Ticker(StatefulProcessor):
                 self._kinds.updateValue((kind,), ((self._kinds.getValue((kind,))[0] if self._kinds.containsKey((kind,)) else 0) + 1,))
                 self._last.put([*list(self._last.get())[-9:], (kind,)])
         self._n.update((n,))
-        self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._every)
+        if not list(self._handle.listTimers()):
+            self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._every)
         yield pd.DataFrame([], columns=["key", "ts", "value"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
