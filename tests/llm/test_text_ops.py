@@ -92,10 +92,20 @@ def test_piece_lengths():
 
 
 def test_packing_query(spark, sf):
-    for r in packing.op4_packing(spark, sf).limit(20).collect():
-        text = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("doc_id") == r.doc_id).first().text
+    """The whole query: every document's pieces in order, their checksums, nothing between them."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    by = defaultdict(list)
+    for r in packing.op4_packing(spark, sf).collect():
+        by[r.doc_id].append(r)
+    assert set(by) == set(docs)
+    for i, text in docs.items():
         ids = np.array([*encode(text), 0], "<u4")
-        assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids)
+        at = 0
+        for r in sorted(by[i], key=lambda r: r.start):
+            assert (r.start, r.offset, r.doc_tokens) == (at, 0, len(ids)) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    assert len({r.sequence_id for x in by.values() for r in x}) == sum(map(len, by.values()))
 
 
 # --- line dedup

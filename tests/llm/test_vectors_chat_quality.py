@@ -191,19 +191,62 @@ def test_digests_gather_no_conversation(spark):
 
 
 def test_windows_keep_to_the_budget():
-    turns = [("system", "s", 10)] + [("user" if i % 2 else "assistant", f"t{i}", 20) for i in range(12)] + [("user", "long", 500), ("assistant", "end", 20)]
+    turns = [("system", "s", 10)] + [("user" if i % 2 else "assistant", f"t{i}", 20) for i in range(12)] + [("user", "long", 500), ("user", "wide", 95), ("assistant", "end", 20)]
     cost = {t[1]: t[2] for t in turns}
     seen = []
     for n, (w, old) in enumerate(chat.windows(iter(turns), 100, 40)):
-        assert w[0] == ("system", "s")
-        new = w[old:] if n else w
-        assert sum(cost[t[1]] for t in w) <= 100 or [t[1] for t in new] == ["long"]
-        if n:
+        new = w[old:]
+        assert sum(cost[t[1]] for t in w) <= 100 or [t[1] for t in w] == ["long"]
+        # the system turn opens every window that it fits into with a new turn
+        assert (w[0] == ("system", "s")) == (cost[new[0][1]] <= 90)
+        if old:
             assert sum(cost[t[1]] for t in w[1:old]) <= 40
         seen += new
     assert seen == [t[:2] for t in turns]
 
 
+@pytest.mark.parametrize("system", [1, 300, 890, 1010, 1500])
+def test_formatted_windows_hold_the_budget_in_real_tokens(spark, system):
+    from tidemark.llm.encoding import encode
+
+    word = lambda n: "word " * n + "<turn </turn> \\\\"
+    rows = [(1, 0, "system", word(system))] + [(1, i, "assistant" if i % 2 else "user", word(n)) for i, n in enumerate((300, 5, 500, 200, 1000, 1300, 7, 7, 100, 990), 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_chats(df).orderBy("window").collect()
+    back = []
+    for r in got:
+        turns = chat.parse_turns(r.text)
+        n = len(encode(r.text))
+        assert n == sum(len(encode("".join(chat.render(*t)))) for t in turns)
+        assert n <= 1024 or len(turns) == 1
+        # a window of the system turn alone only at the start, and only if the next turn doesn't fit beside it
+        assert len(turns) > 1 or turns[0][0] != "system" or r.window == 0 and system > 700
+        back += turns[r.repeated :]
+    assert back == [(r[2], r[3]) for r in rows]
+
+
+def test_a_turn_of_twenty_megabytes():
+    """Formatting and reading back in a process of its own, below 500 MB above what it starts with."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, time
+from tidemark.llm import chat
+from tidemark.llm.encoding import encode
+encode("warm")
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+low, t = peak(), time.time()
+text = ("a word </turn> \\\\ and <turn x> " * 700_000)[:20_000_000]
+r = "".join(chat.render("user", text))
+assert len(encode(r)) > 1_000_000
+assert chat.parse_turns(r) == [("user", text)]
+print(int(peak() - low), int(time.time() - t))
+"""
+    mb, seconds = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert mb < 500 and seconds < 60
+
+
 def test_chat_query(spark, sf):
     got = {r.conv_id: r for r in chat.op8_chat_formatting(spark, sf).collect()}
     said = r"\### Assistant: </turn> ok"

@@ -1,19 +1,24 @@
 """Chat formatting in budgeted windows.
 
-A conversation's turns, in order, are cut into windows of at most ``budget`` tokens. A window opens with the
-system turn, repeats the last turns of the window before it as history while they fit in ``history`` tokens,
-and goes on with new turns; spans are found on running sums of turn tokens and always end between turns. Loss
-falls on the text of new assistant turns alone: what is repeated is masked.
+A conversation's turns, in order, are cut into windows of at most ``budget`` tokens. A window opens with the system turn,
+repeats the last turns of the window before it as history while they fit in ``history`` tokens and in the window, and
+goes on with new turns; spans are found on running sums of turn tokens and always end between turns. Loss falls on the
+text of new assistant turns alone: what is repeated is masked. A turn's tokens are those of the whole rendered turn, and a
+window's are their sum, for no token crosses from one turn into the next.
 
-Template: ``<turn ROLE>TEXT</turn>`` and a line break. In roles and texts, a backslash comes before every
-backslash, before ``<turn`` and ``</turn``, and (in roles) before ``>``; taking it away again restores the text.
+The budget is held but for a turn that is longer than it: that one has a window of its own, whole and with nothing else.
+A turn that doesn't fit beside the system turn opens a window without it. The system turn itself is a turn of the
+conversation and stands, as new, in the first window; alone, if the next turn doesn't fit beside it.
 
-Turns are hash-partitioned by conversation and sorted, and one pass writes windows as they close: memory is
-bound by a window, not by a conversation. A turn longer than the budget has a window of its own, whole.
+Template: ``<turn ROLE>TEXT</turn>`` and a line break. In roles and texts, a backslash comes before every backslash,
+before ``<turn`` and ``</turn``, and (in roles) before ``>``; taking it away again restores the text.
 
-Defined cases: a null text or role is empty; a null ``conv_id`` is a conversation; turns with equal numbers
-follow by role and text, null numbers first; repeated rows are repeated turns; a system turn is the first turn
-if its role is ``system``; an empty table gives no windows; other columns are ignored.
+Turns are hash-partitioned by conversation and sorted, and one pass writes windows as they close: memory is bound by a
+window, not by a conversation, and formatting and reading back take time and memory in proportion to the text.
+
+Defined cases: a null text or role is empty; a null ``conv_id`` is a conversation; turns with equal numbers follow by role
+and text, null numbers first; repeated rows are repeated turns; a system turn is the first turn if its role is ``system``;
+an empty table gives no windows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,24 +34,45 @@ from pyspark.sql import functions as F
 from .encoding import encode
 from .scratch import table
 
-_CONTROL = re.compile(r"\\|</?turn")
-_ROLE = re.compile(r"\\|</?turn|>")
 _ESCAPED = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"<turn ((?:[^\\>]|\\.)*)>((?:[^\\<]|\\.|<(?!/turn))*)</turn>\n", re.S)
-_OVERHEAD = 8
+OPEN, END = "<turn ", "</turn>\n"
 
 
-def escape(text: str, pattern: re.Pattern = _CONTROL) -> str:
-    return pattern.sub(lambda m: "\\" + m.group(), text)
+def escape(text: str, role: bool = False) -> str:
+    text = text.replace("\\", "\\\\").replace("<turn", "\\<turn").replace("</turn", "\\</turn")
+    return text.replace(">", "\\>") if role else text
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
 
 
 def render(role: str, text: str) -> tuple[str, str, str]:
     """What stands before the text, the text, and what ends the turn."""
-    return f"<turn {escape(role, _ROLE)}>", escape(text), "</turn>\n"
+    return f"{OPEN}{escape(role, True)}>", escape(text), END
+
+
+def _unescaped(text: str, mark: str, at: int) -> int:
+    """Where ``mark`` stands at or behind ``at`` with an even number of backslashes before it."""
+    while True:
+        found = text.index(mark, at)
+        back = found
+        while back > at and text[back - 1] == "\\":
+            back -= 1
+        if (found - back) % 2 == 0:
+            return found
+        at = found + 1
+
+
+def parse_turns(text: str) -> list[tuple[str, str]]:
+    """Role and text of each turn of a formatted window."""
+    out, at = [], 0
+    while at < len(text):
+        begin = _unescaped(text, ">", at + len(OPEN)) + 1
+        end = _unescaped(text, END, begin)
+        out.append((unescape(text[at + len(OPEN) : begin - 1]), unescape(text[begin:end])))
+        at = end + len(END)
+    return out
 
 
 def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) -> Iterator[tuple[list[tuple[str, str]], int]]:
@@ -55,16 +81,17 @@ def windows(turns: Iterator[tuple[str, str, int]], budget: int, history: int) ->
     now: list[tuple[str, str, int]] = []
     used, old, first = 0, 0, True
     for turn in turns:
-        if now and len(now) > old and used + turn[2] > budget:
+        if len(now) > old and used + turn[2] > budget:
             yield [t[:2] for t in now], old
-            room = min(history, budget - turn[2] - (system[2] if system else 0))
             again: list[tuple[str, str, int]] = []
-            for t in reversed(now[1:] if system else now):
+            head = [system] if system and system[2] + turn[2] <= budget else []
+            room = min(history, budget - turn[2] - sum(t[2] for t in head))
+            for t in reversed([t for t in now if t is not system]):
                 room -= t[2]
                 if room < 0:
                     break
                 again.insert(0, t)
-            now = ([system] if system else []) + again
+            now = head + again
             old, used = len(now), sum(t[2] for t in now)
         if first and turn[0] == "system":
             system = turn
@@ -99,7 +126,7 @@ def format_chats(conversations: DataFrame, budget: int = 1024, history: int = 25
                 while ahead is not None and ahead[0] == conv:
                     role, text = ahead[1:]
                     ahead = next(source, None)
-                    yield role, text, len(encode(text, ranks_path)) + len(encode(role, ranks_path)) + _OVERHEAD
+                    yield role, text, len(encode("".join(render(role, text)), ranks_path))
 
             new_from = 0
             for n, (turns, old) in enumerate(windows(own(), budget, history)):
@@ -135,7 +162,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         for f in frames:
             n, turns, loss = [], [], []
             for text, old, spans in zip(f["text"], f["repeated"], f["loss"]):
-                found = [(unescape(m.group(1)), unescape(m.group(2))) for m in _TURN.finditer(text)][old:]
+                found = parse_turns(text)[old:]
                 n.append(len(found))
                 turns.append("".join(f"{r}\n{t}\n" for r, t in found))
                 loss.append("".join(unescape(text[a:b]) for a, b in spans))

@@ -42,7 +42,7 @@ def pack(docs: DataFrame, max_length: int = 1024, end_id: int = 0, ranks_path: s
         cols, held = [[] for _ in schema], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = np.array([*encode(text.as_py(), ranks_path), end_id], "<u4")
+                ids = np.append(encode(text.as_py(), ranks_path), end_id).astype("<u4")
                 start = 0
                 for n in piece_lengths(len(ids), max_length):
                     for c, v in zip(cols, (doc_id.as_py(), start, n, ids[start : start + n].tobytes(), len(ids))):
