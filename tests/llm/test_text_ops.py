@@ -142,12 +142,50 @@ def test_lines(spark):
 
 
 def test_runs_compact_by_level(spark):
-    runs = line_dedup.LineRuns(spark, min_chars=1, fanout=2)
+    runs = line_dedup.LineRuns(spark, fanout=2)
     for i in range(5):
-        runs.add(spark.createDataFrame([(i, "same\nown%d" % i)], "doc_id long, text string"))
+        runs.add(line_dedup.long_lines(spark.createDataFrame([(i, "same\nown%d" % i)], "doc_id long, text string"), 1))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
-    assert runs.frequent(5).count() == 1
-    assert runs.levels[0][0].filter("is_new").count() == 1 and runs.levels[0][0].filter("not is_new").count() == 1
+    # every key is in one run; what came again is in the hits
+    keys = [r.key for run in runs.runs() for r in run.collect()]
+    assert len(keys) == len(set(keys)) == 6 and [h.count() for h in runs.hits] == [1] * 4
+    assert [r.max_doc for r in runs.frequent(5).collect()] == [4] and runs.frequent(6).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with runs that are too large for it
+    try:
+        plans = [p._jdf.queryExecution().executedPlan().toString() for p in (runs.unknown(runs.runs()[0]), line_dedup._merged(*runs.runs()))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("SortMergeJoin" in p and "Exchange" not in p for p in plans)
+    runs.free()
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    """With every key let through, keys lie in several runs and lines stay that should go."""
+    docs = spark.createDataFrame([(i, "x" * 50 + "\nown line %d" % i) for i in range(9)], "doc_id long, text string")
+    want = sorted(brute_lines([(r.doc_id, r.text) for r in docs.collect()]))
+    rows = lambda: sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_dedup.dedup_lines(docs).collect())
+    assert rows() == want
+    monkeypatch.setattr(line_dedup.LineRuns, "unknown", lambda self, counts: counts)
+    assert rows() != want
+
+
+def test_very_many_lost_lines_take_linear_time(spark):
+    import time
+
+    line = lambda i: "a common line of more than forty characters %06d" % i
+    took = []
+    for n in (2_000, 40_000):
+        docs = spark.createDataFrame([(d, "\n".join(map(line, range(n)))) for d in range(5)], "doc_id long, text string")
+        t = time.time()
+        got = sorted((r.doc_id, r.n_dropped) for r in line_dedup.dedup_lines(docs).select("doc_id", "n_dropped", F.length("text")).collect())
+        took.append(time.time() - t)
+        assert got == [(d, n if d < 4 else 0) for d in range(5)]
+    assert took[1] < took[0] + 25
+
+
+def test_line_query_equals_its_sql(spark, sf, duck):
+    got = sorted(map(tuple, line_dedup.op9_line_dedup(spark, sf).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()))
+    assert got == sorted(duck.sql(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({line_dedup.OP9_SQL})").fetchall())
 
 
 # --- near-dedup

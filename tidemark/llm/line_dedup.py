@@ -1,27 +1,31 @@
 """Line dedup over levelled sorted runs of line hashes. DataFrame functions only.
 
-A batch of documents becomes a *run*: one row per line key (a 128-bit hash) with the number of the batch's
-documents that hold it and the largest of their ids, sorted by key. :meth:`LineRuns.add` anti-joins the
-batch's keys with the runs so far, to tell new keys from known ones, and adds its own run at level 0; when a
-level has ``fanout`` runs they are compacted into one run of the next level, so a key is rewritten once a
-level and a batch meets few runs. :meth:`LineRuns.strip` takes from documents the lines that the runs hold
-often enough, except in the largest document id.
-
-A very common line is one row of a run however many documents hold it: counting is partially aggregated
-before the shuffle. Documents meet only the frequent keys, in a join that Spark can split at a hot key, and
-texts are shuffled once, to meet the list of keys that their document loses.
-
-Defined cases: a null or empty text is one empty line; documents with a null ``doc_id`` aren't counted and
-keep all lines; rows that share a ``doc_id`` count as one document; keys shorter than ``min_chars`` code
+A *run* holds keys (128-bit hashes of long lines) with the number of documents that hold each and the largest of their
+ids, bucketed and sorted by key. No key is in two runs: a batch's keys are anti-joined with the runs so far, and what
+passes becomes the batch's own run at level 0; what doesn't is known, and its counts go to the *hits*, one row for each
+batch that saw the key again. When a level has ``fanout`` runs they are merged into one run of the next level, so a key is
+rewritten once a level and a batch meets few runs. A key's total is that of its run and its hits; documents lose the
+lines of keys that reach ``min_docs``, except in the largest document id.
+
+All runs have equally many buckets: anti-joins and merges need no shuffle. Texts are read twice, once for the table of
+long lines (document, position, key), of which the batches are parts, and once to cut lines out; only then they are
+shuffled, to meet the positions that their document loses. A very common line is one row of a run however many documents
+hold it; documents meet only the frequent keys, in a join that Spark can split at a hot key. Cutting takes time in
+proportion to a text's lines.
+
+Defined cases: a null or empty text is one empty line; documents with a null ``doc_id`` aren't counted and keep all lines;
+rows that share a ``doc_id`` count as one document and each loses its own lines; keys shorter than ``min_chars`` code
 points are never dropped; an empty table gives an empty result; other columns are returned as they are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import boxed, free, save, table, unboxed
+from .scratch import boxed, free, save, save_bucketed, table, unboxed
 
 BLANKS = r" \u0009\u000A\u000B\u000C\u000D"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,90 +45,112 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, key: each long line's hash, once for a document in a row."""
-    keys = F.transform(text_lines(F.col("text")), line_key)
-    keys = F.array_distinct(F.filter(keys, lambda k: F.length(k) >= min_chars))
-    lines = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(keys).alias("line"))
-    return lines.select("doc_id", key_hash(F.col("line")).alias("key"))
+def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """doc_id, text_id (a hash that tells rows of one doc_id apart), pos (from 0), key of every long line."""
+    text, ident = F.col("text"), F.col("doc_id").cast("long").alias("doc_id")
+    lines = docs.filter(F.col("doc_id").isNotNull()).select(ident, F.xxhash64(text).alias("text_id"), F.posexplode(text_lines(text)).alias("pos", "line"))
+    # the length is tested on the line first: most lines are short
+    keyed = lines.filter(F.length("line") >= min_chars).select("doc_id", "text_id", "pos", line_key(F.col("line")).alias("line")).filter(F.length("line") >= min_chars)
+    return keyed.select("doc_id", "text_id", "pos", key_hash(F.col("line")).alias("key"))
 
 
 class LineRuns:
-    """Sorted runs by level, each a table in the shared folder: key, n_docs, max_doc, is_new."""
+    """Runs by level (key, n_docs, max_doc), and hits (the same columns) of keys met again."""
 
-    def __init__(self, spark: SparkSession, min_chars: int = 40, fanout: int = 2):
-        self.spark, self.min_chars, self.fanout = spark, min_chars, fanout
+    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None):
+        self.fanout = fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.hits: list[DataFrame] = []
 
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
-    def _all(self) -> DataFrame | None:
-        out = None
-        for r in self.runs():
-            out = r if out is None else out.unionByName(r)
-        return out
+    def _save(self, rows: DataFrame, name: str) -> DataFrame:
+        return save_bucketed(rows, name, "key", self.buckets)
 
-    def add(self, batch: DataFrame) -> None:
-        """Count a batch of documents that no earlier batch held a part of."""
-        held = document_keys(batch, self.min_chars).distinct()  # rows that share an id count once
+    def add(self, lines: DataFrame) -> None:
+        """Count a batch of lines (key, doc_id) of documents that no earlier batch held a part of."""
+        held = lines.select("key", "doc_id").distinct()
         counts = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
-        known = self._all()
-        if known is None:
-            run = counts.withColumn("is_new", F.lit(True))
-        else:
-            counts = save(counts, "line-batch")
-            seen = known.select("key")
-            run = counts.join(seen, "key", "left_anti").withColumn("is_new", F.lit(True)).unionByName(counts.join(seen, "key", "left_semi").withColumn("is_new", F.lit(False)))
-        out = save(run.sortWithinPartitions("key"), "line-run")
-        if known is not None:
-            free(counts)
-        self._put(out, 0)
+        if not self.runs():
+            self._put(self._save(counts, "line-run"), 0)
+            return
+        counts = self._save(counts, "line-batch")
+        new = self._save(self.unknown(counts), "line-run")
+        self.hits.append(self._save(counts.join(new, "key", "left_anti"), "line-hits"))
+        free(counts)
+        self._put(new, 0)
+
+    def unknown(self, counts: DataFrame) -> DataFrame:
+        """A batch's keys that no run holds."""
+        return reduce(lambda rows, run: rows.join(run, "key", "left_anti"), self.runs(), counts)
 
     def _put(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged = self._merge(self.levels[level])
             old, self.levels[level] = self.levels[level], []
-            run = save(merged.withColumn("is_new", F.lit(True)).sortWithinPartitions("key"), "line-run")
-            for r in old:
-                free(r)
-            self._put(run, level + 1)
-
-    def _merge(self, runs: list[DataFrame]) -> DataFrame:
-        out = runs[0]
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
+            merged = self._save(reduce(_merged, old), "line-run")
+            free(*old)
+            self._put(merged, level + 1)
 
     def frequent(self, min_docs: int) -> DataFrame:
         """key, max_doc of the keys found in at least ``min_docs`` documents."""
-        return self._merge(self.runs()).filter(F.col("n_docs") >= min_docs).select("key", "max_doc")
-
-    def strip(self, docs: DataFrame, min_docs: int = 5) -> DataFrame:
-        """All columns of ``docs`` with the text stripped, and n_lines, n_dropped."""
-        # a table of its own, so that Spark can split the join at a line that very many documents hold
-        frequent = save(self.frequent(min_docs), "line-frequent")
-        lost = document_keys(docs, self.min_chars).join(frequent, "key").filter(F.col("doc_id") < F.col("max_doc"))
-        lost = lost.groupBy("doc_id").agg(F.collect_set("key").alias("_lost")).withColumnRenamed("doc_id", "_id")
-        joined = boxed(docs).join(lost, F.col("_row.doc_id").cast("long") == F.col("_id"), "left")
-        lines = text_lines(F.col("_row.text"))
-        kept = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= self.min_chars) & F.array_contains(F.col("_lost"), key_hash(line_key(x)))))
-        kept = F.when(F.col("_lost").isNull(), lines).otherwise(kept)
-        out = joined.withColumn("_kept", kept).withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", (F.size(lines) - F.size("_kept")).cast("long"))
-        out = out.withColumn("text", F.when(F.col("_lost").isNull(), F.col("_row.text")).otherwise(F.array_join("_kept", "\n")))
-        return unboxed(out, docs.columns, "text", "n_lines", "n_dropped")
+        n, last = F.col("n_docs"), F.col("max_doc")
+        again = reduce(lambda a, b: a.unionByName(b), self.hits).groupBy("key").agg(F.sum("n_docs").alias("_n"), F.max("max_doc").alias("_last")) if self.hits else None
+        parts = []
+        for run in self.runs():
+            if again is not None:
+                total = run.join(again, "key", "left").select("key", (n + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest(last, F.col("_last")).alias("max_doc"))
+            parts.append((run if again is None else total).filter(n >= min_docs).select("key", "max_doc"))
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    def free(self) -> None:
+        free(*self.runs(), *self.hits)
+
+
+def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs, whose keys differ, as one: a merge of sorted buckets."""
+    b = b.toDF("key", "_n", "_last")
+    return a.join(b, "key", "full_outer").select("key", F.coalesce("n_docs", "_n").alias("n_docs"), F.coalesce("max_doc", "_last").alias("max_doc"))
+
+
+def lost_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """doc_id, text_id, lost (positions) of the documents that lose lines."""
+    lost = lines.join(frequent, "key").filter(F.col("doc_id") < F.col("max_doc"))
+    return lost.groupBy("doc_id", "text_id").agg(F.collect_set("pos").alias("lost"))
+
+
+def cut(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """All columns of ``docs`` with the text cut, and n_lines, n_dropped."""
+    text = F.col("_row")["text"]
+    l = lost.withColumnsRenamed({"doc_id": "_id", "text_id": "_text"})
+    d = boxed(docs).join(l, (F.col("_row")["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_text")), "left")
+    # a generator, so that a text is split once and not for each of its lines
+    d = d.withColumn("_lines", F.explode(F.array(F.when(F.col("lost").isNotNull(), text_lines(text)))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("lost"))
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
+    none = F.col("lost").isNull()
+    d = d.withColumn("text", F.when(none, text).otherwise(kept)).withColumn("n_dropped", F.when(none, 0).otherwise(F.size("lost")).cast("long"))
+    return unboxed(d.withColumn("n_lines", F.size(text_lines(text)).cast("long")), docs.columns, "text", "n_lines", "n_dropped")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3, fanout: int = 2) -> DataFrame:
-    """All columns of ``docs`` with repeated lines gone, and n_lines, n_dropped. The table is taken in
-    ``batches`` parts by document id, as it would arrive over time."""
-    runs = LineRuns(docs.sparkSession, min_chars, fanout)
+    """All columns of ``docs`` with repeated lines gone, and n_lines, n_dropped. The table is taken in ``batches`` parts by
+    document id, as it would arrive over time."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
+    lines = save(long_lines(docs, min_chars).withColumn("batch", part), "line-rows", "batch")
+    runs = LineRuns(docs.sparkSession, fanout)
     for i in range(batches):
-        runs.add(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
-    return runs.strip(docs, min_docs)
+        runs.add(lines.filter(F.col("batch") == i))
+    # a table of its own, so that Spark can split the join at a line that very many documents hold
+    frequent = save(runs.frequent(min_docs), "line-frequent")
+    lost = save(lost_lines(lines, frequent), "line-lost")
+    runs.free()
+    free(lines, frequent)
+    return cut(docs, lost)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
