@@ -231,6 +231,63 @@ def test_near_duplicates(spark, monkeypatch):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_ids_shared_by_different_texts(spark):
+    """(9, a) is near 1, (9, b) is not: the shared id links nothing, and only the row that is near goes."""
+    a, b = ["w%d" % i for i in range(60)], ["v%d" % i for i in range(60)]
+    rows = [(1, " ".join(a[:-1] + ["z"])), (9, " ".join(a)), (9, " ".join(b)), (12, " ".join(b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (9, 1, False), (9, 9, True), (12, 9, False)]
+    assert sorted(map(tuple, near_dedup.deduplicate(docs).collect())) == sorted([rows[0], rows[2]])
+
+
+def test_large_families_move_sets_few_times(spark, monkeypatch):
+    """A family of many different near copies, and two families that a chain joins: same components as brute force."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(11)
+    vocab = ["w%d" % i for i in range(3000)]
+
+    def copies(base, n):
+        for _ in range(n):
+            t = list(base)
+            t[rng.randrange(len(t))] = rng.choice(vocab)
+            yield " ".join(t)
+
+    one, two = ([rng.choice(vocab) for _ in range(60)] for _ in range(2))
+    texts = [" ".join(one), *copies(one, 90), " ".join(two), *copies(two, 30)]
+    chain = list(one)
+    for i in range(12):  # one word further at each step, so that the ends are far from each other
+        chain[i * 5] = f"c{i}"
+        texts.append(" ".join(chain))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_near([(r.doc_id, r.text) for r in docs.collect()])
+    moved = []
+    compared = near_dedup._compared
+    monkeypatch.setattr(near_dedup, "_compared", lambda rows, percent: moved.append(rows.count()) or compared(rows, percent))
+    got = near_dedup.near_duplicates(docs, width=4).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert sum(moved) < 8 * len(texts) < len(texts) ** 2 / 8
+
+
+def test_near_query_equals_its_sql(spark, sf, duck):
+    cols = ["doc_id", "n_shingles", "component_id", "kept"]
+    got = sorted(map(tuple, near_dedup.op3_near_dedup(spark, sf).select(*cols).collect()))
+    assert got == sorted(duck.sql(f"SELECT {', '.join(cols)} FROM ({near_dedup.OP3_SQL})").fetchall())
+
+
+def test_step_limits_raise(spark):
+    from tidemark.llm.components import components
+
+    chain = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    with pytest.raises(RuntimeError):
+        components(chain, max_steps=1)
+    assert {r.component for r in components(chain).collect()} == {0}
+    hist = spark.createDataFrame([("a", 3, 10), ("a", 300, 10)], "source string, size long, n long")
+    target = spark.createDataFrame([("a", 3030, 1500.0)], "source string, source_size long, target double")
+    with pytest.raises(RuntimeError):
+        mixing.tilts(hist, target, max_steps=1)
+
+
 def test_sets_do_not_depend_on_cuts(monkeypatch):
     from tidemark.llm import shingles
 

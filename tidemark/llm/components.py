@@ -11,7 +11,8 @@ from .scratch import free, save
 def components(edges: DataFrame, max_steps: int = 50) -> DataFrame:
     """id, component (the smallest id reachable) of every id in ``edges`` (a, b). Each step is a partially
     aggregated minimum and a join that Spark can split at a node with very many neighbours; the number of
-    steps grows with the logarithm of the longest chain. The driver sees a count and a checksum."""
+    steps grows with the logarithm of the longest chain. The driver sees a count and a checksum. Raises RuntimeError if
+    ``max_steps`` don't suffice."""
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = save(e, "cc-edges")
     sign = _sign(e)
@@ -23,6 +24,8 @@ def components(edges: DataFrame, max_steps: int = 50) -> DataFrame:
         e, old, sign = new, sign, _sign(new)
         if old == sign:
             break
+    else:
+        raise RuntimeError(f"components: not settled after {max_steps} steps")
     ids = e.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return ids.unionByName(roots)

@@ -20,7 +20,8 @@ Targets: sources share ``share`` of all sizes by weight; a target stops at ``cap
 and the excess is shared again by weight, until none is above (a water level, found by a few sums over sources).
 
 Defined cases: a null or empty text has size 0 and takes nothing; a null source is a source, last in order;
-null ``doc_id`` rows and repeated rows are mixed like others; an empty table gives an empty result; other
+rows with a null ``doc_id`` are dealt by their texts and repeated rows are mixed like others; a ``cap`` bounds rates, and a
+document's copies stay at or below it rounded up; an empty table gives an empty result; other
 columns are returned as they are by :func:`mix`.
 """
 
@@ -92,8 +93,8 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tol: float = 1e
         free(state)
         state = new
         if not state.filter(~F.col("done")).limit(1).count():
-            break
-    return state
+            return state
+    raise RuntimeError(f"tilts: not converged after {max_steps} steps")
 
 
 def _tilted(size: Column, cap: float) -> Column:
@@ -132,7 +133,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     0 copies is left out of the mix."""
     # a generator, so that Spark counts a text's words once and doesn't write the count into every later expression
     columns = docs.columns if columns is None else columns
-    sized = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs["source"].alias("source"), docs["doc_id"].alias("_id"), F.explode(F.array(word_count(docs["text"]))).alias("_size"))
+    sized = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs["source"].alias("source"), docs["doc_id"].alias("_id"), F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"])).alias("_text_id"), F.explode(F.array(word_count(docs["text"]))).alias("_size"))
     hist = save(sized.groupBy("source", F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
     targets = source_targets(hist.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap)
     cells = cell_copies(hist, tilts(hist, targets, cap), cap).select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "unit", "lam", "docs", "m")
@@ -140,9 +141,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     d = sized.withColumn("_cell", F.expr(_CELL))
     d = d.join(cells, d["source"].eqNullSafe(cells["_s"]) & (d["_cell"] == cells["_c"]))
     deals = F.ceil(F.col("docs") / group_rows)
-    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("_id", F.lit(7)), deals))
+    d = d.withColumn("_rate", _tilted(F.col("_size"), cap)).withColumn("_deal", F.pmod(F.xxhash64("_id", "_text_id", F.lit(7)), deals))
     at = F.when(deals > 1, F.pmod(F.xxhash64("source", "_cell", "_deal", F.lit(13)), F.col("docs"))).otherwise(F.lit(0))
-    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("_id", F.lit(11)), "_id", "_size")).cast("long")
+    i = F.row_number().over(W.partitionBy("source", "_cell", "_deal").orderBy(F.xxhash64("_id", "_text_id", F.lit(11)), "_id", "_text_id", "_size")).cast("long")
     d = d.withColumn("_i", i).withColumn("_at", at)
     upto = lambda k: F.floor((k * F.col("m") + F.col("_at")) / F.col("docs"))
     d = d.withColumn("_copies", (upto(F.col("_i")) - upto(F.col("_i") - 1)).cast("long"))

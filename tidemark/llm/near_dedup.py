@@ -1,26 +1,28 @@
 """Near-duplicate documents by HyperMinHash.
 
 1. Each text becomes its set of word shingles (64-bit hashes), and the set 128 registers of leading-zero
-   counts with 10 mantissa bits. Texts with equal sets are one *node*, named by its smallest doc_id: copies
-   cost one row each from here on.
+   counts with 10 mantissa bits. Texts with equal sets are one *node* with a number of its own: copies cost one row
+   each from here on.
 2. Registers are banded (25 bands of 5: a pair at similarity 0.8 shares a band with probability 0.9999).
    In each bucket of several nodes every node is paired with one hub, not with all others; estimates,
    corrected for chance collisions, pass pairs within four standard errors of the threshold. Where a bucket still
    holds several families, those outside its largest meet all its members: as pairs in small buckets, in blocks
    of registers in large ones, which return only what joins families. So no candidate pair is skipped.
-3. Passed pairs join nodes into families. Within a family every pair of full shingle sets is compared
-   exactly, block by block: a family of n nodes is cut into blocks of BLOCK and each pair of blocks is a task
-   row group of its own, so a group of a third of all rows is spread over the cluster. A task returns only a
-   spanning forest of the links it confirms, at most a row a node.
-4. Components of the confirmed links; the smallest doc_id names each.
+3. Passed pairs join nodes into families, whose links are confirmed on full shingle sets, block by block. A family of
+   up to BLOCK nodes is compared whole. In a larger one, blocks are compared within themselves first, and the node of most
+   links with all others; one node of each cluster so found stands for it, and these are compared with each other; then
+   only nodes outside the family's largest cluster meet the nodes of other clusters. So a group of n near copies of one
+   text moves each set a few times, not n / BLOCK times, and no pair of different clusters is left out. A task returns a
+   spanning forest of its links.
+4. Components of the confirmed links; the smallest doc_id of a component's nodes names it.
 
 Between the steps only ids, registers and sets of family members move; texts are read twice (the second time
-for family members) and never all shuffled by this module.
+for one row of each family member) and never all shuffled by this module.
 
 Defined cases: a null or blank text has an empty set, is linked with nothing and kept; fewer words than
 ``width`` make one shingle; rows with a null doc_id are kept and take no part; rows that share a doc_id are one
-node if their sets are equal, and otherwise stand for themselves; an empty table gives an empty result; other
-columns are ignored.
+node if their sets are equal, and otherwise nodes of their own that the shared id doesn't link; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -43,35 +45,38 @@ PAIRED, REGISTER_BLOCK = 64, 512
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit hash of the set), sig (registers), bands (64-bit keys)."""
+    """doc_id, text_id (a hash of the text), n_shingles, set_key (128-bit hash of the set), sig (registers), bands (64-bit
+    keys)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, len(big), 1024):
                 b = big.slice(at, 1024)
                 n, key, sig, bands = [], [], [], []
-                for s in shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), width):
+                for s in shingle_sets(b.column(2).cast(pa.binary()).to_pylist(), width):
                     n.append(len(s))
                     key.append(xxhash.xxh3_128_digest(s.tobytes()))
                     reg = registers(s)
                     sig.append(reg.tobytes())
                     bands.append(band_keys(reg, BANDS, ROWS) if len(s) else [])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "sig", "bands"])
+                made = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["doc_id", "text_id", "n_shingles", "set_key", "sig", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
+    return rows.mapInArrow(sign, "doc_id long, text_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, set (sorted uint64 hashes)."""
+    """node, set (sorted uint64 hashes) of rows node, text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, len(big), 512):
                 b = big.slice(at, 512)
                 out = [s.tobytes() for s in shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), width)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "set"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "set"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sets, "doc_id long, set binary")
+    return docs.select("node", "text").mapInArrow(sets, "node long, set binary")
 
 
 def _near(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
@@ -169,8 +174,9 @@ def rest_blocks(mixed: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
     return left.unionByName(right).groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def _forest(sets: list[np.ndarray], ids: np.ndarray, left: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets``: all pairs if ``left`` is all true, else left with right."""
+def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets`` that join clusters: of all pairs if ``left`` is all true, else of left
+    with right."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
@@ -189,49 +195,107 @@ def _forest(sets: list[np.ndarray], ids: np.ndarray, left: np.ndarray, percent:
         inter += m @ m.T
     inter = np.rint(inter).astype(np.int64)
     union = size[:, None] + size[None] - inter
-    hit = 100 * inter >= percent * union
+    hit = (100 * inter >= percent * union) & (cluster[:, None] != cluster[None])
     if not left.all():
         hit &= left[:, None] != left[None]
-    parent = list(range(n))
+    parent: dict = {}
 
     def find(x):
-        while parent[x] != x:
+        while parent.setdefault(x, x) != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
     out = []
     for i, j in zip(*np.nonzero(np.triu(hit, 1))):
-        a, b = find(i), find(j)
+        a, b = find(cluster[i]), find(cluster[j])
         if a != b:
             parent[a] = b
             out.append((int(ids[i]), int(ids[j])))
     return out
 
 
-def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b), spanning in each block pair, between members (id, component) whose full sets reach the threshold."""
-    percent = round(threshold * 100)
-    size = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    m = families.join(size, "component").join(sets, families["id"] == sets["doc_id"])
-    m = m.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select(F.col("component").alias("family"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "set")
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each group (family, i, j) of rows (side, id, cluster, set): of all pairs where i = j, else of the rows
+    of side 0 with those of side 1."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = (pdf["mine"] == pdf["i"]).to_numpy()
-        links = _forest([np.frombuffer(s, U) for s in pdf["set"]], pdf["id"].to_numpy(), left, percent) if len(pdf) > 1 else []
+        left = (pdf["side"] == 0).to_numpy()
+        links = []
+        if len(pdf) > 1:
+            links = _forest([np.frombuffer(s, U) for s in pdf["set"]], pdf["id"].to_numpy(), pdf["cluster"].to_numpy(), left, percent)
         return pd.DataFrame({"a": [a for a, _ in links], "b": [b for _, b in links]}, dtype="int64")
 
-    return m.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.select("family", "i", "j", "side", "id", "cluster", "set").groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _blocks(n) -> Column:
+    return F.ceil(n / BLOCK).cast("int")
+
+
+def _every(n) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def _clustered(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the cluster that ``links`` put them into."""
+    found = components(links).select(F.col("id").alias("_i"), F.col("component").alias("_c"))
+    return members.join(found, F.col("id") == F.col("_i"), "left").withColumn("cluster", F.coalesce("_c", "id")).drop("_i", "_c")
+
+
+def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members (id, component) of families whose full sets reach the threshold: all that it takes to
+    join what all links join."""
+    percent = round(threshold * 100)
+    size = families.groupBy("component").agg(F.count("*").alias("n")).withColumn("blocks", _blocks(F.col("n")))
+    members = families.join(size, "component").select("id", F.col("component").alias("family"), "blocks").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = save(members.join(sets, F.col("id") == F.col("node")).drop("node"), "near-members")
+    own = members.withColumns({"i": F.col("mine"), "j": F.col("mine"), "side": F.lit(0), "cluster": F.col("id")})
+    first = save(_compared(own, percent), "near-links")
+    large = members.filter(F.col("blocks") > 1)
+    if not large.limit(1).count():
+        return first
+    ids = large.select("id", "family", "mine", "blocks")
+    within = lambda links: links.join(ids.select(F.col("id").alias("a")), "a", "left_semi")
+    # the member of most links with all others
+    ends = first.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+    hubs = ids.join(ends, "id").groupBy("family", "blocks").agg(F.max(F.struct("links", "id")).alias("h")).select("family", "blocks", F.col("h.id").alias("_id"))
+    hubs = hubs.join(large.select("id", "set"), F.col("_id") == F.col("id")).withColumn("j", _every("blocks")).withColumns({"i": F.lit(-1), "side": F.lit(0), "cluster": F.col("id")})
+    others = large.withColumns({"i": F.lit(-1), "j": F.col("mine"), "side": F.lit(1), "cluster": F.col("id")})
+    others = others.join(hubs.select("id").distinct(), "id", "left_anti")
+    cols = ["family", "i", "j", "side", "id", "cluster", "set"]
+    hubbed = save(first.unionByName(_compared(hubs.select(*cols).unionByName(others.select(*cols)), percent)), "near-links")
+    # one member of each cluster for the cluster
+    deputies = _clustered(ids, within(hubbed)).groupBy("family", "cluster").agg(F.min("id").alias("id"))
+    n = deputies.groupBy("family").agg(F.count("*").alias("n"))
+    deputies = deputies.join(n, "family").withColumn("parts", _blocks(F.col("n"))).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    pairs = deputies.withColumn("other", _every("parts"))
+    pairs = pairs.select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), F.col("id").alias("_id"))
+    pairs = pairs.join(large.select("id", "set"), F.col("_id") == F.col("id")).withColumn("cluster", F.col("id"))
+    second = save(hubbed.unionByName(_compared(pairs, percent)), "near-links")
+    # members outside the largest cluster with those of other clusters
+    m = save(_clustered(ids.drop("blocks"), within(second)), "near-clusters")
+    top = m.groupBy("family", "cluster").agg(F.count("*").alias("k")).groupBy("family").agg(F.sum("k").alias("n"), F.max(F.struct("k", "cluster")).alias("top"), F.count("*").alias("clusters"))
+    top = top.filter(F.col("clusters") > 1).select("family", F.col("top.cluster").alias("main"), _blocks(F.col("n")).alias("nj"), _blocks(F.col("n") - F.col("top.k")).alias("ni"))
+    m = m.join(top, "family").withColumn("light", F.col("cluster") != F.col("main"))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    light = m.filter("light").withColumns({"i": part("ni"), "side": F.lit(0)}).withColumn("j", _every("nj"))
+    every = m.withColumns({"j": part("nj"), "side": F.lit(1)}).withColumn("i", _every("ni"))
+    rows = light.select(*cols[:-1]).unionByName(every.select(*cols[:-1])).withColumnRenamed("id", "_id").join(large.select("id", "set"), F.col("_id") == F.col("id"))
+    third = save(second.unionByName(_compared(rows, percent)), "near-links")
+    free(first, hubbed, second, m, members)
+    return third
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept, text_id (``xxhash64(text)``) of every row of ``docs``."""
     signed = save(signatures(docs, width), "near-sig")
     named = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    groups = named.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    # the signature of the row that names the node
-    nodes = save(named.join(groups.withColumnRenamed("set_key", "_k"), (F.col("set_key") == F.col("_k")) & (F.col("doc_id") == F.col("node"))).select("node", "set_key", "n_shingles", "sig", "bands").dropDuplicates(["set_key"]), "near-nodes")
+    # numbers are given once, in a table: what is worked out again gets the same
+    groups = save(named.groupBy("set_key").agg(F.min("doc_id").alias("low"), F.min_by("text_id", "doc_id").alias("of")).withColumn("node", F.monotonically_increasing_id()), "near-groups")
+    g = groups.withColumnRenamed("set_key", "_k")
+    one = named.join(g, (F.col("set_key") == F.col("_k")) & (F.col("doc_id") == F.col("low")) & (F.col("text_id") == F.col("of")))
+    nodes = save(one.select("node", "set_key", "n_shingles", "sig", "bands").dropDuplicates(["set_key"]), "near-nodes")
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     stars = save(star_pairs(entries), "near-stars")
     pairs = stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -242,20 +306,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     members = large.select("bucket", "node").unionByName(large.select("bucket", F.col("hub").alias("node")).distinct())
     mixed = save(mixed_buckets(members, families), "near-mixed")
     more = likely(with_registers(rest_pairs(mixed), nodes), threshold)
-    edges = save(edges.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
-    families = save(components(edges), "near-families")
-    texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = full_sets(texts.join(families.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), width)
-    links = save(confirmed(families, sets, threshold), "near-links")
-    found = components(links)
-    named_nodes = nodes.select("set_key", "node").join(found, F.col("node") == F.col("id"), "left").select(F.col("set_key").alias("_k"), F.coalesce("component", "node").alias("_component"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(named_nodes, (F.col("set_key") == F.col("_k")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
+    all_edges = save(edges.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
+    free(families, stars, mixed, edges)
+    families = save(components(all_edges), "near-families")
+    texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
+    wanted = families.select("id").join(groups, F.col("id") == F.col("node")).select("node", F.col("low").alias("_d"), F.col("of").alias("_t"))
+    texts = texts.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_id") == F.col("_t"))).dropDuplicates(["node"])
+    links = confirmed(families, full_sets(texts, width), threshold)
+    found = components(links).select("id", F.col("component").alias("_c"))
+    part = groups.join(found, F.col("node") == F.col("id"), "left").select("set_key", "low", F.coalesce("_c", "node").alias("_c"))
+    least = part.groupBy("_c").agg(F.min("low").alias("_low")).withColumnRenamed("_c", "_cc")
+    part = part.join(least, F.col("_c") == F.col("_cc")).select(F.col("set_key").alias("_k"), F.col("_low").alias("_component"))
+    rows = signed.select("doc_id", "text_id", "n_shingles", "set_key")
+    out = rows.join(part, (F.col("set_key") == F.col("_k")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("_component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
+    out = save(out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_id"), "near-out")
+    free(signed, groups, nodes, all_edges, families, links)
+    return out
+
+
+def deduplicate(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that are kept: of each component that with its smallest doc_id."""
+    gone = near_duplicates(docs, width, threshold).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_id").alias("_text")).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("long") == F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_text")), "left_anti").select(*docs.columns)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=0.8)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=0.8).drop("text_id")
 
 
 OP3_SQL = """
