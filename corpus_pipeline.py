@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, mixing, near_dedup, packing, quality
-from tidemark.llm.scratch import save, table
+from tidemark.llm.scratch import free, save, table
 
 #: Tokens, a trained classifier and hashed rounding can't be stated in SQL.
 ORACLE_SQL = None
@@ -29,9 +29,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of the smallest id."""
-    gone = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").select(*docs.columns)
+    """One document of each group of near copies stays: that of the smallest id. Shingles are of four words, as in the
+    registered query of this operator."""
+    return near_dedup.deduplicate(docs, width=4)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = save(docs, f"stage-{name}")
+            before, docs = held, save(docs, f"stage-{name}")
+            held = docs
+            free(before)
     return docs

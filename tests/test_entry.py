@@ -24,3 +24,8 @@ def test_import_without_the_subpackage(tmp_path):
             (tmp_path / "tidemark" / p.name).symlink_to(p)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and 'pipeline' not in q and not any(n.startswith('op1') for n in q); print(len(e.oracle_sql()))"
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True).returncode == 0
+
+
+def test_import_without_a_library_of_the_subpackage():
+    code = "import sys; sys.modules['tiktoken'] = None; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and 'pipeline' not in q"
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True).returncode == 0
