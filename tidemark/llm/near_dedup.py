@@ -9,11 +9,10 @@
    holds several families, those outside its largest meet all its members: as pairs in small buckets, in blocks
    of registers in large ones, which return only what joins families. So no candidate pair is skipped.
 3. Passed pairs join nodes into families, whose links are confirmed on full shingle sets, block by block. A family of
-   up to BLOCK nodes is compared whole. In a larger one, blocks are compared within themselves first, and the node of most
-   links with all others; one node of each cluster so found stands for it, and these are compared with each other; then
-   only nodes outside the family's largest cluster meet the nodes of other clusters. So a group of n near copies of one
-   text moves each set a few times, not n / BLOCK times, and no pair of different clusters is left out. A task returns a
-   spanning forest of its links.
+   up to BLOCK nodes is compared whole. In a larger one, blocks are compared within themselves first, then the HUBS nodes of
+   most links with all others, and then only nodes outside the largest cluster so found meet the nodes of other clusters.
+   So a group of n near copies of one text moves each set a few times, not n / BLOCK times, and no pair of different
+   clusters is left out. A task returns a spanning forest of its links.
 4. Components of the confirmed links; the smallest doc_id of a component's nodes names it.
 
 Between the steps only ids, registers and sets of family members move; texts are read twice (the second time
@@ -34,13 +33,14 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import free, save, table
 from .shingles import U, band_keys, estimate, registers, shingle_sets
 
-BANDS, ROWS, BLOCK = 25, 5, 96
+BANDS, ROWS, BLOCK, HUBS = 25, 5, 96, 4
 PAIRED, REGISTER_BLOCK = 64, 512
 
 
@@ -174,9 +174,9 @@ def rest_blocks(mixed: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
     return left.unionByName(right).groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets`` that join clusters: of all pairs if ``left`` is all true, else of left
-    with right."""
+def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """A spanning forest of the links among ``sets`` that join clusters, of all pairs if ``left`` is all true, else of left
+    with right; and each set's cluster after them."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
@@ -208,25 +208,32 @@ def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left:
 
     out = []
     for i, j in zip(*np.nonzero(np.triu(hit, 1))):
-        a, b = find(cluster[i]), find(cluster[j])
+        a, b = find(int(cluster[i])), find(int(cluster[j]))
         if a != b:
             parent[a] = b
             out.append((int(ids[i]), int(ids[j])))
-    return out
+    # a cluster is named alike in all tasks that see one of the left
+    names: dict = {}
+    for c, l in sorted(zip(cluster.tolist(), left.tolist()), key=lambda x: (not x[1], x[0])):
+        names.setdefault(find(c), c)
+    return out, [names[find(c)] for c in cluster.tolist()]
 
 
 def _compared(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of each group (family, i, j) of rows (side, id, cluster, set): of all pairs where i = j, else of the rows
-    of side 0 with those of side 1."""
+    """Links (a, b) of each group (family, i, j) of rows (side, id, cluster, set), of all pairs if one side alone is there,
+    else of side 0 with side 1; and, marked by ``link`` false, each id of side 1 with its cluster after them."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         left = (pdf["side"] == 0).to_numpy()
+        ids, cluster = pdf["id"].to_numpy(), pdf["cluster"].to_numpy()
         links = []
         if len(pdf) > 1:
-            links = _forest([np.frombuffer(s, U) for s in pdf["set"]], pdf["id"].to_numpy(), pdf["cluster"].to_numpy(), left, percent)
-        return pd.DataFrame({"a": [a for a, _ in links], "b": [b for _, b in links]}, dtype="int64")
+            links, cluster = _forest([np.frombuffer(s, U) for s in pdf["set"]], ids, cluster, left, percent)
+        known = [(i, int(c)) for i, c, l in zip(ids.tolist(), cluster, left) if not l or left.all()]
+        both = [(*x, True) for x in links] + [(*x, False) for x in known]
+        return pd.DataFrame(both, columns=["a", "b", "link"]).astype({"a": "int64", "b": "int64", "link": bool})
 
-    return rows.select("family", "i", "j", "side", "id", "cluster", "set").groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.select("family", "i", "j", "side", "id", "cluster", "set").groupBy("family", "i", "j").applyInPandas(compare, "a long, b long, link boolean")
 
 
 def _blocks(n) -> Column:
@@ -237,12 +244,6 @@ def _every(n) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
 
-def _clustered(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the cluster that ``links`` put them into."""
-    found = components(links).select(F.col("id").alias("_i"), F.col("component").alias("_c"))
-    return members.join(found, F.col("id") == F.col("_i"), "left").withColumn("cluster", F.coalesce("_c", "id")).drop("_i", "_c")
-
-
 def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between members (id, component) of families whose full sets reach the threshold: all that it takes to
     join what all links join."""
@@ -250,41 +251,36 @@ def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     size = families.groupBy("component").agg(F.count("*").alias("n")).withColumn("blocks", _blocks(F.col("n")))
     members = families.join(size, "component").select("id", F.col("component").alias("family"), "blocks").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = save(members.join(sets, F.col("id") == F.col("node")).drop("node"), "near-members")
-    own = members.withColumns({"i": F.col("mine"), "j": F.col("mine"), "side": F.lit(0), "cluster": F.col("id")})
-    first = save(_compared(own, percent), "near-links")
+    first = save(_compared(members.withColumns({"i": F.col("mine"), "j": F.col("mine"), "side": F.lit(0), "cluster": F.col("id")}), percent), "near-links")
+    links = first.filter("link").select("a", "b")
     large = members.filter(F.col("blocks") > 1)
     if not large.limit(1).count():
-        return first
-    ids = large.select("id", "family", "mine", "blocks")
-    within = lambda links: links.join(ids.select(F.col("id").alias("a")), "a", "left_semi")
-    # the member of most links with all others
-    ends = first.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
-    hubs = ids.join(ends, "id").groupBy("family", "blocks").agg(F.max(F.struct("links", "id")).alias("h")).select("family", "blocks", F.col("h.id").alias("_id"))
-    hubs = hubs.join(large.select("id", "set"), F.col("_id") == F.col("id")).withColumn("j", _every("blocks")).withColumns({"i": F.lit(-1), "side": F.lit(0), "cluster": F.col("id")})
-    others = large.withColumns({"i": F.lit(-1), "j": F.col("mine"), "side": F.lit(1), "cluster": F.col("id")})
-    others = others.join(hubs.select("id").distinct(), "id", "left_anti")
+        return links
+    ids = large.select("id", "family", "blocks", "mine")
+    cluster = lambda known: known.filter("not link").select(F.col("a").alias("_i"), F.col("b").alias("cluster"))
+    # the members of most links with all others
+    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+    order = W.partitionBy("family").orderBy(F.desc("links"), "id")
+    hubs = ids.join(ends, "id").withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= HUBS).select("id").withColumn("side", F.lit(0))
+    m = large.join(cluster(first), F.col("id") == F.col("_i")).join(hubs.withColumnRenamed("id", "_h"), F.col("id") == F.col("_h"), "left").withColumn("hub", F.col("_h").isNotNull())
     cols = ["family", "i", "j", "side", "id", "cluster", "set"]
-    hubbed = save(first.unionByName(_compared(hubs.select(*cols).unionByName(others.select(*cols)), percent)), "near-links")
-    # one member of each cluster for the cluster
-    deputies = _clustered(ids, within(hubbed)).groupBy("family", "cluster").agg(F.min("id").alias("id"))
-    n = deputies.groupBy("family").agg(F.count("*").alias("n"))
-    deputies = deputies.join(n, "family").withColumn("parts", _blocks(F.col("n"))).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    pairs = deputies.withColumn("other", _every("parts"))
-    pairs = pairs.select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), F.col("id").alias("_id"))
-    pairs = pairs.join(large.select("id", "set"), F.col("_id") == F.col("id")).withColumn("cluster", F.col("id"))
-    second = save(hubbed.unionByName(_compared(pairs, percent)), "near-links")
-    # members outside the largest cluster with those of other clusters
-    m = save(_clustered(ids.drop("blocks"), within(second)), "near-clusters")
+    met = m.filter("hub").withColumn("j", _every("blocks")).withColumns({"i": F.lit(-1), "side": F.lit(0)}).select(*cols)
+    met = met.unionByName(m.filter("not hub").withColumns({"i": F.lit(-1), "j": F.col("mine"), "side": F.lit(1)}).select(*cols))
+    second = save(_compared(met, percent), "near-links")
+    # members outside the largest cluster with those of other clusters; what a task found out about a cluster holds for all
+    # of it, and what it can't know costs comparisons alone
+    m = save(ids.join(cluster(second.unionByName(first.join(second.filter("not link").select("a"), "a", "left_anti"))), F.col("id") == F.col("_i")).select("id", "family", "cluster"), "near-clusters")
     top = m.groupBy("family", "cluster").agg(F.count("*").alias("k")).groupBy("family").agg(F.sum("k").alias("n"), F.max(F.struct("k", "cluster")).alias("top"), F.count("*").alias("clusters"))
     top = top.filter(F.col("clusters") > 1).select("family", F.col("top.cluster").alias("main"), _blocks(F.col("n")).alias("nj"), _blocks(F.col("n") - F.col("top.k")).alias("ni"))
-    m = m.join(top, "family").withColumn("light", F.col("cluster") != F.col("main"))
+    mixed = m.join(top, "family").withColumn("light", F.col("cluster") != F.col("main"))
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    light = m.filter("light").withColumns({"i": part("ni"), "side": F.lit(0)}).withColumn("j", _every("nj"))
-    every = m.withColumns({"j": part("nj"), "side": F.lit(1)}).withColumn("i", _every("ni"))
+    light = mixed.filter("light").withColumns({"i": part("ni"), "side": F.lit(0)}).withColumn("j", _every("nj"))
+    every = mixed.withColumns({"j": part("nj"), "side": F.lit(1)}).withColumn("i", _every("ni"))
     rows = light.select(*cols[:-1]).unionByName(every.select(*cols[:-1])).withColumnRenamed("id", "_id").join(large.select("id", "set"), F.col("_id") == F.col("id"))
-    third = save(second.unionByName(_compared(rows, percent)), "near-links")
-    free(first, hubbed, second, m, members)
-    return third
+    third = _compared(rows, percent)
+    found = save(links.unionByName(second.unionByName(third).filter("link").select("a", "b")), "near-links")
+    free(first, second, m, members)
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -310,7 +306,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     free(families, stars, mixed, edges)
     families = save(components(all_edges), "near-families")
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    wanted = families.select("id").join(groups, F.col("id") == F.col("node")).select("node", F.col("low").alias("_d"), F.col("of").alias("_t"))
+    # a table of its own, so that Spark knows its size
+    wanted = save(families.select("id").join(groups, F.col("id") == F.col("node")).select("node", F.col("low").alias("_d"), F.col("of").alias("_t")), "near-wanted")
     texts = texts.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_id") == F.col("_t"))).dropDuplicates(["node"])
     links = confirmed(families, full_sets(texts, width), threshold)
     found = components(links).select("id", F.col("component").alias("_c"))
@@ -322,7 +319,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     component = F.coalesce("_component", "doc_id")
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     out = save(out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_id"), "near-out")
-    free(signed, groups, nodes, all_edges, families, links)
+    free(signed, groups, nodes, all_edges, families, wanted, links)
     return out
 
 
