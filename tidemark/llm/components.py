@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scratch import free, save
@@ -14,14 +14,13 @@ def components(edges: DataFrame, max_steps: int = 50) -> DataFrame:
     steps grows with the logarithm of the longest chain. The driver sees a count and a checksum. Raises RuntimeError if
     ``max_steps`` don't suffice."""
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = save(e, "cc-edges")
-    sign = _sign(e)
+    e, sign = _saved(e)
     for _ in range(max_steps):
         if not sign[0]:
             break
-        new = save(_small_star(_large_star(e)), "cc-edges")
+        new, now = _saved(_small_star(_large_star(e)))
         free(e)
-        e, old, sign = new, sign, _sign(new)
+        e, old, sign = new, sign, now
         if old == sign:
             break
     else:
@@ -31,17 +30,21 @@ def components(edges: DataFrame, max_steps: int = 50) -> DataFrame:
     return ids.unionByName(roots)
 
 
-def _sign(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _saved(e: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and their count and checksum, observed while it is written."""
+    seen = Observation()
+    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    out = save(e.observe(seen, F.count(F.lit(1)).alias("n"), checksum.alias("s")), "cc-edges")
+    return out, (seen.get["n"], seen.get["s"])
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    """Larger neighbours of a node are linked with its smallest neighbour."""
+    """Larger neighbours of a node are linked with its smallest neighbour; a link may come twice, which the next step
+    doesn't mind."""
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     out = both.filter(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+    return out.filter(F.col("a") != F.col("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

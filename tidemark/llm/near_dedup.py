@@ -302,7 +302,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     members = large.select("bucket", "node").unionByName(large.select("bucket", F.col("hub").alias("node")).distinct())
     mixed = save(mixed_buckets(members, families), "near-mixed")
     more = likely(with_registers(rest_pairs(mixed), nodes), threshold)
-    all_edges = save(edges.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
+    # what is known of families stands for the edges that made them
+    known = families.select(F.col("id").alias("a"), F.col("component").alias("b")).filter(F.col("a") != F.col("b"))
+    all_edges = save(known.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
     free(families, stars, mixed, edges)
     families = save(components(all_edges), "near-families")
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
