@@ -12,8 +12,9 @@
    up to BLOCK nodes is compared whole. In a larger one, blocks are compared within themselves first, then the HUBS nodes of
    most links with all others, and then only nodes outside the largest cluster so found meet the nodes of other clusters.
    So a group of n near copies of one text moves each set a few times, not n / BLOCK times, and no pair of different
-   clusters is left out. A task returns a spanning forest of its links.
-4. Components of the confirmed links; the smallest doc_id of a component's nodes names it.
+   clusters is left out. A task returns a spanning forest of its links and each member's cluster.
+4. A family of one block is settled by its task; in larger ones, links join clusters to components. The smallest doc_id of a
+   component's nodes names it.
 
 Between the steps only ids, registers and sets of family members move; texts are read twice (the second time
 for one row of each family member) and never all shuffled by this module.
@@ -85,9 +86,9 @@ def _near(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, thresh
     return j >= threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(some, 1)) - 1e-9
 
 
-def likely(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b, na, nb, sig_a, sig_b), those that may reach the threshold: sizes allow it, and the
-    estimate isn't four standard errors below."""
+def likely(pairs: DataFrame, threshold: float, *ends: str) -> DataFrame:
+    """Of pairs (na, nb, sig_a, sig_b, and two columns ``ends``), those that may reach the threshold: sizes allow it, and the
+    estimate isn't four standard errors below. Returned as (a, b)."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -95,10 +96,10 @@ def likely(pairs: DataFrame, threshold: float) -> DataFrame:
                 continue
             na, nb = (b.column(i).to_numpy() for i in (2, 3))
             ra, rb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(len(b), -1) for i in (4, 5))
-            yield b.select([0, 1]).filter(pa.array(_near(ra, rb, na, nb, threshold)))
+            yield b.select([0, 1]).rename_columns(["a", "b"]).filter(pa.array(_near(ra, rb, na, nb, threshold)))
 
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * F.lit(round(threshold * 100))
-    return pairs.filter(close).select("a", "b", "na", "nb", "sig_a", "sig_b").mapInArrow(judge, "a long, b long")
+    return pairs.filter(close).select(*ends, "na", "nb", "sig_a", "sig_b").mapInArrow(judge, "a long, b long")
 
 
 def with_registers(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -127,31 +128,33 @@ def mixed_buckets(entries: DataFrame, families: DataFrame) -> DataFrame:
 
 
 def rest_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs of different families in buckets of at most PAIRED members: some dozens a member."""
+    """Pairs (a, b) of different families (fa, fb) in buckets of at most PAIRED members: some dozens a member."""
     small = mixed.filter(F.col("members") <= PAIRED)
     light = small.filter("light").select("bucket", F.col("node").alias("x"), F.col("family").alias("fx"))
     other = small.select("bucket", F.col("node").alias("y"), F.col("family").alias("fy"), (~F.col("light")).alias("heavy"))
     pairs = light.join(other, "bucket").filter((F.col("fx") != F.col("fy")) & (F.col("heavy") | (F.col("x") < F.col("y"))))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    least = F.least(F.struct("x", "fx"), F.struct(F.col("y").alias("x"), F.col("fy").alias("fx")))
+    most = F.greatest(F.struct("x", "fx"), F.struct(F.col("y").alias("x"), F.col("fy").alias("fx")))
+    return pairs.select(least["x"].alias("a"), most["x"].alias("b"), least["fx"].alias("fa"), most["fx"].alias("fb")).distinct()
 
 
 def rest_blocks(mixed: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """The same for larger buckets, without a row a pair: each block of light members meets each block of all
-    members in a group of its own, and returns likely pairs (a, b) that span the families they join."""
+    members in a group of its own, and returns pairs of families (a, b) that span those it joins."""
     sig = nodes.select(F.col("node").alias("_n"), "n_shingles", "sig")
     m = mixed.filter(F.col("members") > PAIRED).join(sig, F.col("node") == F.col("_n"))
     parts = lambda n: F.ceil(F.col(n) / REGISTER_BLOCK).cast("int")
     m = m.withColumn("nj", parts("members")).withColumn("ni", parts("lights"))
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["bucket", "i", "j", "side", "node", "family", "n_shingles", "sig"]
+    cols = ["bucket", "i", "j", "side", "family", "n_shingles", "sig"]
     right = m.withColumn("j", mine("nj")).withColumn("i", every("ni")).withColumn("side", F.lit(1)).select(*cols)
     left = m.filter("light").withColumn("i", mine("ni")).withColumn("j", every("nj")).withColumn("side", F.lit(0)).select(*cols)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         l, r = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         reg = [np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (l, r)]
-        n_l, n_r, ids_l, ids_r, fam_l, fam_r = (x[c].to_numpy() for c in ("n_shingles", "node", "family") for x in (l, r))
+        n_l, n_r, fam_l, fam_r = (x[c].to_numpy() for c in ("n_shingles", "family") for x in (l, r))
         parent: dict = {}
 
         def find(x):
@@ -168,15 +171,15 @@ def rest_blocks(mixed: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
                     a, b = find(fam_l[i]), find(fam_r[k])
                     if a != b:
                         parent[a] = b
-                        out.append((min(ids_l[i], ids_r[k]), max(ids_l[i], ids_r[k])))
+                        out.append((fam_l[i], fam_r[k]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return left.unionByName(right).groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], list[int]]:
-    """A spanning forest of the links among ``sets`` that join clusters, of all pairs if ``left`` is all true, else of left
-    with right; and each set's cluster after them."""
+def _forest(sets: list[np.ndarray], cluster: np.ndarray, left: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """A spanning forest, over clusters, of the links among ``sets`` that join clusters, of all pairs if ``left`` is all true,
+    else of left with right; and each set's cluster after them."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
@@ -211,7 +214,7 @@ def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left:
         a, b = find(int(cluster[i])), find(int(cluster[j]))
         if a != b:
             parent[a] = b
-            out.append((int(ids[i]), int(ids[j])))
+            out.append((int(cluster[i]), int(cluster[j])))
     # a cluster is named alike in all tasks that see one of the left
     names: dict = {}
     for c, l in sorted(zip(cluster.tolist(), left.tolist()), key=lambda x: (not x[1], x[0])):
@@ -220,15 +223,15 @@ def _forest(sets: list[np.ndarray], ids: np.ndarray, cluster: np.ndarray, left:
 
 
 def _compared(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of each group (family, i, j) of rows (side, id, cluster, set), of all pairs if one side alone is there,
-    else of side 0 with side 1; and, marked by ``link`` false, each id of side 1 with its cluster after them."""
+    """Links between clusters (a, b) in each group (family, i, j) of rows (side, id, cluster, set), from all pairs if one side
+    alone is there, else from side 0 with side 1; and, marked by ``link`` false, each id of side 1 with its cluster after them."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         left = (pdf["side"] == 0).to_numpy()
         ids, cluster = pdf["id"].to_numpy(), pdf["cluster"].to_numpy()
         links = []
         if len(pdf) > 1:
-            links, cluster = _forest([np.frombuffer(s, U) for s in pdf["set"]], ids, cluster, left, percent)
+            links, cluster = _forest([np.frombuffer(s, U) for s in pdf["set"]], cluster, left, percent)
         known = [(i, int(c)) for i, c, l in zip(ids.tolist(), cluster, left) if not l or left.all()]
         both = [(*x, True) for x in links] + [(*x, False) for x in known]
         return pd.DataFrame(both, columns=["a", "b", "link"]).astype({"a": "int64", "b": "int64", "link": bool})
@@ -245,17 +248,20 @@ def _every(n) -> Column:
 
 
 def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between members (id, component) of families whose full sets reach the threshold: all that it takes to
-    join what all links join."""
+    """id, component of the members (id, component) of families, by the links between them whose full sets reach the
+    threshold. A family of one block is settled by its task; clusters of larger ones are joined by what the later rounds
+    find."""
     percent = round(threshold * 100)
     size = families.groupBy("component").agg(F.count("*").alias("n")).withColumn("blocks", _blocks(F.col("n")))
     members = families.join(size, "component").select("id", F.col("component").alias("family"), "blocks").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = save(members.join(sets, F.col("id") == F.col("node")).drop("node"), "near-members")
     first = save(_compared(members.withColumns({"i": F.col("mine"), "j": F.col("mine"), "side": F.lit(0), "cluster": F.col("id")}), percent), "near-links")
+    found = first.filter("not link").select(F.col("a").alias("id"), F.col("b").alias("component"))
     links = first.filter("link").select("a", "b")
     large = members.filter(F.col("blocks") > 1)
     if not large.limit(1).count():
-        return links
+        free(members)
+        return found
     ids = large.select("id", "family", "blocks", "mine")
     cluster = lambda known: known.filter("not link").select(F.col("a").alias("_i"), F.col("b").alias("cluster"))
     # the members of most links with all others
@@ -278,11 +284,17 @@ def confirmed(families: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     every = mixed.withColumns({"j": part("nj"), "side": F.lit(1)}).withColumn("i", _every("ni"))
     rows = light.select(*cols[:-1]).unionByName(every.select(*cols[:-1])).withColumnRenamed("id", "_id").join(large.select("id", "set"), F.col("_id") == F.col("id"))
     third = _compared(rows, percent)
-    found = save(links.unionByName(second.unionByName(third).filter("link").select("a", "b")), "near-links")
+    found = save(relabelled(found, components(second.unionByName(third).filter("link").select("a", "b"))), "near-found")
     free(first, second, m, members)
     return found
 
 
+def relabelled(part: DataFrame, joined: DataFrame) -> DataFrame:
+    """part (id, component), its components replaced by the components of ``joined`` where that names them as ids."""
+    new = joined.select(F.col("id").alias("_old"), F.col("component").alias("_new"))
+    return part.join(new, F.col("component") == F.col("_old"), "left").select("id", F.coalesce("_new", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_id (``xxhash64(text)``) of every row of ``docs``."""
     signed = save(signatures(docs, width), "near-sig")
@@ -295,24 +307,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     stars = save(star_pairs(entries), "near-stars")
     pairs = stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    edges = save(likely(with_registers(pairs, nodes), threshold), "near-edges")
+    edges = save(likely(with_registers(pairs, nodes), threshold, "a", "b"), "near-edges")
     families = save(components(edges), "near-families")
     # buckets of two were settled by their star
     large = stars.filter(F.col("n") > 2)
     members = large.select("bucket", "node").unionByName(large.select("bucket", F.col("hub").alias("node")).distinct())
     mixed = save(mixed_buckets(members, families), "near-mixed")
-    more = likely(with_registers(rest_pairs(mixed), nodes), threshold)
-    # what is known of families stands for the edges that made them
-    known = families.select(F.col("id").alias("a"), F.col("component").alias("b")).filter(F.col("a") != F.col("b"))
-    all_edges = save(known.unionByName(more).unionByName(rest_blocks(mixed, nodes, threshold)), "near-edges")
-    free(families, stars, mixed, edges)
-    families = save(components(all_edges), "near-families")
+    more = likely(with_registers(rest_pairs(mixed), nodes), threshold, "fa", "fb")
+    # families joined by what is left; a node outside all of them is its own
+    joined = save(components(more.unionByName(rest_blocks(mixed, nodes, threshold))), "near-joined")
+    alone = joined.join(families.select("id"), "id", "left_anti")
+    old, families = families, save(relabelled(families, joined).unionByName(alone), "near-families")
+    free(old, stars, mixed, edges, joined)
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     # a table of its own, so that Spark knows its size
     wanted = save(families.select("id").join(groups, F.col("id") == F.col("node")).select("node", F.col("low").alias("_d"), F.col("of").alias("_t")), "near-wanted")
     texts = texts.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_id") == F.col("_t"))).dropDuplicates(["node"])
-    links = confirmed(families, full_sets(texts, width), threshold)
-    found = components(links).select("id", F.col("component").alias("_c"))
+    settled = confirmed(families, full_sets(texts, width), threshold)
+    found = settled.select("id", F.col("component").alias("_c"))
     part = groups.join(found, F.col("node") == F.col("id"), "left").select("set_key", "low", F.coalesce("_c", "node").alias("_c"))
     least = part.groupBy("_c").agg(F.min("low").alias("_low")).withColumnRenamed("_c", "_cc")
     part = part.join(least, F.col("_c") == F.col("_cc")).select(F.col("set_key").alias("_k"), F.col("_low").alias("_component"))
@@ -321,7 +333,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     component = F.coalesce("_component", "doc_id")
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     out = save(out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_id"), "near-out")
-    free(signed, groups, nodes, all_edges, families, wanted, links)
+    free(signed, groups, nodes, families, wanted, settled)
     return out
 
 
