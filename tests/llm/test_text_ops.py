@@ -562,3 +562,30 @@ def test_pii_odd_rows(spark):
     assert out.count() == docs.count() and {r._replaced for r in out.collect()} == {0}
     assert sorted(str(r.text) for r in out.collect()) == sorted(str(r.text) for r in docs.collect())
     assert pii.pseudonymise(empty(spark), "k").count() == 0
+
+
+def test_the_sieve_loses_nothing(spark, monkeypatch):
+    """Every wanted row passes, whatever the size of the bitmap; of the others few do while it is large."""
+    texts = spark.range(20_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("text_id"))
+    wanted = texts.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("_d"), F.col("text_id").alias("_t"))
+    for words, most in ((1 << 18, 1_010), (1, 20_000)):
+        monkeypatch.setattr(near_dedup, "SIEVE_WORDS", words)
+        got = {r.doc_id for r in near_dedup.sieved(texts, wanted).select("doc_id").collect()}
+        assert got >= set(range(0, 20_000, 20)) and len(got) <= most
+
+
+def test_components_in_small_chunks(spark, monkeypatch):
+    """Tasks that contract a few edges at a time, and chains across them: components as a plain union-find has them."""
+    from tidemark.llm import components as c
+
+    monkeypatch.setattr(c, "CHUNK", 7)
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(45)] + [(500, 500), (501, 7), (7, 501)]
+    part = {x: x for e in edges if e[0] != e[1] for x in e}
+    for a, b in edges:
+        if a != b and part[a] != part[b]:
+            low, high = sorted((part[a], part[b]))
+            part = {k: low if v == high else v for k, v in part.items()}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = [(r.id, r.component) for r in c.components(df).collect()]
+    assert sorted(got) == sorted(part.items())

@@ -17,7 +17,7 @@
    component's nodes names it.
 
 Between the steps only ids, registers and sets of family members move; texts are read twice (the second time
-for one row of each family member) and never all shuffled by this module.
+for one row of each family member, which a bitmap of bounded size picks out before the shuffle).
 
 Defined cases: a null or blank text has an empty set, is linked with nothing and kept; fewer words than
 ``width`` make one shingle; rows with a null doc_id are kept and take no part; rows that share a doc_id are one
@@ -43,6 +43,8 @@ from .shingles import U, band_keys, estimate, registers, shingle_sets
 
 BANDS, ROWS, BLOCK, HUBS = 25, 5, 96, 4
 PAIRED, REGISTER_BLOCK = 64, 512
+#: Words of 64 bits in the bitmap of the rows whose texts are read again.
+SIEVE_WORDS = 1 << 18
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -295,6 +297,18 @@ def relabelled(part: DataFrame, joined: DataFrame) -> DataFrame:
     return part.join(new, F.col("component") == F.col("_old"), "left").select("id", F.coalesce("_new", "component").alias("component"))
 
 
+def sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of texts (doc_id, text_id) that may be in wanted (_d, _t), by a bitmap of hashes that never grows beyond
+    SIEVE_WORDS rows of two numbers, and so may be broadcast. It loses none of wanted; the more it holds, the more others pass,
+    which the join behind it drops."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
+    word = lambda c: F.pmod(F.shiftright(c, 6), F.lit(SIEVE_WORDS))
+    key = F.xxhash64("_d", "_t")
+    marks = wanted.groupBy(word(key).alias("_word")).agg(F.bit_or(bit(key)).alias("_bits"))
+    own = F.xxhash64("doc_id", "text_id")
+    return texts.join(F.broadcast(marks), word(own) == F.col("_word")).filter(F.col("_bits").bitwiseAND(bit(own)) != 0).drop("_word", "_bits")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_id (``xxhash64(text)``) of every row of ``docs``."""
     signed = save(signatures(docs, width), "near-sig")
@@ -322,7 +336,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     # a table of its own, so that Spark knows its size
     wanted = save(families.select("id").join(groups, F.col("id") == F.col("node")).select("node", F.col("low").alias("_d"), F.col("of").alias("_t")), "near-wanted")
-    texts = texts.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_id") == F.col("_t"))).dropDuplicates(["node"])
+    texts = sieved(texts, wanted).join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_id") == F.col("_t"))).dropDuplicates(["node"])
     settled = confirmed(families, full_sets(texts, width), threshold)
     found = settled.select("id", F.col("component").alias("_c"))
     part = groups.join(found, F.col("node") == F.col("id"), "left").select("set_key", "low", F.coalesce("_c", "node").alias("_c"))
