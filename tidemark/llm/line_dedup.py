@@ -7,7 +7,7 @@ batch that saw the key again. When a level has ``fanout`` runs they are merged i
 rewritten once a level and a batch meets few runs. A key's total is that of its run and its hits; documents lose the
 lines of keys that reach ``min_docs``, except in the largest document id.
 
-All runs have equally many buckets: anti-joins and merges need no shuffle. Texts are read twice, once for the table of
+All runs have equally many buckets, more for larger tables: anti-joins and merges need no shuffle. Texts are read twice, once for the table of
 long lines (document, position, key), of which the batches are parts, and once to cut lines out; only then they are
 shuffled, to meet the positions that their document loses. A very common line is one row of a run however many documents
 hold it; documents meet only the frequent keys, in a join that Spark can split at a hot key. Cutting takes time in
@@ -25,9 +25,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import boxed, free, save, save_bucketed, table, unboxed
+from .scratch import boxed, free, save, save_bucketed, saved_bytes, table, unboxed
 
 BLANKS = r" \u0009\u000A\u000B\u000C\u000D"
+#: Bytes of the table of long lines for which the runs have a bucket, where that makes more than shuffles have partitions.
+BUCKET_BYTES = 256 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,8 +49,13 @@ def text_lines(text: Column) -> Column:
 
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, text_id (a hash that tells rows of one doc_id apart), pos (from 0), key of every long line."""
-    text, ident = F.col("text"), F.col("doc_id").cast("long").alias("doc_id")
-    lines = docs.filter(F.col("doc_id").isNotNull()).select(ident, F.xxhash64(text).alias("text_id"), F.posexplode(text_lines(text)).alias("pos", "line"))
+    text = F.col("text")
+    # the hash and the lines are made once, below the generator of lines: an expression on the text beside it would be
+    # computed, and the text copied, for each line
+    whole = F.explode(F.array(F.struct(F.xxhash64(text).alias("text_id"), text_lines(text).alias("lines")))).alias("whole")
+    split = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), whole)
+    split = split.select("doc_id", F.col("whole.text_id").alias("text_id"), F.col("whole.lines").alias("lines"))
+    lines = split.select("doc_id", "text_id", F.posexplode("lines").alias("pos", "line"))
     # the length is tested on the line first: most lines are short
     keyed = lines.filter(F.length("line") >= min_chars).select("doc_id", "text_id", "pos", line_key(F.col("line")).alias("line")).filter(F.length("line") >= min_chars)
     return keyed.select("doc_id", "text_id", "pos", key_hash(F.col("line")).alias("key"))
@@ -142,7 +149,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     document id, as it would arrive over time."""
     part = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     lines = save(long_lines(docs, min_chars).withColumn("batch", part), "line-rows", "batch")
-    runs = LineRuns(docs.sparkSession, fanout)
+    shuffled = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = LineRuns(docs.sparkSession, fanout, max(shuffled, -(-saved_bytes(lines) // BUCKET_BYTES)))
     for i in range(batches):
         runs.add(lines.filter(F.col("batch") == i))
     # a table of its own, so that Spark can split the join at a line that very many documents hold

@@ -44,6 +44,12 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
     return out
 
 
+def saved_bytes(df: DataFrame) -> int:
+    """Bytes of a table's files."""
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+    return at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def free(*frames: DataFrame | None) -> None:
     """Delete tables made by :func:`save` that nothing reads any more."""
     for df in frames:
