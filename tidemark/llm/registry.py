@@ -11,6 +11,7 @@ from .near_dedup import OP3_SQL, op3_near_dedup
 from .packing import op4_packing
 from .pii import op5_pii
 from .quality import op2_quality_classifier
+from .repair import OP11_SQL, op11_conversation_repair
 from .token_counts import op1_token_counts
 
 QUERIES = {
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_search": op10_exact_search,
+    "op11_conversation_repair": op11_conversation_repair,
 }
-SQL = {"op3_near_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_search": OP10_SQL}
+SQL = {"op3_near_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_search": OP10_SQL, "op11_conversation_repair": OP11_SQL}
