@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann import op6_ann
 from .chat import op8_chat_formatting
 from .exact_search import OP10_SQL, op10_exact_search
+from .hard_negatives import OP12_SQL, op12_hard_negatives
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import op7_mixing
 from .near_dedup import OP3_SQL, op3_near_dedup
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_search": op10_exact_search,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_hard_negatives": op12_hard_negatives,
 }
-SQL = {"op3_near_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_search": OP10_SQL, "op11_conversation_repair": OP11_SQL}
+SQL = {"op3_near_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_search": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_hard_negatives": OP12_SQL}

@@ -16,26 +16,32 @@ from .scratch import save
 QUERY_ROWS = 2048
 
 
+def finite(vectors: DataFrame, *also: str) -> DataFrame:
+    """vec_id, embedding (array of double) and the columns ``also`` of the rows with an id and a vector of finite components."""
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), *also)
+    return v.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+
+
 def usable(vectors: DataFrame, nonzero: bool) -> DataFrame:
     """vec_id, embedding (array of double) of the rows that take part: an id, a vector, finite components only,
     and of the length that most such vectors have."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    ok = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    v = finite(vectors)
     if nonzero:
-        ok &= F.exists("embedding", lambda x: x != 0)
-    v = v.filter(ok)
+        v = v.filter(F.exists("embedding", lambda x: x != 0))
     common = v.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     return v.filter(F.size("embedding") == (common["d"] if common else 0))
 
 
-def classes(v: DataFrame, k: int) -> DataFrame:
-    """ids, embedding: equal vectors as one row with the k + 1 smallest of their ids, all that a search for the
-    first k can return of them. Two limits, the first on hashed parts, so that no task gathers a common vector."""
+def classes(v: DataFrame, k: int, *also: str) -> DataFrame:
+    """ids, embedding (and the columns ``also``): equal vectors as one row with the k + 1 smallest of their ids, all that a
+    search for the first k can return of them. Two limits, the first on hashed parts, so that no task gathers a common
+    vector."""
+    by = ["embedding", *also]
     part = F.pmod(F.xxhash64("vec_id"), F.lit(64))
-    first = v.withColumn("part", part).withColumn("r", F.dense_rank().over(W.partitionBy("embedding", "part").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
-    few = first.select("vec_id", "embedding").distinct()
-    second = few.withColumn("r", F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
-    return second.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    first = v.withColumn("part", part).withColumn("r", F.dense_rank().over(W.partitionBy(*by, "part").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
+    few = first.select("vec_id", *by).distinct()
+    second = few.withColumn("r", F.row_number().over(W.partitionBy(*by).orderBy("vec_id"))).filter(F.col("r") <= k + 1)
+    return second.groupBy(*by).agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
 def queries(v: DataFrame, every: int) -> DataFrame:
