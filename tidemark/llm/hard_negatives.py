@@ -115,7 +115,7 @@ class Index:
                         left.append(k)
                 t, todo = t[left], todo[left]
                 # near zero the bounds rule nothing out: the floor at once
-                near = t < start[todo] / 16
+                near = t <= start[todo] / 16
                 t = np.where(near, floor[todo], np.maximum(floor[todo], t * FALL))
 
 
