@@ -14,6 +14,7 @@ from .pii import op5_pii
 from .quality import op2_quality_classifier
 from .repair import OP11_SQL, op11_conversation_repair
 from .token_counts import op1_token_counts
+from .toxicity import op13_toxicity
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_exact_search": op10_exact_search,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_toxicity": op13_toxicity,
 }
 SQL = {"op3_near_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_exact_search": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_hard_negatives": OP12_SQL}
