@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as X
 from tidemark.operators import joins, labels, parse
 from tidemark.operators.aggregates import BAD, GOOD, RECENT_LISTS
-from tidemark.plans.domain import EV, LIVE, SESSIONS, TAGS, events, has_sql, live, post_events, tags
+from tidemark.plans.domain import EV, FLAG_CODES, LIVE, SESSIONS, TAGS, events, has_sql, live, post_events, tags
 from tidemark.plans.feature_queries import FB
 from tidemark.plans.window_queries import fixed, fixed_sql, session_marks_sql, sessions
-from tidemark.streaming import stateful, steps
+from tidemark.streaming import chains, stateful, steps
 
 HOUR = 3_600_000
 _NUMBERED = "row_number() OVER (PARTITION BY uid ORDER BY ms, fb, tag) AS n"
@@ -208,6 +208,39 @@ r AS (SELECT l.*, row_number() OVER (PARTITION BY l.uid, list ORDER BY t DESC, i
 SELECT uid, list, string_agg(concat(id, CASE WHEN score IS NULL THEN '' ELSE ':' || CAST(floor(score * 100 + 0.3::DOUBLE) AS BIGINT) END), ',' ORDER BY n DESC) AS items FROM r WHERE n <= k GROUP BY uid, list"""
 
 
+def session_list_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Early and final summaries of sessions of 6 hours drive their user's sixteen lists: the lists after each summary that enters
+    one, oldest first, scores in hundredths. Of each list the last three stay, so that sizes bite."""
+    r = chains.latest_user_lists(post_events(spark, d), 6 * HOUR, sizes=dict.fromkeys(RECENT_LISTS, 3))
+    x = r.select(_uid(), "ts", F.from_json("value", "post_id long, final boolean, lists map<string,array<string>>").alias("v"))
+
+    def shown(i: Column) -> Column:
+        pair = F.split(F.translate(i, "[] ", ""), ",")
+        return F.concat_ws(":", pair[0], F.when(F.size(pair) > 1, fixed(F.get(pair, F.lit(1)).cast("double"), 2).cast("string")))
+
+    one = lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.transform(e["value"], shown), ","))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("v.lists")), one), ";")
+    return x.select("uid", F.col("ts").alias("moment"), "v.post_id", "v.final", text.alias("lists"))
+
+
+_FLAG_COLS = ", ".join(f'{has_sql(code)} AS "{n}"' for n, code in FLAG_CODES.items())
+_RUN_FLAGS = ", ".join(f'bool_or("{n}") OVER w AS "{n}"' for n in ("complete", *FLAG_CODES))
+_ALL_FLAGS = ", ".join(f'bool_or("{n}") AS "{n}"' for n in ("complete", *FLAG_CODES))
+_TRIGGER = " OR ".join(f'"{n}"' for n in ("complete", *FLAG_CODES)) + " OR standing > 10 OR playback > 8"
+SESSION_LIST_SQL = f"""WITH {EV}, g AS (SELECT concat(rec_token, '|', post_id) AS key, uid, post_id, author, epoch_us(ts) // 1000 AS ms, standing_time AS st, progress_time AS pr, {_ANY} AS hit, event_id, progress_time >= 100 AS complete, {_FLAG_COLS} FROM ev),
+f AS (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY key ORDER BY ms, event_id) <= {6 * HOUR} THEN 0 ELSE 1 END AS fresh FROM g),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY key ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS no FROM f),
+c AS (SELECT uid, post_id, author, ms AS moment, hit, sum(st) OVER w AS standing, sum(pr) OVER w AS playback, sum(hit::INTEGER) OVER w AS hits, {_RUN_FLAGS} FROM n WINDOW w AS (PARTITION BY key, no ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING)),
+z AS (SELECT * EXCLUDE (hit, hits), false AS final FROM c WHERE hit AND hits = 1
+  UNION ALL BY NAME SELECT uid, post_id, min(author) AS author, max(ms) + {6 * HOUR} AS moment, sum(st) AS standing, sum(pr) AS playback, {_ALL_FLAGS}, true AS final FROM n GROUP BY key, uid, post_id, no),
+q AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY moment, CAST(post_id AS VARCHAR), final) AS n FROM z WHERE {_TRIGGER}),
+m AS ({session_marks_sql("q", "uid, n, moment", ("skip",))}),
+l AS (SELECT q.uid, q.n, q.moment, list, id, max(m.moment) AS t, max(m.n) AS last, arg_max(score, m.moment) AS score FROM q JOIN m ON m.uid = q.uid AND m.n <= q.n AND m.moment + {12 * HOUR} >= q.moment GROUP BY q.uid, q.n, q.moment, list, id),
+r AS (SELECT *, row_number() OVER (PARTITION BY uid, n, list ORDER BY t DESC, last DESC) AS no FROM l),
+o AS (SELECT uid, n, list, string_agg(concat(id, CASE WHEN score IS NULL THEN '' ELSE ':' || CAST(floor(score * 100 + 0.3::DOUBLE) AS BIGINT) END), ',' ORDER BY no DESC) AS items FROM r WHERE no <= 3 GROUP BY uid, n, list)
+SELECT q.uid, q.moment, q.post_id, q.final, string_agg(list || '=' || items, ';' ORDER BY list) AS lists FROM q JOIN o ON o.uid = q.uid AND o.n = q.n GROUP BY q.uid, q.n, q.moment, q.post_id, q.final"""
+
+
 def user_counter_replay(spark: SparkSession, d: str) -> DataFrame:
     """Events and kinds of each user's last stretch without a gap of over six hours."""
     r = stateful.replay(events(spark, d), "uid", ["event_type"], lambda s, x: steps.user_counters(s, x, 6 * HOUR), final_only=True)
@@ -228,6 +261,7 @@ SQL = {
     "last_posts_replay": LAST_POSTS_SQL,
     "early_session_replay": EARLY_SQL,
     "latest_list_replay": LATEST_SQL,
+    "session_list_replay": SESSION_LIST_SQL,
     "user_counter_replay": COUNTER_SQL,
 }
 QUERIES = {n: globals()[n] for n in SQL}

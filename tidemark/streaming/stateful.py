@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +19,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.streaming.steps import Step
 
 OUT = "key string, ts long, value string"
+#: The same with an event time that a stateful operator behind may use.
+TIMED = "key string, at timestamp, value string"
 _CLOSED = 1 << 62
 
 
@@ -65,8 +68,13 @@ class _Runner(StatefulProcessor):
     been quiet for so long; a key has one timer, and an older one goes. ``ttl_ms`` without a gap is the store's own, on
     the wall clock; with one, Spark keeps a single clock, so state written longer ago in event time reads as none."""
 
-    def __init__(self, step: Step, ttl_ms: int | None, gap_ms: int | None):
-        self._step, self._ttl, self._gap = step, ttl_ms, gap_ms
+    def __init__(self, step: Step, ttl_ms: int | None, gap_ms: int | None, timed: bool = False):
+        self._step, self._ttl, self._gap, self._timed = step, ttl_ms, gap_ms, timed
+
+    def _shown(self, key: str, emitted: list[tuple[int, dict]]) -> pd.DataFrame:
+        if self._timed:
+            return pd.DataFrame([(key, datetime.fromtimestamp(x["at"] / 1000, timezone.utc), json.dumps(x, sort_keys=True)) for _, x in emitted], columns=["key", "at", "value"], dtype=object)
+        return pd.DataFrame([(key, t, json.dumps(x, sort_keys=True)) for t, x in emitted], columns=["key", "ts", "value"])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -98,29 +106,36 @@ class _Runner(StatefulProcessor):
         state, out = self._load(), []
         for t, e in events:
             state, emitted = self._step(self._fresh(state, t), json.loads(e) | {"ts": t})
-            out += [(key[0], t, json.dumps(x, sort_keys=True)) for x in emitted]
+            out += [(t, x) for x in emitted]
         self._save(state)
         if self._gap:
             self._arm(state["last"] + self._gap + 1 if state else None)
-        yield pd.DataFrame(out, columns=["key", "ts", "value"])
+        yield self._shown(key[0], out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         t = expiredTimerInfo.getExpiryTimeInMs()
         state, emitted = self._step(self._fresh(self._load(), t), {"ts": t, "closing": True})
         self._save(state)
-        yield pd.DataFrame([(key[0], t, json.dumps(x, sort_keys=True)) for x in emitted], columns=["key", "ts", "value"])
+        yield self._shown(key[0], [(t, x) for x in emitted])
 
     def close(self) -> None:
         pass
 
 
-def stream(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", watermark: str = "10 seconds", ttl_ms: int | None = None, gap_ms: int | None = None) -> DataFrame:
+def stream(
+    df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", watermark: str | None = "10 seconds", ttl_ms: int | None = None, gap_ms: int | None = None, timed: bool = False
+) -> DataFrame:
     """The streaming twin of :func:`replay`. Needs the RocksDB state store. Rows of a micro-batch are stepped in the
-    order of (ts, event); across batches, as they arrive."""
-    d = df.filter(F.col(key).isNotNull()).withWatermark(ts, watermark)
+    order of (ts, event); across batches, as they arrive. ``timed``: what the step emits has a time ``at``, which becomes the
+    result's event time, so that a stateful operator can follow; that one takes ``watermark`` None, as it has one already."""
+    d = df.filter(F.col(key).isNotNull())
+    d = d.withWatermark(ts, watermark) if watermark else d
     d = d.select(F.col(key).cast("string").alias("key"), F.col(ts), F.unix_millis(ts).alias("ms"), F.to_json(F.struct(*[F.col(f) for f in fields])).alias("event"))
-    mode = "EventTime" if gap_ms else "ProcessingTime" if ttl_ms else "None"
-    return d.groupBy("key").transformWithStateInPandas(_Runner(step, ttl_ms, gap_ms), OUT, "append", mode)
+    mode = "EventTime" if gap_ms or timed else "ProcessingTime" if ttl_ms else "None"
+    runner = _Runner(step, ttl_ms, gap_ms, timed)
+    if timed:
+        return d.groupBy("key").transformWithStateInPandas(runner, TIMED, "append", mode, eventTimeColumnName="at")
+    return d.groupBy("key").transformWithStateInPandas(runner, OUT, "append", mode)
 
 
 class Ticker(StatefulProcessor):

@@ -197,6 +197,37 @@ def early_session(state: dict, e: dict, gap_ms: int = 70_000) -> tuple[dict, lis
     return state, out
 
 
+#: What a session's summary carries: the first of each that is known, sums, the largest, and flags that any event set.
+SUMMARY_FLAGS = ("complete", "like", "comment", "share", "collect", "follow", "profile", "report", "uninterested", "paid")
+
+
+def post_summaries(state: dict, e: dict, gap_ms: int = 70_000) -> tuple[dict, list[dict]]:
+    """Sessions of a token and post as whole summaries: one at the first strong event, at the time of the last event so far, and one
+    when the gap closes, at its end. Event: uid, post_id, author, length, standing_time, progress_time, playback_time, the
+    flags, ts, closing (no event, time has passed). Emitted: all of them summed up, ``at`` and ``final``."""
+    out = []
+
+    def summary(at: int, final: bool) -> dict:
+        return {k: v for k, v in state.items() if k not in ("last", "fired")} | {"at": at, "final": final}
+
+    if state and e["ts"] > state["last"] + gap_ms:
+        out.append(summary(state["last"] + gap_ms, True))
+        state = {}
+    if e.get("closing"):
+        return state, out
+    if not state:
+        state = {"uid": e.get("uid"), "post_id": e["post_id"], "author": 0, "length": 0.0, "standing": 0.0, "progress": 0.0, "playback": 0.0, "last": e["ts"], "fired": False} | dict.fromkeys(SUMMARY_FLAGS, False)
+    standing, playback = e.get("standing_time") or 0.0, e.get("playback_time") or 0.0
+    flags = {f: bool(e.get(f)) for f in SUMMARY_FLAGS}
+    author, length = max(e.get("author") or 0, 0), max(e.get("length") or 0.0, 0.0)
+    state = state | {"author": state["author"] or author, "length": state["length"] or length, "standing": state["standing"] + standing, "playback": state["playback"] + playback}
+    state |= {"progress": max(state["progress"], e.get("progress_time") or 0.0), "last": max(state["last"], e["ts"])} | {f: state[f] or on for f, on in flags.items()}
+    if not state["fired"] and (standing > 10 or playback > 8 or any(flags.values())):
+        state["fired"] = True
+        out.append(summary(state["last"], False))
+    return state, out
+
+
 def user_counters(state: dict, e: dict, ttl_ms: int = 3_600_000) -> tuple[dict, list[dict]]:
     """Events of a user, the last time of each type, and the last ten events; entries older than ``ttl_ms`` go.
     Event: event_type, ts."""
