@@ -145,3 +145,44 @@ def test_gap_timer_is_one_a_key_and_may_have_a_ttl(spark, tmp_path, ttl_ms, clos
     got = [json.loads(r.value) | {"key": r.key} for r in collect(s, "append", tmp_path, f"gap{closed}").collect()]
     a = [(x["is_final"], x["standing"]) for x in got if x["key"] == "a"]
     assert a == [(False, 3.0), (True, 3.0)][:closed]
+
+
+def _same_windows(want, got, least):
+    """Windows before the sentinel, all of them."""
+    rows = lambda d: sorted(map(str, d.filter("window_end < '2029-01-01'").select(sorted(d.columns)).collect()))
+    want, got = rows(want), rows(got)
+    assert got == want and len(want) > least
+
+
+@pytest.mark.parametrize("cap", [None, 3])
+def test_exact_user_counts(spark, sf, tmp_path, cap):
+    """Distinct posts counted exactly by a stream, of all events of a window or of a user's first three."""
+    e = events(spark, sf)
+    s = T.with_watermark(replayed(spark, with_sentinel(e), tmp_path, f"counts{cap}"), "1 minute")
+    make = lambda d: A.user_counts(d, "24 hours", "6 hours", cap=cap).drop("window_start")
+    _same_windows(make(e), collect(make(s), "append", tmp_path, f"counts{cap}"), 500)
+
+
+def test_exact_author_tokens_of_capped_users(spark, sf, tmp_path):
+    e = events(spark, sf)
+    s = T.with_watermark(replayed(spark, with_sentinel(e), tmp_path, "authors"), "1 minute")
+    make = lambda d: A.user_author_windows(d, "24 hours", "12 hours", keep_empty=True, cap=4).drop("window_start")
+    _same_windows(make(e), collect(make(s), "append", tmp_path, "authors"), 500)
+
+
+def test_capped_anchor_counts(spark, sf, tmp_path):
+    v = live(spark, sf)
+    s = T.with_watermark(replayed(spark, with_sentinel(v), tmp_path, "anchors"), "1 minute")
+    make = lambda d: A.user_anchor_windows(d, "24 hours", "12 hours", cap=2).drop("window_start")
+    _same_windows(make(v).select(*make(v).columns), collect(make(s), "append", tmp_path, "anchors"), 500)
+
+
+def test_a_busy_key_sends_its_first_rows_of_a_pane_alone(spark):
+    """A cap is taken before the shuffle; windows of any alignment equal plain ranking."""
+    df = spark.range(3000).selectExpr("id as event_id", "id % 3 as uid", "timestamp_seconds(1700000000 + id * 7 % 4000) as ts")
+    for cap in (1, 5, 40, 5000):
+        got = T.paned(T.capped(df, ["uid"], cap, 3600, 600, ["ts", "event_id"]), ["uid"], 3600, 600, {"n": T.count_all(), "ids": T.sum_of("event_id")})
+        want = A.capped_windows(df, "1 hour", "10 minutes", cap).groupBy("uid", "window_end").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = T.capped(df, ["uid"], 5, 3600, 600, ["ts", "event_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -54,11 +54,12 @@ def sketched(x: Column, log_k: int = 12) -> Column:
     return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, log_k)), F.lit(0))
 
 
-def _distinct(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column]) -> DataFrame:
-    """Distinct counts: exact in batches; streams can't count distinct values exactly and get sketches."""
+def _distinct(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], cap: int | None = None, cap_keys: list[str] | None = None, tie: str = "event_id") -> DataFrame:
+    """Exact distinct counts in batches and in streams; ``cap``: of the first ``cap`` events of ``cap_keys`` in a window."""
     if df.isStreaming:
-        return T.windowed(df, keys, size, slide, {n: sketched(F.when(cond, F.col(value))) for n, cond in conds.items()})
-    return T.distinct_windows(df, keys, size, slide, value, conds)
+        return T.distinct_stream(T.stream_windows(df, keys, size, slide, cap, cap_keys, tie), keys, slide, value, conds)
+    rows = df if cap is None else T.capped(df, cap_keys or keys, cap, T.seconds(size), T.seconds(slide), ["ts", tie])
+    return T.distinct_windows(rows, keys, size, slide, value, conds)
 
 
 def item_panes(events: DataFrame, size_s: int = 86400, slide_s: int = 1800) -> DataFrame:
@@ -80,10 +81,11 @@ def item_cohorts(events: DataFrame, starts: DataFrame, hours: int = 48, exact: b
     return out.select(*keys, (F.col("start_ts") + F.expr(f"INTERVAL {hours} HOURS")).alias("emit_ts"), *counted)
 
 
-def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
-    """Exposed posts and posts viewed for 3 seconds: all, images (1), videos (2)."""
+def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", cap: int | None = None) -> DataFrame:
+    """Exposed posts and posts viewed for 3 seconds: all, images (1), videos (2). ``cap``: of a user's first events of a window."""
     image, video = F.col("post_type") == 1, F.col("post_type") == 2
-    return _distinct(events, ["uid"], size, slide, "post_id", {"exposed": F.col("kind") == "expose", "viewed": viewed(3), "viewed_images": viewed(3) & image, "viewed_videos": viewed(3) & video})
+    conds = {"exposed": F.col("kind") == "expose", "viewed": viewed(3), "viewed_images": viewed(3) & image, "viewed_videos": viewed(3) & video}
+    return _distinct(events, ["uid"], size, slide, "post_id", conds, cap)
 
 
 #: Lists of a user: what is listed, and which interactions put it there.
@@ -120,26 +122,19 @@ def user_scored_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 m
 def _listed(df: DataFrame, marks: list[Column], order: Column, size: str, slide: str, k, most: int, cap: int | None, ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """Lists of a user by window; ``marks`` are structs (list, id, ..) or null, a row for each that isn't."""
     size_s, slide_s = T.seconds(size), T.seconds(slide)
-    keys = ["uid", "list"]
-    light, busy = (df, None) if cap is None else split_busy(df, "uid", size, slide, cap, ts, tie)
-    of = lambda d: d.withColumn("_m", F.explode(F.array_compact(F.array(*marks)))).select(*d.columns, "_m.*")
-    out = T.list_windows(of(light), keys, size_s, slide_s, "id", order, k, most, ts)
-    if busy is None:
-        return out
-    # a window of a capped user stands for itself: its rows as a tumbling window of their own
-    rows = of(busy.withColumn("_w", F.unix_seconds("window_end")))
-    one = rows.withColumn("_at", F.timestamp_seconds(F.col("_w") - slide_s))
-    return out.unionByName(T.list_windows(one, keys, slide_s, slide_s, "id", order, k, most, "_at"))
-
-
-def split_busy(df: DataFrame, key: str, size: str, slide: str, cap: int, ts: str = "ts", tie: str = "event_id") -> tuple[DataFrame, DataFrame]:
-    """Rows of keys that never have more than ``cap`` rows in a window, and, for the others, the first ``cap`` rows of each
-    window with window_end. Only rows of the busy keys are copied into windows."""
-    counts = T.paned(df, [key], T.seconds(size), T.seconds(slide), {"_n": T.count_all()}, ts)
-    over = counts.filter(F.col("_n") > cap).select(F.col(key).alias("_k")).distinct()
-    light = df.join(over, F.col(key) == F.col("_k"), "left_anti")
-    rows = T.assign(df.join(over, F.col(key) == F.col("_k"), "left_semi"), size, slide, ts)
-    return light, T.first_events(rows, [key, "window_end"], cap, [ts, tie])
+    rows = df if cap is None else T.capped(df, ["uid"], cap, size_s, slide_s, [ts, tie], ts)
+    rows = rows.withColumn("_m", F.explode(F.array_compact(F.array(*marks)))).select(*rows.columns, "_m.*")
+    return T.list_windows(rows, ["uid", "list"], size_s, slide_s, "id", order, k, most, ts)
+
+
+def _summed(df: DataFrame, keys: list[str], size: str, slide: str, aggs: dict[str, Column], cap: int | None, cap_keys: list[str], ts: str, tie: str) -> DataFrame:
+    """Sums and counts by window, of the first ``cap`` rows of ``cap_keys`` in it; the same in batches and streams."""
+    if df.isStreaming:
+        rows = T.stream_windows(df, keys, size, slide, cap, cap_keys, tie, ts)
+        out = rows.groupBy(*keys, "w").agg(*[a.alias(n) for n, a in aggs.items()])
+        return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
+    rows = df if cap is None else T.capped(df, cap_keys, cap, T.seconds(size), T.seconds(slide), [ts, tie], ts)
+    return T.paned(rows, keys, T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()}, ts)
 
 
 def capped_windows(events: DataFrame, size: str, slide: str, cap: int, key: str = "uid", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
@@ -151,14 +146,16 @@ def author_conditions() -> dict[str, Column]:
     return {f"view_{s}s": viewed(s) for s in VIEW_STEPS} | {f"stand_{s}s": stood(s) for s in STAND_STEPS} | {"like": acted("like")}
 
 
-def user_author_windows(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", keep_empty: bool = False, exact: bool = True) -> DataFrame:
-    """Distinct tokens of a user for each author; authors without a signal are dropped unless ``keep_empty``."""
-    conds = author_conditions()
-    rows = events.filter(F.col("author") > 0)
-    if exact:
-        out = _distinct(rows, ["uid", "author"], size, slide, "rec_token", conds)
+def user_author_windows(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", keep_empty: bool = False, exact: bool = True, cap: int | None = None) -> DataFrame:
+    """Distinct tokens of a user for each author; authors without a signal are dropped unless ``keep_empty``. ``cap``: of a
+    user's first events of a window, whichever their author."""
+    conds, known = author_conditions(), F.col("author") > 0
+    if exact and cap is None:
+        out = _distinct(events.filter(known), ["uid", "author"], size, slide, "rec_token", conds)
+    elif exact:
+        out = _distinct(events, ["uid", "author"], size, slide, "rec_token", conds, cap, ["uid"]).filter(known)
     else:
-        out = T.windowed(rows, ["uid", "author"], size, slide, {n: sketched(F.when(cond, F.col("rec_token"))) for n, cond in conds.items()})
+        out = T.windowed(events.filter(known), ["uid", "author"], size, slide, {n: sketched(F.when(cond, F.col("rec_token"))) for n, cond in conds.items()})
     return out if keep_empty else out.filter(reduce(lambda a, b: a | b, (F.col(n) > 0 for n in conds)))
 
 
@@ -207,13 +204,9 @@ SESSION_CAP = 300
 
 
 def session_user_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", cap: int | None = SESSION_CAP) -> DataFrame:
-    """Sessions and skips of a user, of the first ``cap`` sessions of a window (streams count all)."""
+    """Sessions and skips of a user, of the first ``cap`` sessions of a window."""
     aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}
-    if s.isStreaming:
-        return T.windowed(s, ["uid"], size, slide, aggs, ts)
-    light, busy = (s, None) if cap is None else split_busy(s, "uid", size, slide, cap, ts, "post_id")
-    out = T.paned(light, ["uid"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()}, ts)
-    return out if busy is None else out.unionByName(busy.groupBy("uid", "window_end").agg(*[a.alias(n) for n, a in aggs.items()]))
+    return _summed(s, ["uid"], size, slide, aggs, cap, ["uid"], ts, "post_id")
 
 
 def session_user_lists(
@@ -255,14 +248,10 @@ def session_post_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 m
 
 
 def session_author_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", cap: int | None = SESSION_CAP) -> DataFrame:
-    """Fifteen counts of a user for each author, of the first ``cap`` sessions of a window (streams count all)."""
+    """Fifteen counts of a user for each author, of the user's first ``cap`` sessions of a window."""
     aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}
     aggs |= _longer("playback", "play", 8, 12) | _longer("standing", "stand", 10, 20) | {n: F.count_if(f) for n, f in (_SESSION_FLAGS | {"follow": "follow"}).items()}
-    if s.isStreaming:
-        return T.windowed(s, ["uid", "author"], size, slide, aggs, ts)
-    light, busy = (s, None) if cap is None else split_busy(s, "uid", size, slide, cap, ts, "post_id")
-    out = T.paned(light, ["uid", "author"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()}, ts)
-    return out if busy is None else out.unionByName(busy.groupBy("uid", "author", "window_end").agg(*[a.alias(n) for n, a in aggs.items()]))
+    return _summed(s, ["uid", "author"], size, slide, aggs, cap, ["uid"], ts, "post_id")
 
 
 _ROOM_EVENTS = {"enter": "enter_liveroom", "quit": "exit_liveroom", "gift": "liveroom_gift_send", "follow": "liveroom_follow_anchor", "chat": "liveroom_chat_message"}
@@ -286,7 +275,8 @@ def live_exposures(live: DataFrame, size: str = "5 minutes", slide: str = "10 se
     return T.windowed(live.filter(F.col("event") == "live_exposure"), ["live_id"], size, slide, {"exposures": F.count("*")})
 
 
-def user_anchor_windows(live: DataFrame, size: str = "15 minutes", slide: str = "30 seconds") -> DataFrame:
+def user_anchor_windows(live: DataFrame, size: str = "15 minutes", slide: str = "30 seconds", cap: int | None = None) -> DataFrame:
+    """Exposures, enters, watches of 6 seconds and seconds watched of a user and anchor, of a user's first ``cap`` events of a window."""
     watched = F.col("event").isin("live_view", "exit_liveroom")
     aggs = {
         "exposures": F.count_if(F.col("event") == "live_exposure"),
@@ -294,9 +284,7 @@ def user_anchor_windows(live: DataFrame, size: str = "15 minutes", slide: str =
         "watch_6s": F.count_if(watched & (F.col("watch") >= 6)),
         "watched": F.sum(F.when(watched, F.col("watch")).otherwise(0)),
     }
-    if live.isStreaming:
-        return T.windowed(live, ["uid", "anchor_id"], size, slide, aggs)
-    return T.paned(live, ["uid", "anchor_id"], T.seconds(size), T.seconds(slide), {n: T.Agg(a) for n, a in aggs.items()})
+    return _summed(live, ["uid", "anchor_id"], size, slide, aggs, cap, ["uid"], "ts", "event_id")
 
 
 def regroup_user_anchor(parts: DataFrame, keys: tuple[str, ...] = ("uid",)) -> DataFrame:

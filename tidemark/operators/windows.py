@@ -77,25 +77,47 @@ def pane_of(ts, slide_s: int) -> Column:
     return F.floor(F.unix_micros(c(ts)) / F.lit(slide_s * 1_000_000)).cast("long")
 
 
+def capped(df: DataFrame, keys: list[str], cap: int, size_s: int, slide_s: int, order: list[str], ts: str = "ts") -> DataFrame:
+    """Rows with ``_pane`` and ``_from``: a row is among the first ``cap`` rows of its key (in ``order``, time first) in those
+    of its windows that end at slide ``_from`` or later; rows that are in none go.
+
+    A row is too late for a window exactly if the row ``cap`` places before it lies in the window too, so one running look back
+    settles all windows of a row, and no row is copied. What exceeds ``cap`` in one pane goes before the shuffle, so that a
+    very busy key sends ``cap`` rows a pane and task at most."""
+    n = panes_in(size_s, slide_s)
+    few = first_events(df.withColumn("_pane", pane_of(ts, slide_s)), [*keys, "_pane"], cap, order)
+    before = F.lag("_pane", cap).over(W.partitionBy(*keys).orderBy(*order))
+    first = F.greatest(F.col("_pane") + 1, F.coalesce(before + n + 1, F.col("_pane") + 1))
+    return few.withColumn("_from", first).filter(F.col("_from") <= F.col("_pane") + n)
+
+
+def with_panes(df: DataFrame, slide_s: int, ts: str = "ts") -> DataFrame:
+    """Rows with ``_pane`` and ``_from``, the first of their windows; rows of :func:`capped` as they are."""
+    if "_from" in df.columns:
+        return df
+    return df.withColumn("_pane", pane_of(ts, slide_s)).withColumn("_from", F.col("_pane") + 1)
+
+
 def chunked(panes: DataFrame, n: int) -> DataFrame:
-    """Pane rows (``_pane``) with ``_chunk``: the windows ending at panes c * n to c * n + n - 1 are chunk c, and a pane
-    lies in windows of at most two chunks. So what a window needs is in its chunk, and rows are copied twice, not n
+    """Pane rows (``_pane``, ``_from``) with ``_chunk``: the windows ending at panes c * n to c * n + n - 1 are chunk c, and a
+    pane lies in windows of at most two chunks. So what a window needs is in its chunk, and rows are copied twice, not n
     times, before they are shuffled."""
-    first, last = F.floor((F.col("_pane") + 1) / F.lit(n)), F.floor((F.col("_pane") + n) / F.lit(n))
+    first, last = F.floor(F.col("_from") / F.lit(n)), F.floor((F.col("_pane") + n) / F.lit(n))
     return panes.withColumn("_chunk", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
 
 
 def chunk_ends(n: int) -> Column:
     """Ends of the pane's windows in its chunk, in slides."""
-    low = F.greatest(F.col("_pane") + 1, F.col("_chunk") * n)
+    low = F.greatest(F.col("_from"), F.col("_chunk") * n)
     return F.explode(F.sequence(low, F.least(F.col("_pane") + n, F.col("_chunk") * n + (n - 1))))
 
 
 def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
     """``keys``, window_end (timestamp), aggregates, as :func:`windowed` would give them. ``slide_s`` divides ``size_s``.
-    Panes are shuffled by key and chunk; copies into windows are made and merged behind that shuffle."""
+    Panes are shuffled by key and chunk; copies into windows are made and merged behind that shuffle. ``df`` may come from
+    :func:`capped`."""
     n = panes_in(size_s, slide_s)
-    panes = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane")).agg(*[a.partial.alias(x) for x, a in aggs.items()])
+    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from").agg(*[a.partial.alias(x) for x, a in aggs.items()])
     spread = chunked(panes, n).repartition(*keys, "_chunk").withColumn("_end", chunk_ends(n))
     out = spread.groupBy(*keys, "_chunk", "_end").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
     done = [(F.coalesce(F.hll_sketch_estimate(x), F.lit(0)) if a.finish == "hll" else F.col(x)).alias(x) for x, a in aggs.items()]
@@ -105,20 +127,20 @@ def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[
 def list_windows(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ident: str, order: Column, k: Column | int, most: int, ts: str = "ts") -> DataFrame:
     """``keys``, window_end, items: for each sliding window the ``k`` (at most ``most``) ids of largest ``order``, ties to
     smaller ids, as an array of (id, value). ``order`` is a long or double, or a struct whose first field is one; an id
-    counts with its largest.
+    counts with its largest. ``df`` may come from :func:`capped`.
 
     An id is among a window's first k only if it is among the first k of one of its panes, so panes keep ``most`` rows of
     a key. A chunk of windows then holds at most 2 * ``most`` * panes rows of a key in one array, and each window takes its
     part of the sorted array: no row is copied into windows."""
     n = panes_in(size_s, slide_s)
-    best = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane"), F.col(ident).alias("id")).agg(F.max(order).alias("value"))
-    rank = F.row_number().over(W.partitionBy(*keys, "_pane").orderBy(F.desc("value"), "id"))
+    best = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(ident).alias("id")).agg(F.max(order).alias("value"))
+    rank = F.row_number().over(W.partitionBy(*keys, "_pane", "_from").orderBy(F.desc("value"), "id"))
     few = best.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")
-    entry = F.struct(F.col("value"), (-F.col("id")).alias("m"), F.col("_pane").alias("p"))
+    entry = F.struct(F.col("value"), (-F.col("id")).alias("m"), F.col("_pane").alias("p"), F.col("_from").alias("f"))
     per = chunked(few, n).groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
     per = per.withColumn("_end", F.explode(F.sequence(F.col("_chunk") * n, F.col("_chunk") * n + (n - 1))))
     # a generator each, so that Spark doesn't write one expression into the next
-    mine = F.filter("_all", lambda x: (x["p"] >= F.col("_end") - n) & (x["p"] < F.col("_end")))
+    mine = F.filter("_all", lambda x: (x["p"] >= F.col("_end") - n) & (x["p"] < F.col("_end")) & (x["f"] <= F.col("_end")))
     per = per.withColumn("_mine", F.explode(F.array(mine))).filter(F.size("_mine") > 0)
     per = per.withColumn("_ids", F.transform("_mine", lambda x: x["m"]))
     first = F.slice(F.array_distinct("_ids"), 1, k)
@@ -138,7 +160,8 @@ def distinct_windows(
     """Exact distinct counts of one column under many conditions, as :func:`windowed` with ``count_distinct(when(..))``
     gives them, and ``sums``. A value's conditions are bits of one mask, united by pane and then by window, and bits are
     summed: a row for each value and window, where Spark's own plan would make a row for each condition too. Rows are
-    shuffled by key and value before they are copied into windows. Batches only; ``slide`` divides ``size``."""
+    shuffled by key and value before they are copied into windows. Batches only (:func:`distinct_stream` is the streams'
+    twin); ``slide`` divides ``size``; ``df`` may come from :func:`capped`."""
     size_s, slide_s = seconds(size), seconds(slide)
     n, extra = panes_in(size_s, slide_s), sums or {}
     mask = F.lit(0).cast("long")
@@ -146,8 +169,8 @@ def distinct_windows(
         mask = mask + F.when(cond & F.col(value).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0)
     added = [F.sum(x).alias(name) for name, x in extra.items()]
     again = [F.sum(name).alias(name) for name in extra]
-    panes = df.groupBy(*keys, pane_of(ts, slide_s).alias("_pane"), F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"), *added)
-    ends = panes.repartition(*keys, "_v").withColumn("_end", F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)))
+    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"), *added)
+    ends = panes.repartition(*keys, "_v").withColumn("_end", F.explode(F.sequence(F.col("_from"), F.col("_pane") + n)))
     each = ends.groupBy(*keys, "_v", "_end").agg(F.bit_or("_mask").alias("_mask"), *again)
     bit = lambda i: F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))
     out = each.groupBy(*keys, "_end").agg(*[F.sum(bit(i)).alias(name) for i, name in enumerate(conds)], *again)
@@ -155,6 +178,32 @@ def distinct_windows(
     return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds, *extra)
 
 
+def stream_windows(df: DataFrame, keys: list[str], size: str, slide: str, cap: int | None = None, cap_keys: list[str] | None = None, tie: str = "event_id", ts: str = "ts") -> DataFrame:
+    """Rows of a stream with ``w``, once for each of their windows; with ``cap`` for those alone in which a row is among the first of
+    its ``cap_keys`` to arrive, which a state in front of the aggregate counts. The stream has its watermark on ``ts``."""
+    if cap is None:
+        return df.withColumn("w", F.window(ts, size, slide))
+    from tidemark.streaming.stateful import first_in_windows
+
+    rows = first_in_windows(df, cap_keys or keys, cap, seconds(size), seconds(slide), tie, ts)
+    return rows.withColumn("w", F.window("window_at", slide))
+
+
+def distinct_stream(df: DataFrame, keys: list[str], slide: str, value: str, conds: dict[str, Column]) -> DataFrame:
+    """:func:`distinct_windows` in a stream, exactly: rows of :func:`stream_windows` lose what repeats a window's value under a
+    condition (a state that goes with the watermark), and what is left is counted. A window's rows without any condition keep
+    its row."""
+    marks = [F.when(cond & F.col(value).isNotNull(), F.lit(i)) for i, cond in enumerate(conds.values())]
+    each = df.select(*keys, "w", F.col(value).alias("_v"), F.explode(F.array_compact(F.array(F.lit(-1), *marks))).alias("_c"))
+    each = each.withColumn("_v", F.when(F.col("_c") >= 0, F.col("_v"))).dropDuplicates([*keys, "w", "_v", "_c"])
+    out = each.groupBy(*keys, "w").agg(*[F.count_if(F.col("_c") == i).alias(n) for i, n in enumerate(conds)])
+    return _window_columns(out, keys, list(conds))
+
+
+def _window_columns(out: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *names)
+
+
 def sessions(df: DataFrame, keys: list[str], gap: str, aggs: dict[str, Column], ts: str = "ts") -> DataFrame:
     """Session windows; events exactly one gap apart share a session. In streams, later windows take ``session_time``."""
     out = df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(*[a.alias(n) for n, a in aggs.items()])

@@ -110,6 +110,26 @@ CAPPED_SQL = f"""WITH {EV}, {windows_sql(86400, 21600)}, r AS (SELECT *, row_num
 SELECT uid, window_end, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM r WHERE n <= 5 GROUP BY uid, window_end"""
 
 
+def capped_user_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct posts of a user's first six events of each window."""
+    return _end(A.user_counts(events(spark, d), "24 hours", "6 hours", cap=6))
+
+
+_COUNTED = """count(DISTINCT CASE WHEN kind = 'expose' THEN post_id END) AS exposed, count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 THEN post_id END) AS viewed,
+  count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 AND post_type = 1 THEN post_id END) AS viewed_images, count(DISTINCT CASE WHEN kind = 'view' AND progress_time >= 3 AND post_type = 2 THEN post_id END) AS viewed_videos"""
+CAPPED_COUNTS_SQL = f"WITH {EV}, {_CAPPED} SELECT uid, window_end, {_COUNTED} FROM f GROUP BY uid, window_end"
+
+
+def capped_user_authors(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct tokens by author of a user's first six events of each window."""
+    return _end(A.user_author_windows(events(spark, d), "24 hours", "6 hours", keep_empty=True, cap=6))
+
+
+def capped_user_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Counts by anchor of a user's first four live events of each window."""
+    return _end(A.user_anchor_windows(live(spark, d), "24 hours", "6 hours", cap=4))
+
+
 def _author(spark: SparkSession, d: str, size: str, slide: str, keep: bool) -> DataFrame:
     return _end(A.user_author_windows(events(spark, d), size, slide, keep_empty=keep))
 
@@ -123,6 +143,9 @@ def _author_sql(size: int, slide: int, keep: bool) -> str:
     return sql if keep else sql + " WHERE " + " OR ".join(f'"{n}" > 0' for n in _AUTHOR)
 
 
+CAPPED_AUTHORS_SQL = f"""WITH {EV}, {_CAPPED} SELECT uid, author, window_end, {", ".join(f'count(DISTINCT CASE WHEN {c} THEN rec_token END) AS "{n}"' for n, c in _AUTHOR.items())} FROM f GROUP BY uid, author, window_end"""
+
+
 def user_author_hour(spark: SparkSession, d: str) -> DataFrame:
     return _author(spark, d, "1 hour", "5 minutes", False)
 
@@ -273,6 +296,10 @@ _UA = """count(*) FILTER (WHERE event = 'live_exposure') AS exposures, count(*)
 USER_ANCHOR_SQL = f"WITH {LIVE}, {windows_sql(900, 30, 'live')} SELECT uid, anchor_id, window_end, {_UA} FROM w GROUP BY uid, anchor_id, window_end"
 
 
+CAPPED_ANCHORS_SQL = f"""WITH {LIVE}, {windows_sql(86400, 21600, 'live')}, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, window_end ORDER BY ts, event_id) AS no FROM w) WHERE no <= 4)
+SELECT uid, anchor_id, window_end, {_UA} FROM f GROUP BY uid, anchor_id, window_end"""
+
+
 def user_anchor_regrouped(spark: SparkSession, d: str) -> DataFrame:
     return _end(A.regroup_user_anchor(A.user_anchor_windows(live(spark, d), "24 hours", "6 hours")))
 
@@ -357,6 +384,7 @@ x AS (SELECT uid, author, count(DISTINCT CASE WHEN kind = 'view' AND progress_ti
 SELECT 'rec:user_author_feature:{{' || uid || '}}:post24h' AS key, CAST(author AS VARCHAR) AS field, concat('{{"view_3s":', v, ',"like":', l, '}}') AS value, 7200 AS ttl_s FROM x"""
 
 QUERIES = {
+    "capped_user_counts": capped_user_counts, "capped_user_authors": capped_user_authors, "capped_user_anchors": capped_user_anchors,
     "item_feature_records": item_feature_records, "user_author_records": user_author_records,
     "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "capped_user_lists": capped_user_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
     "user_author_hour": user_author_hour, "user_author_day": user_author_day, "user_author_maps": user_author_maps, "post_session_summaries": post_session_summaries, "session_user_day": session_user_day, "session_user_lists": session_user_lists, "session_post_day": session_post_day,
@@ -364,6 +392,7 @@ QUERIES = {
     "user_last_three": user_last_three, "whole_stream_windows": whole_stream_windows, "event_type_counts": event_type_counts, "last_distinct_posts": last_distinct_posts,
 }
 SQL = {
+    "capped_user_counts": CAPPED_COUNTS_SQL, "capped_user_authors": CAPPED_AUTHORS_SQL, "capped_user_anchors": CAPPED_ANCHORS_SQL,
     "item_feature_records": RECORDS_SQL, "user_author_records": AUTHOR_RECORDS_SQL,
     "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": _user_lists_sql(windows_sql(86400, 1800)), "capped_user_lists": _user_lists_sql(_CAPPED, "f"), "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
     "user_author_maps": MAPS_SQL, "post_session_summaries": SESSION_SQL, "session_user_day": SESSION_USER_SQL, "session_user_lists": SESSION_LISTS_SQL, "session_post_day": SESSION_POST_SQL, "session_author_day": SESSION_AUTHOR_SQL, "anchor_window_counts": _anchor_sql(900, 90), "live_room_exposures": LIVE_EXPOSURE_SQL,

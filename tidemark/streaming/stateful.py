@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -138,6 +139,48 @@ def stream(
     return d.groupBy("key").transformWithStateInPandas(runner, OUT, "append", mode)
 
 
+class _FirstInWindows(StatefulProcessor):
+    """Emits a row for each sliding window in which it is among the key's first ``cap`` to arrive, at a time inside the window. The
+    state has a count for each window that isn't over."""
+
+    def __init__(self, cap: int, size_ms: int, slide_ms: int, tie: str, ts: str):
+        self._cap, self._size, self._slide, self._tie, self._ts = cap, size_ms, slide_ms, tie, ts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("counts", "json string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        counts = {int(k): n for k, n in json.loads(self._state.get()[0]).items()} if self._state.exists() else {}
+        frame = pd.concat(list(rows), ignore_index=True).sort_values(["event_ms", self._tie], kind="stable")
+        taken, ends = [], []
+        for i, ms in zip(frame.index, frame["event_ms"]):
+            first = int(ms) // self._slide * self._slide + self._slide
+            for end in range(first, first + self._size, self._slide):
+                if counts.get(end, 0) < self._cap:
+                    counts[end] = counts.get(end, 0) + 1
+                    taken.append(i)
+                    ends.append(end)
+        over = timerValues.getCurrentWatermarkInMs()
+        self._state.update((json.dumps({k: n for k, n in counts.items() if k > over}),))
+        out = frame.loc[taken].drop(columns=["event_ms", self._ts]).astype(object)
+        # a millisecond before the end: inside the window's last slide and not before the row itself
+        out["window_at"] = pd.Series([datetime.fromtimestamp((e - 1) / 1000, timezone.utc) for e in ends], index=out.index, dtype=object)
+        yield out.reset_index(drop=True)
+
+    def close(self) -> None:
+        pass
+
+
+def first_in_windows(df: DataFrame, keys: list[str], cap: int, size_s: int, slide_s: int, tie: str, ts: str = "ts") -> DataFrame:
+    """The columns of a stream with watermark but its event time, and ``window_at``, the event time from here on: rows in the windows that count
+    them. Needs the RocksDB state store."""
+    kept = [c for c in df.columns if c != ts]
+    rows = df.select(*kept, ts, F.unix_millis(ts).alias("event_ms")).filter(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema)
+    runner = _FirstInWindows(cap, size_s * 1000, slide_s * 1000, tie, ts)
+    return rows.groupBy(*keys).transformWithStateInPandas(runner, f"{schema}, window_at timestamp", "append", "EventTime", eventTimeColumnName="window_at")
+
+
 class Ticker(StatefulProcessor):
     """Counts of a key, emitted by a processing-time timer that sets itself again every ``every_ms``. A key's first rows arm
     it; while it is armed, later ones don't."""
