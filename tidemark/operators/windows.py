@@ -112,18 +112,32 @@ def chunk_ends(n: int) -> Column:
     return F.explode(F.sequence(low, F.least(F.col("_pane") + n, F.col("_chunk") * n + (n - 1))))
 
 
-def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
-    """``keys``, window_end (timestamp), aggregates, as :func:`windowed` would give them. ``slide_s`` divides ``size_s``.
-    Panes are shuffled by key and chunk; copies into windows are made and merged behind that shuffle. ``df`` may come from
-    :func:`capped`."""
+def pane_rows(df: DataFrame, keys: list[str], slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
+    """Partial aggregates of each key and pane. ``df`` may come from :func:`capped`."""
+    return with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from").agg(*[a.partial.alias(x) for x, a in aggs.items()])
+
+
+def merged_panes(panes: DataFrame, keys: list[str], aggs: dict[str, Agg]) -> DataFrame:
+    """Partial aggregates of several sources as one row a key and pane."""
+    return panes.groupBy(*keys, "_pane", "_from").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
+
+
+def pane_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
+    """``keys``, window_end, aggregates of the windows that pane rows lie in. Panes are shuffled by key and chunk; copies into windows
+    are made and merged behind that shuffle."""
     n = panes_in(size_s, slide_s)
-    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from").agg(*[a.partial.alias(x) for x, a in aggs.items()])
     spread = chunked(panes, n).repartition(*keys, "_chunk").withColumn("_end", chunk_ends(n))
     out = spread.groupBy(*keys, "_chunk", "_end").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
     done = [(F.coalesce(F.hll_sketch_estimate(x), F.lit(0)) if a.finish == "hll" else F.col(x)).alias(x) for x, a in aggs.items()]
     return out.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
 
 
+def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
+    """``keys``, window_end (timestamp), aggregates, as :func:`windowed` would give them. ``slide_s`` divides ``size_s``.
+    ``df`` may come from :func:`capped`."""
+    return pane_windows(pane_rows(df, keys, slide_s, aggs, ts), keys, size_s, slide_s, aggs)
+
+
 def list_windows(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ident: str, order: Column, k: Column | int, most: int, ts: str = "ts") -> DataFrame:
     """``keys``, window_end, items: for each sliding window the ``k`` (at most ``most``) ids of largest ``order``, ties to
     smaller ids, as an array of (id, value). ``order`` is a long or double, or a struct whose first field is one; an id

@@ -9,6 +9,8 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import records as R
 from tidemark.operators import topk
 from tidemark.operators import windows as T
+from tidemark.sources.sinks import shared_folder
+from tidemark.streaming.panes import PaneTable
 from tidemark.plans.domain import EV, LIVE, SESSIONS, acted_sql, events, live, post_events, tags, windows_sql
 
 GAP = "6 hours"
@@ -50,6 +52,16 @@ def item_event_panes(spark: SparkSession, d: str) -> DataFrame:
     return _end(p)
 
 
+def stored_pane_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a table of panes that three batches, each with a third of the events, have filled."""
+    aggs = {"events": T.count_all(), "views": T.count_if(F.col("kind") == "view"), "longest": T.max_of("progress_time"), "first_id": T.min_of("event_id"), "id_sum": T.sum_of("event_id")}
+    kept = PaneTable(spark, shared_folder(spark, "panes"), ["post_id"], 1800, aggs, fanout=2)
+    e = events(spark, d)
+    for i in range(3):
+        kept.writer()(e.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i), i)
+    return _end(kept.windows(86400))
+
+
 PANES_SQL = f"WITH {EV}, {windows_sql(86400, 1800)} SELECT post_id, window_end, count(*) AS events, count(*) FILTER (WHERE kind = 'view') AS views, max(progress_time) AS longest, min(event_id) AS first_id, CAST(sum(event_id) AS BIGINT) AS id_sum FROM w GROUP BY post_id, window_end"
 
 
@@ -386,7 +398,7 @@ SELECT 'rec:user_author_feature:{{' || uid || '}}:post24h' AS key, CAST(author A
 QUERIES = {
     "capped_user_counts": capped_user_counts, "capped_user_authors": capped_user_authors, "capped_user_anchors": capped_user_anchors,
     "item_feature_records": item_feature_records, "user_author_records": user_author_records,
-    "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "capped_user_lists": capped_user_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
+    "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "stored_pane_windows": stored_pane_windows, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "capped_user_lists": capped_user_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
     "user_author_hour": user_author_hour, "user_author_day": user_author_day, "user_author_maps": user_author_maps, "post_session_summaries": post_session_summaries, "session_user_day": session_user_day, "session_user_lists": session_user_lists, "session_post_day": session_post_day,
     "session_author_day": session_author_day, "anchor_window_counts": anchor_window_counts, "live_room_exposures": live_room_exposures, "user_anchor_quarter": user_anchor_quarter, "user_anchor_regrouped": user_anchor_regrouped, "tag_recent_posts": tag_recent_posts, "user_live_hour": user_live_hour,
     "user_last_three": user_last_three, "whole_stream_windows": whole_stream_windows, "event_type_counts": event_type_counts, "last_distinct_posts": last_distinct_posts,
@@ -394,7 +406,7 @@ QUERIES = {
 SQL = {
     "capped_user_counts": CAPPED_COUNTS_SQL, "capped_user_authors": CAPPED_AUTHORS_SQL, "capped_user_anchors": CAPPED_ANCHORS_SQL,
     "item_feature_records": RECORDS_SQL, "user_author_records": AUTHOR_RECORDS_SQL,
-    "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": _user_lists_sql(windows_sql(86400, 1800)), "capped_user_lists": _user_lists_sql(_CAPPED, "f"), "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
+    "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "stored_pane_windows": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": _user_lists_sql(windows_sql(86400, 1800)), "capped_user_lists": _user_lists_sql(_CAPPED, "f"), "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
     "user_author_maps": MAPS_SQL, "post_session_summaries": SESSION_SQL, "session_user_day": SESSION_USER_SQL, "session_user_lists": SESSION_LISTS_SQL, "session_post_day": SESSION_POST_SQL, "session_author_day": SESSION_AUTHOR_SQL, "anchor_window_counts": _anchor_sql(900, 90), "live_room_exposures": LIVE_EXPOSURE_SQL,
     "user_anchor_quarter": USER_ANCHOR_SQL, "user_anchor_regrouped": REGROUP_SQL, "tag_recent_posts": TAG_RECENT_SQL, "user_live_hour": USER_LIVE_SQL, "user_last_three": LAST_THREE_SQL, "whole_stream_windows": WHOLE_SQL, "event_type_counts": f"WITH {EV} SELECT event_type, post_type, count(*) AS n FROM ev GROUP BY ALL",
     "last_distinct_posts": LAST_DISTINCT_SQL,

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def kafka(df: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
     """Rows as JSON to a topic. Needs Spark's Kafka package on the class path."""
     out = df.select(F.to_json(F.struct("*")).alias("value"))
@@ -90,12 +95,22 @@ def _bucket_rows(spark: SparkSession, path: str, schema: str, versions: dict[int
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    """Names of the folder's entries, which are numbers; one listing."""
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folder's entries; one listing."""
     if not _exists(spark, folder):
         return []
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return sorted(int(f.getPath().getName()) for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
+    return sorted(f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """The names as numbers, which they are."""
+    return sorted(map(int, _names(spark, folder)))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _last(spark: SparkSession, path: str, version: int | None) -> int:
@@ -114,8 +129,7 @@ def _forget(spark: SparkSession, path: str, version: int, keep: int) -> None:
     named = {x for v in manifests[-keep:] for x in _manifest(spark, path, v).values()}
     gone = [f"{path}/manifest/{v}" for v in manifests[:-keep]] + [f"{path}/data/{v}" for v in _numbers(spark, f"{path}/data") if v <= version and v not in named]
     for p in gone:
-        at = spark._jvm.org.apache.hadoop.fs.Path(p)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(spark, p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -123,6 +137,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's name where the driver and all executors see it: under ``spark.checkpoint.dir``, or, in local mode without one,
+    under the system's folder for temporary files."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="spark-tables-"))
+    return f"{named}/{name}-{uuid.uuid4().hex}"
+
+
 def show(df: DataFrame, checkpoint: str | None = None):
     """Rows to the console."""
     return df.writeStream.format("console").start() if df.isStreaming else df.show()
