@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.test_streams import collect
 from tidemark.operators.aggregates import FLAGS
-from tidemark.streaming import chains, steps
+from tidemark.streaming import chains, stateful, steps
 
 T0 = 1_704_067_200  # 2024-01-01
 
@@ -81,3 +81,49 @@ def test_missing_fields_are_nothing(event):
     state, out = steps.post_summaries({}, event)
     assert out == [] and state["author"] == 0 and not state["like"]
     assert steps.post_summaries(state, {"ts": 10**9, "closing": True})[1][0]["final"]
+
+
+def _rated(spark, sf):
+    from tidemark.plans.state_queries import _rated
+
+    return _rated(spark, sf)
+
+
+def _halves(df):
+    ms = df.select(F.unix_millis("ts").alias("t")).approxQuantile("t", [0.5], 0.0)[0]
+    return df.filter(F.unix_millis("ts") <= ms), df.filter(F.unix_millis("ts") > ms), ms
+
+
+MACHINE = ["user_type", "feedback", "pos_tag", "neg_tag"]
+
+
+def test_a_stream_resumes_from_stored_states(spark, sf, tmp_path):
+    """The second half of the events on the states that the first half left equals one replay of all; so does a batch, and
+    states of snapshots of halves equal those of one snapshot."""
+    from tests.test_streams import replayed
+
+    every = _rated(spark, sf)
+    first, second, ms = _halves(every)
+    rows = lambda d: sorted((r.key, r.ts, r.value) for r in d.collect())
+    want = [x for x in rows(stateful.replay(every, "uid", MACHINE, steps.sensitivity)) if x[1] > ms]
+    stored = stateful.snapshot(first, "uid", MACHINE, steps.sensitivity)
+    stored.write.parquet(str(tmp_path / "states"))
+    kept = spark.read.parquet(str(tmp_path / "states"))
+    assert rows(stateful.replay(second, "uid", MACHINE, steps.sensitivity, initial=kept)) == want and len(want) > 20
+    s = stateful.stream(replayed(spark, second, tmp_path, "second", 3), "uid", MACHINE, steps.sensitivity, initial=kept)
+    assert rows(collect(s, "append", tmp_path, "resumed")) == want
+    states = lambda d: sorted((r.key, r.state) for r in d.collect())
+    later = {r.key: r.state for r in stateful.snapshot(second, "uid", MACHINE, steps.sensitivity, initial=kept).collect()}
+    assert states(stateful.snapshot(every, "uid", MACHINE, steps.sensitivity)) == sorted(({r.key: r.state for r in kept.collect()} | later).items())
+
+
+def test_a_stored_session_closes_by_its_timer(spark, tmp_path):
+    """A session that a snapshot left open gets its timer again and closes without any event of its own."""
+    before = posts(spark, [post(0, 1, 10, 0.0, 9.0)])
+    step = steps.post_summaries
+    e = lambda d: d.withColumn("key", F.concat_ws("|", "rec_token", "post_id"))
+    stored = stateful.snapshot(e(before), "key", chains._EVENT, step)
+    s = batches(spark, [posts(spark, [tick(10)]), posts(spark, [tick(500)]), posts(spark, [tick(900)])], tmp_path, "ticks")
+    out = stateful.stream(e(s), "key", chains._EVENT, step, watermark="1 second", gap_ms=70_000, timed=True, initial=stored)
+    got = [json.loads(r.value) for r in collect(out, "append", tmp_path, "stored").collect() if r.key == "t1|10"]
+    assert [(x["final"], x["playback"], x["at"]) for x in got] == [(True, 9.0, (T0 + 70) * 1000)]

@@ -23,6 +23,8 @@ OUT = "key string, ts long, value string"
 #: The same with an event time that a stateful operator behind may use.
 TIMED = "key string, at timestamp, value string"
 _CLOSED = 1 << 62
+#: Time of the row that holds a key's stored state.
+_STORED = -(1 << 62)
 
 
 def _packed(df: DataFrame, key: str, fields: list[str], ts: str) -> DataFrame:
@@ -30,10 +32,24 @@ def _packed(df: DataFrame, key: str, fields: list[str], ts: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), ms.alias("ts"), F.to_json(F.struct(*[F.col(f) for f in fields])).alias("event"))
 
 
-def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", final_only: bool = False, close: bool = False) -> DataFrame:
+def snapshot(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", initial: DataFrame | None = None) -> DataFrame:
+    """key, state (JSON) of each key behind its last row: what :func:`stream` and :func:`replay` can start from."""
+
+    def shown(state: dict, e: dict) -> tuple[dict, list[dict]]:
+        state, _ = step(state, e)
+        return state, [state]
+
+    return replay(df, key, fields, shown, ts, final_only=True, initial=initial).select("key", F.col("value").alias("state"))
+
+
+def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", final_only: bool = False, close: bool = False, initial: DataFrame | None = None) -> DataFrame:
     """key, ts, value (JSON) for all that ``step`` emits, or only each key's last. ``close``: behind its last row a key's
-    step is called once more, with ``closing`` and a time beyond all gaps."""
-    rows = _packed(df.filter(F.col(key).isNotNull()), key, fields, ts).repartition("key").sortWithinPartitions("key", "ts", "event")
+    step is called once more, with ``closing`` and a time beyond all gaps. ``initial``: stored states (key, state as JSON)
+    that keys start from."""
+    rows = _packed(df.filter(F.col(key).isNotNull()), key, fields, ts)
+    if initial is not None:
+        rows = rows.unionByName(initial.select(F.col("key").cast("string").alias("key"), F.lit(_STORED).alias("ts"), F.col("state").alias("event")))
+    rows = rows.repartition("key").sortWithinPartitions("key", "ts", "event")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, at, state, last = None, 0, {}, None
@@ -52,6 +68,9 @@ def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts
                 if k != now:
                     out += end()
                     now, state, last = k, {}, None
+                if t == _STORED:
+                    state = json.loads(e)
+                    continue
                 at = int(t)
                 state, emitted = step(state, json.loads(e) | {"ts": at})
                 for x in emitted:
@@ -102,6 +121,12 @@ class _Runner(StatefulProcessor):
         else:
             self._state.clear()
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        state = json.loads(initialState["state"].iloc[0])
+        self._save(state)
+        if self._gap and state:
+            self._arm(state["last"] + self._gap + 1)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         events = sorted((int(t), e) for f in rows for t, e in zip(f["ms"], f["event"]))
         state, out = self._load(), []
@@ -124,19 +149,22 @@ class _Runner(StatefulProcessor):
 
 
 def stream(
-    df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", watermark: str | None = "10 seconds", ttl_ms: int | None = None, gap_ms: int | None = None, timed: bool = False
-) -> DataFrame:
+    df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts", watermark: str | None = "10 seconds", ttl_ms: int | None = None, gap_ms: int | None = None, timed: bool = False,
+    initial: DataFrame | None = None,
+) -> DataFrame:
     """The streaming twin of :func:`replay`. Needs the RocksDB state store. Rows of a micro-batch are stepped in the
     order of (ts, event); across batches, as they arrive. ``timed``: what the step emits has a time ``at``, which becomes the
-    result's event time, so that a stateful operator can follow; that one takes ``watermark`` None, as it has one already."""
+    result's event time, so that a stateful operator can follow; that one takes ``watermark`` None, as it has one already.
+    ``initial``: stored states (key, state as JSON) that a new query starts from, loaded once into the state store."""
     d = df.filter(F.col(key).isNotNull())
     d = d.withWatermark(ts, watermark) if watermark else d
     d = d.select(F.col(key).cast("string").alias("key"), F.col(ts), F.unix_millis(ts).alias("ms"), F.to_json(F.struct(*[F.col(f) for f in fields])).alias("event"))
     mode = "EventTime" if gap_ms or timed else "ProcessingTime" if ttl_ms else "None"
     runner = _Runner(step, ttl_ms, gap_ms, timed)
+    stored = None if initial is None else initial.select(F.col("key").cast("string").alias("key"), "state").groupBy("key")
     if timed:
-        return d.groupBy("key").transformWithStateInPandas(runner, TIMED, "append", mode, eventTimeColumnName="at")
-    return d.groupBy("key").transformWithStateInPandas(runner, OUT, "append", mode)
+        return d.groupBy("key").transformWithStateInPandas(runner, TIMED, "append", mode, stored, "at")
+    return d.groupBy("key").transformWithStateInPandas(runner, OUT, "append", mode, stored)
 
 
 class _FirstInWindows(StatefulProcessor):
