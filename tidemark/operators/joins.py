@@ -45,7 +45,11 @@ def with_history(sessions: DataFrame, history: DataFrame, user: str = "uid", ite
 
 def explode_history(profiles: DataFrame, lists: list[str], weights: tuple[float, ...] = HISTORY_WEIGHTS) -> DataFrame:
     """uid, right, weight, pos from id lists, in the lists' order."""
-    parts = [F.transform(F.coalesce(F.col(n), F.array().cast("array<bigint>")), lambda x, w=w: F.struct(x.alias("right"), F.lit(w).alias("weight"))) for n, w in zip(lists, weights)]
+
+    def weighed(name: str, weight: float) -> Column:  # a lambda with a second argument would get the position
+        return F.transform(F.coalesce(F.col(name), F.array().cast("array<bigint>")), lambda x: F.struct(x.alias("right"), F.lit(weight).alias("weight")))
+
+    parts = [weighed(n, w) for n, w in zip(lists, weights)]
     return profiles.select("uid", F.posexplode(F.concat(*parts)).alias("pos", "x")).select("uid", "x.right", "x.weight", "pos")
 
 

@@ -67,28 +67,33 @@ TYPE_SQL = f"""WITH {EV}, t AS (SELECT event_id, CASE WHEN k % 10 = 9 THEN -1 EL
 SELECT event_id, type IN (8, 16) AS maybe, CAST(type AS INTEGER) AS type FROM t WHERE type IN (8, 16, -1)"""
 
 
+def _last_second(spark: SparkSession, d: str) -> int:
+    """The time of the last event: freshness is judged as of it."""
+    return events(spark, d).agg(F.max(_sec())).first()[0] or 0
+
+
 def parsed_tags(spark: SparkSession, d: str) -> DataFrame:
     """Tag events of all shapes, fresh ones only, as (tag, post)."""
     e = events(spark, d).filter(F.col("event_type") == "click")
     shape = F.col("k") % 4
     content = F.when(shape == 0, F.format_string('{"a%d":1,"b":2}', F.col("k"))).when(shape == 1, F.format_string('[{"c%d":1},{"b":2}]', F.col("k"))).when(shape == 2, F.format_string('["d%d","b","b"]', F.col("k"))).otherwise(F.format_string('"e%d"', F.col("k")))
     text = F.concat(F.format_string('{"event_type":11,"ai_post_tag_event":{"post_id":%d,"access_level":%d,"access_level_time":%d,"results":{"tags":{"content":', F.col("event_id") + 1, F.col("k"), _sec()), content, F.lit("}}}}"))
-    p = parse.content_tags(e.select(text.alias("value")), F.lit(1704067200 + 20 * 86400))
+    p = parse.content_tags(e.select(text.alias("value")), F.lit(_last_second(spark, d)))
     return parse.tag_posts(p).select("tag", "post_id", "time")
 
 
-TAGS_SQL = f"""WITH {EV}, x AS (SELECT event_id + 1 AS post_id, epoch_us(ts) // 1000000 AS time, k FROM ev WHERE event_type = 'click' AND k BETWEEN 10 AND 30), f AS (SELECT * FROM x WHERE 1704067200 + 20 * 86400 - time <= 86400)
+TAGS_SQL = f"""WITH {EV}, x AS (SELECT event_id + 1 AS post_id, epoch_us(ts) // 1000000 AS time, k FROM ev WHERE event_type = 'click' AND k BETWEEN 10 AND 30), f AS (SELECT * FROM x WHERE (SELECT max(epoch_us(ts) // 1000000) FROM ev) - time <= 86400)
 SELECT unnest(CASE k % 4 WHEN 0 THEN ['a' || k, 'b'] WHEN 1 THEN ['c' || k, 'b'] WHEN 2 THEN ['d' || k, 'b'] ELSE ['e' || k] END) AS tag, post_id, time FROM f"""
 
 
 def parsed_valid_posts(spark: SparkSession, d: str) -> DataFrame:
     e = events(spark, d)
     text = F.to_json(F.struct(F.lit(17).alias("event_type"), F.struct(F.col("event_id").cast("string").alias("id"), "uid", _sec().alias("tagging_at"), _sec().alias("created_at"), (_sec() + 5).alias("updated_at"), F.when(F.col("k") % 3 == 0, _sec()).otherwise(0).alias("deleted_at")).alias("rec_valid_post_event")))
-    return parse.valid_posts(e.select(text.alias("value")), F.lit(1704067200 + 10 * 86400))
+    return parse.valid_posts(e.select(text.alias("value")), F.lit(_last_second(spark, d)))
 
 
 VALID_SQL = f"""WITH {EV}, x AS (SELECT event_id AS post_id, uid, epoch_us(ts) // 1000000 AS sec, k FROM ev) SELECT post_id, uid, sec AS tagging_at, sec AS created_at, sec + 5 AS updated_at FROM x
-WHERE k % 3 <> 0 AND post_id > 0 AND uid > 0 AND 1704067200 + 10 * 86400 - sec <= 6 * 86400"""
+WHERE k % 3 <> 0 AND post_id > 0 AND uid > 0 AND (SELECT max(epoch_us(ts) // 1000000) FROM ev) - sec <= 6 * 86400"""
 
 
 def _log(e: DataFrame, name, data) -> DataFrame:
@@ -220,6 +225,9 @@ def scalar_values(spark: SparkSession, d: str) -> DataFrame:
         F.round(X.net_weight(F.col("k") / 10 - 5), 6).alias("weight"), F.round(X.net_from_weight(F.col("k") / 49), 6).alias("net"), X.step_decay(F.col("k") * 10, F.col("author")).alias("step"), F.unix_seconds(X.next_local_hour("ts")).alias("next20"), X.cooldown_days(F.when(F.col("k") % 2 == 0, "block").otherwise("no_zone"), (F.col("k") % 5).cast("int")).alias("days"),
         X.flow_value(X.flow_text("v5", stage=F.lit("stable"), n="k"), "n").alias("flow"), rec.alias("record"), F.size(X.parse_label_record(rec)["ids"]).alias("n_ids"), X.feature_key("rec:user_feature:{", "uid", "}:post1h").alias("key"),
         F.array_join(F.transform(X.history_ids(F.when(F.col("k") % 2 == 0, F.format_string('[{"itemId":%d,"ts":%d,"weight":1.5},{"item_id":"7"},{"ts":1}]', F.col("k"), F.col("k") % 3)).otherwise(F.format_string("%d|9,7|3,x", F.col("k")))), lambda x: x.cast("string")), ",").alias("history"),
+        X.timed_posts_text(F.array(F.struct("post_id", _sec().alias("time")), F.struct(F.col("author").alias("post_id"), F.col("k").alias("time")))).alias("timed"),
+        F.array_join(X.int32_only(F.array(F.col("post_id") * 50_000_000, -F.col("k") * 50_000_000, F.col("uid"))), ",").alias("narrow"),
+        F.coalesce(X.step_decay(*X.stored_pair(F.concat_ws(":", F.col("k") * 7, F.when(F.col("k") % 9 == 0, "x").otherwise((F.col("k") % 30).cast("string"))))), F.lit(-1)).alias("stored"),
     )
 
 
@@ -229,7 +237,9 @@ SELECT event_id, tag, CASE tag WHEN 'explicit' THEN 'restricted#explicit' ELSE c
   round(CASE WHEN wt > 1 AND wt <= 2 THEN CASE WHEN wt - 1 > 0.01 AND wt - 1 < 0.99 THEN -ln(1 / (wt - 1) - 1) ELSE 3.0 END WHEN wt >= 0 AND wt < 1 THEN CASE WHEN wt > 0.01 AND wt < 0.99 THEN ln(1 / wt - 1) ELSE -3.0 END ELSE 0.0 END, 6) AS net, CAST(floor(k * 10 * pow(0.96, author / 2.0) + 0.5) AS BIGINT) AS step,
   CASE WHEN ist % 86400 < 72000 THEN ist - ist % 86400 + 72000 ELSE ist - ist % 86400 + 72000 + 86400 END - 19800 AS next20,
   CASE WHEN k % 2 = 0 THEN [1, 1, 3, 7, 7][CAST(k % 5 + 1 AS INTEGER)] ELSE [3, 3, 7, 14, 14][CAST(k % 5 + 1 AS INTEGER)] END AS days, CAST(k AS VARCHAR) AS flow,
-  concat('u_ylevel_mid|', least(post_id, author), ',', greatest(post_id, author), '|', epoch_us(ts) // 1000) AS record, 2 AS n_ids, 'rec:user_feature:{{' || uid || '}}:post1h' AS key, CASE WHEN k = 0 OR k = 7 THEN '7' ELSE concat(k, ',7') END AS history FROM j"""
+  concat('u_ylevel_mid|', least(post_id, author), ',', greatest(post_id, author), '|', epoch_us(ts) // 1000) AS record, 2 AS n_ids, 'rec:user_feature:{{' || uid || '}}:post1h' AS key, CASE WHEN k = 0 OR k = 7 THEN '7' ELSE concat(k, ',7') END AS history,
+  concat(post_id, '|', epoch_us(ts) // 1000000, ',', author, '|', k) AS timed, concat(CASE WHEN post_id <= 42 THEN concat(post_id * 50000000, ',') ELSE '' END, CASE WHEN k <= 42 THEN concat(-k * 50000000, ',') ELSE '' END, uid) AS narrow,
+  CASE WHEN k % 9 = 0 THEN -1 ELSE CAST(floor(k * 7 * pow(0.96, (k % 30) / 2.0) + 0.5) AS BIGINT) END AS stored FROM j"""
 
 
 def tagged_views(spark: SparkSession, d: str) -> DataFrame:
@@ -322,6 +332,39 @@ u AS (SELECT * FROM g UNION ALL SELECT st."left", st."right", st.score FROM st W
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "left" ORDER BY score DESC, "right") AS INTEGER) AS rank FROM u WHERE score >= 40) SELECT "left", "right", score, rank FROM r WHERE rank <= 16"""
 
 
+_LISTS = [f"list_{i}" for i in range(8)]
+
+
+def _profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Eight lists of a user, of five posts at most; every post is in two of them."""
+    group = F.col("k") % 8
+    one = lambda i: F.slice(F.sort_array(F.collect_set(F.when(group.isin(i, (i + 1) % 8), F.col("post_id")))), 1, 5)
+    return events(spark, d).groupBy("uid").agg(*[one(i).alias(n) for i, n in enumerate(_LISTS)])
+
+
+def weighted_history(spark: SparkSession, d: str) -> DataFrame:
+    """The eight lists as one history with the lists' weights, each post at its first place."""
+    h = topk.history(joins.explode_history(_profiles(spark, d), _LISTS), "uid", "right", "pos", 12)
+    return h.select("uid", "right", F.round(F.col("weight") * 10).cast("long").alias("tenths"), "pos")
+
+
+_WEIGHTED = f"""g AS (SELECT DISTINCT uid, post_id, unnest([k % 8, (k + 7) % 8]) AS list FROM ev), q AS (SELECT *, row_number() OVER (PARTITION BY uid, list ORDER BY post_id) AS r FROM g),
+p AS (SELECT uid, post_id AS "right", [{', '.join(f'{w}::DOUBLE' for w in joins.HISTORY_WEIGHTS)}][CAST(list + 1 AS INTEGER)] AS weight, CAST(row_number() OVER (PARTITION BY uid ORDER BY list, r) - 1 AS INTEGER) AS pos FROM q WHERE r <= 5),
+f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY uid, "right" ORDER BY pos) = 1), wh AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY uid ORDER BY pos) <= 12)"""
+WEIGHTED_HISTORY_SQL = f'WITH {EV}, {_WEIGHTED} SELECT uid, "right", CAST(round(weight * 10) AS BIGINT) AS tenths, pos FROM wh'
+
+
+def weighted_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Session scores times the weights of the eight lists, summed by pair."""
+    h = topk.history(joins.explode_history(_profiles(spark, d), _LISTS), "uid", "right", "pos", 12)
+    p = cf.pair_scores(cf.session_scores(events(spark, d)), h, self_pairs=False)
+    return p.groupBy("left", "right").agg(F.sum("score").alias("score"))
+
+
+WEIGHTED_PAIRS_SQL = f"""WITH {EV}, {_S}, {_WEIGHTED} SELECT item_id AS "left", "right", CAST(sum(round(score * weight)) AS BIGINT) AS score FROM sc JOIN wh ON sc.uid = wh.uid
+WHERE score > 0 AND item_id <> "right" GROUP BY ALL HAVING sum(round(score * weight)) > 0"""
+
+
 def share_labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels by share of standing time and by seconds."""
     v = topk.top_rows(tagged_views(spark, d), ["uid"], [F.desc("ts"), F.desc("event_id")], 6)
@@ -445,6 +488,25 @@ def salted_counts(spark: SparkSession, d: str) -> DataFrame:
     return skew.salted(events(spark, d), ["kind"], {"n": F.count("*"), "s": F.sum("event_id")}, {"n": F.sum("n"), "id_sum": F.sum("s")}, 10, "event_id")
 
 
+def window_hot_users(spark: SparkSession, d: str) -> DataFrame:
+    """Users with a fiftieth of a day's events, found by sketches and counted exactly."""
+    h = skew.window_hot_keys(events(spark, d), "uid", 0.02, "1 day")
+    return h.select("uid", "n", "total", F.unix_seconds("window_end").alias("window_end"))
+
+
+HOT_USERS_SQL = f"WITH {EV}, {windows_sql(86400, 86400)}, n AS (SELECT window_end, uid, count(*) AS n FROM w GROUP BY ALL), t AS (SELECT window_end, CAST(sum(n) AS BIGINT) AS total FROM n GROUP BY ALL) SELECT uid, n, total, n.window_end FROM n JOIN t ON n.window_end = t.window_end WHERE n >= 0.02 * total"
+
+
+def salted_hot_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Events, users and sums by a key that holds more than half of the rows in one value; only that value's rows are spread."""
+    e = events(spark, d).withColumn("key", F.when(F.col("k") < 60, F.lit(0)).otherwise(F.col("k")))
+    parts = {"n": F.count("*"), "users": F.count_distinct("uid"), "s": F.sum("event_id")}
+    return skew.salted_hot(e, ["key", "kind"], parts, {"n": F.sum("n"), "users": F.sum("users"), "id_sum": F.sum("s")}, 0.05, salt_by="uid")
+
+
+HOT_COUNTS_SQL = f"WITH {EV} SELECT CASE WHEN k < 60 THEN 0 ELSE k END AS key, kind, count(*) AS n, count(DISTINCT uid) AS users, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev GROUP BY ALL"
+
+
 _SALTED_SQL = f"WITH {EV} SELECT kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev GROUP BY kind"
 SQL = {
     "parsed_feature_events": PARSED_SQL,
@@ -474,5 +536,9 @@ SQL = {
     "hot_keys": HOT_SQL,
     "window_key_shares": SHARES_SQL,
     "salted_counts": _SALTED_SQL,
+    "window_hot_users": HOT_USERS_SQL,
+    "salted_hot_counts": HOT_COUNTS_SQL,
+    "weighted_history": WEIGHTED_HISTORY_SQL,
+    "weighted_pairs": WEIGHTED_PAIRS_SQL,
 }
 QUERIES = {n: globals()[n] for n in SQL}
