@@ -66,10 +66,9 @@ def test_restart_neither_loses_nor_repeats(spark, topic, tmp_path):
     assert again == [(0, 9, "a9"), (0, 10, "fail"), (0, 11, "a11"), (2, 0, "c0")]
 
 
-def test_records_bound_a_micro_batch(spark, topic, tmp_path):
-    batches = [b for b in _run(spark, topic, tmp_path, records="3") if b]
-    assert len(batches) >= 3 and all(len([x for x in b if x[0] == p]) <= 3 for b in batches for p in (0, 1))
-    assert sorted(x[:2] for b in batches for x in b) == [(0, i) for i in range(9)] + [(1, 0), (1, 1)]
+def test_one_task_reads_one_file(spark, topic):
+    put(topic, 0, 9, ["a9"])
+    assert spark.read.format("topic_files").option("path", str(topic)).load().rdd.getNumPartitions() == 4
 
 
 def test_latest_starts_at_the_end(spark, topic, tmp_path):

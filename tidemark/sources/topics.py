@@ -6,8 +6,9 @@ and never changed. A stream's offsets are the next record of each partition, so
 checkpoint has committed; records come with the metadata of a topic. A file is one task, however long the topic.
 
 ``spark.dataSource.register(TopicFiles)``, then ``spark.readStream.format("topic_files").option("path", ..).option("topic", ..)``;
-``records`` bounds what a micro-batch takes of a partition, ``start`` is ``earliest`` or ``latest``. The path may be any that
-``pyarrow.fs`` opens on every executor.
+``start`` is ``earliest`` or ``latest``. A micro-batch takes all that is there: Spark asks for the newest offset without naming the
+one it starts from, so a bound could fall behind it after a restart. The path may be any that ``pyarrow.fs`` opens on
+every executor.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ class _Stretch(InputPartition):
 class _Topic:
     def __init__(self, options: dict):
         self.path, self.topic = options["path"], options.get("topic", options["path"].rstrip("/").rsplit("/", 1)[-1])
-        self.records = int(options.get("records", 0))
         self.start = options.get("start", "earliest")
 
     def _open(self):
@@ -55,12 +55,10 @@ class _Topic:
         with store.open_input_stream(file) as f:
             yield from io.BufferedReader(f)
 
-    def ends(self, known: dict[str, int]) -> dict[str, int]:
-        """The next offset of each partition; only the lines of its last file are counted, and only if it is newer than ``known``."""
-        last: dict[int, tuple[int, str]] = {}
-        for p, base, path in self.files():
-            last[p] = (base, path)
-        return {str(p): base + sum(1 for _ in self.lines(path)) if base >= known.get(str(p), 0) else known[str(p)] for p, (base, path) in last.items()}
+    def ends(self) -> dict[str, int]:
+        """The next offset of each partition; only the lines of its last file are counted."""
+        last = {p: (base, path) for p, base, path in self.files()}
+        return {str(p): base + sum(1 for _ in self.lines(path)) for p, (base, path) in last.items()}
 
     def stretches(self, start: dict[str, int], end: dict[str, int]) -> list[_Stretch]:
         files = self.files()
@@ -86,7 +84,7 @@ class _Batch(DataSourceReader):
         self._topic = topic
 
     def partitions(self) -> list[InputPartition]:
-        return self._topic.stretches({}, self._topic.ends({})) or [_Stretch("", 0, 0, 0, 0)]
+        return self._topic.stretches({}, self._topic.ends()) or [_Stretch("", 0, 0, 0, 0)]
 
     def read(self, partition: _Stretch) -> Iterator[tuple]:
         return self._topic.read(partition) if partition.file else iter(())
@@ -95,21 +93,15 @@ class _Batch(DataSourceReader):
 class _Stream(DataSourceStreamReader):
     def __init__(self, topic: _Topic):
         self._topic = topic
-        self._seen: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
-        self._seen = self._topic.ends({}) if self._topic.start == "latest" else {}
-        return {p: n if self._topic.start == "latest" else 0 for p, n in self._seen.items()} or {"0": 0}
+        ends = self._topic.ends()
+        return ends if ends and self._topic.start == "latest" else {"0": 0}
 
     def latestOffset(self) -> dict:
-        ends, most = self._topic.ends({}), self._topic.records
-        if most:
-            ends = {p: min(n, self._seen.get(p, 0) + most) for p, n in ends.items()}
-        self._seen = {p: max(n, self._seen.get(p, 0)) for p, n in ends.items()}
-        return dict(self._seen) or {"0": 0}
+        return self._topic.ends() or {"0": 0}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        self._seen = {p: max(n, self._seen.get(p, 0)) for p, n in end.items()}
         return self._topic.stretches(start, end)
 
     def read(self, partition: _Stretch) -> Iterator[tuple]:
