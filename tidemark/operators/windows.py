@@ -122,14 +122,24 @@ def merged_panes(panes: DataFrame, keys: list[str], aggs: dict[str, Agg]) -> Dat
     return panes.groupBy(*keys, "_pane", "_from").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
 
 
-def pane_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
-    """``keys``, window_end, aggregates of the windows that pane rows lie in. Panes are shuffled by key and chunk; copies into windows
-    are made and merged behind that shuffle."""
+def merged_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
+    """``keys``, ``_end`` (in slides) and partial aggregates of the windows that pane rows lie in. Panes are shuffled by key and chunk;
+    copies into windows are made and merged behind that shuffle."""
     n = panes_in(size_s, slide_s)
     spread = chunked(panes, n).repartition(*keys, "_chunk").withColumn("_end", chunk_ends(n))
     out = spread.groupBy(*keys, "_chunk", "_end").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
+    return out.select(*keys, "_end", *aggs)
+
+
+def finished_windows(merged: DataFrame, keys: list[str], slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
+    """``keys``, window_end and what the aggregates finally show."""
     done = [(F.coalesce(F.hll_sketch_estimate(x), F.lit(0)) if a.finish == "hll" else F.col(x)).alias(x) for x, a in aggs.items()]
-    return out.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
+    return merged.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
+
+
+def pane_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
+    """``keys``, window_end, aggregates of the windows that pane rows lie in."""
+    return finished_windows(merged_windows(panes, keys, size_s, slide_s, aggs), keys, slide_s, aggs)
 
 
 def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
