@@ -73,12 +73,13 @@ def item_cohorts(events: DataFrame, starts: DataFrame, hours: int = 48, exact: b
     shows each as it grows."""
     from tidemark.operators.joins import within_start
 
-    one = F.count_distinct if exact and not events.isStreaming else sketched
     rows = within_start(events, starts, hours)
-    keys = ["post_id", "start_ts"]
-    counted = {n: one(F.when(cond, F.col("rec_token"))) for n, cond in item_conditions().items()}
-    out = rows.groupBy(*keys).agg(*[x.alias(n) for n, x in counted.items()])
-    return out.select(*keys, (F.col("start_ts") + F.expr(f"INTERVAL {hours} HOURS")).alias("emit_ts"), *counted)
+    keys, conds = ["post_id", "start_ts"], item_conditions()
+    if exact and not events.isStreaming:
+        out = T.distinct_counts(rows, keys, "rec_token", conds)
+    else:
+        out = rows.groupBy(*keys).agg(*[sketched(F.when(cond, F.col("rec_token"))).alias(n) for n, cond in conds.items()])
+    return out.select(*keys, (F.col("start_ts") + F.expr(f"INTERVAL {hours} HOURS")).alias("emit_ts"), *conds)
 
 
 def user_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", cap: int | None = None) -> DataFrame:

@@ -178,6 +178,25 @@ def seconds(text: str) -> int:
     return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
+def _mask(value: str, conds: dict[str, Column]) -> Column:
+    """The conditions that a row's value meets, as bits."""
+    mask = F.lit(0).cast("long")
+    for i, cond in enumerate(conds.values()):
+        mask = mask + F.when(cond & F.col(value).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0)
+    return mask
+
+
+def _bits(conds: dict[str, Column]) -> list[Column]:
+    """How many masks have each bit."""
+    return [F.sum(F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))).alias(name) for i, name in enumerate(conds)]
+
+
+def distinct_counts(df: DataFrame, keys: list[str], value: str, conds: dict[str, Column]) -> DataFrame:
+    """``count_distinct(when(..))`` of one column under many conditions: a row for each value, not for each value and condition."""
+    each = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.bit_or(_mask(value, conds)).alias("_mask"))
+    return each.groupBy(*keys).agg(*_bits(conds))
+
+
 def distinct_windows(
     df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts", sums: dict[str, Column] | None = None
 ) -> DataFrame:
@@ -188,16 +207,12 @@ def distinct_windows(
     twin); ``slide`` divides ``size``; ``df`` may come from :func:`capped`."""
     size_s, slide_s = seconds(size), seconds(slide)
     n, extra = panes_in(size_s, slide_s), sums or {}
-    mask = F.lit(0).cast("long")
-    for i, cond in enumerate(conds.values()):
-        mask = mask + F.when(cond & F.col(value).isNotNull(), F.lit(1 << i).cast("long")).otherwise(0)
     added = [F.sum(x).alias(name) for name, x in extra.items()]
     again = [F.sum(name).alias(name) for name in extra]
-    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(value).alias("_v")).agg(F.bit_or(mask).alias("_mask"), *added)
+    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(value).alias("_v")).agg(F.bit_or(_mask(value, conds)).alias("_mask"), *added)
     ends = panes.repartition(*keys, "_v").withColumn("_end", F.explode(F.sequence(F.col("_from"), F.col("_pane") + n)))
     each = ends.groupBy(*keys, "_v", "_end").agg(F.bit_or("_mask").alias("_mask"), *again)
-    bit = lambda i: F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long"))
-    out = each.groupBy(*keys, "_end").agg(*[F.sum(bit(i)).alias(name) for i, name in enumerate(conds)], *again)
+    out = each.groupBy(*keys, "_end").agg(*_bits(conds), *again)
     end = F.timestamp_seconds(F.col("_end") * slide_s)
     return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds, *extra)
 

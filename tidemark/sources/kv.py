@@ -28,33 +28,42 @@ def last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))).filter(F.col("_r") == 1).drop("_r")
 
 
+def _with(kv: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+    """Living rows and new ones in one table, ``_new`` telling which: a write reads both once, however many writes are chained."""
+    return alive(kv, now).withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+
+
+def _kept(both: DataFrame, by: list[str], new: bool = True) -> DataFrame:
+    """Of each group the new rows if it has any, and else all old ones; or the other way round."""
+    wanted = (F.max if new else F.min)("_new").over(W.partitionBy(*by))
+    return both.withColumn("_t", wanted).filter(F.col("_new") == F.col("_t")).drop("_t", "_new")
+
+
 def set_strings(kv: DataFrame, rows: DataFrame, now: Column, ttl_s: int | None, order: str) -> DataFrame:
-    """SET with expiry: rows key, value; the last of a batch wins."""
-    new = _rows(last(rows, ["key"], order), F.lit(""), now, ttl_s)
-    return alive(kv, now).join(new.select("key"), "key", "left_anti").unionByName(new)
+    """SET with expiry: rows key, value; the last of a batch wins, and a key has nothing else."""
+    return _kept(_with(kv, _rows(last(rows, ["key"], order), F.lit(""), now, ttl_s), now), ["key"])
 
 
 def set_fields(kv: DataFrame, rows: DataFrame, now: Column, ttl_s: int | None, order: str, replace: bool = False) -> DataFrame:
     """HSET: rows key, field, value. ``replace``: a key's other fields go."""
-    new = _rows(last(rows, ["key", "field"], order), F.col("field"), now, ttl_s)
-    by = ["key"] if replace else ["key", "field"]
-    return alive(kv, now).join(new.select(*by).distinct(), by, "left_anti").unionByName(new)
+    both = _with(kv, _rows(last(rows, ["key", "field"], order), F.col("field"), now, ttl_s), now)
+    return _kept(both, ["key"] if replace else ["key", "field"])
 
 
 def push(kv: DataFrame, rows: DataFrame, now: Column, ttl_s: int | None, order: str, left: bool = False) -> DataFrame:
     """LPUSH or RPUSH: rows key, value in ``order``."""
-    live = alive(kv, now)
-    ends = live.filter(F.col("field") == LIST).groupBy("key").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     r = F.row_number().over(W.partitionBy("key").orderBy(order))
-    n = rows.withColumn("_r", r).join(ends, "key", "left")
-    seq = F.coalesce(F.col("lo"), F.lit(1)) - F.col("_r") if left else F.coalesce(F.col("hi"), F.lit(-1)) + F.col("_r")
-    return live.unionByName(_rows(n.withColumn("_seq", seq), F.lit(LIST), now, ttl_s, F.col("_seq")))
+    both = _with(kv, _rows(rows.withColumn("_seq", r), F.lit(LIST), now, ttl_s, F.col("_seq")), now)
+    held = F.when((F.col("_new") == 0) & (F.col("field") == LIST), F.col("seq"))
+    of = W.partitionBy("key")
+    both = both.withColumn("_lo", F.min(held).over(of)).withColumn("_hi", F.max(held).over(of))
+    seq = F.coalesce("_lo", F.lit(1)) - F.col("seq") if left else F.coalesce("_hi", F.lit(-1)) + F.col("seq")
+    return both.withColumn("seq", F.when(F.col("_new") == 1, seq).otherwise(F.col("seq")).cast("long")).drop("_lo", "_hi", "_new")
 
 
 def add_members(kv: DataFrame, rows: DataFrame, now: Column, ttl_s: int | None) -> DataFrame:
-    """SADD: rows key, value."""
-    new = _rows(rows.select("key", "value").distinct(), F.col("value"), now, ttl_s)
-    return alive(kv, now).join(new.select("key", "field"), ["key", "field"], "left_anti").unionByName(new)
+    """SADD: rows key, value; a member that is there stays as it is."""
+    return _kept(_with(kv, _rows(rows.select("key", "value").distinct(), F.col("value"), now, ttl_s), now), ["key", "field"], False)
 
 
 def scan(kv: DataFrame, pattern: str, now: Column, kind: str = "string") -> DataFrame:
