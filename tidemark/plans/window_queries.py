@@ -194,6 +194,24 @@ SESSION_SQL = f"""WITH {SESSIONS} SELECT uid, rec_token, post_id, author, progre
   {fixed_sql("playback", 6)} AS playback, {fixed_sql("rate", 6)} AS rate, {", ".join(f'"{n}"' for n in _FLAGS)} FROM s"""
 
 
+def short_gap_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of 70 seconds of an author's posts and of 20 seconds of an anchor's rooms."""
+    shown = lambda s, gap, key: s.select(F.lit(gap).alias("gap"), F.col(key).alias("ident"), "n", "longest", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"))
+    e = T.sessions(events(spark, d), ["author"], "70 seconds", {"n": F.count("*"), "longest": F.max("progress_time")})
+    v = T.sessions(live(spark, d), ["anchor_id"], "20 seconds", {"n": F.count("*"), "longest": F.max("watch").cast("double")})
+    return shown(e, 70, "author").unionByName(shown(v, 20, "anchor_id"))
+
+
+def _short_sql(source: str, key: str, gap: int, value: str) -> str:
+    us = gap * 1_000_000
+    return f"""SELECT {gap} AS gap, {key} AS ident, count(*) AS n, CAST(max({value}) AS DOUBLE) AS longest, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + {us} AS end_us FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY {key} ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no FROM (
+    SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY {key} ORDER BY ts, event_id) <= {us} THEN 0 ELSE 1 END AS fresh FROM {source})) GROUP BY {key}, no"""
+
+
+SHORT_SQL = f"WITH {LIVE} {_short_sql('ev', 'author', 70, 'progress_time')} UNION ALL {_short_sql('live', 'anchor_id', 20, 'watch')}"
+
+
 #: Sessions of a user that count in the registered queries' windows: few, so that the cap bites.
 CAP = 4
 
@@ -396,6 +414,7 @@ x AS (SELECT uid, author, count(DISTINCT CASE WHEN kind = 'view' AND progress_ti
 SELECT 'rec:user_author_feature:{{' || uid || '}}:post24h' AS key, CAST(author AS VARCHAR) AS field, concat('{{"view_3s":', v, ',"like":', l, '}}') AS value, 7200 AS ttl_s FROM x"""
 
 QUERIES = {
+    "short_gap_sessions": short_gap_sessions,
     "capped_user_counts": capped_user_counts, "capped_user_authors": capped_user_authors, "capped_user_anchors": capped_user_anchors,
     "item_feature_records": item_feature_records, "user_author_records": user_author_records,
     "item_window_counts": item_window_counts, "item_window_sketches": item_window_sketches, "item_event_panes": item_event_panes, "stored_pane_windows": stored_pane_windows, "user_hour_counts": user_hour_counts, "user_action_lists": user_action_lists, "capped_user_lists": capped_user_lists, "user_scored_lists": user_scored_lists, "capped_user_windows": capped_user_windows,
@@ -404,6 +423,7 @@ QUERIES = {
     "user_last_three": user_last_three, "whole_stream_windows": whole_stream_windows, "event_type_counts": event_type_counts, "last_distinct_posts": last_distinct_posts,
 }
 SQL = {
+    "short_gap_sessions": SHORT_SQL,
     "capped_user_counts": CAPPED_COUNTS_SQL, "capped_user_authors": CAPPED_AUTHORS_SQL, "capped_user_anchors": CAPPED_ANCHORS_SQL,
     "item_feature_records": RECORDS_SQL, "user_author_records": AUTHOR_RECORDS_SQL,
     "item_window_counts": ITEM_WINDOW_SQL, "item_event_panes": PANES_SQL, "stored_pane_windows": PANES_SQL, "user_hour_counts": USER_COUNTS_SQL, "user_action_lists": _user_lists_sql(windows_sql(86400, 1800)), "capped_user_lists": _user_lists_sql(_CAPPED, "f"), "user_scored_lists": SCORED_SQL, "capped_user_windows": CAPPED_SQL, "user_author_hour": _author_sql(3600, 300, False), "user_author_day": _author_sql(86400, 21600, True),
