@@ -11,7 +11,7 @@ text's length. Weights are evidence against a grade, never for it, and an L1 pen
 ordinary words don't add up in long texts, neither against a clean one nor in favour of a toxic one.
 
 The fit takes at most ``max_rows`` rated documents, those of least hashed id: a documented bound, whatever the
-size of the corpus. Their features (at most ``max_rows`` sparse rows) are computed in tasks and fitted on the
+size of the corpus. Features that fewer than three of them hold get no weight: one or two rows don't tell evidence from chance. Their features (at most ``max_rows`` sparse rows) are computed in tasks and fitted on the
 driver. Scoring is one pass over whole texts without a shuffle; the model travels in the task (a few kB).
 
 Defined cases: a null or empty text has no features and its grade is that of the thresholds alone; rows of
