@@ -30,7 +30,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the smallest id. Shingles are of four words, as in the
-    registered query of this operator."""
+    registered query of this operator. Rows that share an id are one document and stay or go together, repeated rows too."""
     return near_dedup.deduplicate(docs, width=4)
 
 
@@ -40,6 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and place; a document that is there several times is packed as often."""
     return packing.pack(docs)
 
 
