@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import free, save, table
+from .scratch import free, released, save, table
 from .shingles import U, band_keys, estimate, registers, shingle_sets
 
 BANDS, ROWS, BLOCK, HUBS = 25, 5, 96, 4
@@ -66,7 +66,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["doc_id", "text_id", "n_shingles", "set_key", "sig", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    return rows.mapInArrow(sign, "doc_id long, text_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
+    return rows.mapInArrow(released(sign), "doc_id long, text_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -79,7 +79,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 out = [s.tobytes() for s in shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), width)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "set"])
 
-    return docs.select("node", "text").mapInArrow(sets, "node long, set binary")
+    return docs.select("node", "text").mapInArrow(released(sets), "node long, set binary")
 
 
 def _near(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
@@ -101,7 +101,7 @@ def likely(pairs: DataFrame, threshold: float, *ends: str) -> DataFrame:
             yield b.select([0, 1]).rename_columns(["a", "b"]).filter(pa.array(_near(ra, rb, na, nb, threshold)))
 
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * F.lit(round(threshold * 100))
-    return pairs.filter(close).select(*ends, "na", "nb", "sig_a", "sig_b").mapInArrow(judge, "a long, b long")
+    return pairs.filter(close).select(*ends, "na", "nb", "sig_a", "sig_b").mapInArrow(released(judge), "a long, b long")
 
 
 def with_registers(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

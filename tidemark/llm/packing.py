@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .encoding import encode
-from .scratch import table
+from .scratch import released, table
 
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 _FLUSH = 8 << 20
@@ -55,7 +55,7 @@ def pack(docs: DataFrame, max_length: int = 1024, end_id: int = 0, ranks_path: s
         if cols[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, _PIECES)
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(cut), _PIECES)
     return pieces.withColumn("bucket", F.round(F.log2("length")).cast("int")).withColumn(
         # 5 bits of bucket above Spark's partition and row numbers
         "sequence_id", F.shiftleft(F.col("bucket").cast("long"), 58) + F.monotonically_increasing_id()

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import boxed, table, unboxed
+from .scratch import boxed, released, table, unboxed
 
 BITS = 20
 _DIM = 1 << BITS
@@ -159,7 +159,7 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 6000, grades: int
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([list(x) for x in f], pa.list_(pa.int32())), pa.array([list(x.values()) for x in f], pa.list_(pa.float32()))], names=["grade", "at", "val"])
 
     rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    got = rated.select("grade", "text").mapInArrow(extract, "grade int, at array<int>, val array<float>").toArrow()
+    got = rated.select("grade", "text").mapInArrow(released(extract), "grade int, at array<int>, val array<float>").toArrow()
     rows = [(g.as_py(), np.asarray(a.values), np.asarray(v.values, float)) for g, a, v in zip(got["grade"], got["at"], got["val"])]
     return fit_ordinal(rows, grades)
 
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x, pa.float64()) for x in extra)], names=["_row", "_score", "_expected_grade", "_tail"])
 
     box = boxed(docs)
-    out = box.mapInArrow(rate, f"_row {box.schema['_row'].dataType.simpleString()}, _score double, _expected_grade double, _tail double")
+    out = box.mapInArrow(released(rate), f"_row {box.schema['_row'].dataType.simpleString()}, _score double, _expected_grade double, _tail double")
     return unboxed(out, docs.columns, "_score", "_expected_grade", "_tail")
 
 

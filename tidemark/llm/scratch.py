@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,20 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
     return out
 
 
+def released(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` for ``mapInArrow``, giving back to the system what Arrow keeps for reuse: a Python worker lives on for the tasks of the
+    operators that follow, and each would add its share to what the executor holds."""
+
+    def run(batches: Iterator) -> Iterator:
+        for out in work(batches):
+            yield out
+            pa.default_memory_pool().release_unused()
+        del batches
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def saved_bytes(df: DataFrame) -> int:
     """Bytes of a table's files."""
     at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch_path)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import boxed, free, save, table, unboxed
+from .scratch import boxed, free, released, save, table, unboxed
 
 #: Letters of other scripts and signs by the Latin letter they look like (fixed values).
 LOOKALIKES = {"a": "аα@4", "b": "вβ8", "c": "сϲ", "e": "еεё3", "h": "һн", "i": "іιӏl1|", "j": "ј", "k": "кκ", "m": "м", "n": "η", "o": "оοσ0", "p": "рρ", "s": "ѕ$5", "t": "тτ7", "u": "υ", "v": "ν", "x": "хχ", "y": "уγ"}
@@ -152,7 +152,7 @@ def _counts(sample: DataFrame) -> DataFrame:
                 p = list({"", *(x for w in set(words) if len(w) > 1 for x in _forms(w))})
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.string()), pa.array([_family(words)] * len(p), pa.int64()), pa.array([toxic] * len(p), pa.bool_())], names=["pattern", "family", "toxic"])
 
-    each = sample.mapInArrow(held, "pattern string, family long, toxic boolean").distinct()
+    each = sample.mapInArrow(released(held), "pattern string, family long, toxic boolean").distinct()
     return each.groupBy("pattern").agg(F.count_if("toxic").alias("t"), F.count_if(~F.col("toxic")).alias("c"))
 
 
@@ -265,7 +265,7 @@ def _weighed(df: DataFrame, lexicon: Lexicon, spans: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(weigh, f"{schema}, _score double, _weight double, _words long, _matches {_SPANS}")
+    return df.mapInArrow(released(weigh), f"{schema}, _score double, _weight double, _words long, _matches {_SPANS}")
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
