@@ -65,3 +65,11 @@ def test_merges_drop_old_panes(spark, tmp_path, aggs):
         kept.writer()(df.filter(f"progress_time = {i}"), i)
     panes = kept.panes()
     assert reduce(min, [r[0] for r in panes.select("_pane").collect()]) >= 5 * 24 and panes.count() <= 5
+
+
+def test_batches_without_rows_merge_to_nothing(spark, tmp_path, aggs):
+    df = spark.range(3).selectExpr("1L as post_id", "double(id) as progress_time", "string(id) as rec_token", "timestamp_seconds(id * 86400) as ts")
+    kept = PaneTable(spark, str(tmp_path / "panes"), ["post_id"], 3600, aggs, fanout=2)
+    for i, rows_ in enumerate([df.limit(0), df.limit(0), df, df.limit(0), df.limit(0)]):
+        kept.writer()(rows_, i)
+    assert rows(kept.windows(86400)) == rows(T.paned(df, ["post_id"], 86400, 3600, aggs))

@@ -42,8 +42,10 @@ class PaneTable:
             level = 0
             while len(full := [f for f, at in folders if at == level]) >= self.fanout:
                 level += 1
-                self._write(self._recent(self._merged(self._read(full))), f"data/{version}-{level}")
-                folders = [x for x in folders if x[0] not in full] + [(f"data/{version}-{level}", level)]
+                folders = [x for x in folders if x[0] not in full]
+                if self._filled(full):
+                    self._write(self._recent(self._merged(self._read(full))), f"data/{version}-{level}")
+                    folders.append((f"data/{version}-{level}", level))
             self.spark.createDataFrame(folders, "folder string, level int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{version}")
             self._forget(version)
 
@@ -79,8 +81,12 @@ class PaneTable:
         day = F.floor(F.col("_pane") * self.slide / DAY).cast("long")
         panes.withColumn("_day", day).write.mode("overwrite").partitionBy("_day").parquet(f"{self.path}/{folder}")
 
+    def _filled(self, folders: list[str]) -> list[str]:
+        """Those that hold panes."""
+        return [f for f in folders if any(x.startswith("_day=") for x in sinks._names(self.spark, f"{self.path}/{f}"))]
+
     def _read(self, folders: list[str]) -> DataFrame:
-        parts = [self.spark.read.parquet(f"{self.path}/{f}") for f in folders if any(x.startswith("_day=") for x in sinks._names(self.spark, f"{self.path}/{f}"))]
+        parts = [self.spark.read.parquet(f"{self.path}/{f}") for f in self._filled(folders)]
         if not parts:
             raise ValueError(f"no panes in {self.path}")
         return reduce(DataFrame.unionByName, parts)
