@@ -46,7 +46,7 @@ def item_conditions() -> dict[str, Column]:
 def item_windows(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", exact: bool = False) -> DataFrame:
     """Distinct tokens of an item by counter: sketches, or exact counts."""
     if exact:
-        return _distinct(events, ["post_id"], size, slide, "rec_token", item_conditions())
+        return _distinct(events, ["post_id"], size, slide, "rec_token", item_conditions(), many=True)
     return T.windowed(events, ["post_id"], size, slide, {n: sketched(F.when(cond, F.col("rec_token"))) for n, cond in item_conditions().items()})
 
 
@@ -54,12 +54,12 @@ def sketched(x: Column, log_k: int = 12) -> Column:
     return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(x, log_k)), F.lit(0))
 
 
-def _distinct(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], cap: int | None = None, cap_keys: list[str] | None = None, tie: str = "event_id") -> DataFrame:
+def _distinct(df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], cap: int | None = None, cap_keys: list[str] | None = None, tie: str = "event_id", many: bool = False) -> DataFrame:
     """Exact distinct counts in batches and in streams; ``cap``: of the first ``cap`` events of ``cap_keys`` in a window."""
     if df.isStreaming:
         return T.distinct_stream(T.stream_windows(df, keys, size, slide, cap, cap_keys, tie), keys, slide, value, conds)
     rows = df if cap is None else T.capped(df, cap_keys or keys, cap, T.seconds(size), T.seconds(slide), ["ts", tie])
-    return T.distinct_windows(rows, keys, size, slide, value, conds)
+    return T.distinct_windows(rows, keys, size, slide, value, conds, many=many)
 
 
 def item_panes(events: DataFrame, size_s: int = 86400, slide_s: int = 1800) -> DataFrame:
@@ -264,7 +264,7 @@ def anchor_windows(live: DataFrame, size: str = "5 minutes", slide: str = "30 se
     sums = {"coins": F.col("coins"), "_stay": F.when(is_("exit_liveroom"), F.col("stay")).otherwise(0), "_quits": is_("exit_liveroom").cast("long")}
     users = {f"{n}_users": is_(e) for n, e in _ROOM_EVENTS.items()}
     if exact and not live.isStreaming:
-        out = T.distinct_windows(live.filter(F.col("uid").isNotNull()), ["anchor_id"], size, slide, "uid", users, sums=sums)
+        out = T.distinct_windows(live.filter(F.col("uid").isNotNull()), ["anchor_id"], size, slide, "uid", users, sums=sums, many=True)
     else:
         counts = {n: sketched(F.when(cond, F.col("uid")), 15) for n, cond in users.items()}
         out = T.windowed(live, ["anchor_id"], size, slide, counts | {n: F.sum(x) for n, x in sums.items()})

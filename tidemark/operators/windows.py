@@ -2,7 +2,8 @@
 
 :func:`windowed` assigns rows to Spark's own windows and works in both. :func:`paned` is for batches with long
 windows and short slides: rows are aggregated to panes of one slide first, and only pane rows are copied into
-the windows that cover them (a day that slides by 30 minutes covers 48 panes), with mergeable aggregates.
+the windows that cover them (a day that slides by 30 minutes covers 48 panes), with mergeable aggregates. Whole-number
+sums and exact distinct counts aren't copied at all: :func:`running_windows` adds up what enters and leaves.
 """
 
 from __future__ import annotations
@@ -137,9 +138,47 @@ def finished_windows(merged: DataFrame, keys: list[str], slide_s: int, aggs: dic
     return merged.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), *done)
 
 
+def running_windows(steps: DataFrame, keys: list[str], names: dict[str, Column], spanned: bool = False) -> DataFrame:
+    """``keys``, ``_end`` (in slides) and sums of ``names`` for the windows in which something lies. A step (keys, ``_at``, ``_step``) enters
+    (1) from the windows ending at ``_at`` on, or leaves (-1); ``names`` say what it adds to a sum. The running total of the steps holds
+    until the next one, so windows are written out in order and never held or grouped: memory is that of sorting the steps,
+    whatever the number of windows. ``spanned``: also ``first_ts`` and ``last_ts``, from the steps' ``ts``."""
+    steps = steps.repartition(*keys)
+    w = W.partitionBy(*keys).orderBy("_at")
+    extra = {}
+    if spanned:  # the earliest to leave after a window's end, and the latest to enter
+        back = W.partitionBy(*keys).orderBy(F.desc("_at")).rangeBetween(W.unboundedPreceding, -1)
+        steps = steps.withColumn("_first", F.min(F.when(F.col("_step") < 0, F.col("ts"))).over(back))
+        extra = {"first_ts": F.col("_first"), "last_ts": F.max(F.when(F.col("_step") > 0, F.col("ts"))).over(w)}
+    # sorted before the sums' inputs are made, so that the sort holds narrow rows
+    steps = steps.sortWithinPartitions(*keys, "_at")
+    totals = steps.select(*keys, "_at", F.sum("_step").over(w).alias("_n"), F.lead("_at").over(w).alias("_next"), *[F.sum(x).over(w).alias(n) for n, x in names.items()], *[x.alias(n) for n, x in extra.items()])
+    held = totals.filter((F.col("_n") > 0) & (F.col("_next") > F.col("_at")))
+    return held.select(*keys, F.explode(F.sequence("_at", F.col("_next") - 1)).alias("_end"), *names, *extra)
+
+
+def _whole(panes: DataFrame, aggs: dict[str, Agg]) -> bool:
+    """All aggregates are sums of whole numbers, from which what leaves a window can be taken off exactly."""
+    types = dict(panes.dtypes)
+    return all(a.merge == "sum" and a.finish is None and types[n] in ("bigint", "int", "smallint", "tinyint") for n, a in aggs.items())
+
+
+def summed_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
+    """:func:`merged_windows` of whole-number sums by :func:`running_windows`."""
+    n = panes_in(size_s, slide_s)
+    step = lambda at, sign: F.struct(at.alias("_at"), F.lit(sign).alias("_step"), *[(F.col(x) * sign).alias(x) for x in aggs])
+    both = F.array(step(F.col("_from"), 1), step(F.col("_pane") + (n + 1), -1))
+    steps = panes.filter(F.col("_pane").isNotNull()).select(*keys, F.explode(both).alias("_s")).select(*keys, "_s.*")
+    # a sum over nulls alone is null, also after others have left
+    known = {f"_known_{x}": F.when(F.col(x).isNotNull(), F.col("_step")).otherwise(0) for x in aggs if panes.schema[x].nullable}
+    out = running_windows(steps, keys, {x: F.col(x) for x in aggs} | known)
+    return out.select(*keys, "_end", *[(F.when(F.col(f"_known_{x}") > 0, F.col(x)) if f"_known_{x}" in known else F.col(x)).alias(x) for x in aggs])
+
+
 def pane_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
     """``keys``, window_end, aggregates of the windows that pane rows lie in."""
-    return finished_windows(merged_windows(panes, keys, size_s, slide_s, aggs), keys, slide_s, aggs)
+    merge = summed_windows if _whole(panes, aggs) else merged_windows
+    return finished_windows(merge(panes, keys, size_s, slide_s, aggs), keys, slide_s, aggs)
 
 
 def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg], ts: str = "ts") -> DataFrame:
@@ -198,23 +237,46 @@ def distinct_counts(df: DataFrame, keys: list[str], value: str, conds: dict[str,
 
 
 def distinct_windows(
-    df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts", sums: dict[str, Column] | None = None
+    df: DataFrame, keys: list[str], size: str, slide: str, value: str, conds: dict[str, Column], ts: str = "ts", sums: dict[str, Column] | None = None, many: bool = False, spanned: bool = False
 ) -> DataFrame:
     """Exact distinct counts of one column under many conditions, as :func:`windowed` with ``count_distinct(when(..))``
-    gives them, and ``sums``. A value's conditions are bits of one mask, united by pane and then by window, and bits are
-    summed: a row for each value and window, where Spark's own plan would make a row for each condition too. Rows are
-    shuffled by key and value before they are copied into windows. Batches only (:func:`distinct_stream` is the streams'
-    twin); ``slide`` divides ``size``; ``df`` may come from :func:`capped`."""
+    gives them, and ``sums`` of whole numbers. A row counts for a condition in those of its windows that no earlier row of the
+    value with that condition lies in; these are a stretch of windows, which it enters and leaves (:func:`running_windows`).
+    Conditions are bits of one mask, and no row is copied into windows. ``many``: keys with many values in a pane; their steps
+    are summed by time before a key comes together. ``spanned``: also first_ts and last_ts. Batches only (:func:`distinct_stream` is the
+    streams' twin); ``slide`` divides ``size``; ``df`` may come from :func:`capped`."""
     size_s, slide_s = seconds(size), seconds(slide)
     n, extra = panes_in(size_s, slide_s), sums or {}
-    added = [F.sum(x).alias(name) for name, x in extra.items()]
-    again = [F.sum(name).alias(name) for name in extra]
-    panes = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(value).alias("_v")).agg(F.bit_or(_mask(value, conds)).alias("_mask"), *added)
-    ends = panes.repartition(*keys, "_v").withColumn("_end", F.explode(F.sequence(F.col("_from"), F.col("_pane") + n)))
-    each = ends.groupBy(*keys, "_v", "_end").agg(F.bit_or("_mask").alias("_mask"), *again)
-    out = each.groupBy(*keys, "_end").agg(*_bits(conds), *again)
+    kept = [F.col(ts).alias("ts")] if spanned else []
+    rows = with_panes(df, slide_s, ts).select(*keys, "_pane", "_from", F.col(value).alias("_v"), _mask(value, conds).alias("_mask"), *[x.cast("long").alias(name) for name, x in extra.items()], *kept)
+    rows = rows.filter(F.col("_pane").isNotNull()).repartition(*keys, *(["_v"] if many else [])).sortWithinPartitions(*keys, "_v", "_pane", "_from")
+    before = W.partitionBy(*keys, "_v").orderBy("_pane", "_from").rowsBetween(W.unboundedPreceding, -1)
+    last = {i: f"_last{i}" for i in range(len(conds))}
+    has = {i: F.col("_mask").bitwiseAND(F.lit(1 << i).cast("long")) != 0 for i in last}
+    rows = rows.select("*", *[F.max(F.when(has[i], F.col("_pane"))).over(before).alias(last[i]) for i in last])
+    # windows up to the last one of the row before are that row's
+    start = {i: F.greatest(F.col("_from"), F.coalesce(F.col(last[i]) + (n + 1), F.col("_from"))) for i in last}
+    union = lambda pick: sum((F.when(has[i] & pick(i), F.lit(1 << i).cast("long")).otherwise(0) for i in last), F.lit(0).cast("long"))
+    rows = rows.withColumns({"_at_once": union(lambda i: start[i] == F.col("_from")), "_leave": union(lambda i: start[i] <= F.col("_pane") + n)})
+
+    def step(at: Column, sign: int, mask: Column, row: int) -> Column:
+        """``row``: 1 if the row itself comes or goes, 0 if a condition alone."""
+        values = [(F.col(x) * (sign * row)).alias(x) for x in extra] + ([F.when(F.lit(row == 1), F.col("ts")).alias("ts")] if spanned else [])
+        return F.struct(at.alias("_at"), F.lit(sign * row).alias("_step"), F.lit(sign).alias("_sign"), mask.alias("_mask"), *values)
+
+    late = [F.when(has[i] & (start[i] > F.col("_from")) & (start[i] <= F.col("_pane") + n), step(start[i], 1, F.lit(1 << i).cast("long"), 0)) for i in last]
+    each = F.array_compact(F.array(step(F.col("_from"), 1, F.col("_at_once"), 1), step(F.col("_pane") + (n + 1), -1, F.col("_leave"), 1), *late))
+    steps = rows.select(*keys, F.explode(each).alias("_s")).select(*keys, "_s.*")
+    names = {c: F.shiftright("_mask", i).bitwiseAND(F.lit(1).cast("long")) * F.col("_sign") for i, c in enumerate(conds)} | {x: F.col(x) for x in extra}
+    names |= {f"_known_{x}": F.when(F.col(x).isNotNull(), F.col("_step")).otherwise(0) for x in extra}
+    if many:
+        times = [F.coalesce(F.max(F.when(F.col("_step") > 0, F.col("ts"))), F.min(F.when(F.col("_step") < 0, F.col("ts")))).alias("ts")] if spanned else []
+        steps = steps.groupBy(*keys, "_at", *(["_sign"] if spanned else [])).agg(F.sum("_step").alias("_step"), *[F.sum(x).alias(c) for c, x in names.items()], *times)
+        names = {c: F.col(c) for c in names}
+    out = running_windows(steps, keys, names, spanned)
     end = F.timestamp_seconds(F.col("_end") * slide_s)
-    return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds, *extra)
+    shown = [F.when(F.col(f"_known_{x}") > 0, F.col(x)).alias(x) for x in extra]  # a sum over nulls alone is null
+    return out.select(*keys, (end - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"), end.alias("window_end"), *conds, *shown, *(["first_ts", "last_ts"] if spanned else []))
 
 
 def stream_windows(df: DataFrame, keys: list[str], size: str, slide: str, cap: int | None = None, cap_keys: list[str] | None = None, tie: str = "event_id", ts: str = "ts") -> DataFrame:
