@@ -10,7 +10,7 @@ from tidemark.operators import windows as T
 from tidemark.plans.registry import QUERIES
 
 
-@pytest.mark.parametrize("name", ["user_author_hour", "user_hour_counts", "user_anchor_quarter", "anchor_window_counts", "session_user_day", "capped_user_authors", "user_author_day"])
+@pytest.mark.parametrize("name", ["user_author_hour", "user_hour_counts", "user_anchor_quarter", "anchor_window_counts", "session_user_day", "user_live_hour", "capped_user_authors", "user_author_day"])
 def test_nothing_is_grouped_after_rows_are_copied_into_windows(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     copied = next(i for i, line in enumerate(plan.splitlines()) if "Generate explode(sequence(" in line)

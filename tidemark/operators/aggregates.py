@@ -301,6 +301,11 @@ def tag_recent_posts(tag_posts: DataFrame, size: str = "12 hours", slide: str =
 
 
 def user_live_windows(watches: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
+    """Events, distinct rooms, seconds watched, first and last time of a user."""
+    if not watches.isStreaming:
+        sums = {"events": F.lit(1), "watched": F.col("watch_time")}
+        out = T.distinct_windows(watches, ["uid"], size, slide, "live_id", {"lives": F.lit(True)}, sums=sums, spanned=True)
+        return out.select("uid", "window_start", "window_end", "events", "lives", "watched", "first_ts", "last_ts")
     return T.windowed(watches, ["uid"], size, slide, {"events": F.count("*"), "lives": F.count_distinct("live_id"), "watched": F.sum("watch_time"), "first_ts": F.min("ts"), "last_ts": F.max("ts")})
 
 
