@@ -20,17 +20,27 @@ def session_scores(events: DataFrame, size: str = "5 minutes") -> DataFrame:
     return out.filter(F.col("score") > 0)
 
 
-def pair_scores(sessions: DataFrame, history: DataFrame, size: str = "2 minutes", self_pairs: bool = True) -> DataFrame:
-    """left, right, window_end, score: session scores times history weights, summed by pair."""
+def _pairs(sessions: DataFrame, history: DataFrame, self_pairs: bool) -> DataFrame:
+    """left, right, _pair, last_ts: session scores times history weights."""
     p = joins.with_history(sessions, history).withColumn("_pair", F.round(F.col("score") * F.col("weight")).cast("long"))
     if not self_pairs:
         p = p.filter(F.col("item_id") != F.col("right"))
-    p = p.withColumnRenamed("item_id", "left")
-    return T.windowed(p.select("left", "right", "_pair", "last_ts"), ["left", "right"], size, None, {"score": F.sum("_pair")}, ts="last_ts").filter(F.col("score") > 0)
+    return p.select(F.col("item_id").alias("left"), "right", "_pair", "last_ts")
+
+
+def pair_scores(sessions: DataFrame, history: DataFrame, size: str = "2 minutes", self_pairs: bool = True) -> DataFrame:
+    """left, right, window_end, score: session scores times history weights, summed by pair."""
+    return T.windowed(_pairs(sessions, history, self_pairs), ["left", "right"], size, None, {"score": F.sum("_pair")}, ts="last_ts").filter(F.col("score") > 0)
+
+
+def pair_totals(sessions: DataFrame, history: DataFrame, self_pairs: bool = True) -> DataFrame:
+    """left, right, score: :func:`pair_scores` summed over all windows, without a group for each pair and window. Scores are above
+    0 and weights are not negative, so no window's sum is below 0 and leaving out those of 0 changes no total."""
+    return _pairs(sessions, history, self_pairs).filter(F.col("last_ts").isNotNull()).groupBy("left", "right").agg(F.sum("_pair").alias("score")).filter(F.col("score") > 0)
 
 
 def update(events: DataFrame, history: DataFrame, pairs: DataFrame, index: DataFrame, now_minute: Column, k: int = 128, least: float = 40, self_pairs: bool = True) -> tuple[DataFrame, DataFrame]:
     """The stored pairs (left, right, score, minute) and the index (left, right, score, rank) after a batch of events."""
-    new = pair_scores(session_scores(events), history, self_pairs=self_pairs).groupBy("left", "right").agg(F.sum("score").alias("score"))
+    new = pair_totals(session_scores(events), history, self_pairs=self_pairs)
     grown = joins.add_decayed(new.withColumn("minute", F.lit(0)), pairs, ["left", "right"], "score", "minute", now_minute)
     return grown, topk.merge_top(grown, index, "left", "right", "score", k, least)

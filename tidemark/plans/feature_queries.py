@@ -357,8 +357,7 @@ WEIGHTED_HISTORY_SQL = f'WITH {EV}, {_WEIGHTED} SELECT uid, "right", CAST(round(
 def weighted_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Session scores times the weights of the eight lists, summed by pair."""
     h = topk.history(joins.explode_history(_profiles(spark, d), _LISTS), "uid", "right", "pos", 12)
-    p = cf.pair_scores(cf.session_scores(events(spark, d)), h, self_pairs=False)
-    return p.groupBy("left", "right").agg(F.sum("score").alias("score"))
+    return cf.pair_totals(cf.session_scores(events(spark, d)), h, self_pairs=False)
 
 
 WEIGHTED_PAIRS_SQL = f"""WITH {EV}, {_S}, {_WEIGHTED} SELECT item_id AS "left", "right", CAST(sum(round(score * weight)) AS BIGINT) AS score FROM sc JOIN wh ON sc.uid = wh.uid
