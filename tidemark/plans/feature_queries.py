@@ -96,9 +96,13 @@ VALID_SQL = f"""WITH {EV}, x AS (SELECT event_id AS post_id, uid, epoch_us(ts) /
 WHERE k % 3 <> 0 AND post_id > 0 AND uid > 0 AND (SELECT max(epoch_us(ts) // 1000000) FROM ev) - sec <= 6 * 86400"""
 
 
-def _log(e: DataFrame, name, data) -> DataFrame:
+def _log_text(name, data):
     body = F.struct(name.alias("event"), data.alias("event_data"), F.unix_millis("ts").alias("timestamp"), "uid")
-    return e.select(F.to_json(F.struct(F.lit(1).alias("event_type"), body.alias("user_event_log"))).alias("value"))
+    return F.to_json(F.struct(F.lit(1).alias("event_type"), body.alias("user_event_log")))
+
+
+def _log(e: DataFrame, name, data) -> DataFrame:
+    return e.select(_log_text(name, data).alias("value"))
 
 
 #: Client events by the first interaction code of an event; all other events are plays.
@@ -123,11 +127,12 @@ def _client_log(spark: SparkSession, d: str) -> DataFrame:
         name = F.when(F.col("first") == code, n).otherwise(name)
     listed = lambda field: F.to_json(F.struct(F.col("uid").alias("userId"), F.array(item).alias(field)))
     collect = F.to_json(F.struct(F.col("uid").alias("userId"), F.col("post_id").alias("source"), (k % 4 == 2).cast("int").alias("action_type")))
-    plays = e.filter(F.col("first").isNull() & (F.col("kind") == "view"))
-    return parse.client_log(_texts(
-        _log(e, name, F.to_json(one)), _log(e.filter("first = 5"), F.lit(parse.COLLECT), collect), _log(e.filter("first = 9"), F.lit("postShare"), F.lit("null")),
-        _log(e.filter("kind = 'expose'"), F.lit(parse.EXPOSURE), listed("posts")), _log(plays, F.when(k % 2 == 0, parse.VIDEO).otherwise(parse.IMAGE), listed("list")),
-    ))
+    plays = F.col("first").isNull() & (F.col("kind") == "view")
+    texts = F.array(
+        _log_text(name, F.to_json(one)), F.when(F.col("first") == 5, _log_text(F.lit(parse.COLLECT), collect)), F.when(F.col("first") == 9, _log_text(F.lit("postShare"), F.lit("null"))),
+        F.when(F.col("kind") == "expose", _log_text(F.lit(parse.EXPOSURE), listed("posts"))), F.when(plays, _log_text(F.when(k % 2 == 0, parse.VIDEO).otherwise(parse.IMAGE), listed("list"))),
+    )
+    return parse.client_log(e.select(F.explode(F.array_compact(texts)).alias("value")))
 
 
 def parsed_client_posts(spark: SparkSession, d: str) -> DataFrame:
@@ -157,7 +162,7 @@ CLIENT_SQL = f"WITH {CLIENT_ROWS} SELECT * EXCLUDE (k) FROM cp"
 def client_views(spark: SparkSession, d: str) -> DataFrame:
     """Client events and refused prompts as views with interaction codes."""
     log = _client_log(spark, d).unionByName(parse.client_log(_refusal_log(spark, d)))
-    v = parse.client_to_views(joins.unite(parse.client_posts(log), parse.refusals_as_posts(parse.prompt_no(log))))
+    v = parse.client_to_views(parse.client_posts(log, refusals=True))
     return v.select("uid", "post_id", "author", "kind", F.array_join(F.transform("interactions", lambda x: x.cast("string")), ",").alias("codes"), F.unix_millis("ts").alias("ms"))
 
 
