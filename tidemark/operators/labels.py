@@ -24,15 +24,17 @@ def times(codes: tuple[int, ...], column: str = "interactions") -> Column:
     return F.size(F.filter(column, lambda x: x.isin(*codes)))
 
 
-def share_label(views: DataFrame, share: float = 0.6, seconds: float | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
+def share_label(views: DataFrame, share: float = 0.6, seconds: float | None = None, skip: tuple[str, ...] = (), rank: str | None = None) -> DataFrame:
     """uid, label. Views: uid, tag, standing_time, interactions. Tags by total standing time; the first that has the
-    share of it (or ``seconds``), or a positive action, and no dislike, is the label."""
-    t = views.groupBy("uid", "tag").agg(F.sum("standing_time").alias("stood"), F.sum(times(POSITIVE_CODES)).alias("good"), F.sum(times((11,))).alias("bad"))
+    share of it (or ``seconds``), or a positive action, and no dislike, is the label. Of tags with equal times the one with the view of
+    smallest ``rank`` is first, without ranks the one of smallest hash."""
+    first = F.min(rank).cast("long") if rank else F.max(F.xxhash64("tag"))
+    t = views.groupBy("uid", "tag").agg(first.alias("first"), F.sum("standing_time").alias("stood"), F.sum(times(POSITIVE_CODES)).alias("good"), F.sum(times((11,))).alias("bad"))
     total = F.sum("stood").over(W.partitionBy("uid"))
     t = t.withColumn("total", total)
     enough = F.col("stood") >= seconds if seconds is not None else F.coalesce(F.col("stood") / F.nullif(F.col("total"), F.lit(0.0)) > share, F.lit(False))
     ok = (enough | (F.col("good") > 0)) & (F.col("bad") <= 0) & ~F.col("tag").isin(*skip) if skip else (enough | (F.col("good") > 0)) & (F.col("bad") <= 0)
-    best = F.max(F.when(ok, F.struct("stood", (-F.xxhash64("tag")).alias("h"), "tag")))
+    best = F.max(F.when(ok, F.struct("stood", (-F.col("first")).alias("h"), "tag")))
     return t.groupBy("uid").agg(F.coalesce(label_text(best["tag"]), F.lit(UNKNOWN)).alias("label"))
 
 

@@ -370,9 +370,9 @@ WHERE score > 0 AND item_id <> "right" GROUP BY ALL HAVING sum(round(score * wei
 
 
 def share_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels by share of standing time and by seconds."""
+    """Labels by share of standing time and by seconds; of tags with equal times the one seen last."""
     v = topk.top_rows(tagged_views(spark, d), ["uid"], [F.desc("ts"), F.desc("event_id")], 6)
-    one, two = labels.share_label(v, 0.3), labels.share_label(v, seconds=30.0, skip=("unk", "clean"))
+    one, two = labels.share_label(v, 0.3, rank="rank"), labels.share_label(v, seconds=30.0, skip=("unk", "clean"), rank="rank")
     return one.withColumnRenamed("label", "label_share").join(two.withColumnRenamed("label", "label_seconds"), "uid")
 
 
