@@ -29,6 +29,11 @@ class Agg:
         f = {"sum": F.sum, "max": F.max, "min": F.min, "hll": F.hll_union_agg}[self.merge]
         return f(name)
 
+    def both(self, x: Column, y: Column) -> Column:
+        """Two partial results as one; null is nothing."""
+        one = {"sum": lambda: x + y, "max": lambda: F.greatest(x, y), "min": lambda: F.least(x, y), "hll": lambda: F.hll_union(x, y)}[self.merge]()
+        return F.coalesce(one, x, y)
+
 
 def count_if(cond: Column) -> Agg:
     return Agg(F.count_if(cond))
@@ -125,13 +130,61 @@ def merged_panes(panes: DataFrame, keys: list[str], aggs: dict[str, Agg]) -> Dat
 
 def merged_windows(panes: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
     """``keys``, ``_end`` (in slides) and partial aggregates of the windows that pane rows lie in. Panes are shuffled by key and chunk;
-    copies into windows are made and merged behind that shuffle."""
+    copies into windows are made and merged behind that shuffle; with sketches, which are large, none are (:func:`sketched_windows`)."""
     n = panes_in(size_s, slide_s)
+    if n <= MOST_PANES and any(a.merge == "hll" for a in aggs.values()):
+        return sketched_windows(panes, keys, n, aggs)
     spread = chunked(panes, n).repartition(*keys, "_chunk").withColumn("_end", chunk_ends(n))
     out = spread.groupBy(*keys, "_chunk", "_end").agg(*[a.merged(x).alias(x) for x, a in aggs.items()])
     return out.select(*keys, "_end", *aggs)
 
 
+#: Windows of more panes than this don't hold a chunk's sketches in one row.
+MOST_PANES = 256
+
+
+def _running(rows: Column, aggs: dict[str, Agg]) -> Column:
+    """Each of an array's rows (``_at``, partial aggregates) merged with those before it."""
+
+    def more(done: Column, x: Column) -> Column:
+        before = F.get(done, F.size(done) - 1)
+        return F.concat(done, F.array(F.struct(x["_at"].alias("_at"), *[a.both(before[n], x[n]).alias(n) for n, a in aggs.items()])))
+
+    return F.aggregate(rows, F.slice(rows, 1, 0), more)
+
+
+def sketched_windows(panes: DataFrame, keys: list[str], n: int, aggs: dict[str, Agg]) -> DataFrame:
+    """:func:`merged_windows` with three merges a pane instead of ``n``, and no copies of sketches to sort or spill.
+
+    A window of chunk c covers the last panes before c * n and the first from there on. The former only leave in the course of the chunk
+    and the latter only enter, so both are running merges, from the middle backwards and onwards, and a window merges one of each. Capped rows that
+    do both in one chunk are merged window by window. A task holds the sketches of one key's 2 * ``n`` panes and their running merges."""
+    row = F.struct("_pane", "_from", *aggs)
+    per = chunked(panes, n).repartition(*keys, "_chunk").groupBy(*keys, "_chunk").agg(F.collect_list(row).alias("_all"))
+    middle = F.col("_chunk") * n
+    at = lambda x, by: F.struct(x[by].alias("_at"), *[x[a].alias(a) for a in aggs])
+    leaving = F.transform(F.filter("_all", lambda x: x["_from"] <= middle), lambda x: at(x, "_pane"))
+    entering = F.transform(F.filter("_all", lambda x: (x["_from"] > middle) & (x["_pane"] >= middle - 1)), lambda x: at(x, "_from"))
+    inside = F.filter("_all", lambda x: (x["_from"] > middle) & (x["_pane"] < middle - 1))
+    parts = F.struct(_running(F.sort_array(leaving, asc=False), aggs).alias("l"), _running(F.sort_array(entering), aggs).alias("e"), inside.alias("i"))
+    last = lambda rows: F.get(rows, F.size(rows) - 1)
+
+    def window(r: Column, end: Column) -> Column:
+        both = F.struct(last(F.filter(r["l"], lambda x: x["_at"] >= end - n)).alias("l"), last(F.filter(r["e"], lambda x: x["_at"] <= end)).alias("e"), F.filter(r["i"], lambda x: (x["_from"] <= end) & (x["_pane"] >= end - n)).alias("i"))
+
+        def merged(b: Column) -> Column:
+            start = F.struct(*[a.both(b["l"][x], b["e"][x]).alias(x) for x, a in aggs.items()])
+            found = F.aggregate(b["i"], start, lambda m, y: F.struct(*[a.both(m[x], y[x]).alias(x) for x, a in aggs.items()]))
+            return F.when(b["l"].isNotNull() | b["e"].isNotNull() | (F.size(b["i"]) > 0), F.struct(end.alias("_end"), found.alias("_m")))
+
+        return F.get(F.transform(F.array(both), merged), F.lit(0))
+
+    ends = F.sequence(middle, middle + (n - 1))
+    # a lambda each, so that nothing is computed twice
+    windows = F.get(F.transform(F.array(parts), lambda r: F.array_compact(F.transform(ends, lambda end: window(r, end)))), F.lit(0))
+    return per.select(*keys, F.explode(windows).alias("_w")).select(*keys, "_w._end", *[F.col("_w._m")[x].alias(x) for x in aggs])
+
+
 def finished_windows(merged: DataFrame, keys: list[str], slide_s: int, aggs: dict[str, Agg]) -> DataFrame:
     """``keys``, window_end and what the aggregates finally show."""
     done = [(F.coalesce(F.hll_sketch_estimate(x), F.lit(0)) if a.finish == "hll" else F.col(x)).alias(x) for x, a in aggs.items()]
