@@ -77,3 +77,28 @@ def test_sketches_are_not_copied_into_windows(spark, sf):
     plan = QUERIES["item_window_sketches"](spark, sf)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     copied = [i for i, line in enumerate(plan) if "Generate explode" in line]
     assert len(copied) == 2 and not any("Aggregate" in line or "Repartition" in line for line in plan[: copied[0]])
+
+
+@pytest.mark.parametrize("name", ["user_scored_lists", "user_action_lists", "capped_user_lists"])
+def test_lists_are_made_once_for_windows_that_share_them(spark, sf, name):
+    """Texts of lists are joined behind no step that writes windows out."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = next(i for i, line in enumerate(plan) if "Generate explode(sequence(" in line)
+    assert not any("array_join" in line or "Filter" in line for line in plan[:windows])
+    assert any("array_join" in line for line in plan[windows:])
+
+
+@pytest.mark.parametrize("cap", [None, 5])
+@pytest.mark.parametrize("size", [60, 600])
+def test_lists_equal_those_of_plain_windows(spark, cap, size):
+    d = _odd(spark).filter("k is not null and ts is not null and x is not null").withColumn("id", F.col("event_id") % 9)
+    rows = d if cap is None else T.capped(d, ["k"], cap, size, 60, ["ts", "event_id"])
+    text = lambda items: F.array_join(F.transform(items, lambda x: F.concat_ws(":", x["id"].cast("string"), x["value"].cast("string"))), ",")
+    got = T.list_windows(rows, ["k"], size, 60, "id", F.col("x"), 3, 3, show=text)
+    plain = T.assign(d, f"{size} seconds", "60 seconds")
+    plain = plain if cap is None else T.first_events(plain, ["k", "window_end"], cap, ["ts", "event_id"])
+    best = plain.groupBy("k", "window_end", "id").agg(F.max("x").alias("x"))
+    ordered = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("x")).alias("o"), "id"))), 1, 3)
+    want = best.groupBy("k", "window_end").agg(ordered.alias("a")).select("k", "window_end", text(F.transform("a", lambda y: F.struct(y["id"].alias("id"), (-y["o"]).alias("value")))).alias("items"))
+    show = lambda df: sorted(map(str, df.select("k", "window_end", "items").collect()))
+    assert show(got) == show(want) and want.count() > 10

@@ -6,6 +6,7 @@ streams as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -101,31 +102,31 @@ USER_LISTS = {
 }
 
 
-def user_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None) -> DataFrame:
+def user_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None, show: Callable[[Column], Column] = lambda ids: ids) -> DataFrame:
     """uid, window_end, list, items (ids): the k ids last acted on, latest first, for each of USER_LISTS. ``cap``: only a
-    user's first ``cap`` events of a window count."""
+    user's first ``cap`` events of a window count. ``show``: what to make of the ids."""
     marks = [
         F.when(acted(*acts) & (F.col(ident) > 0), F.struct(F.lit(name).alias("list"), F.col(ident).alias("id")))
         for name, (ident, acts) in USER_LISTS.items()
     ]
-    return _listed(events, marks, F.unix_micros("ts"), size, slide, k, k, cap).withColumn("items", F.transform("items", lambda x: x["id"]))
+    return _listed(events, marks, F.unix_micros("ts"), size, slide, k, k, cap, show=lambda items: show(F.transform(items, lambda x: x["id"])))
 
 
-def user_scored_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None) -> DataFrame:
+def user_scored_lists(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes", k: int = 10, cap: int | None = None, show: Callable[[Column], Column] = lambda items: items) -> DataFrame:
     """uid, window_end, list, items (id, score): posts viewed for 3 seconds by progress, posts stood at for 5 by standing
-    time, largest first."""
+    time, largest first. ``show``: what to make of the items."""
     mark = lambda cond, name, score: F.when(cond, F.struct(F.lit(name).alias("list"), F.col("post_id").alias("id"), F.col(score).alias("score")))
     marks = [mark(viewed(3), "view_3s", "progress_time"), mark(stood(5), "stand_5s", "standing_time")]
-    out = _listed(events, marks, F.col("score"), size, slide, k, k, cap)
-    return out.withColumn("items", F.transform("items", lambda x: F.struct(x["id"].alias("id"), x["value"].alias("score"))))
+    scored = lambda items: F.transform(items, lambda x: F.struct(x["id"].alias("id"), x["value"].alias("score")))
+    return _listed(events, marks, F.col("score"), size, slide, k, k, cap, show=lambda items: show(scored(items)))
 
 
-def _listed(df: DataFrame, marks: list[Column], order: Column, size: str, slide: str, k, most: int, cap: int | None, ts: str = "ts", tie: str = "event_id") -> DataFrame:
+def _listed(df: DataFrame, marks: list[Column], order: Column, size: str, slide: str, k, most: int, cap: int | None, ts: str = "ts", tie: str = "event_id", show: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lists of a user by window; ``marks`` are structs (list, id, ..) or null, a row for each that isn't."""
     size_s, slide_s = T.seconds(size), T.seconds(slide)
     rows = df if cap is None else T.capped(df, ["uid"], cap, size_s, slide_s, [ts, tie], ts)
     rows = rows.withColumn("_m", F.explode(F.array_compact(F.array(*marks)))).select(*rows.columns, "_m.*")
-    return T.list_windows(rows, ["uid", "list"], size_s, slide_s, "id", order, k, most, ts)
+    return T.list_windows(rows, ["uid", "list"], size_s, slide_s, "id", order, k, most, ts, show)
 
 
 def _summed(df: DataFrame, keys: list[str], size: str, slide: str, aggs: dict[str, Column], cap: int | None, cap_keys: list[str], ts: str, tie: str) -> DataFrame:

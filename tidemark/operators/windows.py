@@ -8,6 +8,7 @@ sums and exact distinct counts aren't copied at all: :func:`running_windows` add
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -240,28 +241,35 @@ def paned(df: DataFrame, keys: list[str], size_s: int, slide_s: int, aggs: dict[
     return pane_windows(pane_rows(df, keys, slide_s, aggs, ts), keys, size_s, slide_s, aggs)
 
 
-def list_windows(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ident: str, order: Column, k: Column | int, most: int, ts: str = "ts") -> DataFrame:
+def list_windows(df: DataFrame, keys: list[str], size_s: int, slide_s: int, ident: str, order: Column, k: Column | int, most: int, ts: str = "ts", show: Callable[[Column], Column] | None = None) -> DataFrame:
     """``keys``, window_end, items: for each sliding window the ``k`` (at most ``most``) ids of largest ``order``, ties to
     smaller ids, as an array of (id, value). ``order`` is a long or double, or a struct whose first field is one; an id
-    counts with its largest. ``df`` may come from :func:`capped`.
+    counts with its largest. ``df`` may come from :func:`capped`. ``show``: what to make of the items; it is made once for all
+    windows in a row that hold the same rows.
 
     An id is among a window's first k only if it is among the first k of one of its panes, so panes keep ``most`` rows of
-    a key. A chunk of windows then holds at most 2 * ``most`` * panes rows of a key in one array, and each window takes its
-    part of the sorted array: no row is copied into windows."""
+    a key. A chunk of windows then holds at most 2 * ``most`` * panes rows of a key in one array. A list only changes at a window that
+    a row enters or has left, so each such stretch takes its part of the sorted array, and its windows are written out in the last
+    step: no row is copied into windows."""
     n = panes_in(size_s, slide_s)
     best = with_panes(df, slide_s, ts).groupBy(*keys, "_pane", "_from", F.col(ident).alias("id")).agg(F.max(order).alias("value"))
     rank = F.row_number().over(W.partitionBy(*keys, "_pane", "_from").orderBy(F.desc("value"), "id"))
     few = best.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")
     entry = F.struct(F.col("value"), (-F.col("id")).alias("m"), F.col("_pane").alias("p"), F.col("_from").alias("f"))
     per = chunked(few, n).groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
-    per = per.withColumn("_end", F.explode(F.sequence(F.col("_chunk") * n, F.col("_chunk") * n + (n - 1))))
+    low, high = F.col("_chunk") * n, F.col("_chunk") * n + n
+    enter, leave = F.transform("_all", lambda x: F.greatest(x["f"], low)), F.transform("_all", lambda x: F.least(x["p"] + (n + 1), high))
     # a generator each, so that Spark doesn't write one expression into the next
-    mine = F.filter("_all", lambda x: (x["p"] >= F.col("_end") - n) & (x["p"] < F.col("_end")) & (x["f"] <= F.col("_end")))
-    per = per.withColumn("_mine", F.explode(F.array(mine))).filter(F.size("_mine") > 0)
+    per = per.withColumn("_ats", F.explode(F.array(F.sort_array(F.array_union(enter, leave)))))
+    per = per.select(*keys, "_all", "_ats", F.posexplode("_ats").alias("_i", "_at")).withColumn("_next", F.get("_ats", F.col("_i") + 1)).filter(F.col("_next").isNotNull()).drop("_ats", "_i")
+    mine = F.filter("_all", lambda x: (x["p"] >= F.col("_at") - n) & (x["f"] <= F.col("_at")))
+    per = per.select(*keys, "_at", "_next", F.explode(F.array(mine)).alias("_mine")).filter(F.size("_mine") > 0)
     per = per.withColumn("_ids", F.transform("_mine", lambda x: x["m"]))
     first = F.slice(F.array_distinct("_ids"), 1, k)
     items = F.transform(first, lambda m: F.struct((-m).alias("id"), F.element_at("_mine", F.array_position("_ids", m).cast("int"))["value"].alias("value")))
-    return per.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), items.alias("items"))
+    per = per.select(*keys, "_at", "_next", F.explode(F.array(show(items) if show else items)).alias("items"))
+    per = per.select(*keys, "items", F.explode(F.sequence("_at", F.col("_next") - 1)).alias("_end"))
+    return per.select(*keys, F.timestamp_seconds(F.col("_end") * slide_s).alias("window_end"), "items")
 
 
 def seconds(text: str) -> int:

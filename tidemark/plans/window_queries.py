@@ -75,8 +75,8 @@ USER_COUNTS_SQL = f"""WITH {EV}, {windows_sql(3600, 300)} SELECT uid, window_end
 
 
 def user_action_lists(spark: SparkSession, d: str) -> DataFrame:
-    u = A.user_lists(events(spark, d), "24 hours", "30 minutes")
-    return u.select("uid", "list", F.array_join("items", ",").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+    u = A.user_lists(events(spark, d), "24 hours", "30 minutes", show=lambda ids: F.array_join(ids, ","))
+    return u.select("uid", "list", "items", F.unix_seconds("window_end").alias("window_end"))
 
 
 _LISTED = {"like": (1,), "follow": (13,), "profile": (15,), "interact": (3, 5, 6)}
@@ -94,17 +94,17 @@ SELECT uid, window_end, list, string_agg(CAST(id AS VARCHAR), ',' ORDER BY n) AS
 
 def capped_user_lists(spark: SparkSession, d: str) -> DataFrame:
     """The same of a user's first six events of each window."""
-    u = A.user_lists(events(spark, d), "24 hours", "6 hours", cap=6)
-    return u.select("uid", "list", F.array_join("items", ",").alias("items"), F.unix_seconds("window_end").alias("window_end"))
+    u = A.user_lists(events(spark, d), "24 hours", "6 hours", cap=6, show=lambda ids: F.array_join(ids, ","))
+    return u.select("uid", "list", "items", F.unix_seconds("window_end").alias("window_end"))
 
 
 _CAPPED = f"{windows_sql(86400, 21600)}, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, window_end ORDER BY ts, event_id) AS no FROM w) WHERE no <= 6)"
 
 
 def user_scored_lists(spark: SparkSession, d: str) -> DataFrame:
-    u = A.user_scored_lists(events(spark, d), "24 hours", "30 minutes")
-    score = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["id"].cast("string"), F.floor(x["score"] * 100).cast("long").cast("string"))), ",")
-    return u.select("uid", "list", score.alias("items"), F.unix_seconds("window_end").alias("window_end"))
+    score = lambda items: F.array_join(F.transform(items, lambda x: F.concat_ws(":", x["id"].cast("string"), F.floor(x["score"] * 100).cast("long").cast("string"))), ",")
+    u = A.user_scored_lists(events(spark, d), "24 hours", "30 minutes", show=score)
+    return u.select("uid", "list", "items", F.unix_seconds("window_end").alias("window_end"))
 
 
 SCORED_SQL = f"""WITH {EV}, {windows_sql(86400, 1800)}, m AS (SELECT uid, window_end, 'view_3s' AS list, post_id, progress_time AS score FROM w WHERE kind = 'view' AND progress_time >= 3
