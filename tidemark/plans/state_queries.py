@@ -180,6 +180,12 @@ SELECT key, start, last, {fixed_sql("standing", 4)} AS standing, progress, {fixe
 UNION ALL SELECT key, min(ms), max(ms), {fixed_sql("sum(st)", 4)}, max(pr), {fixed_sql("sum(pr)", 4)}, bool_or(hit), true FROM n GROUP BY key, no"""
 
 
+def _entries(items) -> Column:
+    """Ids, or ids with scores in hundredths, of a list as JSON texts."""
+    pairs = F.transform(items, lambda i: F.split(F.translate(i, "[] ", ""), ","))
+    return F.array_join(F.transform(pairs, lambda p: F.concat_ws(":", p[0], F.when(F.size(p) > 1, fixed(F.get(p, F.lit(1)).cast("double"), 2).cast("string")))), ",")
+
+
 def latest_lists_of(posts: DataFrame) -> DataFrame:
     """The last state of each user's sixteen lists; sessions that enter no list change nothing."""
     posts = posts.withColumnsRenamed({"standing_time": "standing", "playback_time": "playback"})
@@ -195,11 +201,7 @@ def latest_list_replay(spark: SparkSession, d: str) -> DataFrame:
     r = latest_lists_of(sessions(spark, d).withColumn("ts", F.col("last_ts")))
     x = r.select(_uid(), F.explode(F.from_json("value", "map<string,array<string>>")).alias("list", "items"))
 
-    def shown(i: Column) -> Column:
-        pair = F.split(F.translate(i, "[] ", ""), ",")
-        return F.concat_ws(":", pair[0], F.when(F.size(pair) > 1, fixed(F.get(pair, F.lit(1)).cast("double"), 2).cast("string")))
-
-    return x.select("uid", "list", F.array_join(F.transform("items", shown), ",").alias("items"))
+    return x.select("uid", "list", _entries("items").alias("items"))
 
 
 LATEST_SQL = f"""WITH {SESSIONS}, q AS (SELECT *, epoch_us(last_ts) // 1000 AS ms FROM s), m AS ({session_marks_sql("q", "uid, ms", ("skip",))}), top AS (SELECT uid, max(ms) AS now FROM m GROUP BY uid),
@@ -214,11 +216,7 @@ def session_list_replay(spark: SparkSession, d: str) -> DataFrame:
     r = chains.latest_user_lists(post_events(spark, d), 6 * HOUR, sizes=dict.fromkeys(RECENT_LISTS, 3))
     x = r.select(_uid(), "ts", F.from_json("value", "post_id long, final boolean, lists map<string,array<string>>").alias("v"))
 
-    def shown(i: Column) -> Column:
-        pair = F.split(F.translate(i, "[] ", ""), ",")
-        return F.concat_ws(":", pair[0], F.when(F.size(pair) > 1, fixed(F.get(pair, F.lit(1)).cast("double"), 2).cast("string")))
-
-    one = lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.transform(e["value"], shown), ","))
+    one = lambda e: F.concat(e["key"], F.lit("="), _entries(e["value"]))
     text = F.array_join(F.transform(F.array_sort(F.map_entries("v.lists")), one), ";")
     return x.select("uid", F.col("ts").alias("moment"), "v.post_id", "v.final", text.alias("lists"))
 

@@ -25,6 +25,7 @@ TIMED = "key string, at timestamp, value string"
 _CLOSED = 1 << 62
 #: Time of the row that holds a key's stored state.
 _STORED = -(1 << 62)
+_text = json.JSONEncoder(sort_keys=True).encode
 
 
 def _packed(df: DataFrame, key: str, fields: list[str], ts: str) -> DataFrame:
@@ -58,7 +59,7 @@ def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts
             """What the key that ends here still emits."""
             found = [] if last is None or not final_only else [last]
             if close and now is not None:
-                more = [(now, at, json.dumps(x, sort_keys=True)) for x in step(state, {"ts": _CLOSED, "closing": True})[1]]
+                more = [(now, at, _text(x)) for x in step(state, {"ts": _CLOSED, "closing": True})[1]]
                 found = more[-1:] or found if final_only else more
             return found
 
@@ -74,7 +75,7 @@ def replay(df: DataFrame, key: str, fields: list[str], step: Step, ts: str = "ts
                 at = int(t)
                 state, emitted = step(state, json.loads(e) | {"ts": at})
                 for x in emitted:
-                    last = (k, at, json.dumps(x, sort_keys=True))
+                    last = (k, at, _text(x))
                     if not final_only:
                         out.append(last)
             yield pd.DataFrame(out, columns=["key", "ts", "value"])

@@ -108,15 +108,20 @@ def recent_anchors(state: dict, e: dict, size: int = 20, expire_ms: int = 15 * 6
 def latest_lists(state: dict, e: dict, sizes: dict[str, int] | None = None, expire_ms: int = 12 * 3_600_000) -> tuple[dict, list[dict]]:
     """A user's lists by name, each id at its latest time, oldest first. Event: lists (name to id), ts, and scores
     (name to score) for lists of ids with scores."""
-    scores = e.get("scores") or {}
-    held = {k: [x for x in v if x[1] + expire_ms >= e["ts"]] for k, v in state.items()}
+    ts, scores, held = e["ts"], e.get("scores") or {}, {}
+    for name, entries in state.items():
+        held[name] = [x for x in entries if x[1] + expire_ms >= ts]
     for name, ident in e["lists"].items():
         if ident:
-            old = next((x[1] for x in held.get(name, []) if x[0] == ident), None)
-            if old is None or e["ts"] > old:
-                held[name] = requeue(held.get(name, []), ident, e["ts"], (sizes or {}).get(name, 10))
-                if name in scores:
-                    held[name][-1] = [ident, e["ts"], scores[name]]
+            old, rest = None, []
+            for x in held.get(name, ()):
+                if x[0] == ident:
+                    old = x[1] if old is None else old
+                else:
+                    rest.append(x)
+            if old is None or ts > old:
+                rest.append([ident, ts, scores[name]] if name in scores else [ident, ts])
+                held[name] = rest[-(sizes or {}).get(name, 10) :]
     held = {k: v for k, v in held.items() if v}
     return held, [{k: [x[0] if len(x) == 2 else [x[0], x[2]] for x in v] for k, v in held.items()}] if held else []
 
