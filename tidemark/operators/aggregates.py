@@ -206,7 +206,7 @@ SESSION_CAP = 300
 
 
 def session_user_counts(s: DataFrame, size: str = "24 hours", slide: str = "60 minutes", ts: str = "session_time", cap: int | None = SESSION_CAP) -> DataFrame:
-    """Sessions and skips of a user, of the first ``cap`` sessions of a window."""
+    """Sessions and skips of a user, of the first ``cap`` sessions of a window, or of all (None)."""
     aggs = {"exposures": F.count("*"), "skips": F.count_if(F.col("progress") <= 2)}
     return _summed(s, ["uid"], size, slide, aggs, cap, ["uid"], ts, "post_id")
 

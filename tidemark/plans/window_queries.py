@@ -212,12 +212,13 @@ def _short_sql(source: str, key: str, gap: int, value: str) -> str:
 SHORT_SQL = f"WITH {LIVE} {_short_sql('ev', 'author', 70, 'progress_time')} UNION ALL {_short_sql('live', 'anchor_id', 20, 'watch')}"
 
 
-#: Sessions of a user that count in the registered queries' windows: few, so that the cap bites.
+#: Sessions of a user that count in the windows of its lists and its authors: few, so that the cap bites.
 CAP = 4
 
 
 def session_user_day(spark: SparkSession, d: str) -> DataFrame:
-    return _end(A.session_user_counts(sessions(spark, d), cap=CAP))
+    """All sessions of a user over a day, none cut off."""
+    return _end(A.session_user_counts(sessions(spark, d), cap=None))
 
 
 def _session_windows(slide: int) -> str:
@@ -226,7 +227,7 @@ def _session_windows(slide: int) -> str:
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, window_end ORDER BY session_time, post_id) AS no FROM w) WHERE no <= {CAP})"""
 
 
-SESSION_USER_SQL = f"WITH {SESSIONS}, {_session_windows(3600)} SELECT uid, window_end, count(*) AS exposures, count(*) FILTER (WHERE progress <= 2) AS skips FROM f GROUP BY uid, window_end"
+SESSION_USER_SQL = f"WITH {SESSIONS}, {windows_sql(86400, 3600, 's', 'session_time')} SELECT uid, window_end, count(*) AS exposures, count(*) FILTER (WHERE progress <= 2) AS skips FROM w GROUP BY uid, window_end"
 
 
 def _scored_text(items: str) -> Column:
