@@ -53,6 +53,13 @@ def explode_history(profiles: DataFrame, lists: list[str], weights: tuple[float,
     return profiles.select("uid", F.posexplode(F.concat(*parts)).alias("pos", "x")).select("uid", "x.right", "x.weight", "pos")
 
 
+def weigh_history(rows: DataFrame, weights: tuple[float, ...] = HISTORY_WEIGHTS) -> DataFrame:
+    """uid, right, weight from rows (uid, right, list): each id once, with the weight of its first list (from 0). As
+    :func:`explode_history` and the first place of each id, with no list held whole."""
+    first = rows.groupBy("uid", "right").agg(F.min("list").alias("_list"))
+    return first.select("uid", "right", F.element_at(F.array(*map(F.lit, weights)), (F.col("_list") + 1).cast("int")).alias("weight"))
+
+
 def within_start(events: DataFrame, starts: DataFrame, hours: int = 48, key: str = "post_id", ts: str = "ts", start: str = "start_ts") -> DataFrame:
     """Events within [start, start + hours] of their post's start record. In streams give both a watermark."""
     s = starts.select(F.col(key).alias("_k"), F.col(start).alias(start))

@@ -359,13 +359,23 @@ f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY uid, "right" ORDER
 WEIGHTED_HISTORY_SQL = f'WITH {EV}, {_WEIGHTED} SELECT uid, "right", CAST(round(weight * 10) AS BIGINT) AS tenths, pos FROM wh'
 
 
+def _whole_history(spark: SparkSession, d: str) -> DataFrame:
+    """Every post of a user with the weight of the first of its two lists."""
+    group = F.col("k") % 8
+    rows = events(spark, d).select("uid", F.col("post_id").alias("right"), F.least(group, (group + 7) % 8).alias("list"))
+    return joins.weigh_history(rows)
+
+
 def weighted_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Session scores times the weights of the eight lists, summed by pair."""
-    h = topk.history(joins.explode_history(_profiles(spark, d), _LISTS), "uid", "right", "pos", 12)
-    return cf.pair_totals(cf.session_scores(events(spark, d)), h, self_pairs=False)
+    """Session scores times the weights of the eight lists, summed by pair; the lists are whole, and so is the history."""
+    return cf.pair_totals(cf.session_scores(events(spark, d)), _whole_history(spark, d), self_pairs=False)
 
 
-WEIGHTED_PAIRS_SQL = f"""WITH {EV}, {_S}, {_WEIGHTED} SELECT item_id AS "left", "right", CAST(sum(round(score * weight)) AS BIGINT) AS score FROM sc JOIN wh ON sc.uid = wh.uid
+#: The lists and the history as in ``_WEIGHTED``, without their lengths.
+_WHOLE = f"""g AS (SELECT DISTINCT uid, post_id, unnest([k % 8, (k + 7) % 8]) AS list FROM ev), q AS (SELECT *, row_number() OVER (PARTITION BY uid, list ORDER BY post_id) AS r FROM g),
+p AS (SELECT uid, post_id AS "right", [{', '.join(f'{w}::DOUBLE' for w in joins.HISTORY_WEIGHTS)}][CAST(list + 1 AS INTEGER)] AS weight, CAST(row_number() OVER (PARTITION BY uid ORDER BY list, r) - 1 AS INTEGER) AS pos FROM q),
+wh AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY uid, "right" ORDER BY pos) = 1)"""
+WEIGHTED_PAIRS_SQL = f"""WITH {EV}, {_S}, {_WHOLE} SELECT item_id AS "left", "right", CAST(sum(round(score * weight)) AS BIGINT) AS score FROM sc JOIN wh ON sc.uid = wh.uid
 WHERE score > 0 AND item_id <> "right" GROUP BY ALL HAVING sum(round(score * weight)) > 0"""
 
 
